@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import calendar, week_end
-from tidemark.operators.ordered import names, neighbours, row_index
-
-_STEP = "__step"
+from tidemark.operators.ordered import STEP, names, neighbours
 
 
 def _between(c: str, place: str, distance) -> Column:
@@ -32,7 +30,7 @@ def _rule(c: str, rule: str, place: str) -> Column:
         return F.coalesce(value, _between(c, place, days))
     if rule == "steps":
         p, n = F.col(f"__prev_{c}"), F.col(f"__next_{c}")
-        line = p["v"] + (n["v"] - p["v"]) * (F.col(_STEP) - p[_STEP]) / (n[_STEP] - p[_STEP])
+        line = p["v"] + (n["v"] - p["v"]) * (F.col(STEP) - p[STEP]) / (n[STEP] - p[STEP])
         return F.coalesce(value, F.when(nxt.isNull(), prev).otherwise(line))
     raise ValueError(rule)
 
@@ -42,11 +40,7 @@ def fill(df: DataFrame, order, rules: dict[str, str], keys=(), segment=None) ->
     ``dates`` (linear in days, edges carried), ``dates_inner`` (same, edges stay NULL), ``steps``
     (linear in row positions, trailing gap carried, leading gap NULL)."""
     order, cols = names(order), list(rules)
-    carry = ()
-    body = df
-    if "steps" in rules.values():
-        body, carry = row_index(df, order, keys, _STEP, segment), (_STEP,)
-    found = neighbours(body, order, cols, keys, carry, segment)
+    found = neighbours(df, order, cols, keys, segment, steps="steps" in rules.values())
     return found.select(*[_rule(c, rules[c], order[0]).alias(c) if c in rules else F.col(c) for c in df.columns])
 
 
@@ -79,12 +73,11 @@ def on_calendar(df: DataFrame, start=None, end=None, e=(), date: str = "date") -
     Defaults: the first and last date of the whole frame. Rows outside the range are dropped.
     """
     keys = names(e)
-    edge = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
-    span = edge.select(F.struct("lo", "hi")).scalar()
+    ends = df.groupBy(*keys).agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    span = ends.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(F.struct("lo", "hi")).scalar()
     lo = F.lit(start).cast("date") if start is not None else span["lo"]
     hi = F.lit(end).cast("date") if end is not None else span["hi"]
-    holders = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    spine = holders.select(*keys, F.explode(calendar(lo, hi)).alias(date))
+    spine = ends.select(*keys, F.explode(calendar(lo, hi)).alias(date))
     return on_spine(spine, df, [*keys, date])
 
 

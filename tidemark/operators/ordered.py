@@ -84,46 +84,70 @@ def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) ->
     )
 
 
-def neighbours(df: DataFrame, order, cols, keys=(), carry=(), segment=None) -> DataFrame:
-    """Adds ``__prev_c`` and ``__next_c`` for each column c: a struct of the order columns, the carried
-    columns and the value ``v`` at the nearest non-NULL row, the row itself included."""
+STEP = "__step"
+
+
+def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool = False) -> DataFrame:
+    """Adds ``__prev_c`` and ``__next_c`` for each column c: a struct of the order columns and the value
+    ``v`` at the nearest non-NULL row, the row itself included. With ``steps`` the rows are also numbered
+    per key, and the structs and the row carry that number as ``__step``; only differences of it count.
+    """
     order, cols, keys = names(order), names(cols), names(keys)
+    numbered = [STEP] if steps else []
 
     def mark(c):
-        return F.when(F.col(c).isNotNull(), F.struct(*order, *names(carry), F.col(c).alias("v")))
+        return F.when(F.col(c).isNotNull(), F.struct(*order, *numbered, F.col(c).alias("v")))
 
-    backwards = [F.col(o).desc() for o in order]
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    if segment == WHOLE:
-        past = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
-        ahead = Window.partitionBy(*keys).orderBy(*backwards).rowsBetween(*so_far)
-        return df.withColumns({f"__prev_{c}": F.last(mark(c), True).over(past) for c in cols}).withColumns(
+    def local(frame, partition):
+        past = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        # A frame that runs to the end of the partition is quadratic; the mirrored order is not.
+        ahead = Window.partitionBy(*partition).orderBy(*[F.col(o).desc() for o in order]).rowsBetween(
+            Window.unboundedPreceding, 0
+        )
+        return frame.withColumns({f"__prev_{c}": F.last(mark(c), True).over(past) for c in cols}).withColumns(
             {f"__next_{c}": F.last(mark(c), True).over(ahead) for c in cols}
         )
 
-    body = _placed(df, order, keys, segment)
+    def number(frame, partition):
+        if not steps:
+            return frame
+        return frame.withColumn(STEP, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("bigint"))
+
+    if segment == WHOLE:
+        return local(number(df, keys), keys)
+
+    body = number(_placed(df, order, keys, segment), [_AT])
     ends = body.groupBy(_AT).agg(
-        *[F.max(mark(c)).alias(f"__last_{c}") for c in cols], *[F.min(mark(c)).alias(f"__first_{c}") for c in cols]
+        *[F.max(mark(c)).alias(f"__last_{c}") for c in cols],
+        *[F.min(mark(c)).alias(f"__first_{c}") for c in cols],
+        F.count(F.lit(1)).alias("__n"),
     )
     earlier = _between_segments(keys).rowsBetween(Window.unboundedPreceding, -1)
     later = _between_segments(keys, descending=True).rowsBetween(Window.unboundedPreceding, -1)
+    if steps:
+        # Numbers inside a segment become numbers of the key by the row count of all earlier segments.
+        ends = ends.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        shift = lambda side, c: F.when(
+            F.col(f"{side}_{c}").isNotNull(),
+            F.col(f"{side}_{c}").withField(STEP, F.col(f"{side}_{c}")[STEP] + F.col("__offset")),
+        )
+        ends = ends.withColumns({f"{side}_{c}": shift(side, c) for c in cols for side in ("__last", "__first")})
     carried = ends.select(
         _AT,
+        *(["__offset"] if steps else []),
         *[F.last(f"__last_{c}", True).over(earlier).alias(f"__before_{c}") for c in cols],
         *[F.last(f"__first_{c}", True).over(later).alias(f"__after_{c}") for c in cols],
     )
-    past = Window.partitionBy(_AT).orderBy(*order).rowsBetween(*so_far)
-    ahead = Window.partitionBy(_AT).orderBy(*backwards).rowsBetween(*so_far)
-    return (
-        body.join(carried, _AT)
-        .withColumns(
-            {f"__prev_{c}": F.coalesce(F.last(mark(c), True).over(past), F.col(f"__before_{c}")) for c in cols}
-        )
-        .withColumns(
-            {f"__next_{c}": F.coalesce(F.last(mark(c), True).over(ahead), F.col(f"__after_{c}")) for c in cols}
-        )
-        .drop(_AT, *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
-    )
+    joined = body.join(carried, _AT)
+    if steps:
+        joined = joined.withColumn(STEP, F.col(STEP) + F.col("__offset"))
+    found = local(joined, [_AT])
+    return found.withColumns(
+        {
+            **{f"__prev_{c}": F.coalesce(f"__prev_{c}", f"__before_{c}") for c in cols},
+            **{f"__next_{c}": F.coalesce(f"__next_{c}", f"__after_{c}") for c in cols},
+        }
+    ).drop(_AT, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
 
 
 Step = Callable[[WindowSpec], dict[str, Column]]

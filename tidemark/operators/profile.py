@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.dates import decade
 from tidemark.operators.ordered import attach, names, over_rows
 from tidemark.operators.reshape import to_long
+from tidemark.session import stage
 
 
 def _rows(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -189,7 +190,7 @@ def quality_report(df: DataFrame, date: str, value: str, e=(), as_of=None, sigma
         F.count(F.lit(1)).alias("__n"), F.count(value).alias("__held"), F.count_if(far).alias("__far")
     )
     stepped = over_rows(
-        days, date, lambda w: {"__step": F.datediff(F.col(date), F.lag(date).over(w))}, keys, before=1, segment=segment
+        stage(days, "days"), date, lambda w: {"__step": F.datediff(F.col(date), F.lag(date).over(w))}, keys, before=1, segment=segment
     )
     shortest = stepped.groupBy(*keys).agg(F.min("__step").alias("__shortest"))
     return (

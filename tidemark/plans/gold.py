@@ -8,6 +8,7 @@ from tidemark.operators.fills import fill
 from tidemark.operators.ordered import names
 from tidemark.operators.reshape import weekly_combine, weekly_mean
 from tidemark.operators.select import valid_weeks
+from tidemark.session import stage
 
 # How each sparse weekly column is filled.
 WEEKLY_FILLS = {
@@ -31,5 +32,5 @@ def weekly_features(
         weekly_mean(df, "date", [c for c in df.columns if c not in {"date", "load_timestamp", *keys}], keys)
         for df in (daily, monthly, sector, credit)
     ]
-    combined = weekly_combine(means[0], means[1:], [*keys, "year", "week"])
+    combined = stage(weekly_combine(means[0], means[1:], [*keys, "year", "week"]), "weekly")
     return valid_weeks(fill(combined, ["year", "week"], rules, keys), first_year)

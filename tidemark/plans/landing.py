@@ -10,6 +10,7 @@ from tidemark.operators.fills import fill, interpolate_dates, on_calendar
 from tidemark.operators.ordered import names
 from tidemark.operators.reshape import mean_by_date, pivot_many, pivot_max
 from tidemark.operators.rolling import first_per_key
+from tidemark.session import stage
 from tidemark.schemas import CREDIT_SERIES, DAILY_SERIES, MONTHLY_SERIES, SECTORS
 
 FIRST_DAY = "1980-01-01"
@@ -24,6 +25,7 @@ def monthly_macro(raw: DataFrame, mode: str = "reference", start: str = FIRST_DA
     keys = names(e)
     rows = raw.filter((F.col("date") >= F.lit(start).cast("date")) & F.col("series").isin(list(series)))
     wide = pivot_max(rows.filter(F.col("value").isNotNull()), [*keys, "date"], "series", series, "value", digits=2)
+    wide = stage(wide, "macro_wide")
     rules = {gdp: "dates_inner"} if mode == "reference" else {c: "dates" for c in series.values()}
     return fill(wide, "date", rules, keys).withColumns({c: F.round(c, 2) for c in rules})
 
@@ -39,8 +41,9 @@ def daily_long(raw: DataFrame, start=FIRST_DAY, end=None, e=(), series=DAILY_SER
     """Daily series on a dense calendar, gaps linear in days, edges carried; long form, unrounded."""
     keys = [*names(e), "series"]
     known = raw.filter(F.col("series").isin(list(series)))
-    one = first_per_date(known, e).select(*keys, "date", "value")
-    dense = on_calendar(one, start, end, keys)
+    # One row per series and date is small next to the raw rows, and is read twice from here on.
+    one = stage(first_per_date(known, e).select(*keys, "date", "value"), "first_per_date")
+    dense = stage(on_calendar(one, start, end, keys), "calendar")
     return interpolate_dates(dense, "date", "value", keys)
 
 

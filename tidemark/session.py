@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,19 +39,25 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see. A local folder is made only when the cluster names none."""
+    """The folder all executors see, as named by the cluster. A folder of our own is set only where the
+    setting is missing, once per application, and only in local mode may it lie on this machine."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
-    if folder is None:
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR", "/tmp"))
-    return folder
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so a lost executor does not replay the whole plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a reduced frame once to the shared folder and read it back.
+
+    For a frame that is used more than once behind a costly scan: the scan runs once, readers still get
+    column pruning and file statistics, and a lost executor re-reads files instead of replaying the plan.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,8 +13,9 @@ from tidemark.operators.profile import (
 from tidemark.operators.relate import annual_vol, corr_matrix, cross_corr, market_ratios, sharpe, total_return
 from tidemark.operators.reshape import pivot_many, pivot_mean, to_long, weekly_mean
 from tidemark.plans.landing import credit_outcomes
+from tidemark.session import stage
 from workload.frames import (
-    PRIORITIES, SEGMENTS, articles, cte, daily, monthly, orders, prices, r6, raw, sql_round2, sql_week, table, wide,
+    PRIORITIES, SEGMENTS, articles, cte, daily, monthly, orders, prices, prices_staged, r6, raw, sql_round2, sql_week, table, wide,
 )
 from workload.register import query
 
@@ -165,12 +166,12 @@ _RET = (
 
 @query("a17_annual_vol", _RET + "SELECT ticker, ROUND(stddev_samp(ret) * sqrt(252) * 100, 6) AS annual_vol FROM z GROUP BY 1")
 def vol(spark, sf):
-    return r6(annual_vol(prices(spark, sf)), "annual_vol")
+    return r6(annual_vol(prices_staged(spark, sf)), "annual_vol")
 
 
 @query("a18_sharpe", _RET + "SELECT ticker, ROUND((AVG(ret) * 252 - 0.02) / (stddev_samp(ret) * sqrt(252)), 6) AS sharpe FROM z GROUP BY 1")
 def ratio(spark, sf):
-    return r6(sharpe(prices(spark, sf)), "sharpe")
+    return r6(sharpe(prices_staged(spark, sf)), "sharpe")
 
 
 _TW = ", ".join(f"MAX(CASE WHEN ticker = '{k}' THEN close_price END) AS {v}" for k, v in SEGMENTS.items())
@@ -187,7 +188,7 @@ _TR = ", ".join(f"{v} / LAG({v}) OVER (ORDER BY date) - 1 AS {v}" for v in SEGME
     + ") SELECT ticker, ROUND(stddev_samp(ret) * sqrt(252) * 100, 6) AS annual_vol, ROUND((AVG(ret) * 252 - 0.02) / (stddev_samp(ret) * sqrt(252)), 6) AS sharpe FROM l GROUP BY 1",
 )
 def ratios_wide(spark, sf):
-    w = pivot_many(prices(spark, sf), "date", "ticker", SEGMENTS, {"": "close_price"})
+    w = stage(pivot_many(prices(spark, sf), "date", "ticker", SEGMENTS, {"": "close_price"}))
     return r6(market_ratios(w, "date", list(SEGMENTS.values())), "annual_vol", "sharpe")
 
 

@@ -13,7 +13,7 @@ from tidemark.operators.select import (
     date_between, delete_where, drop_bad_dates, fill_features, label_periods, news_valid, select_as, trailing, trusted_only,
     valid_weeks, year_week_between,
 )
-from workload.frames import articles, cte, daily, dense, orders, r6, sql_week, table
+from workload.frames import articles, cte, daily, dense, dense_staged, orders, r6, sql_week, table
 from workload.register import query
 
 
@@ -155,7 +155,7 @@ _FLAG = cte("dense") + ", f AS (SELECT series, date, CASE WHEN value > 250000 TH
 
 
 def _flags(spark, sf):
-    return dense(spark, sf).select("series", "date", F.when(F.col("value") > 250000, 1.0).otherwise(0.0).alias("flag"))
+    return dense_staged(spark, sf).select("series", "date", F.when(F.col("value") > 250000, 1.0).otherwise(0.0).alias("flag"))
 
 
 @query("p17_flag_mask", _FLAG + " SELECT series, date FROM f WHERE flag > 0")

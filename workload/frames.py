@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.fills import on_calendar
 from tidemark.operators.reshape import pivot_max, weekly_combine, weekly_mean
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, stage
 
 PRIORITIES = {
     "1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low",
@@ -61,7 +61,7 @@ def daily(spark, sf) -> DataFrame:
 
 def dense(spark, sf) -> DataFrame:
     """The same on every day, NULL where there was no order."""
-    return on_calendar(daily(spark, sf), e="series")
+    return on_calendar(daily_staged(spark, sf), e="series")
 
 
 def wide(spark, sf) -> DataFrame:
@@ -190,6 +190,29 @@ def versions(spark, sf) -> DataFrame:
     )
 
 
+# Reduced frames that an operator reads more than once are staged, so the big tables are scanned once.
+
+
+def daily_staged(spark, sf) -> DataFrame:
+    return stage(daily(spark, sf), "daily")
+
+
+def dense_staged(spark, sf) -> DataFrame:
+    return stage(on_calendar(daily_staged(spark, sf), e="series"), "dense")
+
+
+def wide_staged(spark, sf) -> DataFrame:
+    return stage(wide(spark, sf), "wide")
+
+
+def prices_staged(spark, sf) -> DataFrame:
+    return stage(prices(spark, sf), "prices")
+
+
+def raw_staged(spark, sf) -> DataFrame:
+    return stage(raw(spark, sf), "raw")
+
+
 # --- The same in SQL ------------------------------------------------------------------------------
 
 _MONEY = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
@@ -207,7 +230,7 @@ def sql_week(d: str) -> str:
 
 def sql_round2(x: str) -> str:
     """Rounding of the decimal print, ties away from zero."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,8)), 2) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), 2) AS DOUBLE)"
 
 
 def sql_pivot(names: dict[str, str], key="series", value="value") -> str:

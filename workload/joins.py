@@ -11,7 +11,7 @@ from tidemark.operators.reshape import (
 )
 from tidemark.operators.rolling import first_per_key, latest_per_key, time_split
 from tidemark.plans.registry import enrich_model_name
-from workload.frames import PRIORITIES, cte, daily, monthly, orders, prices, r6, runs, sql_pivot, table, versions, wide
+from workload.frames import PRIORITIES, cte, daily, daily_staged, monthly, orders, prices, r6, runs, sql_pivot, table, versions, wide_staged
 from workload.register import query
 
 
@@ -42,7 +42,7 @@ def combine(spark, sf):
 
 @query("j03_on_calendar", cte("dense") + "SELECT series, date, value FROM dense")
 def calendar(spark, sf):
-    return on_calendar(daily(spark, sf), e="series")
+    return on_calendar(daily_staged(spark, sf), e="series")
 
 
 @query(
@@ -66,7 +66,7 @@ _SPLIT = (
 
 @query("j05_w18_time_split", _SPLIT)
 def split(spark, sf):
-    return time_split(wide(spark, sf), "date", 100).select("date", "urgent", "rn", "split")
+    return time_split(wide_staged(spark, sf), "date", 100).select("date", "urgent", "rn", "split")
 
 
 @query(
@@ -76,7 +76,7 @@ def split(spark, sf):
     CASE WHEN ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) <= 24 THEN 'test' ELSE 'train' END AS split FROM daily""",
 )
 def split_keyed(spark, sf):
-    return time_split(daily(spark, sf), "date", 24, "series").select("series", "date", "value", "rn", "split")
+    return time_split(daily_staged(spark, sf), "date", 24, "series").select("series", "date", "value", "rn", "split")
 
 
 _UPSERT = """, held AS (SELECT user_id, d, ts, value, title FROM e WHERE d <= DATE '2024-01-20' QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, d ORDER BY ts DESC, event_id) = 1),
@@ -145,7 +145,7 @@ def month_join(spark, sf):
     cte("daily") + "SELECT series, date, value FROM daily WHERE date IN (SELECT date FROM daily GROUP BY 1 HAVING COUNT(DISTINCT series) = (SELECT COUNT(DISTINCT series) FROM daily))",
 )
 def common(spark, sf):
-    return common_dates(daily(spark, sf), "series")
+    return common_dates(daily_staged(spark, sf), "series")
 
 
 @query(

@@ -15,8 +15,10 @@ from tidemark.operators.rolling import (
 from tidemark.plans.gold import weekly_features
 from tidemark.plans.landing import credit_outcomes, daily_macro, monthly_macro, sector_daily
 from tidemark.schemas import DAILY_SERIES, MONTHLY_SERIES
+from tidemark.session import stage
 from workload.frames import (
-    PRIORITIES, SEGMENTS, cte, daily, dense, prices, r6, raw, sql_pivot, sql_round2, sql_week, table, weekly, wide,
+    PRIORITIES, SEGMENTS, cte, daily, daily_staged, dense, dense_staged, prices, prices_staged, r6, raw_staged, sql_pivot, sql_round2, sql_week,
+    table, weekly, wide, wide_staged,
 )
 from workload.register import query
 
@@ -35,18 +37,18 @@ def _near(o="date"):
 
 @query("w01_ffill", cte("dense") + f"SELECT series, date, last_value(value IGNORE NULLS) {PAST.format(o='date')} AS value FROM dense")
 def forward(spark, sf):
-    return ffill(dense(spark, sf), "date", "value", "series")
+    return ffill(dense_staged(spark, sf), "date", "value", "series")
 
 
 @query("w01_ffill_whole", cte("dense") + f"SELECT series, date, last_value(value IGNORE NULLS) {PAST.format(o='date')} AS value FROM dense")
 def forward_whole(spark, sf):
     """The same with one window per series, for many short series."""
-    return ffill(dense(spark, sf), "date", "value", "series", segment=WHOLE)
+    return ffill(dense_staged(spark, sf), "date", "value", "series", segment=WHOLE)
 
 
 @query("w02_bfill", cte("dense") + f"SELECT series, date, first_value(value IGNORE NULLS) {AHEAD.format(o='date')} AS value FROM dense")
 def backward(spark, sf):
-    return bfill(dense(spark, sf), "date", "value", "series")
+    return bfill(dense_staged(spark, sf), "date", "value", "series")
 
 
 _LINE = "pv + (nv - pv) * (CAST(date - pd AS DOUBLE) / NULLIF(nd - pd, 0))"
@@ -57,7 +59,7 @@ _LINE = "pv + (nv - pv) * (CAST(date - pd AS DOUBLE) / NULLIF(nd - pd, 0))"
     cte("dense") + f", n AS (SELECT *, {_near()} FROM dense) SELECT series, date, COALESCE(value, {_LINE}, pv, nv) AS value FROM n",
 )
 def interpolate(spark, sf):
-    return interpolate_dates(dense(spark, sf), "date", "value", "series")
+    return interpolate_dates(dense_staged(spark, sf), "date", "value", "series")
 
 
 @query(
@@ -65,7 +67,7 @@ def interpolate(spark, sf):
     cte("dense") + f", n AS (SELECT *, {_near()} FROM dense) SELECT series, date, {sql_round2(f'COALESCE(value, {_LINE})')} AS value FROM n",
 )
 def interpolate_inner(spark, sf):
-    return interpolate_dates(dense(spark, sf), "date", "value", "series", edges="null").withColumn("value", F.round("value", 2))
+    return interpolate_dates(dense_staged(spark, sf), "date", "value", "series", edges="null").withColumn("value", F.round("value", 2))
 
 
 _STEPS = """, g AS (SELECT *, COUNT({c}) OVER (PARTITION BY series ORDER BY year, week ROWS UNBOUNDED PRECEDING) AS grp,
@@ -80,27 +82,27 @@ _STEPS = """, g AS (SELECT *, COUNT({c}) OVER (PARTITION BY series ORDER BY year
     + "SELECT series, year, week, ROUND(value, 6) AS value, ROUND(COALESCE(sparse, CASE WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * pos / total END), 6) AS sparse FROM h",
 )
 def steps(spark, sf):
-    return r6(interpolate_steps(weekly(spark, sf), ["year", "week"], "sparse", "series"), "value", "sparse")
+    return r6(interpolate_steps(stage(weekly(spark, sf)), ["year", "week"], "sparse", "series"), "value", "sparse")
 
 
-def _rolled(n: int, value: str) -> str:
+def _rolled(n: int, value: str, digits: int = 6) -> str:
     f = f"OVER (PARTITION BY series ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN COUNT(value) {f} >= {{need}} THEN ROUND({value.format(f=f)}, 6) END"
+    return f"CASE WHEN COUNT(value) {f} >= {{need}} THEN ROUND({value.format(f=f)}, {digits}) END"
 
 
 @query("w08_rolling_mean", cte("dense") + f"SELECT series, date, {_rolled(12, 'AVG(value) {f}').format(need=12)} AS value_mean FROM dense")
 def roll_mean(spark, sf):
-    return r6(rolling_mean(dense(spark, sf), "date", "value", 12, "series"), "value_mean").drop("value")
+    return r6(rolling_mean(dense_staged(spark, sf), "date", "value", 12, "series"), "value_mean").drop("value")
 
 
 @query("w09_rolling_mean_min1", cte("dense") + f"SELECT series, date, {_rolled(3, 'AVG(value) {f}').format(need=1)} AS value_mean FROM dense")
 def roll_mean_1(spark, sf):
-    return r6(rolling_mean(dense(spark, sf), "date", "value", 3, "series", min_periods=1), "value_mean").drop("value")
+    return r6(rolling_mean(dense_staged(spark, sf), "date", "value", 3, "series", min_periods=1), "value_mean").drop("value")
 
 
-@query("w10_rolling_std", cte("daily") + f"SELECT series, date, {_rolled(52, 'stddev_samp(value) {f}').format(need=52)} AS value_std FROM daily")
+@query("w10_rolling_std", cte("daily") + f"SELECT series, date, {_rolled(52, 'stddev_samp(value) {f}', 3).format(need=52)} AS value_std FROM daily")
 def roll_std(spark, sf):
-    return r6(rolling_std(daily(spark, sf), "date", "value", 52, "series"), "value_std").drop("value")
+    return r6(rolling_std(daily_staged(spark, sf), "date", "value", 52, "series"), "value_std", digits=3).drop("value")
 
 
 _Z = "(value - AVG(value) {f}) / NULLIF(stddev_samp(value) {f}, 0)"
@@ -108,7 +110,7 @@ _Z = "(value - AVG(value) {f}) / NULLIF(stddev_samp(value) {f}, 0)"
 
 @query("w11_rolling_z", cte("daily") + f"SELECT series, date, COALESCE({_rolled(30, _Z).format(need=30)}, 0.0) AS value_zscore FROM daily")
 def roll_z(spark, sf):
-    return r6(rolling_z(daily(spark, sf), "date", "value", 30, "series"), "value_zscore").drop("value")
+    return r6(rolling_z(daily_staged(spark, sf), "date", "value", 30, "series"), "value_zscore").drop("value")
 
 
 _F104 = "OVER (ORDER BY date ROWS BETWEEN 103 PRECEDING AND CURRENT ROW)"
@@ -121,7 +123,7 @@ _F104 = "OVER (ORDER BY date ROWS BETWEEN 103 PRECEDING AND CURRENT ROW)"
     "FROM wide WHERE urgent IS NOT NULL AND high IS NOT NULL",
 )
 def roll_corr(spark, sf):
-    both = wide(spark, sf).select("date", "urgent", "high").dropna()
+    both = wide_staged(spark, sf).select("date", "urgent", "high").dropna()
     return r6(rolling_corr(both, "date", "urgent", "high", 104), "corr").select("date", "corr")
 
 
@@ -130,7 +132,7 @@ _DIFF = cte("daily") + ", m AS (SELECT *, value - LAG(value) OVER (PARTITION BY
 
 @query("w13_diff", _DIFF + "SELECT series, date, value, d AS value_diff FROM m")
 def difference(spark, sf):
-    return diff(daily(spark, sf), "date", "value", "series")
+    return diff(daily_staged(spark, sf), "date", "value", "series")
 
 
 @query(
@@ -138,7 +140,7 @@ def difference(spark, sf):
     _DIFF + "SELECT series, date, d AS change FROM (SELECT *, stddev_samp(d) OVER (PARTITION BY series) AS s FROM m) WHERE abs(d) > 2 * s",
 )
 def shock_rows(spark, sf):
-    return shocks(daily(spark, sf), "date", "value", 2.0, "series").select("series", "date", "change")
+    return shocks(daily_staged(spark, sf), "date", "value", 2.0, "series").select("series", "date", "change")
 
 
 @query(
@@ -146,7 +148,7 @@ def shock_rows(spark, sf):
     cte("daily") + "SELECT series, date, value, ROUND((value / NULLIF(LAG(value) OVER (PARTITION BY series ORDER BY date), 0) - 1) * 100, 6) AS value_pct FROM daily",
 )
 def growth(spark, sf):
-    return r6(pct_change(daily(spark, sf), "date", "value", "series", scale=100.0), "value_pct")
+    return r6(pct_change(daily_staged(spark, sf), "date", "value", "series", scale=100.0), "value_pct")
 
 
 _LAGS = (0, 3, 6, 9, 12)
@@ -161,7 +163,7 @@ _LAGS = (0, 3, 6, 9, 12)
     + " UNION ALL ".join(f"SELECT '{x}' AS x, CAST({k} AS INTEGER) AS lag, ROUND(corr({x}_{k}, low), 8) AS r FROM l" for x in ("urgent", "high") for k in _LAGS),
 )
 def lags(spark, sf):
-    return r6(lag_corr(wide(spark, sf), "date", ["urgent", "high"], "low", _LAGS), "r", digits=8)
+    return r6(lag_corr(wide_staged(spark, sf), "date", ["urgent", "high"], "low", _LAGS), "r", digits=8)
 
 
 _BOTH = cte("wide") + ", b AS (SELECT date, urgent, low FROM wide WHERE urgent IS NOT NULL AND low IS NOT NULL), s AS (SELECT AVG(urgent) AS mx, AVG(low) AS my, stddev_pop(urgent) AS sx, stddev_pop(low) AS sy, COUNT(*) AS n FROM b), c AS (SELECT date, urgent - mx AS x, low - my AS y, sx, sy, n FROM b, s) "
@@ -176,7 +178,7 @@ _BOTH = cte("wide") + ", b AS (SELECT date, urgent, low FROM wide WHERE urgent I
     ),
 )
 def cross_correlation(spark, sf):
-    return r6(ccf(wide(spark, sf), "date", "urgent", "low", 12), "r", digits=8)
+    return r6(ccf(wide_staged(spark, sf), "date", "urgent", "low", 12), "r", digits=8)
 
 
 @query(
@@ -197,7 +199,7 @@ def latest_nonnull(spark, sf):
 
 @query("w22_row_index", cte("daily") + "SELECT series, date, value, ROW_NUMBER() OVER (PARTITION BY series ORDER BY date) - 1 AS rn FROM daily")
 def numbered(spark, sf):
-    return row_index(daily(spark, sf), "date", "series")
+    return row_index(daily_staged(spark, sf), "date", "series")
 
 
 @query(
@@ -233,7 +235,7 @@ _LAGGED = "close_price / LAG(close_price, {}) OVER (PARTITION BY ticker ORDER BY
 )
 def features(spark, sf):
     made = ["return_1d", "return_1w", "return_1m", "momentum_4w", "volatility_1w", "volatility_1m", "drawdown_max_4w"]
-    return r6(market_features(prices(spark, sf)), *made).select("ticker", "date", *made)
+    return r6(market_features(prices_staged(spark, sf)), *made).select("ticker", "date", *made)
 
 
 @query(
@@ -246,7 +248,7 @@ def features(spark, sf):
     + f"SELECT series, date, ROUND(COALESCE(last_value(value IGNORE NULLS) {PAST.format(o='date')}, first_value(value IGNORE NULLS) {AHEAD.format(o='date')}), 6) AS value FROM j",
 )
 def week_sampled(spark, sf):
-    return r6(resample_week(daily(spark, sf), "date", "value", "series"), "value")
+    return r6(resample_week(daily_staged(spark, sf), "date", "value", "series"), "value")
 
 
 @query(
@@ -269,7 +271,7 @@ _DF = """, q AS (SELECT {k} regr_count(dy, p) AS n, regr_sxx(dy, p) AS sxx, regr
     + _DF.format(k="series,", g="GROUP BY series"),
 )
 def unit_root(spark, sf):
-    return r6(r6(df_stat(daily(spark, sf), "date", "value", "series"), "slope", digits=8), "df_t")
+    return r6(r6(df_stat(daily_staged(spark, sf), "date", "value", "series"), "slope", digits=8), "df_t")
 
 
 @query(
@@ -280,7 +282,7 @@ def unit_root(spark, sf):
     + _DF.format(k="", g=""),
 )
 def cointegration(spark, sf):
-    return r6(r6(coint_stat(wide(spark, sf), "date", "urgent", "low"), "slope", digits=8), "df_t")
+    return r6(r6(coint_stat(wide_staged(spark, sf), "date", "urgent", "low"), "slope", digits=8), "df_t")
 
 
 # --- Landing and gold -----------------------------------------------------------------------------
@@ -312,7 +314,7 @@ _MONTHLY = (
 
 @query("landing_monthly_macro", cte("raw") + _MONTHLY + "SELECT * FROM macro_m")
 def macro_monthly(spark, sf):
-    return monthly_macro(raw(spark, sf))
+    return monthly_macro(raw_staged(spark, sf))
 
 
 @query(
@@ -322,7 +324,7 @@ def macro_monthly(spark, sf):
     + "SELECT date, " + ", ".join(f"{sql_round2(f'COALESCE({c}, {_line(c)}, {c}_pv, {c}_nv)')} AS {c}" for c in MONTHLY_SERIES.values()) + " FROM mf",
 )
 def macro_monthly_full(spark, sf):
-    return monthly_macro(raw(spark, sf), mode="full")
+    return monthly_macro(raw_staged(spark, sf), mode="full")
 
 
 _DAILY = (
@@ -337,7 +339,7 @@ _DAILY = (
 
 @query("landing_daily_macro", cte("raw") + _DAILY + "SELECT * FROM macro_d")
 def macro_daily(spark, sf):
-    return daily_macro(raw(spark, sf))
+    return daily_macro(raw_staged(spark, sf))
 
 
 @query(
@@ -345,7 +347,7 @@ def macro_daily(spark, sf):
     cte("raw") + _DAILY + "SELECT date FROM dc",
 )
 def calendar(spark, sf):
-    return daily_macro(raw(spark, sf)).select("date")
+    return daily_macro(raw_staged(spark, sf)).select("date")
 
 
 _SECTOR = "SELECT date, " + ", ".join(
@@ -390,8 +392,9 @@ _GOLD = (
 
 
 def gold(spark, sf):
-    r, p = raw(spark, sf), prices(spark, sf)
-    return weekly_features(daily_macro(r), monthly_macro(r), sector_daily(p, SEGMENTS), credit_outcomes(r))
+    r = raw_staged(spark, sf)
+    landing = (daily_macro(r), monthly_macro(r), sector_daily(prices(spark, sf), SEGMENTS), credit_outcomes(r))
+    return weekly_features(*landing)
 
 
 @query("gold_weekly_features", cte("raw", "prices") + _GOLD + "SELECT * FROM gold")
@@ -409,6 +412,6 @@ def gold_rounded(spark, sf):
 )
 def weekly_slice(spark, sf):
     """Calendar, interpolation, weekly mean and pivot in one plan."""
-    filled = interpolate_dates(dense(spark, sf), "date", "value", "series")
+    filled = interpolate_dates(dense_staged(spark, sf), "date", "value", "series")
     means = r6(weekly_mean(filled, "date", "value", "series"), "value")
     return pivot_max(means, ["year", "week"], "series", PRIORITIES, "value")
