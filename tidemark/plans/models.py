@@ -50,7 +50,18 @@ def fit_linear(train, features, y) -> PipelineModel:
 
 
 def fit_elastic(train, features, y, alpha: float = 1.0, l1_ratio: float = 0.5) -> PipelineModel:
-    stage = LinearRegression(labelCol=y, regParam=alpha, elasticNetParam=l1_ratio, standardization=False)
+    """Minimises squared error / 2n + alpha * (l1_ratio * |b| + (1 - l1_ratio) / 2 * b^2).
+
+    MLlib divides both penalties by the target's std, which is right for the absolute one only, so the
+    two are restated before the fit.
+    """
+    spread = train.agg(F.stddev_samp(F.coalesce(F.col(y), F.lit(0.0)))).first()[0] or 1.0
+    absolute, square = alpha * l1_ratio, alpha * (1 - l1_ratio) * spread
+    total = absolute + square
+    stage = LinearRegression(
+        labelCol=y, regParam=total, elasticNetParam=absolute / total if total else 0.0, standardization=False,
+        maxIter=500, tol=1e-9,
+    )
     return _fit(train, features, y, stage)
 
 

@@ -1 +1,298 @@
-"""Placeholder."""
+"""Forecast models, metrics, regimes, scenarios."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators.reshape import to_long
+from tidemark.operators.rolling import with_lags
+from tidemark.plans import models as M, scenario as C
+from tidemark.session import stage
+from workload.frames import PRIORITIES, cte, daily, daily_staged, dense_staged, r6, table, weekly, wide
+from workload.register import query
+
+X = ["l_quantity", "l_discount", "l_tax"]
+Y = "l_extendedprice"
+
+
+def _line(spark, sf):
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", *X, Y)
+
+
+def _train_test(spark, sf):
+    """The last ship year is the hold-out."""
+    line = _line(spark, sf)
+    late = F.col("l_shipdate") >= F.lit("2001-01-01").cast("date")
+    return line.filter(~late), line.filter(late)
+
+
+def _coefficients(spark, model):
+    fitted = model.stages[-1]
+    return spark.createDataFrame(
+        [(round(float(fitted.coefficients[0]), 3), round(float(fitted.intercept), 2))], "slope DOUBLE, intercept DOUBLE"
+    )
+
+
+@query(
+    "m01_baseline",
+    cte("daily") + "SELECT series, ROUND(AVG(value), 6) AS baseline FROM (SELECT * FROM daily QUALIFY ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) <= 3) GROUP BY 1",
+)
+def base(spark, sf):
+    return r6(M.baseline(daily(spark, sf), "date", "value", "series"), "baseline")
+
+
+@query("m02_linear", "SELECT ROUND(regr_slope(l_extendedprice, l_quantity), 3) AS slope, ROUND(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept FROM lineitem")
+def linear(spark, sf):
+    return _coefficients(spark, M.fit_linear(_line(spark, sf), ["l_quantity"], Y))
+
+
+@query(
+    "m03_elastic_net",
+    """WITH s AS (SELECT covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_quantity) AS v, AVG(l_extendedprice) AS my, AVG(l_quantity) AS mx FROM lineitem),
+    b AS (SELECT sign(c) * greatest(abs(c) - 10.0 * 0.3, 0) / (v + 10.0 * 0.7) AS slope, mx, my FROM s)
+    SELECT ROUND(slope, 3) AS slope, ROUND(my - slope * mx, 2) AS intercept FROM b""",
+)
+def elastic(spark, sf):
+    return _coefficients(spark, M.fit_elastic(_line(spark, sf), ["l_quantity"], Y, alpha=10.0, l1_ratio=0.3))
+
+
+def _quality(model, test, algorithm):
+    return M.score(model, test, X).agg(
+        F.lit(algorithm).alias("algorithm"), F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col(Y) - F.col("prediction"))).alias("mae")
+    )
+
+
+@query("m04_random_forest")
+def forest(spark, sf):
+    train, test = _train_test(spark, sf)
+    return _quality(M.fit_forest(train, X, Y, n_estimators=10, max_depth=5), test, "random_forest")
+
+
+@query("m05_gradient_boosting")
+def boosting(spark, sf):
+    train, test = _train_test(spark, sf)
+    return _quality(M.fit_gbt(train, X, Y, n_estimators=5), test, "gradient_boosting")
+
+
+@query("m06_random_search")
+def search(spark, sf):
+    train, test = _train_test(spark, sf)
+    model, params, mae = M.random_search(train, test, X, Y, "elastic_net", n=3)
+    return _quality(model, test, "elastic_net").withColumn("best_params", F.lit(str(sorted(params.items()))))
+
+
+_LATE = "l_shipdate >= TIMESTAMP '2001-01-01'"
+
+
+@query(
+    "m06_random_search_linear",
+    f"""WITH f AS (SELECT regr_intercept({Y}, l_quantity) AS a, regr_slope({Y}, l_quantity) AS b FROM lineitem WHERE NOT {_LATE})
+    SELECT ROUND(AVG(abs({Y} - a - b * l_quantity)), 4) AS mae, COUNT(*) AS n FROM lineitem, f WHERE {_LATE}""",
+)
+def search_linear(spark, sf):
+    train, test = _train_test(spark, sf)
+    model, _, _ = M.random_search(train, test, ["l_quantity"], Y, "linear_regression")
+    scored = M.score(model, test, ["l_quantity"])
+    return scored.agg(F.round(F.avg(F.abs(F.col(Y) - F.col("prediction"))), 4).alias("mae"), F.count(F.lit(1)).alias("n"))
+
+
+_AR = (
+    cte("daily")
+    + """, l AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p FROM daily),
+    f AS (SELECT series, regr_intercept(value, p) AS a, regr_slope(value, p) AS b, arg_max(value, date) AS v FROM l GROUP BY 1),
+    s1 AS (SELECT series, a, b, a + b * v AS f FROM f), s2 AS (SELECT series, a, b, a + b * f AS f FROM s1), s3 AS (SELECT series, a, b, a + b * f AS f FROM s2)
+    SELECT series, CAST(1 AS INTEGER) AS step, ROUND(f, 4) AS forecast FROM s1 UNION ALL SELECT series, 2, ROUND(f, 4) FROM s2 UNION ALL SELECT series, 3, ROUND(f, 4) FROM s3"""
+)
+
+
+@query("m07_ar1_forecast", _AR)
+def ar1(spark, sf):
+    return r6(M.forecast_ar1(M.fit_ar1(daily_staged(spark, sf), "date", "value", "series"), 3), "forecast", digits=4)
+
+
+@query("m07_arx")
+def arx(spark, sf):
+    d = stage(dense_staged(spark, sf).fillna(0.0, subset=["value"]).withColumn("driver", F.month("date").cast("double")), "arx")
+    model = M.fit_arx(d, "date", "value", ["driver"], 2, "series")
+    frame = M.arx_frame(d, "date", "value", ["driver"], 2, "series")
+    features = [f"{c}__lag_{k}" for c in ("value", "driver") for k in (1, 2)]
+    return M.score(model, frame, features).select("series", "date", "value", "prediction")
+
+
+@query(
+    "m07_arx_pooled",
+    cte("daily")
+    + """, l AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p FROM daily), f AS (SELECT regr_intercept(value, p) AS a, regr_slope(value, p) AS b FROM l)
+    SELECT series, date, ROUND(a + b * p, 3) AS prediction FROM l, f WHERE p IS NOT NULL""",
+)
+def arx_pooled(spark, sf):
+    d = daily_staged(spark, sf)
+    model = M.fit_arx(d, "date", "value", (), 1, "series")
+    scored = M.score(model, M.arx_frame(d, "date", "value", (), 1, "series"), ["value__lag_1"])
+    return r6(scored, "prediction", digits=3).select("series", "date", "prediction")
+
+
+_NAIVE = cte("daily") + ", n AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS yhat FROM daily), k AS (SELECT * FROM n WHERE yhat IS NOT NULL) "
+
+
+def _naive(spark, sf):
+    lagged = with_lags(daily_staged(spark, sf), "date", "value", [1], "series").withColumnRenamed("value__lag_1", "yhat")
+    return stage(lagged.dropna(subset=["yhat"]), "naive")
+
+
+@query(
+    "m08_forecast_metrics",
+    _NAIVE
+    + """, z AS (SELECT *, abs(value - LAG(value) OVER (PARTITION BY series ORDER BY date)) AS st, ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) AS k FROM k)
+    SELECT series, COUNT(*) AS test_count, ROUND(100 * AVG(abs(value - yhat) / greatest((abs(value) + abs(yhat)) / 2, 1e-8)), 6) AS smape,
+    ROUND(AVG(abs(value - yhat)), 4) AS mae, ROUND(sqrt(AVG((value - yhat) * (value - yhat)) FILTER (k <= 6)), 4) AS rmse_recent6,
+    ROUND(AVG(abs(value - yhat)) / (AVG(st) + 1e-8), 6) AS mase, ROUND(1 - SUM((value - yhat) * (value - yhat)) / (var_pop(value) * COUNT(*)), 6) AS r2,
+    ROUND(corr(value, yhat), 8) AS pearson_r FROM z GROUP BY 1""",
+)
+def metrics(spark, sf):
+    out = M.forecast_metrics(_naive(spark, sf), "date", "value", "yhat", "series")
+    out = r6(r6(out, "smape", "mase", "r2"), "mae", "rmse_recent6", digits=4)
+    return r6(out, "pearson_r", digits=8)
+
+
+@query(
+    "m09_score_errors",
+    _NAIVE + "SELECT series, date, ROUND(yhat - value, 4) AS error, ROUND(abs(yhat - value), 4) AS abs_error, ROUND((yhat - value) / value * 100, 2) AS pct_error FROM k",
+)
+def errors(spark, sf):
+    out = M.with_errors(_naive(spark, sf), "value", "yhat")
+    return r6(out, "error", "abs_error", digits=4).select("series", "date", "error", "abs_error", "pct_error")
+
+
+@query("m10_pca")
+def components(spark, sf):
+    scores, shares = M.pca(_line(spark, sf), [*X, Y], 2)
+    return scores.agg(
+        *[F.lit(s).alias(f"share_{i + 1}") for i, s in enumerate(shares)], *[F.var_pop(f"pc{i + 1}").alias(f"variance_{i + 1}") for i in range(2)]
+    )
+
+
+@query(
+    "m10_pca_pair",
+    "SELECT ROUND((1 + abs(corr(l_quantity, l_extendedprice))) / 2, 8) AS share_1, ROUND((1 - abs(corr(l_quantity, l_extendedprice))) / 2, 8) AS share_2 FROM lineitem",
+)
+def components_pair(spark, sf):
+    """Two standardised columns have the eigenvalues 1 + |r| and 1 - |r|."""
+    _, shares = M.pca(_line(spark, sf), ["l_quantity", Y], 2)
+    return spark.createDataFrame([tuple(round(s, 8) for s in shares)], "share_1 DOUBLE, share_2 DOUBLE")
+
+
+@query("m11_regimes")
+def regime(spark, sf):
+    return M.cluster_profile(M.regimes(_line(spark, sf), X, 3, starts=2), X)
+
+
+@query(
+    "m12_cluster_profile",
+    "SELECT l_returnflag AS cluster, ROUND(AVG(l_quantity), 6) AS l_quantity, ROUND(AVG(l_discount), 6) AS l_discount, ROUND(AVG(l_tax), 6) AS l_tax, COUNT(*) AS n_rows FROM lineitem GROUP BY 1",
+)
+def profile(spark, sf):
+    line = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "cluster")
+    return r6(M.cluster_profile(line, X), *X)
+
+
+@query(
+    "m13_impute_mean",
+    cte("wide") + "SELECT date, " + ", ".join(f"ROUND(COALESCE({c}, (SELECT AVG({c}) FROM wide)), 4) AS {c}" for c in PRIORITIES.values()) + " FROM wide",
+)
+def imputed(spark, sf):
+    cols = list(PRIORITIES.values())
+    return r6(M.impute(wide(spark, sf), cols), *cols, digits=4)
+
+
+# --- Scenarios ------------------------------------------------------------------------------------
+
+
+def _documents(spark, sf):
+    """One scenario document per event: two dated rows, fenced; those of errors are broken or empty."""
+    e = table(spark, sf, "events")
+    kind = F.col("event_type")
+    rows = F.format_string(
+        '{"rows": [{"date": "2025-01-05", "rate": %s, "gdp": "n/a"}, {"date": "2025-01-12", "rate": "%s", "gdp": NaN}]}',
+        F.col("value").cast("string"), (F.col("value") * 2).cast("string"),
+    )
+    text = (
+        F.when((kind == "error") & (F.col("value") < 5), "{rows: oops").when(kind == "error", '{"rows": []}')
+        .when(kind == "view", rows).otherwise(F.concat(F.lit("```json\n"), rows, F.lit("\n```")))
+    )
+    return e.select(F.col("event_id").alias("run_id"), text.alias("text"))
+
+
+@query(
+    "c01_parse_scenarios",
+    "WITH g AS (SELECT * FROM events WHERE event_type <> 'error') "
+    "SELECT event_id AS run_id, CAST(0 AS INTEGER) AS step, DATE '2025-01-05' AS date, 'rate' AS feature, value FROM g "
+    "UNION ALL SELECT event_id, 1, DATE '2025-01-12', 'rate', value * 2 FROM g "
+    "UNION ALL SELECT event_id, 0, DATE '2025-01-05', 'gdp', NULL FROM g UNION ALL SELECT event_id, 1, DATE '2025-01-12', 'gdp', NULL FROM g",
+)
+def parse(spark, sf):
+    return C.parse_scenarios(_documents(spark, sf))
+
+
+@query("c01_failed_scenarios", "SELECT COUNT(*) FILTER (event_type = 'error') AS failed, COUNT(*) AS documents FROM events")
+def failed(spark, sf):
+    return C.failed_scenarios(_documents(spark, sf))
+
+
+_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _ensemble(spark, sf):
+    """Line numbers are runs, months of a ship year are steps."""
+    line = table(spark, sf, "lineitem").select(
+        F.col("l_linenumber").alias("run_id"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("step"),
+        F.trunc("l_shipdate", "MM").alias("date"), *_FEATURES,
+    )
+    long = to_long(line, ["run_id", "year", "step", "date"], _FEATURES, "feature", "value")
+    return C.ensemble(long, e="year")
+
+
+_ENS = (
+    "WITH line AS (SELECT l_linenumber AS run_id, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS step, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, * FROM lineitem), "
+    "long AS (" + " UNION ALL ".join(f"SELECT run_id, year, step, date, '{f}' AS feature, {f} AS value FROM line" for f in _FEATURES) + "), "
+    "hz AS (SELECT year, MIN(m) AS h FROM (SELECT year, run_id, MAX(step) AS m FROM long GROUP BY 1, 2) GROUP BY 1), "
+    "ens AS (SELECT year, step, feature, MIN(date) AS date, ROUND(AVG(value), 6) AS mean, ROUND(stddev_pop(value), 6) AS std, COUNT(value) AS n_values "
+    "FROM long JOIN hz USING (year) WHERE step <= h GROUP BY 1, 2, 3) "
+)
+
+
+@query("c02_ensemble", _ENS + "SELECT * FROM ens")
+def ensemble(spark, sf):
+    return r6(_ensemble(spark, sf), "mean", "std")
+
+
+@query("c02_scenario_wide", _ENS + "SELECT year, step, MIN(date) AS date, " + ", ".join(f"MAX(CASE WHEN feature = '{f}' THEN mean END) AS {f}" for f in _FEATURES) + " FROM ens GROUP BY 1, 2")
+def scenario_wide(spark, sf):
+    return C.scenario_wide(r6(_ensemble(spark, sf), "mean", "std"), _FEATURES, e="year")
+
+
+@query(
+    "c03_complete_features",
+    cte("weekly")
+    + "SELECT series, year, week, ROUND(COALESCE(value, 0), 6) AS value, ROUND(COALESCE(sparse, 0), 6) AS sparse, 0.0::DOUBLE AS absent, ROW_NUMBER() OVER (PARTITION BY series ORDER BY year, week) - 1 AS rn FROM weekly",
+)
+def complete(spark, sf):
+    out = C.complete_features(stage(weekly(spark, sf)), ["value", "sparse", "absent"], ["year", "week"], "series")
+    return r6(out, "value", "sparse")
+
+
+@query(
+    "c04_shock",
+    cte("daily")
+    + """, b AS (SELECT * FROM daily QUALIFY ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) = 1),
+    m AS (SELECT series, value, CAST(UNNEST(generate_series(date_trunc('month', date) + INTERVAL 1 MONTH, date_trunc('month', date) + INTERVAL 6 MONTH, INTERVAL 1 MONTH)) AS DATE) AS date FROM b)
+    SELECT series, date, 'recession' AS scenario, value + 4.0 AS value, 1.0::DOUBLE AS flag FROM m UNION ALL SELECT series, date, 'mild', value * 0.97, 0.0 FROM m""",
+)
+def shock(spark, sf):
+    steps = [("recession", "value", "add", 4.0), ("recession", "flag", "set", 1.0), ("mild", "value", "mul", 0.97)]
+    return C.shock(daily(spark, sf).withColumn("flag", F.lit(0.0)), ["value", "flag"], steps, 6, "series")
+
+
+@query("c05_label_scored", cte("daily") + "SELECT series, date, 'H' || ROW_NUMBER() OVER (PARTITION BY series ORDER BY date) AS label FROM daily")
+def label(spark, sf):
+    return C.label_scored(daily_staged(spark, sf), "date", None, "series").select("series", "date", "label")

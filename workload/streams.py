@@ -1 +1,99 @@
-"""Placeholder."""
+"""Streaming twins, run over all files with an available-now trigger."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.plans.news import upsert_raw_news
+from tidemark.sources.sinks import read_current, write_overwrite
+from tidemark.streaming.streams import stream_append, stream_dedupe, stream_relevance, stream_source, stream_upsert, with_event_time
+from workload.frames import EVENT_TOPICS, articles, cte, mapped, r6, scratch, table
+from workload.register import query
+
+
+def _events(spark, sf):
+    # The source lists files by pattern; a table may be one file or a folder of files.
+    return stream_source(spark, f"{sf}/events.parque[t]", table(spark, sf, "events").schema)
+
+
+def _landed(spark, df, name):
+    path = scratch(spark, name)
+    stream_append(df, path, f"{path}-checkpoint").awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query("x01_file_ingest", "SELECT * FROM events")
+def ingest(spark, sf):
+    return _landed(spark, _events(spark, sf), "x01")
+
+
+def _as_news(e):
+    topic = mapped("event_type", EVENT_TOPICS)
+    ts = F.col("ts").cast("timestamp")
+    return e.select(
+        ts.alias("ingest_datetime"), ts.cast("date").alias("ingest_date"), topic.alias("topic"),
+        F.when(F.col("value") >= 5, F.concat(F.lit("Article "), F.col("event_id"))).alias("title"),
+        F.concat(F.lit("https://site/"), F.col("user_id")).alias("url"), F.lit("site").alias("source_domain"),
+        F.date_trunc("day", ts).alias("published_at"), F.col("value").alias("score"), F.col("props").alias("snippet"),
+        F.col("props").alias("raw_payload"),
+    )
+
+
+@query(
+    "x02_stream_upsert",
+    cte("articles")
+    + "SELECT 'https://site/' || event_user AS url, published_at, title, score FROM (SELECT *, split_part(url, '/', 5) AS event_user FROM articles "
+    "QUALIFY ROW_NUMBER() OVER (PARTITION BY url, published_at ORDER BY ingest_datetime DESC, topic, title NULLS LAST, snippet) = 1)",
+)
+def upserts(spark, sf):
+    path = scratch(spark, "x02")
+    news = _as_news(_events(spark, sf))
+    write_overwrite(spark.createDataFrame([], news.schema), path)
+    stream_upsert(news, path, f"{path}-checkpoint", upsert_raw_news).awaitTermination()
+    out = read_current(spark, path)
+    return out.select("url", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "title", "score")
+
+
+def _topics(spark, sf):
+    return _events(spark, sf).select("ts", mapped("event_type", EVENT_TOPICS).alias("topic"), F.col("value").alias("score"))
+
+
+def _shown(df):
+    return r6(df, "avg_score").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+_TOPIC = "CASE lower(topic) WHEN 'fed' THEN 'fed_policy' WHEN 'layoffs' THEN 'layoff' WHEN 'inflation' THEN 'cpi' WHEN 'oil' THEN 'energy' ELSE lower(topic) END"
+_CLOSED = " WHERE window_end <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM events)"
+
+
+@query(
+    "x03_tumbling_relevance",
+    cte("articles")
+    + f"""SELECT * FROM (SELECT published_at AS window_start, published_at + INTERVAL 1 DAY AS window_end, {_TOPIC} AS topic,
+    ROUND(AVG(score), 6) AS avg_score, COUNT(*) AS n_articles FROM articles GROUP BY 1, 2, 3)""" + _CLOSED,
+)
+def tumbling(spark, sf):
+    return _shown(_landed(spark, stream_relevance(_topics(spark, sf)), "x03"))
+
+
+@query(
+    "x04_sliding_relevance",
+    cte("articles")
+    + f""", s AS (SELECT UNNEST(generate_series(published_at - INTERVAL 6 DAY, published_at, INTERVAL 1 DAY)) AS window_start, {_TOPIC} AS topic, score FROM articles)
+    SELECT * FROM (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, topic, ROUND(AVG(score), 6) AS avg_score, COUNT(*) AS n_articles FROM s GROUP BY 1, 2, 3)"""
+    + _CLOSED,
+)
+def sliding(spark, sf):
+    return _shown(_landed(spark, stream_relevance(_topics(spark, sf), window="7 days", slide="1 day"), "x04"))
+
+
+@query("x05_dedupe", "SELECT DISTINCT 'https://site/' || user_id AS url FROM events")
+def suppressed(spark, sf):
+    keyed = with_event_time(_events(spark, sf)).select("ts", F.concat(F.lit("https://site/"), F.col("user_id")).alias("url"))
+    return _landed(spark, stream_dedupe(keyed), "x05").select("url")
+
+
+@query("x05_dedupe_batch", "SELECT DISTINCT 'https://site/' || user_id AS url FROM events")
+def suppressed_batch(spark, sf):
+    keyed = articles(spark, sf).select(F.col("ingest_datetime").alias("ts"), F.concat(F.lit("https://site/"), F.split("url", "/")[4]).alias("url"))
+    return stream_dedupe(keyed).select("url")
