@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.ordered import names
+from tidemark.operators.ordered import attach, names
 from tidemark.operators.rolling import latest_per_key
 
 
@@ -64,8 +64,7 @@ def incremental(
     ``new``), or everything. ``overlap_days`` is how far before the mark the source is re-read; the
     lower bound lets it skip old partitions and does not change the result.
     """
-    marks = held.groupBy(F.col(key).alias("__key")).agg(F.max(date).alias("__mark"))
-    rows = new.join(marks, F.col(key).eqNullSafe(F.col("__key")), "left")
+    rows = attach(new, held.groupBy(key).agg(F.max(date).alias("__mark")), key)
     if default_days is None:
         first = F.lit(True)
     else:

@@ -23,6 +23,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
+from tidemark.session import stage
+
 WHOLE = "whole"
 
 _AT, _RN, _OWN, _BLOCK = "__at", "__rn", "__own", "__block"
@@ -187,12 +189,17 @@ def over_rows(
 
 
 def attach(df: DataFrame, stats: DataFrame, keys=()) -> DataFrame:
-    """Adds the columns of a per-key aggregate to every row of the key; without keys the aggregate is
-    one row and is read as a scalar subquery, so the table is neither shuffled nor joined."""
+    """Adds the columns of a per-key aggregate to every row of the key.
+
+    Without keys the aggregate is one row and is read as a scalar subquery. With keys it is staged first:
+    its size is then known when the join is planned, so it is broadcast under the session's threshold and
+    the table is not shuffled by a possibly hot key; past the threshold it is a sort-merge join with
+    adaptive skew handling.
+    """
     keys = names(keys)
     if not keys:
         row = stats.select(F.struct(*stats.columns)).scalar()
         return df.withColumn("__stats", row).select(*df.columns, *[F.col("__stats")[c].alias(c) for c in stats.columns])
     added = [c for c in stats.columns if c not in keys]
-    right = stats.select(F.struct(*keys).alias("__key"), *added)
+    right = stage(stats.select(F.struct(*keys).alias("__key"), *added), "stats")
     return df.withColumn("__key", F.struct(*keys)).join(right, "__key", "left").drop("__key")

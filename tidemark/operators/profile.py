@@ -37,44 +37,85 @@ def null_profile(df: DataFrame, skip=("timestamp", "date", "created_at", "update
     )
 
 
-def _value_at(values: DataFrame, size: int, rank: int, limit: int, error: float = 0.005) -> float:
-    """The value of a 0-based rank. Each pass brackets the rank with approximate quantiles and keeps
-    only the rows strictly inside, at most a few percent, until ``limit`` rows are left."""
-    while size > limit:
-        low, high = values.approxQuantile(
-            "v", [max(rank / size - 2 * error, 0.0), min((rank + 1) / size + 2 * error, 1.0)], error
+def exact_quantiles(df: DataFrame, cols, probs, limit: int = 1_000_000, error: float = 0.001) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns, linear between ranks.
+
+    Every wanted rank is bracketed by approximate quantiles and only the values strictly between the two
+    stay in play, well under one percent of them, until at most ``limit`` are left; these meet in one
+    task, never more. All columns and ranks share the passes: two per round, and a last one.
+    """
+    cols = names(cols)
+    base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    sizes = base.agg(*[F.count(c) for c in base.columns]).first()
+
+    # rank wanted -> (low, high, rank among the values between them, number of these values)
+    open_ranks: dict[tuple[int, int], tuple] = {}
+    found: dict[tuple[int, int], float] = {}
+    for i, size in enumerate(sizes):
+        for p in probs:
+            rank = int(p * (size - 1)) if size else 0
+            for r in {rank, min(rank + 1, size - 1)}:
+                if size:
+                    open_ranks[i, r] = (None, None, r, size)
+
+    def between(i, low, high):
+        v = F.col(f"v{i}")
+        inside = v.isNotNull()
+        return inside if low is None else inside & (v > low) & (v < high)
+
+    while wide := {k: t for k, t in open_ranks.items() if t[3] > limit}:
+        bands = list(dict.fromkeys((k[0], t[0], t[1]) for k, t in wide.items()))
+        columns = [F.when(between(*band), F.col(f"v{band[0]}")).alias(f"b{j}") for j, band in enumerate(bands)]
+        marks = {}
+        for k, (_, _, rank, size) in wide.items():
+            marks[k] = (max(rank / size - 2 * error, 0.0), min((rank + 1) / size + 2 * error, 1.0))
+        grid = sorted({p for pair in marks.values() for p in pair})
+        cuts = base.select(*columns).approxQuantile([f"b{j}" for j in range(len(bands))], grid, error)
+        ends = {}
+        for k, t in wide.items():
+            at = cuts[bands.index((k[0], t[0], t[1]))]
+            ends[k] = (at[grid.index(marks[k][0])], at[grid.index(marks[k][1])])
+        counts = base.agg(
+            *[
+                F.struct(
+                    F.count_if(between(k[0], *wide[k][:2]) & (F.col(f"v{k[0]}") < low)).alias("less"),
+                    F.count_if(F.col(f"v{k[0]}") == low).alias("low"),
+                    F.count_if(between(k[0], low, high)).alias("inside"),
+                )
+                for k, (low, high) in ends.items()
+            ]
+        ).first()
+        for (k, (low, high)), n in zip(ends.items(), counts):
+            rank = wide[k][2] - n.less - n.low
+            if rank < 0 or low == high:
+                found[k] = low
+            elif rank >= n.inside:
+                found[k] = high
+            else:
+                open_ranks[k] = (low, high, rank, n.inside)
+                continue
+            del open_ranks[k]
+
+    if open_ranks:
+        bands = list(dict.fromkeys((k[0], t[0], t[1]) for k, t in open_ranks.items()))
+        held = base.agg(
+            *[F.array_sort(F.collect_list(F.when(between(*band), F.col(f"v{band[0]}")))).alias(f"b{j}") for j, band in enumerate(bands)]
         )
-        v = F.col("v")
-        less, at_low, inside = values.agg(
-            F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high))
+        picks = held.select(
+            *[F.get(f"b{bands.index((k[0], t[0], t[1]))}", F.lit(t[2])) for k, t in open_ranks.items()]
         ).first()
-        if rank < less + at_low or low == high:
-            return low
-        if rank >= less + at_low + inside:
-            return high
-        rank, size = rank - less - at_low, inside
-        values = values.filter((v > low) & (v < high))
-    return values.agg(F.get(F.array_sort(F.collect_list("v")), F.lit(rank))).first()[0]
-
-
-def exact_quantiles(df: DataFrame, col: str, probs, limit: int = 200_000) -> list[float | None]:
-    """Exact quantiles, linear between ranks. Up to ``limit`` rows meet in one task, never more."""
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    size = values.count()
-    out = []
-    for p in probs:
-        if size == 0:
-            out.append(None)
-            continue
+        found.update(zip(open_ranks, picks))
+
+    def quantile(i, size, p):
         place = p * (size - 1)
-        rank = int(place)
-        a = _value_at(values, size, rank, limit)
-        b = _value_at(values, size, rank + 1, limit) if place > rank else a
-        out.append(a + (b - a) * (place - rank))
-    return out
+        a = found[i, int(place)]
+        b = found[i, min(int(place) + 1, size - 1)]
+        return a + (b - a) * (place - int(place))
+
+    return {c: [quantile(i, sizes[i], p) if sizes[i] else None for p in probs] for i, c in enumerate(cols)}
 
 
-def describe_long(df: DataFrame, cols, limit: int = 200_000) -> DataFrame:
+def describe_long(df: DataFrame, cols, limit: int = 1_000_000) -> DataFrame:
     """count, mean, std (n-1), min, exact quartiles, max; one row per column."""
     cols = names(cols)
     stats = df.agg(
@@ -95,11 +136,9 @@ def describe_long(df: DataFrame, cols, limit: int = 200_000) -> DataFrame:
         )
         stats = attach(stats, quarts)
     else:
+        quarts = exact_quantiles(df, cols, (0.25, 0.5, 0.75), limit)
         stats = stats.withColumns(
-            {
-                f"q_{i}": F.array(*[F.lit(q).cast("double") for q in exact_quantiles(df, c, (0.25, 0.5, 0.75), limit)])
-                for i, c in enumerate(cols)
-            }
+            {f"q_{i}": F.array(*[F.lit(q).cast("double") for q in quarts[c]]) for i, c in enumerate(cols)}
         )
     return _rows(
         stats,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import month_start, week_u
 from tidemark.operators.ordered import names
+from tidemark.session import stage
 
 
 def weekly_mean(df: DataFrame, date: str, cols, e=()) -> DataFrame:
@@ -86,7 +87,7 @@ def common_dates(df: DataFrame, key: str, date: str = "date") -> DataFrame:
     pairs = df.select(date, key).distinct()
     wanted = df.select(key).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     full = pairs.groupBy(date).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == wanted).select(date)
-    return df.join(full, date, "left_semi")
+    return df.join(stage(full, "dates"), date, "left_semi")
 
 
 def distinct_values(df: DataFrame, date: str = "date", value: str = "value") -> DataFrame:

@@ -10,6 +10,7 @@ from tidemark.operators.profile import zscore
 from tidemark.operators.reshape import pivot_mean
 from tidemark.operators.rolling import last_n, rolling_z
 from tidemark.schemas import TOPICS
+from tidemark.session import stage
 
 # Fixed values of the index.
 WEIGHTS = {"macro": 0.4, "market": 0.35, "news": 0.25}
@@ -81,7 +82,9 @@ def composite(macro: DataFrame, market: DataFrame, news: DataFrame, e=(), date="
         out = out.join(part.select(*on, name), on, "full")
     out = out.fillna(0.0, subset=["macro_risk", "market_risk", "news_risk"])
     mix = sum((F.col(f"{k}_risk") * w for k, w in weights.items()), F.lit(0.0))
-    return min_max(out.withColumn("cmri", mix), "cmri", e).withColumn("risk_level", risk_level("cmri_normalized"))
+    # Scaling reads the mix twice; without the stage the rolling windows below it would run twice.
+    mixed = stage(out.withColumn("cmri", mix), "risk_mix")
+    return min_max(mixed, "cmri", e).withColumn("risk_level", risk_level("cmri_normalized"))
 
 
 def risk_alerts(df: DataFrame, order="date", e=(), index="cmri_normalized", rise=0.1, latest_only=False, segment=None) -> DataFrame:

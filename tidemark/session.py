@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of every column expression cost a round trip each while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -34,7 +36,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
     return spark
 
 

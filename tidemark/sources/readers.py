@@ -13,10 +13,11 @@ def read_series_csv(spark: SparkSession, path, table_schema: StructType | str) -
     return spark.read.schema(table_schema).option("header", True).csv(path)
 
 
-def latest_files(spark: SparkSession, folder: str, key_pattern: str | None = None) -> list[str]:
+def latest_files(spark: SparkSession, folder: str, key_pattern: str | None = None, unit: str = "file") -> list[str]:
     """Newest file per key, by modification time; the key is group 1 of a pattern on the path.
 
-    Only file names and times are listed, contents stay unread. The list holds one path per key.
+    ``unit="folder"`` takes the folder of the newest file instead, for loads of many part files. Only
+    names and times are listed, contents stay unread. The list holds one path per key.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
@@ -24,14 +25,16 @@ def latest_files(spark: SparkSession, folder: str, key_pattern: str | None = Non
     )
     key = F.regexp_extract("path", key_pattern, 1) if key_pattern else F.lit("")
     newest = files.groupBy(key.alias("key")).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    return sorted(row.path for row in newest.select("path").collect())
+    found = {row.path if unit == "file" else row.path.rsplit("/", 1)[0] for row in newest.select("path").collect()}
+    return sorted(found)
 
 
 def read_latest_file(
-    spark: SparkSession, folder: str, table_schema: StructType | str, fmt: str = "csv", key_pattern: str | None = None
+    spark: SparkSession, folder: str, table_schema: StructType | str, fmt: str = "csv", key_pattern: str | None = None,
+    unit: str = "file",
 ) -> DataFrame:
-    """Rows of the newest file under a folder, or of the newest file per key."""
-    paths = latest_files(spark, folder, key_pattern)
+    """Rows of the newest file (or folder) under a folder, or of the newest one per key."""
+    paths = latest_files(spark, folder, key_pattern, unit)
     if not paths:
         return spark.createDataFrame([], table_schema)
     reader = spark.read.schema(table_schema)

@@ -94,8 +94,13 @@ def prices(spark, sf) -> DataFrame:
 def raw(spark, sf) -> DataFrame:
     """Long raw series: five monthly ones, a quarterly one, three daily ones with two ingests a day, a
     weekly one and a quarterly one with several values a date."""
-    o = orders(spark, sf)
-    l = table(spark, sf, "lineitem").withColumn("date", F.col("l_shipdate").cast("date"))
+    cents = lambda c: F.sum(F.col(c).cast("decimal(18,2)"))
+    # One scan of each big table; months, quarters and weeks are rolled up from its daily sums.
+    o = orders(spark, sf).groupBy("o_orderpriority", "o_orderstatus", "date").agg(cents("o_totalprice").alias("s"))
+    l = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("date")).agg(
+        cents("l_extendedprice").alias("s")
+    )
+    total = F.sum("s").cast("double").alias("value")
     quarter = F.trunc("date", "quarter").alias("date")
 
     def long(df, series):
@@ -105,11 +110,11 @@ def raw(spark, sf) -> DataFrame:
         )
 
     zero = F.lit(0).alias("h")
-    m = o.groupBy("o_orderpriority", F.trunc("date", "MM").alias("date")).agg(money("o_totalprice").alias("value"))
-    q = o.groupBy(quarter).agg(money("o_totalprice").alias("value"))
-    c = o.groupBy("o_orderstatus", quarter).agg(money("o_totalprice").alias("value"))
-    d = l.groupBy("l_returnflag", "l_linestatus", "date").agg(money("l_extendedprice").alias("value"))
-    w = l.groupBy(F.next_day(F.date_sub("date", 1), "SUN").alias("date")).agg(money("l_extendedprice").alias("value"))
+    m = o.groupBy("o_orderpriority", F.trunc("date", "MM").alias("date")).agg(total)
+    q = o.groupBy(quarter).agg(total)
+    c = o.groupBy("o_orderstatus", quarter).agg(total)
+    d = l.withColumn("value", F.col("s").cast("double"))
+    w = l.groupBy(F.next_day(F.date_sub("date", 1), "SUN").alias("date")).agg(total)
     parts = [
         long(m.select("*", zero), mapped("o_orderpriority", MONTHLY)),
         long(q.select("*", zero), F.lit("GDPC1")),

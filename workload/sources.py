@@ -31,12 +31,10 @@ def csv_scan(spark, sf):
 def latest_file(spark, sf):
     path = scratch(spark, "latest")
     rows = daily(spark, sf)
-    # Two loads of one file per series; the second one is the newer file.
+    # Two loads per series, a folder each; the second one is newer.
     for load, add in (("a", 0), ("b", 1)):
-        rows.withColumn("value", F.col("value") + add).withColumn("name", F.regexp_replace("series", "[^A-Z0-9]+", "_")).repartition(
-            1, "name"
-        ).write.option("header", True).partitionBy("name").csv(f"{path}/load={load}")
-    return read_latest_file(spark, path, POINT, key_pattern="name=([^/]+)")
+        rows.withColumn("value", F.col("value") + add).withColumn("name", F.regexp_replace("series", "[^A-Z0-9]+", "_")).write.option("header", True).partitionBy("name").csv(f"{path}/load={load}")
+    return read_latest_file(spark, path, POINT, key_pattern="name=([^/]+)", unit="folder")
 
 
 @query("s03_flatten_observations", cte("dense") + "SELECT series, date, value FROM dense")
