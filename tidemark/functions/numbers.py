@@ -38,6 +38,15 @@ def null_safe_eq(a, b) -> Column:
     return col(a).eqNullSafe(col(b))
 
 
+def safe_corr(a, b, window=None) -> Column:
+    """Pearson r over the rows where both are present, NULL where one of them is constant."""
+    x, y = col(a), col(b)
+    both = x.isNotNull() & y.isNotNull()
+    parts = F.covar_pop(x, y), F.stddev_pop(F.when(both, x)), F.stddev_pop(F.when(both, y))
+    joint, sx, sy = (p if window is None else p.over(window) for p in parts)
+    return F.try_divide(joint, sx * sy)
+
+
 def row_mean(cols) -> Column:
     """Mean across columns, NULLs skipped."""
     present = F.array_compact(F.array(*[col(c).cast("double") for c in cols]))

@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.numbers import safe_corr
 from tidemark.operators.fills import ffill
 from tidemark.operators.ordered import attach, names, over_rows
 from tidemark.operators.reshape import common_dates, to_long
@@ -18,7 +19,7 @@ def _pairs(df: DataFrame, pairs, e=()) -> DataFrame:
     """Pearson r of column pairs as rows (a, b, r), all pairs in one aggregate. ``corr`` takes the
     rows where both columns are present."""
     keys = names(e)
-    wide = df.groupBy(*keys).agg(*[F.corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.groupBy(*keys).agg(*[safe_corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r_{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
     return wide.select(*keys, F.inline(F.array(*rows)))
 
@@ -39,7 +40,7 @@ def lag_corr(df: DataFrame, order, xs, y: str, lags=(0, 3, 6, 9, 12), e=(), segm
     lagged = with_lags(df, order, xs, [k for k in lags if k], e, segment) if any(lags) else df
     col = lambda x, k: f"{x}__lag_{k}" if k else x
     wanted = [(x, k) for x in xs for k in lags]
-    wide = lagged.groupBy(*keys).agg(*[F.corr(col(x, k), y).alias(f"r_{i}") for i, (x, k) in enumerate(wanted)])
+    wide = lagged.groupBy(*keys).agg(*[safe_corr(col(x, k), y).alias(f"r_{i}") for i, (x, k) in enumerate(wanted)])
     rows = [
         F.struct(F.lit(x).alias("x"), F.lit(k).alias("lag"), F.col(f"r_{i}").alias("r")) for i, (x, k) in enumerate(wanted)
     ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.functions.numbers import safe_corr
 from tidemark.operators.ordered import attach, names, over_rows, row_index
 
 
@@ -50,7 +51,7 @@ def rolling_corr(df, order, a: str, b: str, n: int, e=(), name: str = "corr", se
     def step(w):
         f = _frame(w, n)
         both = F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)).over(f)
-        return {name: F.when(both >= n, F.corr(a, b).over(f))}
+        return {name: F.when(both >= n, safe_corr(a, b, f))}
 
     return over_rows(df, order, step, e, before=n - 1, segment=segment)
 

@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import week_label
+from tidemark.functions.numbers import safe_corr
 from tidemark.operators.ordered import attach, names, over_rows
 from tidemark.operators.profile import zscore
 from tidemark.operators.rolling import last_n, with_lags
@@ -55,7 +56,7 @@ def fit_elastic(train, features, y, alpha: float = 1.0, l1_ratio: float = 0.5) -
     MLlib divides both penalties by the target's std, which is right for the absolute one only, so the
     two are restated before the fit.
     """
-    spread = train.agg(F.stddev_samp(F.coalesce(F.col(y), F.lit(0.0)))).first()[0] or 1.0
+    spread = train.agg(F.stddev_pop(F.coalesce(F.col(y), F.lit(0.0)))).first()[0] or 1.0
     absolute, square = alpha * l1_ratio, alpha * (1 - l1_ratio) * spread
     total = absolute + square
     stage = LinearRegression(
@@ -180,18 +181,16 @@ def forecast_metrics(df: DataFrame, order, y: str, yhat: str, e=(), segment=None
         F.avg("__step").alias("__naive"),
         F.sum(error * error).alias("__sse"),
         F.var_pop(y).alias("__var_y"),
-        F.var_pop(yhat).alias("__var_f"),
-        F.corr(y, yhat).alias("__r"),
+        safe_corr(y, yhat).alias("__r"),
     )
     recent = last_n(df, order, 6, e).groupBy(*keys).agg(F.sqrt(F.avg(error * error)).alias("rmse_recent6"))
     whole = attach(errors, recent, keys)
-    flat = (F.col("test_count") <= 1) | (F.col("__var_y") == 0) | (F.col("__var_f") == 0)
     return whole.select(
         *keys,
         "test_count", "smape", "mae", "rmse_recent6",
         (F.col("mae") / (F.col("__naive") + 1e-8)).alias("mase"),
         (1 - F.try_divide(F.col("__sse"), F.col("__var_y") * F.col("test_count"))).alias("r2"),
-        F.when(~flat, F.col("__r")).alias("pearson_r"),
+        F.col("__r").alias("pearson_r"),
     )
 
 
