@@ -21,12 +21,14 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _key(row):
-    return tuple((v is None, str(type(v)), v if not isinstance(v, float) else round(v, 4)) for v in row)
+def _close(a, b, tol: float) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return a == b or math.isclose(a, b, rel_tol=tol, abs_tol=tol)
+    return a == b and type(a) is type(b)
 
 
-def compare(spark_df, con, sql: str) -> str:
-    """Empty when both agree, else what differs. Values must be equal, not merely close."""
+def compare(spark_df, con, sql: str, tol: float = 0.0) -> str:
+    """Empty when both agree, else what differs. Without a tolerance values must be equal, not merely close."""
     cols = sorted(spark_df.columns)
     cursor = con.execute(sql)
     theirs_cols = [d[0] for d in cursor.description]
@@ -37,14 +39,13 @@ def compare(spark_df, con, sql: str) -> str:
     ours = [tuple(r[c] for c in cols) for r in spark_df.collect()]
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
-    if not ours:
-        return "both empty"
-    text = lambda rows: sorted(map(lambda r: tuple(repr(v) for v in r), rows))
-    a, b = text(ours), text(theirs)
-    bad = [(x, y) for x, y in zip(a, b) if x != y]
+    # Doubles last, so that their last digits do not decide how rows are paired.
+    order = lambda r: ([repr(v) for v in r if not isinstance(v, float)], [repr(v) for v in r])
+    pairs = list(zip(sorted(ours, key=order), sorted(theirs, key=order)))
+    bad = [(x, y) for x, y in pairs if not all(_close(p, q, tol) for p, q in zip(x, y))]
     if not bad:
         return ""
-    return f"{len(bad)} of {len(a)} rows differ, first {dict(zip(cols, zip(*bad[0])))}"
+    return f"{len(bad)} of {len(pairs)} rows differ, first {dict(zip(cols, zip(*bad[0])))}"
 
 
 def main(argv: list[str]) -> int:

@@ -350,6 +350,7 @@ def test_fits(spark):
     assert error(M.fit_linear(train, ["a", "b"], "y")) < 0.15
     assert error(M.fit_forest(train, ["a", "b"], "y", 20, None, 2)) < 1.0
     assert error(M.fit_gbt(train, ["a", "b"], "y", 20)) < 1.0
+    assert error(M.fit_gbt(train, ["a", "b"], "y", 10, num_leaves=31, subsample=0.8, colsample=0.8)) < 1.5
     model, params, mae = M.random_search(train, test, ["a", "b"], "y", "elastic_net", n=4)
     assert close(mae, error(model)) and set(params) == {"alpha", "l1_ratio"} and mae < 1.5
     with pytest.raises(RuntimeError):
@@ -390,6 +391,16 @@ def test_forecast_recursion(spark):
     assert all(close(got[k], v) for k, v in {("s", 1): 6.0, ("s", 2): 7.0, ("t", 1): 64.0, ("t", 2): 128.0}.items())
 
 
+def test_lag_search_finds_the_second_lag(spark):
+    rng = np.random.default_rng(11)
+    y = [0.0, 1.0]
+    for _ in range(400):
+        y.append(0.9 * y[-2] + float(rng.normal()))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(y)], "t INT, y DOUBLE")
+    _, p, mae = M.search_arx(df, "t", "y", ps=[1, 2], holdout=100)
+    assert p == 2 and mae < 1.2
+
+
 def test_error_columns(spark):
     df = spark.createDataFrame([(2.0, 2.5), (0.0, 1.0)], "y DOUBLE, prediction DOUBLE")
     assert rows(M.with_errors(df, "y"), "error", "abs_error", "pct_error") == [(0.5, 0.5, 25.0), (1.0, 1.0, None)]

@@ -22,12 +22,16 @@ def upsert(
     coalesced, overwritten = set(names(coalesce_cols)), set(names(overwrite_cols))
     columns = target.columns
 
-    matchable = F.lit(True)
-    for k in strict:
-        matchable = matchable & F.col(k).isNotNull()
-    t = target.filter(matchable).select(F.struct(*keys).alias("__key"), F.struct(*columns).alias("__t"))
-    s = source.filter(matchable).select(F.struct(*keys).alias("__key"), F.struct(*source.columns).alias("__s"))
-    pairs = t.join(s, "__key", "full")
+    def keyed(df, side):
+        key = [F.col(k) for k in keys]
+        if strict:
+            # A row with a NULL strict key gets a key of its own, from its side and content: it meets no
+            # row of the other side, and many such rows do not gather in one partition.
+            loose = F.greatest(*[F.col(k).isNull() for k in strict]) if len(strict) > 1 else F.col(strict[0]).isNull()
+            key.append(F.when(loose, F.struct(F.lit(side).alias("side"), F.xxhash64(*df.columns).alias("row"))).alias("__own"))
+        return df.select(F.struct(*key).alias("__key"), F.struct(*df.columns).alias(side))
+
+    pairs = keyed(target, "__t").join(keyed(source, "__s"), "__key", "full")
 
     has_s, has_t = F.col("__s").isNotNull(), F.col("__t").isNotNull()
 
@@ -44,14 +48,7 @@ def upsert(
             return F.when(has_s, new).otherwise(old)
         return F.when(has_t, old).otherwise(new)
 
-    out = pairs.select(*[merged(c).cast(target.schema[c].dataType).alias(c) for c in columns])
-    if strict:
-        # Rows with a NULL strict key match nothing; they skip the join, where they would be one hot key.
-        loose = source.filter(~matchable)
-        out = out.unionByName(target.filter(~matchable)).unionByName(
-            loose.select(*[c for c in columns if c in loose.columns]), allowMissingColumns=True
-        )
-    return out
+    return pairs.select(*[merged(c).cast(target.schema[c].dataType).alias(c) for c in columns])
 
 
 def incremental(

@@ -16,8 +16,9 @@ from tidemark.functions.dates import week_label
 from tidemark.functions.numbers import safe_corr
 from tidemark.operators.ordered import attach, names, over_rows
 from tidemark.operators.profile import zscore
-from tidemark.operators.rolling import last_n, with_lags
+from tidemark.operators.rolling import last_n, time_split, with_lags
 from tidemark.operators.select import fill_features
+from tidemark.session import stage
 
 # Hyper-parameters a search draws from.
 SEARCH_SPACE = {
@@ -27,7 +28,13 @@ SEARCH_SPACE = {
         "n_estimators": [100, 200, 300], "max_depth": [None, 5, 8, 12], "min_samples_split": [2, 5, 10],
     },
     "gradient_boosting": {"n_estimators": [100, 200], "learning_rate": [0.01, 0.05, 0.1], "max_depth": [2, 3, 4]},
+    "sampled_boosting": {
+        "n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1], "max_depth": [3, 4, 5, 6],
+        "subsample": [0.8, 1.0], "colsample": [0.8, 1.0],
+    },
+    "leaf_boosting": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1], "num_leaves": [31, 63, 127]},
 }
+LAG_SPACE = [1, 2, 3]
 SEED = 42
 
 
@@ -37,13 +44,13 @@ def baseline(df: DataFrame, order, y: str, e=(), n: int = 3) -> DataFrame:
     return tail.groupBy(*names(e)).agg(F.avg(y).alias("baseline"))
 
 
-def _pipeline(features, stage) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=names(features), outputCol="features"), stage])
+def _pipeline(features, estimator) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=names(features), outputCol="features"), estimator])
 
 
-def _fit(train: DataFrame, features, y: str, stage) -> PipelineModel:
+def _fit(train: DataFrame, features, y: str, estimator) -> PipelineModel:
     clean = fill_features(train.select(*names(features), y), [*names(features), y])
-    return _pipeline(features, stage).fit(clean)
+    return _pipeline(features, estimator).fit(clean)
 
 
 def fit_linear(train, features, y) -> PipelineModel:
@@ -59,27 +66,32 @@ def fit_elastic(train, features, y, alpha: float = 1.0, l1_ratio: float = 0.5) -
     spread = train.agg(F.stddev_pop(F.coalesce(F.col(y), F.lit(0.0)))).first()[0] or 1.0
     absolute, square = alpha * l1_ratio, alpha * (1 - l1_ratio) * spread
     total = absolute + square
-    stage = LinearRegression(
+    estimator = LinearRegression(
         labelCol=y, regParam=total, elasticNetParam=absolute / total if total else 0.0, standardization=False,
         maxIter=500, tol=1e-9,
     )
-    return _fit(train, features, y, stage)
+    return _fit(train, features, y, estimator)
 
 
 def fit_forest(train, features, y, n_estimators=100, max_depth=None, min_samples_split=2) -> PipelineModel:
     # A node splits from min_samples_split rows on, so each side keeps at least half of them.
-    stage = RandomForestRegressor(
+    estimator = RandomForestRegressor(
         labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth,
         minInstancesPerNode=max(1, min_samples_split // 2), seed=SEED,
     )
-    return _fit(train, features, y, stage)
+    return _fit(train, features, y, estimator)
 
 
-def fit_gbt(train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0) -> PipelineModel:
-    stage = GBTRegressor(
-        labelCol=y, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, subsamplingRate=subsample, seed=SEED
+def fit_gbt(
+    train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0, colsample=1.0, num_leaves=None
+) -> PipelineModel:
+    """Boosted trees. A tree of ``num_leaves`` leaves is grown to the depth that holds as many."""
+    estimator = GBTRegressor(
+        labelCol=y, maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=subsample, seed=SEED,
+        maxDepth=max_depth if num_leaves is None else (num_leaves - 1).bit_length(),
+        featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
     )
-    return _fit(train, features, y, stage)
+    return _fit(train, features, y, estimator)
 
 
 FITS: dict[str, Callable] = {
@@ -87,6 +99,8 @@ FITS: dict[str, Callable] = {
     "elastic_net": fit_elastic,
     "random_forest": fit_forest,
     "gradient_boosting": fit_gbt,
+    "sampled_boosting": fit_gbt,
+    "leaf_boosting": fit_gbt,
 }
 
 
@@ -145,6 +159,23 @@ def fit_arx(df, order, y: str, xs=(), p: int = 1, e=(), segment=None) -> Pipelin
     return _fit(arx_frame(df, order, y, xs, p, e, segment), features, y, LinearRegression(labelCol=y, solver="normal"))
 
 
+def search_arx(df, order, y: str, xs=(), ps=LAG_SPACE, holdout: int = 100, e=(), segment=None) -> tuple[PipelineModel, int, float]:
+    """The number of lags with the lowest mean absolute error on the last ``holdout`` rows per key."""
+    best = None
+    for p in ps:
+        features = [f"{c}__lag_{k}" for c in [y, *names(xs)] for k in range(1, p + 1)]
+        lagged = stage(arx_frame(df, order, y, xs, p, e, segment), "lags")
+        frame = stage(time_split(lagged, order, holdout, e, segment), "arx")
+        train, test = frame.filter("split = 'train'"), frame.filter("split = 'test'")
+        model = _fit(train, features, y, LinearRegression(labelCol=y, solver="normal"))
+        mae = score(model, test, features).agg(F.avg(F.abs(F.col(y) - F.col("prediction")))).first()[0]
+        if mae is not None and (best is None or mae < best[2]):
+            best = (model, p, mae)
+    if best is None:
+        raise RuntimeError("no number of lags could be fitted")
+    return best
+
+
 def fit_ar1(df: DataFrame, order, y: str, e=(), segment=None) -> DataFrame:
     """Closed-form AR(1) per key: intercept, slope, last value."""
     moved = over_rows(df, order, lambda w: {"__lag": F.lag(y).over(w)}, e, before=1, segment=segment)

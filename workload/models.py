@@ -132,6 +132,19 @@ def arx_pooled(spark, sf):
     return r6(scored, "prediction", digits=3).select("series", "date", "prediction")
 
 
+@query(
+    "m07_search_arx",
+    cte("daily")
+    + """, l AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p FROM daily),
+    n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) <= 100 AS late FROM l WHERE p IS NOT NULL),
+    f AS (SELECT regr_intercept(value, p) AS a, regr_slope(value, p) AS b FROM n WHERE NOT late)
+    SELECT CAST(1 AS BIGINT) AS lags, ROUND(AVG(abs(value - a - b * p)), 3) AS mae FROM n, f WHERE late""",
+)
+def arx_search(spark, sf):
+    _, lags, mae = M.search_arx(daily_staged(spark, sf), "date", "value", ps=[1], holdout=100, e="series")
+    return spark.createDataFrame([(lags, round(mae, 3))], "lags BIGINT, mae DOUBLE")
+
+
 _NAIVE = cte("daily") + ", n AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS yhat FROM daily), k AS (SELECT * FROM n WHERE yhat IS NOT NULL) "
 
 
@@ -157,7 +170,7 @@ def metrics(spark, sf):
 
 @query(
     "m09_score_errors",
-    _NAIVE + "SELECT series, date, ROUND(yhat - value, 4) AS error, ROUND(abs(yhat - value), 4) AS abs_error, ROUND((yhat - value) / value * 100, 2) AS pct_error FROM k",
+    _NAIVE + "SELECT series, date, ROUND(yhat - value, 4) AS error, ROUND(abs(yhat - value), 4) AS abs_error, ROUND((yhat - value) / value * 100, 2) + 0.0 AS pct_error FROM k",
 )
 def errors(spark, sf):
     out = M.with_errors(_naive(spark, sf), "value", "yhat")
