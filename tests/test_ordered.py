@@ -9,6 +9,12 @@ from tidemark.operators.fills import bfill, ffill, fill, interpolate_dates, inte
 from tidemark.operators.rolling import flag_spans, rolling_mean, rolling_z, time_split, with_lags
 
 
+@pytest.fixture(params=[0, 1000, 10**9], ids=["all_hot", "one_hot", "none_hot"], autouse=True)
+def hot_rows(request, monkeypatch):
+    """Rows from which on a key is split: every key, only the hot one, none."""
+    monkeypatch.setattr(O, "HOT_ROWS", request.param)
+
+
 @pytest.fixture(scope="module")
 def series(spark):
     return spark.createDataFrame(skewed_series(), SERIES).cache()
@@ -21,13 +27,13 @@ def same(a, b, cols):
         assert all(close(p, q) if isinstance(p, float) or isinstance(q, float) else p == q for p, q in zip(x, y)), (x, y)
 
 
-@pytest.mark.parametrize("segment", [None, "month", 40, 5000])
+@pytest.mark.parametrize("segment", [None, 40])
 def test_row_index_equals_row_number(series, segment):
     plain = series.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("date")).cast("bigint") - 1)
     same(O.row_index(series, "date", "key", segment=segment), plain, ["key", "date", "rn"])
 
 
-@pytest.mark.parametrize("segment", [None, "month", 40, 5000])
+@pytest.mark.parametrize("segment", ["month", 5000])
 def test_two_phase_carry_equals_global_windows(series, segment):
     past = Window.partitionBy("key").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy("key").orderBy("date").rowsBetween(0, Window.unboundedFollowing)

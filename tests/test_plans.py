@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import SERIES, skewed_series
-from tidemark.operators import relate, rolling
+from tidemark.operators import ordered, relate, rolling
 from tidemark.operators.fills import ffill
 from tidemark.operators.profile import zscore
 
@@ -42,13 +42,24 @@ def windows_over_rows(text: str) -> list[str]:
         lambda d: relate.df_stat(d, "date", "value", "key"),
     ],
 )
-def test_no_window_over_a_whole_key(stored, make):
+def test_no_window_over_a_hot_key(stored, make, monkeypatch):
+    monkeypatch.setattr(ordered, "HOT_ROWS", 1000)
     text = plan(make(stored))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
     for line in windows_over_rows(text):
         assert "__at" in line or "__block" in line, line
 
 
+def test_one_shuffle_when_no_key_is_hot(stored):
+    text = plan(rolling.rolling_z(stored, "date", "value", 30, "key"))
+    assert text.count("Exchange") == 1 and "Join" not in text, text
+
+
+def test_unkeyed_windows_run_on_segments(stored):
+    text = plan(ffill(stored.filter("key = 'hot'").drop("key"), "date", "value"))
+    assert windows_over_rows(text) and all("__at" in l for l in windows_over_rows(text))
+
+
 def test_top_n_limits_before_the_shuffle(stored):
     text = plan(rolling.top_n_per_key(stored, "key", [F.desc("date")], 3))
     assert text.count("WindowGroupLimit") == 2, text

@@ -1,9 +1,10 @@
-"""Ordered work on long series without putting a whole series into one task.
+"""Ordered work on long series without putting a hot series into one task.
 
 A window over ``partitionBy(key)`` sends every row of a key to one task, and an un-keyed window sends
-the whole table there. The functions here split each key into *segments* of its order column (a
-calendar year, or a fixed width), work inside the segments in parallel, and pass between segments only
-one summary row each:
+the whole table there. So the rows per key are counted first. Where no key has more than ``HOT_ROWS``,
+the plain window is the right plan and is used. The keys beyond it, and every un-keyed table, are split
+into *segments* of their order column (a calendar year, or a fixed width); segments are worked on in
+parallel, and only one summary row per segment passes between them:
 
 * ``row_index``   exact row numbers: count per segment, running total of the counts, number inside.
 * ``neighbours``  last and next non-NULL value: local inside a segment, carried over the summaries.
@@ -12,8 +13,8 @@ one summary row each:
 
 Rows of one key are expected to be unique on the order columns, as all series here are (one row per
 key and date). A segment then holds no more rows than it has dates, whatever the share of the key.
-``segment=WHOLE`` asks for the plain window; it suits series whose length the calendar bounds, such as
-many short daily series, where one shuffle is cheaper than three.
+``segment`` sets the width; ``segment=WHOLE`` skips the count, for series whose length the calendar
+bounds. The input is read twice or three times: stage it first if it is costly to compute.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from tidemark.session import stage
 
 WHOLE = "whole"
 
-_AT, _RN, _OWN, _BLOCK = "__at", "__rn", "__own", "__block"
+_AT, _RN, _OWN, _BLOCK, _HOT = "__at", "__rn", "__own", "__block", "__hot"
 BLOCK_ROWS = 8192
+HOT_ROWS = 1_000_000
 
 
 def names(cols) -> list[str]:
@@ -56,9 +58,26 @@ def segment_of(df: DataFrame, order: Sequence[str], segment=None) -> Column:
     raise ValueError(f"cannot segment by {order[0]}: {kind.simpleString()}")
 
 
+def _split(df: DataFrame, keys, segment) -> DataFrame | None:
+    """The frame with a column that tells which rows belong to a hot key, or None when no key is hot."""
+    if segment == WHOLE:
+        return None
+    if not keys:
+        return df.withColumn(_HOT, F.lit(True))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS)
+    # At most one row per HOT_ROWS rows of the table; its size is known to the planner once staged.
+    hot = stage(sizes.select(F.struct(*keys).alias("__key"), F.lit(True).alias(_HOT)), "hot_keys")
+    if hot.isEmpty():
+        return None
+    marked = df.withColumn("__key", F.struct(*keys)).join(hot, "__key", "left").drop("__key")
+    return marked.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+
+
 def _placed(df: DataFrame, order, keys, segment) -> DataFrame:
-    # One struct column as grouping, window and join key: NULL keys form a group, as in a window.
-    return df.withColumn(_AT, F.struct(*[F.col(k) for k in keys], segment_of(df, order, segment).alias("__segment")))
+    """Adds the place of a row: its key, and its segment where the key is hot. One struct column serves
+    as grouping, window and join key; NULL keys form a group in it, as they do in a window."""
+    part = F.when(F.col(_HOT), segment_of(df, order, segment)).alias("__segment")
+    return df.withColumn(_AT, F.struct(*[F.col(k) for k in keys], part))
 
 
 def _between_segments(keys, descending: bool = False) -> WindowSpec:
@@ -67,12 +86,8 @@ def _between_segments(keys, descending: bool = False) -> WindowSpec:
     return Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]).orderBy(seg.desc() if descending else seg.asc())
 
 
-def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) -> DataFrame:
-    """Adds the 0-based position of a row inside its key."""
-    order, keys = names(order), names(keys)
-    if segment == WHOLE:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    body = _placed(df, order, keys, segment)
+def _numbered(split: DataFrame, order, keys, name: str, segment) -> DataFrame:
+    body = _placed(split, order, keys, segment)
     before = F.sum("__n").over(_between_segments(keys).rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
         body.groupBy(_AT).agg(F.count(F.lit(1)).alias("__n"))
@@ -86,6 +101,15 @@ def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) ->
     )
 
 
+def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) -> DataFrame:
+    """Adds the 0-based position of a row inside its key."""
+    order, keys = names(order), names(keys)
+    split = _split(df, keys, segment)
+    if split is None:
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
+    return _numbered(split, order, keys, name, segment).drop(_HOT)
+
+
 STEP = "__step"
 
 
@@ -115,10 +139,11 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
             return frame
         return frame.withColumn(STEP, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("bigint"))
 
-    if segment == WHOLE:
+    split = _split(df, keys, segment)
+    if split is None:
         return local(number(df, keys), keys)
 
-    body = number(_placed(df, order, keys, segment), [_AT])
+    body = number(_placed(split, order, keys, segment), [_AT])
     ends = body.groupBy(_AT).agg(
         *[F.max(mark(c)).alias(f"__last_{c}") for c in cols],
         *[F.min(mark(c)).alias(f"__first_{c}") for c in cols],
@@ -149,7 +174,7 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
             **{f"__prev_{c}": F.coalesce(f"__prev_{c}", f"__before_{c}") for c in cols},
             **{f"__next_{c}": F.coalesce(f"__next_{c}", f"__after_{c}") for c in cols},
         }
-    ).drop(_AT, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
+    ).drop(_AT, _HOT, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
 
 
 Step = Callable[[WindowSpec], dict[str, Column]]
@@ -165,27 +190,28 @@ def over_rows(
     """
     order, keys = names(order), names(keys)
     steps = steps if isinstance(steps, list) else [steps]
-    if segment == WHOLE:
+    split = _split(df, keys, segment)
+    if split is None:
         for step in steps:
             df = df.withColumns(step(Window.partitionBy(*keys).orderBy(*order)))
         return df
 
     size = max(BLOCK_ROWS, 4 * (before + after))
-    own = F.floor(F.col(_RN) / size)
+    own = F.when(F.col(_HOT), F.floor(F.col(_RN) / size)).otherwise(0)
     place = F.col(_RN) % size
     copies = [own]
     if before:
-        copies.append(F.when(place >= size - before, own + 1))
+        copies.append(F.when(F.col(_HOT) & (place >= size - before), own + 1))
     if after:
-        copies.append(F.when((place < after) & (own > 0), own - 1))
+        copies.append(F.when(F.col(_HOT) & (place < after) & (own > 0), own - 1))
     rows = (
-        row_index(df, order, keys, _RN, segment)
+        _numbered(split, order, keys, _RN, segment)
         .withColumn(_OWN, own)
         .withColumn(_BLOCK, F.explode(F.array_compact(F.array(*copies))))
     )
     for step in steps:
         rows = rows.withColumns(step(Window.partitionBy(*keys, _BLOCK).orderBy(_RN)))
-    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK)
+    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK, _HOT)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys=()) -> DataFrame:
