@@ -47,7 +47,7 @@ def test_no_window_over_a_hot_key(stored, make, monkeypatch):
     text = plan(make(stored))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
     for line in windows_over_rows(text):
-        assert "__at" in line or "__block" in line, line
+        assert "__segment" in line or "__block" in line, line
 
 
 def test_one_shuffle_when_no_key_is_hot(stored):
@@ -57,7 +57,7 @@ def test_one_shuffle_when_no_key_is_hot(stored):
 
 def test_unkeyed_windows_run_on_segments(stored):
     text = plan(ffill(stored.filter("key = 'hot'").drop("key"), "date", "value"))
-    assert windows_over_rows(text) and all("__at" in l for l in windows_over_rows(text))
+    assert windows_over_rows(text) and all("__segment" in l for l in windows_over_rows(text))
 
 
 def test_top_n_limits_before_the_shuffle(stored):

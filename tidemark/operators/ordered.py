@@ -28,7 +28,7 @@ from tidemark.session import stage
 
 WHOLE = "whole"
 
-_AT, _RN, _OWN, _BLOCK, _HOT = "__at", "__rn", "__own", "__block", "__hot"
+_SEG, _RN, _OWN, _BLOCK, _HOT = "__segment", "__rn", "__own", "__block", "__hot"
 BLOCK_ROWS = 8192
 HOT_ROWS = 1_000_000
 
@@ -58,56 +58,56 @@ def segment_of(df: DataFrame, order: Sequence[str], segment=None) -> Column:
     raise ValueError(f"cannot segment by {order[0]}: {kind.simpleString()}")
 
 
-def _split(df: DataFrame, keys, segment) -> DataFrame | None:
-    """The frame with a column that tells which rows belong to a hot key, or None when no key is hot."""
+def _join_small(df: DataFrame, small: DataFrame, keys, also=()) -> DataFrame:
+    """Left join to a frame with one row per key. It is staged, so the planner knows its size and
+    broadcasts it below the session's threshold, before the rows are shuffled. NULL keys match."""
+    right = stage(small.withColumnsRenamed({k: f"__r_{k}" for k in [*keys, *also]}), "summary")
+    match = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys] + [F.col(k) == F.col(f"__r_{k}") for k in also]
+    return df.join(right, match, "left").drop(*[f"__r_{k}" for k in [*keys, *also]])
+
+
+def _split(df: DataFrame, order, keys, segment) -> DataFrame | None:
+    """The frame with the segment of each row of a hot key, NULL on other rows; None when no key is hot."""
     if segment == WHOLE:
         return None
+    part = segment_of(df, order, segment)
     if not keys:
-        return df.withColumn(_HOT, F.lit(True))
+        return df.withColumn(_SEG, part)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS)
-    # At most one row per HOT_ROWS rows of the table; its size is known to the planner once staged.
-    hot = stage(sizes.select(F.struct(*keys).alias("__key"), F.lit(True).alias(_HOT)), "hot_keys")
+    # At most one row per HOT_ROWS rows of the table.
+    hot = stage(sizes.select(*keys, F.lit(True).alias(_HOT)), "hot_keys")
     if hot.isEmpty():
         return None
-    marked = df.withColumn("__key", F.struct(*keys)).join(hot, "__key", "left").drop("__key")
-    return marked.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-
-
-def _placed(df: DataFrame, order, keys, segment) -> DataFrame:
-    """Adds the place of a row: its key, and its segment where the key is hot. One struct column serves
-    as grouping, window and join key; NULL keys form a group in it, as they do in a window."""
-    part = F.when(F.col(_HOT), segment_of(df, order, segment)).alias("__segment")
-    return df.withColumn(_AT, F.struct(*[F.col(k) for k in keys], part))
+    return _join_small(df, hot, keys).withColumn(_SEG, F.when(F.col(_HOT), part)).drop(_HOT)
 
 
 def _between_segments(keys, descending: bool = False) -> WindowSpec:
-    """Window over segment summaries, one light row per key and segment."""
-    seg = F.col(f"{_AT}.__segment")
-    return Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]).orderBy(seg.desc() if descending else seg.asc())
+    """Window over segment summaries, one light row per hot key and segment."""
+    seg = F.col(_SEG)
+    return Window.partitionBy(*keys).orderBy(seg.desc() if descending else seg.asc())
 
 
-def _numbered(split: DataFrame, order, keys, name: str, segment) -> DataFrame:
-    body = _placed(split, order, keys, segment)
+def _numbered(body: DataFrame, order, keys, name: str) -> DataFrame:
     before = F.sum("__n").over(_between_segments(keys).rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
-        body.groupBy(_AT).agg(F.count(F.lit(1)).alias("__n"))
-        .select(_AT, F.coalesce(before, F.lit(0)).alias("__before"))
+        body.filter(F.col(_SEG).isNotNull()).groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("__n"))
+        .select(*keys, _SEG, F.coalesce(before, F.lit(0)).alias("__before"))
     )
-    inside = F.row_number().over(Window.partitionBy(_AT).orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(*keys, _SEG).orderBy(*order))
     return (
-        body.join(offsets, _AT)
-        .withColumn(name, (F.col("__before") + inside - 1).cast("bigint"))
-        .drop(_AT, "__before")
+        _join_small(body, offsets, keys, [_SEG])
+        .withColumn(name, (F.coalesce("__before", F.lit(0)) + inside - 1).cast("bigint"))
+        .drop("__before")
     )
 
 
 def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) -> DataFrame:
     """Adds the 0-based position of a row inside its key."""
     order, keys = names(order), names(keys)
-    split = _split(df, keys, segment)
+    split = _split(df, order, keys, segment)
     if split is None:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    return _numbered(split, order, keys, name, segment).drop(_HOT)
+    return _numbered(split, order, keys, name).drop(_SEG)
 
 
 STEP = "__step"
@@ -139,12 +139,12 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
             return frame
         return frame.withColumn(STEP, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("bigint"))
 
-    split = _split(df, keys, segment)
+    split = _split(df, order, keys, segment)
     if split is None:
         return local(number(df, keys), keys)
 
-    body = number(_placed(split, order, keys, segment), [_AT])
-    ends = body.groupBy(_AT).agg(
+    body = number(split, [*keys, _SEG])
+    ends = body.filter(F.col(_SEG).isNotNull()).groupBy(*keys, _SEG).agg(
         *[F.max(mark(c)).alias(f"__last_{c}") for c in cols],
         *[F.min(mark(c)).alias(f"__first_{c}") for c in cols],
         F.count(F.lit(1)).alias("__n"),
@@ -160,21 +160,21 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
         )
         ends = ends.withColumns({f"{side}_{c}": shift(side, c) for c in cols for side in ("__last", "__first")})
     carried = ends.select(
-        _AT,
+        *keys, _SEG,
         *(["__offset"] if steps else []),
         *[F.last(f"__last_{c}", True).over(earlier).alias(f"__before_{c}") for c in cols],
         *[F.last(f"__first_{c}", True).over(later).alias(f"__after_{c}") for c in cols],
     )
-    joined = body.join(carried, _AT)
+    joined = _join_small(body, carried, keys, [_SEG])
     if steps:
-        joined = joined.withColumn(STEP, F.col(STEP) + F.col("__offset"))
-    found = local(joined, [_AT])
+        joined = joined.withColumn(STEP, F.col(STEP) + F.coalesce("__offset", F.lit(0)))
+    found = local(joined, [*keys, _SEG])
     return found.withColumns(
         {
             **{f"__prev_{c}": F.coalesce(f"__prev_{c}", f"__before_{c}") for c in cols},
             **{f"__next_{c}": F.coalesce(f"__next_{c}", f"__after_{c}") for c in cols},
         }
-    ).drop(_AT, _HOT, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
+    ).drop(_SEG, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
 
 
 Step = Callable[[WindowSpec], dict[str, Column]]
@@ -190,42 +190,40 @@ def over_rows(
     """
     order, keys = names(order), names(keys)
     steps = steps if isinstance(steps, list) else [steps]
-    split = _split(df, keys, segment)
+    split = _split(df, order, keys, segment)
     if split is None:
         for step in steps:
             df = df.withColumns(step(Window.partitionBy(*keys).orderBy(*order)))
         return df
 
     size = max(BLOCK_ROWS, 4 * (before + after))
-    own = F.when(F.col(_HOT), F.floor(F.col(_RN) / size)).otherwise(0)
+    hot = F.col(_SEG).isNotNull()
+    own = F.when(hot, F.floor(F.col(_RN) / size)).otherwise(0)
     place = F.col(_RN) % size
     copies = [own]
     if before:
-        copies.append(F.when(F.col(_HOT) & (place >= size - before), own + 1))
+        copies.append(F.when(hot & (place >= size - before), own + 1))
     if after:
-        copies.append(F.when(F.col(_HOT) & (place < after) & (own > 0), own - 1))
+        copies.append(F.when(hot & (place < after) & (own > 0), own - 1))
     rows = (
-        _numbered(split, order, keys, _RN, segment)
+        _numbered(split, order, keys, _RN)
         .withColumn(_OWN, own)
         .withColumn(_BLOCK, F.explode(F.array_compact(F.array(*copies))))
     )
     for step in steps:
         rows = rows.withColumns(step(Window.partitionBy(*keys, _BLOCK).orderBy(_RN)))
-    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK, _HOT)
+    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK, _SEG)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys=()) -> DataFrame:
     """Adds the columns of a per-key aggregate to every row of the key.
 
-    Without keys the aggregate is one row and is read as a scalar subquery. With keys it is staged first:
-    its size is then known when the join is planned, so it is broadcast under the session's threshold and
-    the table is not shuffled by a possibly hot key; past the threshold it is a sort-merge join with
-    adaptive skew handling.
+    Without keys the aggregate is one row and is read as a scalar subquery. With keys it is staged and
+    joined by size: a broadcast leaves the table unshuffled however hot a key is; past the threshold it
+    is a sort-merge join with adaptive skew handling.
     """
     keys = names(keys)
-    if not keys:
-        row = stats.select(F.struct(*stats.columns)).scalar()
-        return df.withColumn("__stats", row).select(*df.columns, *[F.col("__stats")[c].alias(c) for c in stats.columns])
-    added = [c for c in stats.columns if c not in keys]
-    right = stage(stats.select(F.struct(*keys).alias("__key"), *added), "stats")
-    return df.withColumn("__key", F.struct(*keys)).join(right, "__key", "left").drop("__key")
+    if keys:
+        return _join_small(df, stats, keys)
+    row = stats.select(F.struct(*stats.columns)).scalar()
+    return df.withColumn("__stats", row).select(*df.columns, *[F.col("__stats")[c].alias(c) for c in stats.columns])
