@@ -202,9 +202,14 @@ def head(spark, sf):
     return top_n(top_n(table(spark, sf, "orders"), order, 200), order, 50).select("o_orderkey", "o_orderdate")
 
 
-@query("w19_last_n", _WEEKS + "SELECT * FROM w WHERE series = '1-URGENT' ORDER BY year DESC, week DESC LIMIT 24")
+@query("w19_last_n", _WEEKS + "SELECT * FROM w QUALIFY ROW_NUMBER() OVER (PARTITION BY series ORDER BY year DESC, week DESC) <= 24")
 def last_weeks(spark, sf):
-    return last_n(_weeks(spark, sf).filter(F.col("series") == "1-URGENT"), ["year", "week"], 24)
+    return last_n(_weeks(spark, sf), ["year", "week"], 24, "series")
+
+
+@query("w19_last_n_table", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 24")
+def last_rows(spark, sf):
+    return last_n(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 24)
 
 
 @query("u05_distinct", cte("ord") + "SELECT DISTINCT date, o_totalprice AS value FROM ord")

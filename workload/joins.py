@@ -18,19 +18,15 @@ from workload.register import query
 @query(
     "j01_outer_align",
     cte("daily", "monthly")
-    + """SELECT COALESCE(a.date, b.date, c.date) AS date, a.value AS urgent, b.value AS high, c.value AS month
-    FROM (SELECT * FROM daily WHERE series = '1-URGENT') a FULL JOIN (SELECT * FROM daily WHERE series = '2-HIGH') b ON a.date = b.date
-    FULL JOIN (SELECT date, MAX(value) AS value FROM monthly GROUP BY 1) c ON COALESCE(a.date, b.date) = c.date""",
+    + f"""SELECT date, {', '.join(PRIORITIES.values())}, month FROM
+    {' FULL JOIN '.join(f"(SELECT date, value AS {v} FROM daily WHERE series = '{k}') {v}" + ('' if i == 0 else ' USING (date)') for i, (k, v) in enumerate(PRIORITIES.items()))}
+    FULL JOIN (SELECT date, MAX(value) AS month FROM monthly GROUP BY 1) m USING (date)""",
 )
 def outer(spark, sf):
-    d = daily(spark, sf)
-    return outer_align(
-        {
-            "urgent": d.filter(F.col("series") == "1-URGENT"),
-            "high": d.filter(F.col("series") == "2-HIGH"),
-            "month": monthly(spark, sf).select("date", "value"),
-        }
-    )
+    """Every daily series and the monthly table, whose dates repeat, as one frame each."""
+    d = daily_staged(spark, sf)
+    frames = {v: d.filter(F.col("series") == k) for k, v in PRIORITIES.items()}
+    return outer_align({**frames, "month": monthly(spark, sf).select("date", "value")})
 
 
 @query("j02_weekly_combine", cte("weekly") + "SELECT series, year, week, ROUND(value, 6) AS value, ROUND(sparse, 6) AS sparse FROM weekly")

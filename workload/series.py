@@ -114,17 +114,18 @@ def roll_z(spark, sf):
 
 
 _F104 = "OVER (ORDER BY date ROWS BETWEEN 103 PRECEDING AND CURRENT ROW)"
+_FILLED = ", ".join(f"last_value({c} IGNORE NULLS) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS {c}" for c in ("urgent", "high"))
 
 
 @query(
     "w12_rolling_corr",
     cte("wide")
-    + f"SELECT date, CASE WHEN COUNT(CASE WHEN urgent IS NOT NULL AND high IS NOT NULL THEN 1 END) {_F104} >= 104 THEN ROUND(corr(urgent, high) {_F104}, 6) END AS corr "
-    "FROM wide WHERE urgent IS NOT NULL AND high IS NOT NULL",
+    + f", f AS (SELECT date, {_FILLED} FROM wide) SELECT date, CASE WHEN COUNT(CASE WHEN urgent IS NOT NULL AND high IS NOT NULL THEN 1 END) {_F104} >= 104 "
+    + f"THEN ROUND(corr(urgent, high) {_F104}, 6) END AS corr FROM f",
 )
 def roll_corr(spark, sf):
-    both = wide_staged(spark, sf).select("date", "urgent", "high").dropna()
-    return r6(rolling_corr(both, "date", "urgent", "high", 104), "corr").select("date", "corr")
+    filled = stage(ffill(wide_staged(spark, sf).select("date", "urgent", "high"), "date", ["urgent", "high"]))
+    return r6(rolling_corr(filled, "date", "urgent", "high", 104), "corr").select("date", "corr")
 
 
 _DIFF = cte("daily") + ", m AS (SELECT *, value - LAG(value) OVER (PARTITION BY series ORDER BY date) AS d FROM daily) "
