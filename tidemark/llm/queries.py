@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, topk, warc
-from tidemark.llm.common import table
+from tidemark.llm import language, mixing, simhash, topk, toxicity, warc
+from tidemark.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,11 +24,32 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, third = table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 3)
+    model = language.train(docs, usable=third != 1)
+    return language.predict(docs, model).select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score")
+
+
 BASE32 = """list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
     + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
     + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1))"""
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fifth = table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=fifth != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fifth == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @query("op5_warc", f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages),
 b AS (SELECT *, unhex(h)::BIT::VARCHAR AS bits, max(page_id) OVER (PARTITION BY h) AS first FROM p)
