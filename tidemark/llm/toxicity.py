@@ -21,7 +21,7 @@ WIDTH = 8
 PASSAGE = 32
 #: Labelled documents that are learnt from at most, by class.
 MOST = {1: 2000, 0: 4000}
-EPOCHS = 24
+EPOCHS = 12
 
 
 @dataclass
@@ -77,22 +77,30 @@ def word_scores(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends:
 
 
 def passages(doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word of each passage and the passage's document. A text is cut into ceil(words / PASSAGE) even parts."""
+    """The passage of each word and the document of each passage. A text is cut into ceil(words / PASSAGE) even parts."""
     words = np.bincount(doc, minlength=docs)
     parts = -(-words // PASSAGE)
-    own = np.repeat(np.arange(docs), parts)
-    first = np.cumsum(words) - words
-    nth = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
-    return first[own] + nth * words[own] // np.maximum(parts[own], 1), own
+    nth = np.arange(len(doc)) - (np.cumsum(words) - words)[doc]
+    return (np.cumsum(parts) - parts)[doc] + nth * parts[doc] // words[doc], np.repeat(np.arange(docs), parts)
 
 
-def logits(scores: np.ndarray, doc: np.ndarray, docs: int, bias: float) -> np.ndarray:
-    """A document's logit is that of its worst passage; without words it is the bias."""
+def once(passage: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Places of the first occurrence of each word in each passage, in order of passages. ``word``: any equal mark for
+    equal words."""
+    by = np.lexsort((word, passage))
+    new = np.ones(len(by), bool)
+    new[1:] = (passage[by][1:] != passage[by][:-1]) | (word[by][1:] != word[by][:-1])
+    return by[new]
+
+
+def logits(scores: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: int, bias: float) -> np.ndarray:
+    """A document's logit is that of its worst passage; without words it is the bias. A passage is a bag of PASSAGE
+    places: a repeated word fills one, and places left over are zero vectors."""
     out = np.full(docs, -np.inf)
     if len(scores):
-        starts, own = passages(doc, docs)
-        ends = np.append(starts[1:], len(scores))
-        np.maximum.at(out, own, np.add.reduceat(scores, starts) / (ends - starts) + bias)
+        passage, own = passages(doc, docs)
+        first = once(passage, word)
+        np.maximum.at(out, own, np.bincount(passage[first], scores[first], len(own)) / PASSAGE + bias)
     out[np.isneginf(out)] = bias
     return out
 
@@ -100,8 +108,8 @@ def logits(scores: np.ndarray, doc: np.ndarray, docs: int, bias: float) -> np.nd
 def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1, rate: float = 0.3) -> Model:
     """Train n-gram embeddings and the softmax together by Adagrad on the cross entropy.
 
-    The bag of a document is the mean of the word vectors of one passage, a word vector the mean of its n-gram
-    vectors. In each epoch a document is represented by the passage that scores highest so far, so a long text is
+    The bag of a document is the mean of the vectors of one passage's distinct words, a word vector the mean of its
+    n-gram vectors. In each epoch a document is represented by the passage that scores highest so far, so a long text is
     judged by its worst part instead of being diluted. Words are reduced to distinct ones first.
     """
     rng = np.random.default_rng(seed)
@@ -131,22 +139,25 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1
     seen_e, seen_w, seen_b = np.full(BUCKETS, 1e-6, np.float32), np.full_like(weights, 1e-6), np.full(2, 1e-6, np.float32)
     if not len(hashes) or len(np.unique(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))))
-    cut, own = passages(doc, len(labels))
-    stop = np.append(cut[1:], len(word))
+    passage, own = passages(doc, len(labels))
+    places = once(passage, word)
+    word, passage = word[places], passage[places]
+    many = np.bincount(passage, minlength=len(own))
+    cut = np.cumsum(many) - many
     for _ in range(epochs):
         gram = embeddings @ (weights[:, 1] - weights[:, 0])
         per_word = np.add.reduceat(gram[cols], np.minimum(first, len(cols) - 1)) / np.maximum(count, 1)
-        worth = np.add.reduceat(per_word[word], cut) / (stop - cut)
+        worth = np.bincount(passage, per_word[word], len(own))
         by = np.lexsort((rng.random(len(worth)), worth, own))
         chosen = by[np.append(np.flatnonzero(np.diff(own[by])), len(by) - 1)]
         rng.shuffle(chosen)
         for lot in np.array_split(chosen, max(1, len(chosen) // 64)):
-            words = stop[lot] - cut[lot]
+            words = many[lot]
             flat_words = word[np.repeat(cut[lot] - (np.cumsum(words) - words), words) + np.arange(words.sum())]
             grams = count[flat_words]
             flat_grams = cols[np.repeat(first[flat_words] - (np.cumsum(grams) - grams), grams) + np.arange(grams.sum())]
             bag = np.repeat(np.arange(len(lot)), words)
-            weight = np.repeat(1.0 / (words[bag] * grams), grams).astype(np.float32)
+            weight = np.repeat(1.0 / (PASSAGE * grams), grams).astype(np.float32)
             bag = np.repeat(bag, grams)
             mean = np.zeros((len(lot), WIDTH), np.float32)
             for d in range(WIDTH):
@@ -194,10 +205,12 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     columns are ignored. Empty input gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for batch in batches:
             for part in batches_of(batch, "text", 1 << 22):
                 data, inside, starts, ends, doc = lowered(part.column("text"))
-                z = logits(word_scores(data, inside, starts, ends, model.gram_scores), doc, part.num_rows, model.bias)
+                scores = word_scores(data, inside, starts, ends, model.gram_scores)
+                z = logits(scores, hasher(data, starts, ends), doc, part.num_rows, model.bias)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], ["id", "score"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
