@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, mixing, simhash, topk, toxicity, warc
+from tidemark.llm import decontamination, language, licenses, mixing, secrets, simhash, topk, toxicity, warc
 from tidemark.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_licenses", licenses.sql())
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets by digest: the values themselves stay out of the result."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.sha2("value", 256).alias("secret_sha256"), F.length("value").alias("length"), "occurrences", "probability")
