@@ -217,7 +217,7 @@ def train(
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score): the language under which the whole text is likeliest, all equally likely before, and its
-    posterior probability. ``und`` with score 0 where the text is NULL, empty or without a letter, or nothing was
+    posterior probability. ``id_col`` may be of any type, a struct of the whole row included. ``und`` with score 0 where the text is NULL, empty or without a letter, or nothing was
     learnt; equal likelihoods go to the first language by name. Repeated rows get equal results; other columns are
     ignored. Empty input gives no rows. A batch scores each distinct word once."""
 
@@ -238,5 +238,6 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                 names = [model.languages[b] if k else "und" for b, k in zip(best, known)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], ["id", "lang_pred", "score"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = picked.select("id").schema.add("lang_pred", "string").add("score", "double")
+    return picked.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, licenses, mixing, secrets, simhash, topk, toxicity, warc
+from tidemark.llm import decontamination, language, licenses, mixing, secrets, simhash, substrings, topk, toxicity, warc
 from tidemark.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fifth == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op2_substrings", r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS pos, w FROM d WHERE len(w) >= 13),
+g AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 12], ' ')) AS h FROM p),
+f AS (SELECT h, min(doc_id) AS low FROM g GROUP BY h HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT g.doc_id, list(DISTINCT a) AS gone FROM (
+    SELECT g.doc_id, unnest(generate_series(g.pos, g.pos + 12)) AS a FROM g JOIN f USING (h) WHERE f.low < g.doc_id) g GROUP BY g.doc_id),
+k AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+    list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS kept FROM d LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""")
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
