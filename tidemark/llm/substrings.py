@@ -10,16 +10,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHasher, batches_of, is_space, key_filter, mixed, passes, text_bytes, word_spans
+from tidemark.llm.common import FILTER_BITS, WordHasher, batches_of, is_space, key_filter, mixed, passes, text_bytes, word_spans
 from tidemark.session import stage
 
 WINDOW = 13
 #: Words whose hash anchors a window: the smallest hash among a window's runs of this many words.
-ANCHOR = 6
+ANCHOR = 4
 #: Words of reference text in one automaton, about.
 SHARD_WORDS = 100_000
-#: Anchors with more different segments than this are split by window.
-HOT_SEGMENTS = 1000
+#: Anchors in more documents than this are split by window.
+HOT_DOCS = 20_000
 
 
 class Cutter:
@@ -58,7 +58,7 @@ class Cutter:
 
 
 def keys_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(key, low, high): smallest and largest id per anchor, reduced within each slice."""
+    """(key, low, high, docs): smallest and largest id per anchor and the documents that hold it, by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Cutter(window, anchor)
@@ -69,41 +69,64 @@ def keys_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                     ids = part.column("id").to_numpy(zero_copy_only=False)[doc]
                     order = np.lexsort((ids, key))
                     key, ids = key[order], ids[order]
-                    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                    other = np.append(True, key[1:] != key[:-1])
+                    head = np.flatnonzero(other)
+                    other[1:] |= ids[1:] != ids[:-1]
                     yield pa.record_batch({"key": pa.array(key[head].view(np.int64)), "low": pa.array(ids[head]),
-                                           "high": pa.array(ids[np.append(head[1:], len(key)) - 1])})
+                                           "high": pa.array(ids[np.append(head[1:], len(key)) - 1]),
+                                           "docs": pa.array(np.add.reduceat(other.astype(np.int64), head))})
 
-    return docs.select("id", "text").mapInArrow(run, "key long, low long, high long")
+    return docs.select("id", "text").mapInArrow(run, "key long, low long, high long, docs long")
 
 
-def segments_of(docs: DataFrame, known: np.ndarray, window: int, anchor: int) -> DataFrame:
-    """Segments whose anchor the filter knows: (id, mark, first, windows, key, digest, segment)."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+def segments_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, window: int, anchor: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """Segments whose anchor the filter ``known`` has: (id, mark, first, key, digest, hot). Those of a ``hot`` anchor
+    are given window by window, and a window's digest is its key. With ``wanted`` the texts instead, for places in
+    that filter only: (key, digest, segment)."""
+    shared = docs.sparkSession.sparkContext.broadcast((known, hot, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, filter_ = Cutter(window, anchor), shared.value
+        cut = Cutter(window, anchor)
+        known, hot, wanted = shared.value
         for batch in batches:
             for part in batches_of(batch, "text"):
                 data, starts, ends, heads, doc, first, windows, key = cut(part.column("text"))
-                kept = np.flatnonzero(passes(filter_, key)) if len(key) else np.zeros(0, np.int64)
+                if not len(key):
+                    continue
+                kept = passes(known, key)
+                doc, first, windows, key = doc[kept], first[kept], windows[kept], key[kept]
+                alone = passes(hot, key)
+                parts = np.where(alone, windows, 1)
+                nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+                doc, first, key, alone = np.repeat(doc, parts), np.repeat(first, parts) + nth, np.repeat(key, parts), np.repeat(alone, parts)
+                windows = np.where(alone, 1, np.repeat(windows, parts))
                 plain = data.copy()
                 plain[cut.separators[data]] = 32
-                for at in range(0, len(kept), 50_000):
-                    own = kept[at:at + 50_000]
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                for at in range(0, len(key), 50_000):
+                    own = slice(at, at + 50_000)
                     a, b = starts[first[own]], ends[first[own] + windows[own] + window - 2]
                     size = b - a
                     flat = plain[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())]
                     edges = np.append(0, np.cumsum(size))
                     whole = flat.tobytes()
-                    digest = np.fromiter((xxhash.xxh64_intdigest(whole[x:y], 3) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())), np.uint64, len(own))
-                    text = pa.StringArray.from_buffers(len(own), pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(flat))
-                    rows = pa.array(doc[own])
-                    yield pa.RecordBatch.from_arrays([
-                        part.column("id").take(rows), part.column("mark").take(rows), pa.array((first[own] - heads[doc[own]]).astype(np.int32)),
-                        pa.array(windows[own].astype(np.int32)), pa.array(key[own].view(np.int64)), pa.array(digest.view(np.int64)), text,
-                    ], ["id", "mark", "first", "windows", "key", "digest", "segment"])
-
-    return docs.mapInArrow(run, "id long, mark long, first int, windows int, key long, digest long, segment string")
+                    digest = np.fromiter((xxhash.xxh64_intdigest(whole[x:y], 3) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())), np.uint64, len(size))
+                    named = np.where(alone[own], digest, key[own])
+                    if wanted is None:
+                        rows = pa.array(doc[own])
+                        yield pa.RecordBatch.from_arrays([
+                            part.column("id").take(rows), part.column("mark").take(rows), pa.array((first[own] - heads[doc[own]]).astype(np.int32)),
+                            pa.array(named.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(alone[own]),
+                        ], ["id", "mark", "first", "key", "digest", "hot"])
+                    else:
+                        # As ``place`` has it.
+                        there = np.flatnonzero(passes(wanted, digest ^ (ids[doc[own]].astype(np.uint64) << np.uint64(64 - FILTER_BITS))))
+                        text = pa.StringArray.from_buffers(len(size), pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(flat))
+                        take = pa.array(there)
+                        yield pa.RecordBatch.from_arrays([pa.array(named[there].view(np.int64)), pa.array(digest[there].view(np.int64)), text.take(take)], ["key", "digest", "segment"])
+
+    slim = "id long, mark long, first int, key long, digest long, hot boolean"
+    return docs.mapInArrow(run, slim if wanted is None else "key long, digest long, segment string")
 
 
 class Automaton:
@@ -180,84 +203,65 @@ class Automaton:
         return out
 
 
-VERDICT = "key long, digest long, firsts array<long>"
-
+def judged(references: DataFrame, contents: DataFrame, window: int, shards: int) -> DataFrame:
+    """(key, digest, firsts) of references (key, digest, low, high) and their texts: the sequences of a shard build one
+    automaton, and each sequence is then streamed through it. ``firsts`` has the smallest document by window. Sequences
+    none of whose holders comes after such a document are left out."""
 
-def judged(references: DataFrame, window: int, shard_words: int) -> DataFrame:
-    """(key, digest, firsts) of (key, digest, segment, low, shard_key): each shard's sequences build one automaton, and
-    each sequence is then streamed through it. ``firsts`` has the smallest document by window."""
-
-    def run(table: pa.Table) -> pa.Table:
-        sequences = [s.encode().split() for s in table.column("segment").to_pylist()]
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = list(zip(left.column("key").to_pylist(), left.column("digest").to_pylist()))
+        held: dict = dict.fromkeys(names)
+        for key, digest, segment in zip(*(right.column(c).to_pylist() for c in ("key", "digest", "segment"))):
+            if held.get((key, digest), b"") is None:
+                held[key, digest] = segment.encode().split()
         automaton = Automaton()
-        for words, low in zip(sequences, table.column("low").to_pylist()):
-            automaton.add(words, low)
+        for name, low in zip(names, left.column("low").to_pylist()):
+            automaton.add(held[name], low)
         automaton.settle()
-        firsts = [automaton.firsts(words, window) for words in sequences]
-        return pa.table({"key": table.column("key"), "digest": table.column("digest"), "firsts": pa.array(firsts, pa.list_(pa.int64()))})
-
-    words = references.agg(F.sum(F.length("segment"))).first()[0] or 0
-    shards = max(1, -(-words // (6 * shard_words)))
-    return references.withColumn("shard", F.pmod("shard_key", F.lit(shards))).groupBy("shard").applyInArrow(run, VERDICT)
+        out = []
+        for name, high in zip(names, left.column("high").to_pylist()):
+            firsts = automaton.firsts(held[name], window)
+            if min(firsts) < high:
+                out.append((*name, firsts))
+        keys, digests, firsts = zip(*out) if out else ((), (), ())
+        return pa.table({"key": pa.array(keys, pa.int64()), "digest": pa.array(digests, pa.int64()), "firsts": pa.array(firsts, pa.list_(pa.int64()))})
 
-
-def by_window(references: DataFrame, window: int) -> DataFrame:
-    """One row per window of the segments: (key, digest, nth, window_digest, segment, low)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, nth, texts = [], [], []
-            for i, segment in enumerate(batch.column("segment").to_pylist()):
-                words = segment.encode().split()
-                for j in range(len(words) - window + 1):
-                    rows.append(i)
-                    nth.append(j)
-                    texts.append(b" ".join(words[j:j + window]))
-            digests = np.array([xxhash.xxh64_intdigest(t, 5) for t in texts], np.uint64).view(np.int64)
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                batch.column("key").take(take), batch.column("digest").take(take), pa.array(nth, pa.int32()), pa.array(digests),
-                pa.array([t.decode() for t in texts], pa.string()), batch.column("low").take(take),
-            ], ["key", "digest", "nth", "window_digest", "segment", "low"])
-
-    return references.select("key", "digest", "segment", "low").mapInArrow(run, "key long, digest long, nth int, window_digest long, segment string, low long")
+    dealt = [t.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard") for t in (references, contents)]
+    return dealt[0].cogroup(dealt[1]).applyInArrow(run, "key long, digest long, firsts array<long>")
 
 
 def repeats(
-    docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, hot_segments: int = HOT_SEGMENTS,
+    docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, hot_docs: int = HOT_DOCS,
 ) -> DataFrame:
     """(id, mark, at): first words of the windows of each document (id, mark, text) that a document with a smaller id
     holds too.
 
     1. Every window has an anchor, the run of ``anchor`` words in it with the smallest hash. Anchors of one document
        only are left out (smallest and largest id, reduced before the shuffle).
-    2. The other segments are reduced to different ones with their smallest id. They are the reference, cut by anchor
-       into shards of about ``shard_words`` words: all copies of a window meet in one shard, and only there.
+    2. The other segments are reduced to different ones with their smallest and largest id, by digest. They are the
+       reference, cut by anchor into shards of about ``shard_words`` words: all copies of a window meet in one shard,
+       and only there. Only the first holder of a segment sends its text.
     3. A suffix automaton of each shard knows the smallest document of every substring. The shard's sequences are
        streamed through it for matching statistics up to ``window``; copies take the result by join.
 
-    An anchor with over ``hot_segments`` different segments (a passage that many documents hold in different places) is
-    split by window instead, so no shard grows with it. A bitmap of fixed size lets the second scan drop most lone
-    anchors early; an exact semi-join drops the rest, so a full bitmap costs time only.
+    An anchor in over ``hot_docs`` documents (a passage that many documents hold in different places) is split by
+    window, so no shard grows with it. Bitmaps of fixed size let the scans drop lone anchors and later holders early;
+    exact joins drop the rest, so a full bitmap costs time only.
     """
     docs = docs.filter("id IS NOT NULL")
-    lone = keys_of(docs, window, anchor).groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    shared = stage(lone.filter("low < high").select("key"), "substring-keys")
-    found = stage(segments_of(docs, key_filter(shared, "key"), window, anchor), "substring-segments")
-    distinct = found.groupBy("key", "digest", "segment").agg(F.min("id").alias("low"))
-    distinct = stage(distinct.join(shared, "key", "left_semi"), "substring-reference")
-    hot = stage(distinct.groupBy("key").count().filter(F.col("count") > hot_segments).select("key"), "substring-hot")
-    cold = distinct.join(hot, "key", "left_anti").withColumn("shard_key", F.col("key"))
-    verdicts = judged(cold, window, shard_words)
-    windows = stage(by_window(distinct.join(hot, "key", "left_semi"), window), "substring-windows")
-    own = windows.groupBy("window_digest", "segment").agg(F.min("low").alias("low"))
-    own = own.select(F.col("window_digest").alias("key"), F.col("window_digest").alias("digest"), "segment", "low", F.col("window_digest").alias("shard_key"))
-    told = judged(stage(own, "substring-window-reference"), window, shard_words).select(F.col("key").alias("window_digest"), F.col("firsts")[0].alias("first"))
-    again = windows.select("key", "digest", "nth", "window_digest").join(told, "window_digest")
-    again = again.groupBy("key", "digest").agg(F.sort_array(F.collect_list(F.struct("nth", "first"))).alias("f")).select("key", "digest", F.col("f.first").alias("firsts"))
-    verdicts = stage(verdicts.unionByName(again).filter(F.size("firsts") > 0), "substring-verdicts")
-    slim = found.select("id", "mark", "first", "key", "digest")
-    joined = slim.join(verdicts, ["key", "digest"]).filter(F.array_min("firsts") < F.col("id"))
+    lone = keys_of(docs, window, anchor).groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("docs").alias("docs"))
+    shared = stage(lone.filter("low < high").select("key", "docs"), "substring-keys")
+    known, hot = key_filter(shared, "key"), key_filter(shared.filter(F.col("docs") > hot_docs), "key")
+    found = stage(segments_of(docs, known, hot, window, anchor), "substring-segments")
+    distinct = found.groupBy("key", "digest", "hot").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    distinct = distinct.filter("hot").unionByName(distinct.filter("NOT hot").join(shared, "key", "left_semi")).drop("hot")
+    reference = stage(distinct, "substring-reference")
+    shards = max(1, -(-reference.count() * (window + 4) // shard_words))
+    place = F.col("digest").bitwiseXOR(F.shiftleft("low", 64 - FILTER_BITS))
+    wanted = key_filter(reference.select(place.alias("place")), "place")
+    contents = segments_of(docs, known, hot, window, anchor, wanted)
+    verdicts = stage(judged(reference, contents, window, shards), "substring-verdicts")
+    joined = found.select("id", "mark", "first", "key", "digest").join(verdicts, ["key", "digest"]).filter(F.array_min("firsts") < F.col("id"))
     at = F.transform("firsts", lambda x, i: F.when(x < F.col("id"), F.col("first") + i))
     return joined.select("id", "mark", F.explode(F.array_compact(at)).alias("at"))
 
