@@ -9,7 +9,7 @@ from tidemark.llm.common import WORD
 from tidemark.session import stage
 
 #: Documents in one slice of the sampling order. The number of slices follows the source's size.
-SLICE = 20_000
+SLICE = 2_000
 DIGITS = 13
 
 
