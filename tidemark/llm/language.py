@@ -188,14 +188,16 @@ def train(
     sample: int = SAMPLE, vocabulary: str = VOCABULARY,
 ) -> Model:
     """Learn from about ``sample`` documents of each language, taken by a hash of the id in proportion to the
-    language's count. Words are counted by executors; the driver gets the distinct words of the sample and runs the
+    language's count (the counts, one row per language, reach the driver). Words are counted by executors; the driver gets the distinct words of the sample and runs the
     maximisation. Rows with a NULL language or text are not learnt from."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     if usable is not None:
         known = known.filter(F.expr("true") & usable) if id_col == "id" else known.withColumn(id_col, F.col("id")).filter(usable).drop(id_col)
-    share = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
+    # One row per language; the texts are not moved for it.
+    share = {r["lang"]: min(1.0, sample / r["count"]) for r in known.groupBy("lang").count().collect()}
     chance = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.join(share, "lang").filter(chance < F.col("share")).select("lang", "text")
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("lang")) if share else F.lit(0.0)
+    picked = known.filter(chance < wanted).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
