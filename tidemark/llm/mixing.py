@@ -89,7 +89,11 @@ def mix(
     odds = (u / (1.0 - u)) / (p / (1.0 - p))
     held = held.withColumn("odds", F.when((p > 0) & (F.col("size") > 0), odds))
     slices = F.ceil(F.col("n") / F.lit(slice_rows))
-    held = held.withColumn("slice", F.floor(F.col("odds") / (1.0 + F.col("odds")) * slices))
+    # Odds times the source's own inclusion odds are near u/(1-u) again, so slices are even; the order stays.
+    own = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    own = F.least(F.greatest(own - F.floor(own), F.lit(0.001)), F.lit(0.999))
+    even = F.col("odds") * (own / (1.0 - own))
+    held = held.withColumn("slice", F.floor(even / (1.0 + even) * slices))
 
     keys = ["source", "slice"]
     certain = F.sum(F.col("whole") * F.col("size"))
