@@ -81,7 +81,7 @@ def keys_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def segments_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, window: int, anchor: int, wanted: np.ndarray | None = None) -> DataFrame:
     """Segments whose anchor the filter ``known`` has: (id, mark, first, key, digest, hot). Those of a ``hot`` anchor
-    are given window by window, and a window's digest is its key. With ``wanted`` the texts instead, for places in
+    are given window by window, and the hash of a window's words is its key. With ``wanted`` the texts instead, for places in
     that filter only: (key, digest, segment)."""
     shared = docs.sparkSession.sparkContext.broadcast((known, hot, wanted))
 
@@ -102,7 +102,7 @@ def segments_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, window: int
                 windows = np.where(alone, 1, np.repeat(windows, parts))
                 plain = data.copy()
                 plain[cut.separators[data]] = 32
-                ids = part.column("id").to_numpy(zero_copy_only=False)
+                ids, words = part.column("id").to_numpy(zero_copy_only=False), None
                 for at in range(0, len(key), 50_000):
                     own = slice(at, at + 50_000)
                     a, b = starts[first[own]], ends[first[own] + windows[own] + window - 2]
@@ -111,7 +111,15 @@ def segments_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, window: int
                     edges = np.append(0, np.cumsum(size))
                     whole = flat.tobytes()
                     digest = np.fromiter((xxhash.xxh64_intdigest(whole[x:y], 3) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())), np.uint64, len(size))
-                    named = np.where(alone[own], digest, key[own])
+                    named = key[own].copy()
+                    single = np.flatnonzero(alone[own])
+                    if len(single):
+                        at_word = first[own][single][:, None] + np.arange(window)
+                        hashed = cut.hasher(data, starts, ends) if words is None else words
+                        words, combined = hashed, np.full(len(single), np.uint64(window))
+                        for j in range(window):
+                            combined = combined * np.uint64(0x9E3779B97F4A7C15) + hashed[at_word[:, j]]
+                        named[single] = mixed(combined)
                     if wanted is None:
                         rows = pa.array(doc[own])
                         yield pa.RecordBatch.from_arrays([

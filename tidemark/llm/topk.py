@@ -117,15 +117,17 @@ def plain(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points:
 
 def matrix(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(flat), -1)
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(flat), -1 if len(flat) and len(flat[0]) else 0)
 
 
 def found_in(left: pa.Table, right: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
     """Answers of one shard (``right``) to its queries (``left``), a block at a time."""
+    if not left.num_rows or not right.num_rows:
+        return
     points, ids = matrix(right.column("vector")), right.column("vec_id").to_numpy()
     for at in range(0, left.num_rows, BLOCK_ROWS):
         block = left.slice(at, BLOCK_ROWS)
-        queries, names = matrix(block.column("vector")), block.column("query_id").to_numpy()
+        queries, names = matrix(block.column("asked")), block.column("query_id").to_numpy()
         floor = block.column("floor").to_numpy()
         width = float(np.abs(points).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, points.shape[1])
         if width < 2**52:
@@ -171,7 +173,8 @@ def top_k(
 
     def ask(asked: DataFrame) -> DataFrame:
         points = held.select("vec_id", "vector", "width", "shard")
-        return asked.groupBy("width", "shard").cogroup(points.groupBy("width", "shard")).applyInArrow(answer, ANSWER)
+        asked = asked.select("query_id", F.col("vector").alias("asked"), F.col("width").alias("w"), F.col("shard").alias("s"), "floor")
+        return asked.groupBy("w", "s").cogroup(points.groupBy("width", "shard")).applyInArrow(answer, ANSWER)
 
     first = stage(ask(queries.select("query_id", "vector", "width", "shard", F.lit(LEAST).alias("floor"))), "topk-first")
     kth = first.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
