@@ -20,7 +20,7 @@ WIDTH = 8
 #: Words averaged into one bag.
 PASSAGE = 32
 #: Labelled documents that are learnt from at most, by class.
-MOST = {1: 2000, 0: 4000}
+MOST = {1: 1800, 0: 3000}
 EPOCHS = 12
 
 
@@ -126,11 +126,13 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1
     for n in GRAMS:
         buckets, valid = gram_buckets(flat, inside, n)
         p = np.flatnonzero(valid)
-        rows.append(np.searchsorted(begin, p + 1, "right") - 1)
-        cols.append(buckets[p])
-    rows, cols = np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(cols or [np.zeros(0, np.uint32)])
+        rows.append((np.searchsorted(begin, p + 1, "right") - 1).astype(np.int32))
+        cols.append(buckets[p].astype(np.int32))
+    del data, starts, ends, flat, inside, places, take, buckets, valid, p
+    rows, cols = np.concatenate(rows or [np.zeros(0, np.int32)]), np.concatenate(cols or [np.zeros(0, np.int32)])
     order = np.argsort(rows, kind="stable")
-    cols, count = cols[order].astype(np.int64), np.bincount(rows, minlength=len(at))
+    cols, count = cols[order], np.bincount(rows, minlength=len(at))
+    del rows, order
     first = np.cumsum(count) - count
 
     embeddings = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
