@@ -378,7 +378,8 @@ def test_elastic_net_optimum(spark):
 
 def test_regimes_find_three_groups(spark):
     rng = np.random.default_rng(9)
-    data = [(g, float(g * 10 + rng.normal()), float(rng.normal())) for g in range(3) for _ in range(50)]
+    # On raw columns the second one, a thousand times as wide, would decide alone.
+    data = [(g, float(g * 10 + rng.normal()), float(10_000 * (g == 1) + 500 * rng.normal())) for g in range(3) for _ in range(50)]
     out = M.regimes(spark.createDataFrame(data, "g INT, a DOUBLE, b DOUBLE"), ["a", "b"], 3, starts=3)
     assert out.groupBy("g").agg(F.countDistinct("cluster").alias("n")).filter("n > 1").count() == 0
     assert M.cluster_profile(out, ["a"]).count() == 3
@@ -405,3 +406,18 @@ def test_error_columns(spark):
     df = spark.createDataFrame([(2.0, 2.5), (0.0, 1.0)], "y DOUBLE, prediction DOUBLE")
     assert rows(M.with_errors(df, "y"), "error", "abs_error", "pct_error") == [(0.5, 0.5, 25.0), (1.0, 1.0, None)]
     assert M.draws({"a": [1, 2]}, 5, 1) == M.draws({"a": [1, 2]}, 5, 1) and M.draws({}) == [{}]
+
+
+def test_quantiles_take_nan_as_null(spark):
+    from tidemark.operators import profile
+
+    rng = np.random.default_rng(3)
+    values = [float(v) for v in rng.integers(0, 40, 3000)] + [float("nan")] * 300 + [None] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    clean = np.array([v for v in values if v is not None and v == v])
+    want = np.quantile(clean, [0.0, 0.1, 0.25, 0.5, 0.75, 1.0])
+    for limit in (1, 30, 10**6):
+        got = profile.exact_quantiles(df, "v", [0.0, 0.1, 0.25, 0.5, 0.75, 1.0], limit=limit, error=0.05)["v"]
+        assert np.allclose(got, want)
+        row = profile.describe_long(df, "v", limit=limit).first()
+        assert close(row["mean"], clean.mean()) and close(row["p25"], float(want[2]))

@@ -133,3 +133,11 @@ def test_months_and_labels(spark):
     row = df.select(D.month_range("d", 3).alias("m"), D.week_label("y", "w").alias("l"), D.week_end("d").alias("s")).first()
     assert row.m == [day("2023-12-01"), day("2024-01-01"), day("2024-02-01")] and row.l == "2023-W05" and row.s == day("2023-12-03")
     assert rows(spark.range(1).select(D.fmt_ts(F.lit(None).cast("timestamp")))) == [("–",)]
+
+
+def test_metric_columns_keep_held_values(spark):
+    from tidemark.functions import payload
+
+    df = spark.createDataFrame([(1, '{"mae": 2.5}', 0.7, 9.0), (2, None, 0.4, None)], "id INT, metrics STRING, R2 DOUBLE, MAE DOUBLE")
+    got = {r.id: (r.R2, r.MAE) for r in payload.metric_columns(df, "metrics").collect()}
+    assert got == {1: (0.7, 2.5), 2: (0.4, None)}

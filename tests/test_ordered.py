@@ -1,5 +1,7 @@
 """Segmented operators equal a plain window per key, on skewed keys and NULL keys alike."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -148,3 +150,44 @@ def test_attach_null_keys(series):
 
 def test_lag_zero_is_not_needed(series):
     assert "value__lag_2" in with_lags(series, "date", "value", [1, 2], "key").columns
+
+
+@pytest.mark.parametrize("hot", [0, 5, 10**9])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_null_and_tied_order_values(spark, monkeypatch, hot, keyed):
+    """NULL dates come first, ties are settled alike on both paths, and all answers follow one total order."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import fills, ordered, rolling
+
+    rows = [("a", None if i % 9 == 0 else dt.date(2000 + i // 25, 1 + i % 3, 1), None if i % 4 == 0 else float(i), i) for i in range(80)]
+    rows += [("b", None, 1.0, 100), ("b", None, 2.0, 101), ("b", dt.date(2001, 1, 1), None, 102)]
+    df = spark.createDataFrame(rows, "key STRING, date DATE, value DOUBLE, id INT")
+    keys = "key" if keyed else ()
+    part = Window.partitionBy("key") if keyed else Window.partitionBy()
+    tie = F.xxhash64(*[c for c in df.columns if c != "date"])
+    total = part.orderBy("date", tie)
+    monkeypatch.setattr(ordered, "HOT_ROWS", hot)
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 7)
+
+    want = df.withColumn("rn", F.row_number().over(total) - 1)
+    assert rows_of(ordered.row_index(df, "date", keys), "id", "rn") == rows_of(want, "id", "rn")
+    split = rolling.time_split(df, "date", 2, keys)
+    parts = split if isinstance(split, tuple) else (split,)
+    assert all(set(df.columns) <= set(p.columns) for p in parts)
+    moved = df.withColumn("d", F.col("value") - F.lag("value").over(total))
+    assert rows_of(rolling.diff(df, "date", "value", keys, "d"), "id", "d") == rows_of(moved, "id", "d")
+    by_value = part.orderBy("date", F.xxhash64("value")).rowsBetween(Window.unboundedPreceding, 0)
+    filled = df.withColumn("value", F.last("value", True).over(by_value))
+    assert rows_of(fills.ffill(df, "date", "value", keys), "id", "value") == rows_of(filled, "id", "value")
+
+
+def test_order_by_text_needs_no_segment(spark):
+    from tidemark.operators import ordered
+
+    df = spark.createDataFrame([("a", "x"), ("a", "w"), ("b", "z")], "key STRING, name STRING")
+    assert rows_of(ordered.row_index(df, "name", "key"), "name", "rn") == [("w", 0), ("x", 1), ("z", 0)]
+
+
+def rows_of(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)

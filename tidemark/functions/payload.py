@@ -66,9 +66,11 @@ def _canonical_entries(c: str, names: dict[str, str]) -> Column:
 
 
 def metric_columns(df: DataFrame, c: str, names: dict[str, str] = METRICS) -> DataFrame:
-    """One double column per known metric, keys matched without case."""
+    """One double column per known metric, keys matched without case. A column the table already has keeps its value
+    where the JSON has no number for it."""
     read = df.withColumn("__metrics", F.map_from_entries(_canonical_entries(c, names)))
-    out = {name: read["__metrics"][name].try_cast("double") for name in names.values()}
+    told = {name: read["__metrics"][name].try_cast("double") for name in names.values()}
+    out = {name: F.coalesce(c, F.col(name).try_cast("double")) if name in df.columns else c for name, c in told.items()}
     return read.withColumns(out).drop("__metrics")
 
 

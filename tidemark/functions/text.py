@@ -18,12 +18,12 @@ TOPIC_ALIASES = {
 }
 
 # News domains taken as trusted.
-TRUSTED_DOMAINS = (
-    "reuters.com wsj.com bloomberg.com ft.com apnews.com nytimes.com washingtonpost.com "
-    "marketwatch.com cnbc.com federalreserve.gov stlouisfed.org bls.gov bea.gov treasury.gov "
-    "eia.gov imf.org bis.org oecd.org conference-board.org visa.com spglobal.com sifma.org "
-    "adp.com equifax.com"
-).split()
+TRUSTED_DOMAINS = [
+    "reuters.com", "wsj.com", "bloomberg.com", "ft.com", "apnews.com", "nytimes.com", "washingtonpost.com",
+    "marketwatch.com", "cnbc.com", "federalreserve.gov", "stlouisfed.org", "bls.gov", "bea.gov", "treasury.gov",
+    "eia.gov", "imf.org", "bis.org", "oecd.org", "conference-board.org", "visa.com", "spglobal.com", "sifma.org",
+    "adp.com", "equifax.com",
+]
 
 URL_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 

@@ -58,18 +58,22 @@ def incremental(
     """Rows of ``new`` past the latest date held for their key.
 
     A key without history gives its last ``default_days`` up to ``as_of`` (default: latest date of
-    ``new``), or everything. ``overlap_days`` is how far before the mark the source is re-read; the
-    lower bound lets it skip old partitions and does not change the result.
+    ``new``), or everything. ``overlap_days`` is how far before the marks the source is re-read:
+    with ``default_days`` too, rows older than the smallest mark less the overlap and than the default range are
+    dropped at the scan, which does not change the result.
     """
-    rows = attach(new, held.groupBy(key).agg(F.max(date).alias("__mark")), key)
+    marks = held.groupBy(key).agg(F.max(date).alias("__mark"))
+    if overlap_days is not None and default_days is not None:
+        end = F.lit(as_of).cast("date") if as_of is not None else new.agg(F.max(date).alias("d")).scalar()
+        oldest = marks.agg(F.date_sub(F.min("__mark"), overlap_days).alias("d")).scalar()
+        new = new.filter(F.col(date) >= F.least(oldest, F.date_sub(end, default_days)))
+    rows = attach(new, marks, key)
     if default_days is None:
         first = F.lit(True)
     else:
         end = F.lit(as_of).cast("date") if as_of is not None else new.agg(F.max(date).alias("d")).scalar()
         first = F.col(date) >= F.date_sub(end, default_days)
     keep = F.when(F.col("__mark").isNull(), first).otherwise(F.col(date) > F.col("__mark"))
-    if overlap_days is not None:
-        keep = keep & (F.col("__mark").isNull() | (F.col(date) >= F.date_sub("__mark", overlap_days)))
     return rows.filter(keep).select(*new.columns)
 
 

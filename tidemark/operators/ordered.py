@@ -11,8 +11,10 @@ parallel, and only one summary row per segment passes between them:
 * ``over_rows``   any frame of a fixed number of rows: numbered rows are cut into blocks, and each
   block also gets copies of the few rows just outside it.
 
-Rows of one key are expected to be unique on the order columns, as all series here are (one row per
-key and date). A segment then holds no more rows than it has dates, whatever the share of the key.
+NULL order values come first and are a segment of their own. Rows that tie on the order columns stand in
+the order of a hash of their other columns, so both paths give the same answer; equal rows are
+interchangeable. A segment holds no more rows than it has dates where a key has one row per date,
+whatever the share of the key.
 ``segment`` sets the width; ``segment=WHOLE`` skips the count, for series whose length the calendar
 bounds. The input is read twice or three times: stage it first if it is costly to compute.
 """
@@ -28,7 +30,9 @@ from tidemark.session import stage
 
 WHOLE = "whole"
 
-_SEG, _RN, _OWN, _BLOCK, _HOT = "__segment", "__rn", "__own", "__block", "__hot"
+_SEG, _RN, _OWN, _BLOCK, _HOT, _TIE = "__segment", "__rn", "__own", "__block", "__hot", "__tie"
+#: Segment of rows without an order value: before any other.
+NO_VALUE = -(1 << 62)
 BLOCK_ROWS = 8192
 HOT_ROWS = 1_000_000
 
@@ -70,15 +74,26 @@ def _split(df: DataFrame, order, keys, segment) -> DataFrame | None:
     """The frame with the segment of each row of a hot key, NULL on other rows; None when no key is hot."""
     if segment == WHOLE:
         return None
-    part = segment_of(df, order, segment)
+
+    def part() -> Column:
+        found = segment_of(df, [o for o in order if o != _TIE], segment)
+        days = isinstance(df.schema[order[0]].dataType, (DateType, TimestampType, TimestampNTZType)) and segment == "month"
+        return F.coalesce((F.unix_date(found) if days else found).cast("bigint"), F.lit(NO_VALUE))
+
     if not keys:
-        return df.withColumn(_SEG, part)
+        return df.withColumn(_SEG, part())
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS)
     # At most one row per HOT_ROWS rows of the table.
     hot = stage(sizes.select(*keys, F.lit(True).alias(_HOT)), "hot_keys")
     if hot.isEmpty():
         return None
-    return _join_small(df, hot, keys).withColumn(_SEG, F.when(F.col(_HOT), part)).drop(_HOT)
+    return _join_small(df, hot, keys).withColumn(_SEG, F.when(F.col(_HOT), part())).drop(_HOT)
+
+
+def _tied(df: DataFrame, order: list[str], cols=None) -> tuple[DataFrame, list[str]]:
+    """The frame and its order with a last column that settles ties: a hash of ``cols``, by default of all columns."""
+    told = [f.name for f in df.schema if f.name not in order and (cols is None or f.name in cols) and "map<" not in f.dataType.simpleString()]
+    return df.withColumn(_TIE, F.xxhash64(*told) if told else F.lit(0).cast("bigint")), [*order, _TIE]
 
 
 def _between_segments(keys, descending: bool = False) -> WindowSpec:
@@ -103,11 +118,12 @@ def _numbered(body: DataFrame, order, keys, name: str) -> DataFrame:
 
 def row_index(df: DataFrame, order, keys=(), name: str = "rn", segment=None) -> DataFrame:
     """Adds the 0-based position of a row inside its key."""
-    order, keys = names(order), names(keys)
+    keys = names(keys)
+    df, order = _tied(df, names(order))
     split = _split(df, order, keys, segment)
     if split is None:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    return _numbered(split, order, keys, name).drop(_SEG)
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint")).drop(_TIE)
+    return _numbered(split, order, keys, name).drop(_SEG, _TIE)
 
 
 STEP = "__step"
@@ -118,7 +134,8 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
     ``v`` at the nearest non-NULL row, the row itself included. With ``steps`` the rows are also numbered
     per key, and the structs and the row carry that number as ``__step``; only differences of it count.
     """
-    order, cols, keys = names(order), names(cols), names(keys)
+    cols, keys = names(cols), names(keys)
+    df, order = _tied(df, names(order), cols)
     numbered = [STEP] if steps else []
 
     def mark(c):
@@ -141,7 +158,7 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
 
     split = _split(df, order, keys, segment)
     if split is None:
-        return local(number(df, keys), keys)
+        return local(number(df, keys), keys).drop(_TIE)
 
     body = number(split, [*keys, _SEG])
     ends = body.filter(F.col(_SEG).isNotNull()).groupBy(*keys, _SEG).agg(
@@ -174,7 +191,7 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
             **{f"__prev_{c}": F.coalesce(f"__prev_{c}", f"__before_{c}") for c in cols},
             **{f"__next_{c}": F.coalesce(f"__next_{c}", f"__after_{c}") for c in cols},
         }
-    ).drop(_SEG, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
+    ).drop(_SEG, _TIE, "__offset", *[f"__{side}_{c}" for c in cols for side in ("before", "after")])
 
 
 Step = Callable[[WindowSpec], dict[str, Column]]
@@ -188,13 +205,14 @@ def over_rows(
     Each step maps an ordered window to new columns; later steps may read columns of earlier ones, and
     ``before`` / ``after`` are then the sums of the reaches.
     """
-    order, keys = names(order), names(keys)
+    keys = names(keys)
+    df, order = _tied(df, names(order))
     steps = steps if isinstance(steps, list) else [steps]
     split = _split(df, order, keys, segment)
     if split is None:
         for step in steps:
             df = df.withColumns(step(Window.partitionBy(*keys).orderBy(*order)))
-        return df
+        return df.drop(_TIE)
 
     size = max(BLOCK_ROWS, 4 * (before + after))
     hot = F.col(_SEG).isNotNull()
@@ -212,7 +230,7 @@ def over_rows(
     )
     for step in steps:
         rows = rows.withColumns(step(Window.partitionBy(*keys, _BLOCK).orderBy(_RN)))
-    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK, _SEG)
+    return rows.filter(F.col(_OWN) == F.col(_BLOCK)).drop(_RN, _OWN, _BLOCK, _SEG, _TIE)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys=()) -> DataFrame:

@@ -37,15 +37,22 @@ def null_profile(df: DataFrame, skip=("timestamp", "date", "created_at", "update
     )
 
 
+def without_nan(df: DataFrame, cols) -> DataFrame:
+    """The columns as doubles, NaN as NULL."""
+    value = lambda c: F.col(c).cast("double")
+    return df.select(*[F.when(~F.isnan(value(c)), value(c)).alias(c) for c in cols])
+
+
 def exact_quantiles(df: DataFrame, cols, probs, limit: int = 1_000_000, error: float = 0.001) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns, linear between ranks.
 
     Every wanted rank is bracketed by approximate quantiles and only the values strictly between the two
-    stay in play, well under one percent of them, until at most ``limit`` are left; these meet in one
-    task, never more. All columns and ranks share the passes: two per round, and a last one.
+    stay in play, well under one percent of them, until at most ``limit`` are left in all; these meet in one
+    task, never more. A rank that its bracket misses goes on in the part beside it. All columns and ranks share
+    the passes: two per round, and a last one. NaN counts as NULL.
     """
     cols = names(cols)
-    base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    base = without_nan(df, cols).toDF(*[f"v{i}" for i in range(len(cols))])
     sizes = base.agg(*[F.count(c) for c in base.columns]).first()
 
     # rank wanted -> (low, high, rank among the values between them, number of these values)
@@ -61,9 +68,18 @@ def exact_quantiles(df: DataFrame, cols, probs, limit: int = 1_000_000, error: f
     def between(i, low, high):
         v = F.col(f"v{i}")
         inside = v.isNotNull()
-        return inside if low is None else inside & (v > low) & (v < high)
+        inside = inside if low is None else inside & (v > low)
+        return inside if high is None else inside & (v < high)
+
+    def too_many():
+        bands = {(k[0], t[0], t[1]): t[3] for k, t in open_ranks.items()}
+        return open_ranks if sum(bands.values()) > limit else {}
+
+    def between_all(i, low, high, bound_low, bound_high):
+        v = F.col(f"v{i}")
+        return between(i, bound_low, bound_high) & (v > low) & (v < high)
 
-    while wide := {k: t for k, t in open_ranks.items() if t[3] > limit}:
+    while wide := {k: t for k, t in too_many().items() if t[3] > 1}:
         bands = list(dict.fromkeys((k[0], t[0], t[1]) for k, t in wide.items()))
         columns = [F.when(between(*band), F.col(f"v{band[0]}")).alias(f"b{j}") for j, band in enumerate(bands)]
         marks = {}
@@ -80,19 +96,28 @@ def exact_quantiles(df: DataFrame, cols, probs, limit: int = 1_000_000, error: f
                 F.struct(
                     F.count_if(between(k[0], *wide[k][:2]) & (F.col(f"v{k[0]}") < low)).alias("less"),
                     F.count_if(F.col(f"v{k[0]}") == low).alias("low"),
-                    F.count_if(between(k[0], low, high)).alias("inside"),
+                    F.count_if(between_all(k[0], low, high, *wide[k][:2])).alias("inside"),
+                    F.count_if(F.col(f"v{k[0]}") == high).alias("high"),
                 )
                 for k, (low, high) in ends.items()
             ]
         ).first()
         for (k, (low, high)), n in zip(ends.items(), counts):
-            rank = wide[k][2] - n.less - n.low
-            if rank < 0 or low == high:
+            start, end, rank, size = wide[k]
+            if rank < n.less:
+                open_ranks[k] = (start, low, rank, n.less)
+                continue
+            rank -= n.less + n.low
+            middle, above = (0, 0) if low == high else (n.inside, n.high)
+            if rank < 0:
                 found[k] = low
-            elif rank >= n.inside:
+            elif rank < middle:
+                open_ranks[k] = (low, high, rank, middle)
+                continue
+            elif rank < middle + above:
                 found[k] = high
             else:
-                open_ranks[k] = (low, high, rank, n.inside)
+                open_ranks[k] = (high, end, rank - middle - above, size - n.less - n.low - middle - above)
                 continue
             del open_ranks[k]
 
@@ -116,8 +141,9 @@ def exact_quantiles(df: DataFrame, cols, probs, limit: int = 1_000_000, error: f
 
 
 def describe_long(df: DataFrame, cols, limit: int = 1_000_000) -> DataFrame:
-    """count, mean, std (n-1), min, exact quartiles, max; one row per column."""
+    """count, mean, std (n-1), min, exact quartiles, max; one row per column. NaN counts as NULL."""
     cols = names(cols)
+    df = without_nan(df, cols)
     stats = df.agg(
         *[
             F.struct(
@@ -128,18 +154,10 @@ def describe_long(df: DataFrame, cols, limit: int = 1_000_000) -> DataFrame:
         ],
         F.count(F.lit(1)).alias("__rows"),
     )
-    # The quartiles of a table that fits one task come in one aggregate; a larger one is narrowed down.
-    if df.count() <= limit:
-        quarts = df.agg(
-            *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(f"q_{i}")
-              for i, c in enumerate(cols)]
-        )
-        stats = attach(stats, quarts)
-    else:
-        quarts = exact_quantiles(df, cols, (0.25, 0.5, 0.75), limit)
-        stats = stats.withColumns(
-            {f"q_{i}": F.array(*[F.lit(q).cast("double") for q in quarts[c]]) for i, c in enumerate(cols)}
-        )
+    quarts = exact_quantiles(df, cols, (0.25, 0.5, 0.75), limit)
+    stats = stats.withColumns(
+        {f"q_{i}": F.array(*[F.lit(q).cast("double") for q in quarts[c]]) for i, c in enumerate(cols)}
+    )
     return _rows(
         stats,
         [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Imputer, VectorAssembler
@@ -74,10 +75,10 @@ def fit_elastic(train, features, y, alpha: float = 1.0, l1_ratio: float = 0.5) -
 
 
 def fit_forest(train, features, y, n_estimators=100, max_depth=None, min_samples_split=2) -> PipelineModel:
-    # A node splits from min_samples_split rows on, so each side keeps at least half of them.
+    """A forest. ``min_samples_split`` is taken for the sake of the search space and has no effect: MLlib can only
+    bound the rows per leaf, which would forbid splits that this parameter allows."""
     estimator = RandomForestRegressor(
-        labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth,
-        minInstancesPerNode=max(1, min_samples_split // 2), seed=SEED,
+        labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth, seed=SEED,
     )
     return _fit(train, features, y, estimator)
 
@@ -113,14 +114,14 @@ def draws(space: dict[str, list], n: int = 20, seed: int = SEED) -> list[dict]:
 
 
 def random_search(train, test, features, y, algorithm: str, space=None, n=20, seed=SEED) -> tuple[PipelineModel, dict, float]:
-    """Fit n draws and keep the one with the lowest mean absolute error on ``test``; a draw that fails
-    is skipped. Pass a validation split as ``test`` to keep the hold-out out of the choice."""
+    """Fit n draws and keep the one with the lowest mean absolute error on ``test``; a draw whose
+    parameters the estimator refuses is skipped. Pass a validation split as ``test`` to keep the hold-out out of the choice."""
     best = None
     for params in draws(SEARCH_SPACE[algorithm] if space is None else space, n, seed):
         try:
             model = FITS[algorithm](train, features, y, **params)
             mae = score(model, test, features).agg(F.avg(F.abs(F.coalesce(F.col(y), F.lit(0.0)) - F.col("prediction")))).first()[0]
-        except Exception as error:  # a bad draw must not end the search
+        except (IllegalArgumentException, TypeError) as error:  # bad parameters end a draw; a lost cluster ends the search
             print(f"draw {params} failed: {error}")
             continue
         if mae is not None and (best is None or mae < best[2]):
@@ -237,11 +238,13 @@ def pca(df: DataFrame, cols, k: int = 3) -> tuple[DataFrame, list[float]]:
 
 
 def regimes(df: DataFrame, cols, k: int = 3, starts: int = 10, seed: int = SEED) -> DataFrame:
-    """K-means cluster of each row on its columns; of several starts the tightest is kept."""
-    assembled = VectorAssembler(inputCols=names(cols), outputCol="__x").transform(df.dropna(subset=names(cols)))
+    """K-means cluster of each row on its standardised columns; of several starts the tightest is kept."""
+    cols = names(cols)
+    scaled = zscore(df.dropna(subset=cols), cols, suffix="__z")
+    assembled = VectorAssembler(inputCols=[f"{c}__z" for c in cols], outputCol="__x").transform(scaled)
     models = [KMeans(k=k, seed=seed + i, featuresCol="__x", predictionCol="cluster").fit(assembled) for i in range(starts)]
     best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(assembled).drop("__x")
+    return best.transform(assembled).drop("__x", *[f"{c}__z" for c in cols])
 
 
 def cluster_profile(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:

@@ -116,9 +116,10 @@ def metric_stability(runs: DataFrame, metric: str, key: str = "model_name", digi
 
 
 def deployment_timeline(deployments: DataFrame, models: list[str]) -> DataFrame:
-    """Time of deployment by model: Active, Inactive or blank; the last row of a time decides."""
+    """Time of deployment by model: Active, Inactive or blank. Times are shown to the second; of several deployments in
+    one, the latest decides, then the larger id."""
     status = F.when(F.col("traffic_split") > 0, "Active").otherwise("Inactive")
-    cell = lambda m: F.max_by(status, F.when(F.col("model_name") == m, F.col("deployment_id")))
+    cell = lambda m: F.max_by(status, F.when(F.col("model_name") == m, F.struct("deployed_at", "deployment_id")))
     when = fmt_ts("deployed_at", missing="")
     return deployments.groupBy(when.alias("deployment_date")).agg(*[F.coalesce(cell(m), F.lit("")).alias(m) for m in models])
 

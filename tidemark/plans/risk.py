@@ -102,6 +102,7 @@ def risk_alerts(df: DataFrame, order="date", e=(), index="cmri_normalized", rise
         fields = {"type": F.lit(kind), "title": F.lit(title), "message": message, "severity": F.lit(severity)}
         return F.when(when, F.struct(*[v.alias(k) for k, v in fields.items()]))
 
+    # Titles and severities of the alerts.
     alerts = F.array(
         alert(F.col("risk_level") == "High", "warning", "High Risk Alert",
               F.format_string("Index is at %.2f - high risk level", F.col(index)), "high"),

@@ -197,7 +197,7 @@ def components_pair(spark, sf):
 
 @query("m11_regimes")
 def regime(spark, sf):
-    return M.cluster_profile(M.regimes(_line(spark, sf), X, 3, starts=2), X)
+    return M.cluster_profile(M.regimes(_line(spark, sf), X, 3, starts=10), X)
 
 
 @query(

@@ -137,7 +137,7 @@ def _named(spark, sf):
     "g09_deployment_timeline",
     cte("deployments")
     + "SELECT strftime(deployed_at, '%Y-%m-%d %H:%M:%S') AS deployment_date, "
-    + ", ".join(f"COALESCE(arg_max(CASE WHEN traffic_split > 0 THEN 'Active' ELSE 'Inactive' END, CASE WHEN event_type = '{m}' THEN deployment_id END), '') AS {m}" for m in MODELS)
+    + ", ".join(f"COALESCE(arg_max(CASE WHEN traffic_split > 0 THEN 'Active' ELSE 'Inactive' END, CASE WHEN event_type = '{m}' THEN lpad(epoch_us(deployed_at)::VARCHAR, 20, '0') || deployment_id END), '') AS {m}" for m in MODELS)
     + " FROM deployments GROUP BY 1",
 )
 def timeline(spark, sf):
