@@ -350,7 +350,7 @@ def test_fits(spark):
     assert error(M.fit_linear(train, ["a", "b"], "y")) < 0.15
     assert error(M.fit_forest(train, ["a", "b"], "y", 20, None, 2)) < 1.0
     assert error(M.fit_gbt(train, ["a", "b"], "y", 20)) < 1.0
-    assert error(M.fit_gbt(train, ["a", "b"], "y", 10, num_leaves=31, subsample=0.8, colsample=0.8)) < 1.5
+    assert error(M.fit_gbt(train, ["a", "b"], "y", 10, num_leaves=31, subsample=0.8, colsample_bytree=0.8)) < 1.5
     model, params, mae = M.random_search(train, test, ["a", "b"], "y", "elastic_net", n=4)
     assert close(mae, error(model)) and set(params) == {"alpha", "l1_ratio"} and mae < 1.5
     with pytest.raises(RuntimeError):

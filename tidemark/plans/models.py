@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -29,11 +31,11 @@ SEARCH_SPACE = {
         "n_estimators": [100, 200, 300], "max_depth": [None, 5, 8, 12], "min_samples_split": [2, 5, 10],
     },
     "gradient_boosting": {"n_estimators": [100, 200], "learning_rate": [0.01, 0.05, 0.1], "max_depth": [2, 3, 4]},
-    "sampled_boosting": {
+    "xgboost": {
         "n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1], "max_depth": [3, 4, 5, 6],
-        "subsample": [0.8, 1.0], "colsample": [0.8, 1.0],
+        "subsample": [0.8, 1.0], "colsample_bytree": [0.8, 1.0],
     },
-    "leaf_boosting": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1], "num_leaves": [31, 63, 127]},
+    "lightgbm": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1], "num_leaves": [31, 63, 127]},
 }
 LAG_SPACE = [1, 2, 3]
 SEED = 42
@@ -84,13 +86,13 @@ def fit_forest(train, features, y, n_estimators=100, max_depth=None, min_samples
 
 
 def fit_gbt(
-    train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0, colsample=1.0, num_leaves=None
+    train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0, colsample_bytree=1.0, num_leaves=None
 ) -> PipelineModel:
-    """Boosted trees. A tree of ``num_leaves`` leaves is grown to the depth that holds as many."""
+    """Boosted trees, for all three boosting names of the search space. A tree of ``num_leaves`` leaves is grown to the depth that holds as many."""
     estimator = GBTRegressor(
         labelCol=y, maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=subsample, seed=SEED,
         maxDepth=max_depth if num_leaves is None else (num_leaves - 1).bit_length(),
-        featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
+        featureSubsetStrategy="all" if colsample_bytree >= 1.0 else str(colsample_bytree),
     )
     return _fit(train, features, y, estimator)
 
@@ -100,8 +102,8 @@ FITS: dict[str, Callable] = {
     "elastic_net": fit_elastic,
     "random_forest": fit_forest,
     "gradient_boosting": fit_gbt,
-    "sampled_boosting": fit_gbt,
-    "leaf_boosting": fit_gbt,
+    "xgboost": fit_gbt,
+    "lightgbm": fit_gbt,
 }
 
 
@@ -113,22 +115,30 @@ def draws(space: dict[str, list], n: int = 20, seed: int = SEED) -> list[dict]:
     return [{k: rng.choice(v) for k, v in space.items()} for _ in range(n)]
 
 
-def random_search(train, test, features, y, algorithm: str, space=None, n=20, seed=SEED) -> tuple[PipelineModel, dict, float]:
-    """Fit n draws and keep the one with the lowest mean absolute error on ``test``; a draw whose
-    parameters the estimator refuses is skipped. Pass a validation split as ``test`` to keep the hold-out out of the choice."""
-    best = None
-    for params in draws(SEARCH_SPACE[algorithm] if space is None else space, n, seed):
+def random_search(
+    train, test, features, y, algorithm: str, space=None, n=20, seed=SEED, parallelism: int = 4
+) -> tuple[PipelineModel, dict, float]:
+    """Fit n draws, ``parallelism`` at a time, and keep the one with the lowest mean absolute error on ``test``; of equal
+    ones the first drawn. A set drawn twice is fitted once, and one whose parameters the estimator refuses is skipped.
+    Pass a validation split as ``test`` to keep the hold-out out of the choice."""
+
+    def attempt(params):
         try:
             model = FITS[algorithm](train, features, y, **params)
             mae = score(model, test, features).agg(F.avg(F.abs(F.coalesce(F.col(y), F.lit(0.0)) - F.col("prediction")))).first()[0]
         except (IllegalArgumentException, TypeError) as error:  # bad parameters end a draw; a lost cluster ends the search
             print(f"draw {params} failed: {error}")
-            continue
-        if mae is not None and (best is None or mae < best[2]):
-            best = (model, params, mae)
-    if best is None:
+            return None
+        return None if mae is None else (model, params, mae)
+
+    drawn = draws(SEARCH_SPACE[algorithm] if space is None else space, n, seed)
+    different = [p for i, p in enumerate(drawn) if p not in drawn[:i]]
+    with ThreadPool(min(parallelism, len(different))) as pool:
+        tried = pool.map(inheritable_thread_target(train.sparkSession)(attempt), different)
+    fitted = [t for t in tried if t is not None]
+    if not fitted:
         raise RuntimeError(f"no parameter set of {algorithm} could be fitted")
-    return best
+    return min(fitted, key=lambda t: t[2])
 
 
 def score(model: PipelineModel, df: DataFrame, features) -> DataFrame:
@@ -144,6 +154,17 @@ def with_errors(df: DataFrame, y: str, yhat: str = "prediction") -> DataFrame:
     )
 
 
+def train_and_serve(
+    features: DataFrame, y: str, xs, order=("year", "week"), holdout: int = 100, fit: Callable = fit_linear, e=()
+) -> DataFrame:
+    """Split a feature table by rank, fit on the early rows, and score the last ``holdout`` with errors and week labels.
+    NULL features and targets count 0 in training, NULL features 0 in serving; errors of unknown targets are NULL."""
+    split = stage(time_split(features.select(*names(e), *names(order), *names(xs), y), list(order), holdout, e), "split")
+    model = fit(split.filter("split = 'train'"), xs, y)
+    served = score(model, split.filter("split = 'test'"), xs)
+    return label_history(with_errors(served, y)).drop("split")
+
+
 def label_history(df: DataFrame) -> DataFrame:
     return df.withColumn("label", week_label("year", "week"))
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
+
+from tidemark.session import stage
+
+#: Folder column of tables kept by day.
+DAY = "partition_day"
 
 
 def write_batch(df: DataFrame, path: str, key: str, stamp=None) -> None:
@@ -38,6 +44,40 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/snapshot={version}")
 
 
+def write_days(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
+    """Write a table in folders by the day of ``by``, a date or timestamp; NULL has a folder of its own. Days are ranged
+    together with all columns of a fixed order, so one heavy day is written by many tasks."""
+    kept = df.withColumn(DAY, F.col(by).cast("date"))
+    spread = kept.repartitionByRange(DAY, F.xxhash64(*df.columns))
+    spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+
+
+def read_days(spark: SparkSession, path: str, table_schema: StructType, days: list | None = None) -> DataFrame:
+    """A table of ``write_days``, or only the named days of it (None among them: rows without a day). The other folders
+    are not read."""
+    kept = spark.read.schema(StructType([*table_schema.fields, StructField(DAY, DateType())])).parquet(path)
+    if days is not None:
+        known = F.col(DAY).isin([d for d in days if d is not None])
+        kept = kept.filter(known | F.col(DAY).isNull() if None in days else known)
+    return kept.select(*table_schema.names)
+
+
+def upsert_days(source: DataFrame, path: str, table_schema: StructType, by: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Merge rows into a table of ``write_days``, reading and replacing only the days that the rows fall on.
+
+    ``by`` must be one of the keys that ``merge`` compares, so that a row and its match lie on one day. The days of a
+    batch are collected: they are as few as the folders the file index lists anyway. The merged days are written to
+    the shared folder first and then take the place of the old ones, folder by folder. A job that dies before that
+    changes nothing; one that dies while folders are replaced may leave some days old or missing, and plain files offer
+    no more. Use the snapshots of ``write_overwrite`` where readers need all or nothing.
+    """
+    new = stage(source, "batch")
+    days = [r[0] for r in new.select(F.col(by).cast("date")).distinct().collect()]
+    if days:
+        held = read_days(source.sparkSession, path, table_schema, days)
+        write_days(stage(merge(held, new), "merged"), path, by, "overwrite")
+
+
 def write_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

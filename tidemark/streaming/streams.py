@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.text import topic_norm
 from tidemark.plans.news import upsert_raw_news
-from tidemark.sources.sinks import read_current, write_overwrite
+from tidemark.sources.sinks import read_current, upsert_days, write_overwrite
 
 
 def stream_source(spark: SparkSession, folder: str, table_schema: StructType | str, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -37,14 +37,18 @@ def stream_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def stream_upsert(
-    df: DataFrame, table: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame] = upsert_raw_news
+    df: DataFrame, table: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame] = upsert_raw_news,
+    by: str | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch into a snapshot table. The merge is idempotent, so a batch that is run
-    again after a failure leaves the same table."""
+    """Merge each micro-batch into a table: into the days of ``by`` that its rows fall on, for a table kept in folders
+    by day, else into a snapshot table, which is written anew as a whole. The merge is idempotent, so a batch that is
+    run again after a failure leaves the same table."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        held = read_current(batch.sparkSession, table)
-        write_overwrite(merge(held, batch), table)
+        if by is not None:
+            upsert_days(batch, table, df.schema, by, merge)
+        else:
+            write_overwrite(merge(read_current(batch.sparkSession, table), batch), table)
 
     return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -60,10 +64,14 @@ def stream_relevance(df: DataFrame, watermark: str = "1 day", window: str = "1 d
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "topic", "avg_score", "n_articles")
 
 
-def stream_dedupe(df: DataFrame, key="url", watermark: str = "1 day", ts: str = "ts") -> DataFrame:
-    """First row per key; the key is forgotten once the watermark has passed it."""
+def stream_dedupe(df: DataFrame, key="url", watermark: str | None = None, ts: str = "ts") -> DataFrame:
+    """One row per key, the same keys however the stream is cut into batches; the state holds every key seen.
+
+    With a watermark the state stays small and the promise is less: two rows given for a key lie further apart than
+    the watermark, and no key goes missing unless all its rows come late. A key may be given again after that.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     timed = with_event_time(df, ts)
-    if not df.isStreaming:
+    if not df.isStreaming or watermark is None:
         return timed.dropDuplicates(keys)
     return timed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)

@@ -11,7 +11,8 @@ from tidemark.operators.reshape import (
 )
 from tidemark.operators.rolling import first_per_key, latest_per_key, time_split
 from tidemark.plans.registry import enrich_model_name
-from workload.frames import PRIORITIES, cte, daily, daily_staged, monthly, orders, prices, r6, runs, sql_pivot, table, versions, wide_staged
+from tidemark.sources.sinks import read_days, upsert_days, write_days
+from workload.frames import PRIORITIES, cte, daily, daily_staged, monthly, orders, prices, r6, runs, scratch, sql_pivot, table, versions, wide_staged
 from workload.register import query
 
 
@@ -101,6 +102,32 @@ def merge(spark, sf):
     return upsert(held, new, ["user_id", "d"], ["title"], ["ts", "value"], ["user_id"])
 
 
+@query(
+    "j08_upsert_days",
+    _E + _UPSERT
+    + """SELECT COALESCE(h.user_id, n.user_id) AS user_id, COALESCE(h.d, n.d) AS d, COALESCE(n.ts, h.ts) AS ts,
+    COALESCE(n.value, h.value) AS value, COALESCE(n.title, h.title) AS title FROM held h FULL JOIN new n ON h.user_id = n.user_id AND h.d IS NOT DISTINCT FROM n.d""",
+)
+def merge_days(spark, sf):
+    """The same on a table kept by day, of which only the days of the load are read and replaced."""
+    held, new = _sides(spark, sf)
+    path = scratch(spark, "j08")
+    write_days(held, path, "d")
+    upsert_days(new, path, held.schema, "d", lambda t, s: upsert(t, s, ["user_id", "d"], ["title"], ["ts", "value"], ["user_id"]))
+    return read_days(spark, path, held.schema)
+
+
+@query("j07_semi_join", "SELECT c_custkey, c_nationkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def semi(spark, sf):
+    return table(spark, sf, "customer").join(table(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_nationkey")
+
+
+@query("u04_common_keys", "SELECT c_custkey AS key FROM customer INTERSECT SELECT o_custkey FROM orders INTERSECT SELECT user_id FROM events")
+def shared_keys(spark, sf):
+    sets = [table(spark, sf, t).select(F.col(c).alias("key")) for t, c in (("customer", "c_custkey"), ("orders", "o_custkey"), ("events", "user_id"))]
+    return sets[0].intersect(sets[1]).intersect(sets[2])
+
+
 @query(
     "j09_upsert_daily",
     _E + _UPSERT

@@ -13,6 +13,7 @@ from tidemark.operators.rolling import (
     diff, latest_nonnull_per_key, latest_values, market_features, pct_change, rolling_corr, rolling_mean, rolling_std, rolling_z, shocks,
 )
 from tidemark.plans.gold import weekly_features
+from tidemark.plans.models import train_and_serve
 from tidemark.plans.landing import credit_outcomes, daily_macro, monthly_macro, sector_daily
 from tidemark.schemas import DAILY_SERIES, MONTHLY_SERIES
 from tidemark.session import stage
@@ -404,6 +405,21 @@ def gold_rounded(spark, sf):
     return r6(g, *[c for c in g.columns if c not in ("year", "week")])
 
 
+@query(
+    "gold_train_serve",
+    cte("raw", "prices") + _GOLD
+    + """, r AS (SELECT year, week, COALESCE(unemployrate, 0) AS x, COALESCE(delinq, 0) AS y, delinq, ROW_NUMBER() OVER (ORDER BY year, week) AS rn, COUNT(*) OVER () AS total FROM gold),
+    f AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM r WHERE rn <= total - 100),
+    p AS (SELECT *, a + b * x AS yhat FROM r, f WHERE rn > total - 100)
+    SELECT year, week, printf('%04d-W%02d', year, week) AS label, rn, ROUND(yhat, 4) AS prediction, ROUND(yhat - delinq, 4) AS error, ROUND(abs(yhat - delinq), 4) AS abs_error FROM p""",
+)
+def serve(spark, sf):
+    """A linear fit on the early weeks of the gold table, served on its last hundred."""
+    g = gold_rounded(spark, sf)
+    out = train_and_serve(g, "delinq", ["unemployrate"])
+    return r6(out, "prediction", "error", "abs_error", digits=4).select("year", "week", "label", "rn", "prediction", "error", "abs_error")
+
+
 @query(
     "slice_weekly_pivot",
     cte("dense")
