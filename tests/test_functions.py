@@ -119,8 +119,10 @@ def test_metrics_from_json(spark):
     wide = {r.id: (r.MAE, r.SMAPE) for r in J.metric_columns(df, "metrics").collect()}
     assert wide == {1: (3.0, 2.0), 2: (None, None), 3: (None, None)}
     maps = {r.id: r.metrics_all for r in J.metric_map(df.withColumn("MASE", F.lit(9.0)), "metrics").collect()}
-    assert maps[1] == {"SMAPE": 2.0, "MAE": 3.0, "EXTRA": 4.0, "MASE": 9.0}
+    assert maps[1] == {"MAE": 3.0, "EXTRA": 4.0, "MASE": 9.0}
     assert maps[2] == {"MASE": 9.0} and maps[3] == {"MASE": 9.0}
+    odd = spark.createDataFrame([('{"a": NaN, "b": -Infinity, "c": 1e3, "d": true, "e": null, "f": {"g": 1}, "h": 12.50, "C": "7"}',)], "metrics STRING")
+    assert J.metric_map(odd, "metrics").first().metrics_all == {"C": 1000.0, "H": 12.5}
 
 
 def test_json_key_count(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -6,6 +7,7 @@ from helpers import day, rows
 from tidemark.operators.merge import dedupe, incremental, upsert
 from tidemark.plans import news as P
 from tidemark.schemas import schema
+from tidemark.sources.sinks import read_days, upsert_days, write_days
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 
@@ -106,3 +108,30 @@ def test_digest_is_capped_and_newest_first(spark):
     row = P.news_digest(items, "2024-01-20", 5, "topic").first()
     lines = row.digest.split("\n")
     assert row.n_articles == 5 and lines[0].startswith("2024-01-20 00:00:00 | cpi | t0456 | s") and lines[4].startswith("2024-01-19 20")
+
+
+def test_mart_prunes_old_news_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "news")
+    frame(spark, article("a", T0), article("b", None), article("c", dt.datetime(2020, 1, 1))).write.parquet(path)
+    held = spark.createDataFrame([], schema("landing.relevance"))
+    mart = P.relevance_mart(held, spark.read.parquet(path), "2024-01-02")
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.split("PushedFilters")[1:] if "GreaterThanOrEqual(published_at" in line]
+    assert pushed and rows(mart, "date", "num_articles_total") == [(T0.date(), 2)]
+
+
+def test_upsert_reads_and_replaces_touched_days_only(spark, tmp_path):
+    path, kind = str(tmp_path / "days"), schema("raw.news")
+    days = [dt.datetime(2024, 1, d) for d in range(1, 5)]
+    held = frame(spark, *[article("a", d, "old") for d in days], article("n", None, "old"))
+    write_days(held, path, "published_at")
+    kept = {f: f.stat().st_mtime_ns for f in (tmp_path / "days").glob("*=2024-01-0[134]/*.parquet")}
+    new = frame(spark, article("a", days[1], "new", T1), article("z", days[1], "z", T1), article("n", None, "late", T1))
+    upsert_days(new, path, kind, "published_at", P.upsert_raw_news)
+    assert rows(read_days(spark, path, kind)) == rows(P.upsert_raw_news(held, new))
+    assert len(kept) == 3 and kept == {f: f.stat().st_mtime_ns for f in kept if f.exists()}
+    plan = read_days(spark, path, kind, [T1.date(), None])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*partition_day#", plan), plan
+    assert rows(read_days(spark, path, kind, [days[3].date()]), "title") == [("old",)]
+    upsert_days(new.limit(0), path, kind, "published_at", P.upsert_raw_news)
+    assert read_days(spark, path, kind).count() == 6

@@ -59,3 +59,17 @@ def test_dedupe(spark, tmp_path):
     out = str(tmp_path / "out")
     stream_append(stream_dedupe(stream_source(spark, str(tmp_path / "in"), ddl)), out, str(tmp_path / "cp")).awaitTermination()
     assert rows(spark.read.parquet(out), "url") == [("a",), ("b",)]
+
+
+def test_dedupe_does_not_depend_on_batches(spark, tmp_path):
+    t, ddl, loads = dt.datetime(2024, 1, 1), "ts TIMESTAMP, url STRING", 4
+    for name, watermark in (("all", None), ("near", "1 day")):
+        source, out, point = (str(tmp_path / f"{name}-{x}") for x in ("in", "out", "cp"))
+        for i in range(loads):
+            late = t + dt.timedelta(days=2 * i)
+            spark.createDataFrame([(late, "a"), (late, "a"), (late, f"u{i}")], ddl).write.mode("append").parquet(source)
+            stream_append(stream_dedupe(stream_source(spark, source, ddl), watermark=watermark), out, point).awaitTermination()
+        given = rows(spark.read.parquet(out), "url", "ts")
+        assert {u for u, _ in given} == {"a", *(f"u{i}" for i in range(loads))}
+        times = [at for u, at in given if u == "a"]
+        assert len(times) == 1 if watermark is None else all(b - a > dt.timedelta(days=1) for a, b in zip(times, times[1:]))

@@ -47,12 +47,20 @@ def published_at(payload) -> Column:
     return F.coalesce(_first_time(members), _first_time(json_map(F.coalesce(meta, members["metadata"]))))
 
 
-def _canonical_entries(c: str, names: dict[str, str]) -> Column:
+def _number_members(c) -> Column:
+    """(key, text) of the top-level members that are JSON numbers; quoted ones are text, NaN and infinities no numbers."""
+    plain = F.regexp_replace(col(c), r":(\s*)-?(?:NaN|Infinity)", ":$1null")
+    typed = F.map_entries(F.from_json(plain, "MAP<STRING,VARIANT>"))
+    numbers = F.filter(typed, lambda e: F.rlike(F.schema_of_variant(e["value"]), F.lit("^(BIGINT|DECIMAL|FLOAT|DOUBLE)")))
+    return F.transform(numbers, lambda e: F.struct(e["key"].alias("key"), e["value"].try_cast("string").alias("value")))
+
+
+def _canonical_entries(members: Column, names: dict[str, str]) -> Column:
     """(metric, text) members with canonical names; of repeated names the last one stays."""
     canonical = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
     entries = F.coalesce(
         F.transform(
-            F.map_entries(json_map(c)),
+            members,
             lambda e: F.struct(
                 F.coalesce(canonical[F.lower(e["key"])], F.upper(e["key"])).alias("key"), e["value"].alias("value")
             ),
@@ -68,19 +76,19 @@ def _canonical_entries(c: str, names: dict[str, str]) -> Column:
 def metric_columns(df: DataFrame, c: str, names: dict[str, str] = METRICS) -> DataFrame:
     """One double column per known metric, keys matched without case. A column the table already has keeps its value
     where the JSON has no number for it."""
-    read = df.withColumn("__metrics", F.map_from_entries(_canonical_entries(c, names)))
+    read = df.withColumn("__metrics", F.map_from_entries(_canonical_entries(F.map_entries(json_map(c)), names)))
     told = {name: read["__metrics"][name].try_cast("double") for name in names.values()}
     out = {name: F.coalesce(c, F.col(name).try_cast("double")) if name in df.columns else c for name, c in told.items()}
     return read.withColumns(out).drop("__metrics")
 
 
 def metric_map(df: DataFrame, c: str, name: str = "metrics_all", names: dict[str, str] = METRICS) -> DataFrame:
-    """Every numeric metric of a row: JSON members first, then metric columns JSON lacks."""
+    """Every numeric metric of a row: JSON numbers first, then metric columns that no JSON number stands for."""
     read = df.withColumn(
         "__json",
         F.filter(
             F.transform(
-                _canonical_entries(c, names),
+                _canonical_entries(_number_members(c), names),
                 lambda e: F.struct(e["key"].alias("key"), finite_or_null(e["value"]).alias("value")),
             ),
             lambda e: e["value"].isNotNull() & (e["key"] != "TEST_COUNT"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tidemark.functions.dates import safe_ts
 from tidemark.functions.payload import json_map, published_at
@@ -91,6 +92,12 @@ def relevance_mart(target: DataFrame, news: DataFrame, as_of, days: int = 7, sta
     day = F.coalesce(F.col("published_at").cast("date"), F.col("ingest_date"))
     end = F.lit(as_of).cast("date")
     recent = news.filter(day.between(F.date_sub(end, days), end))
+    kind = news.schema["published_at"].dataType
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        # The same range on the plain columns, which scans can use to skip files.
+        first, past = F.date_sub(end, days), F.date_add(end, 1)
+        known = (F.col("published_at") >= first.cast(kind)) & (F.col("published_at") < past.cast(kind))
+        recent = recent.filter(known | (F.col("published_at").isNull() & F.col("ingest_date").between(first, end)))
     scored = relevance_by_day(recent, topics).withColumn(
         "ingest_timestamp", F.lit(stamp).cast("timestamp") if stamp else F.current_timestamp()
     )
