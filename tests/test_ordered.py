@@ -35,7 +35,7 @@ def test_row_index_equals_row_number(series, segment):
     same(O.row_index(series, "date", "key", segment=segment), plain, ["key", "date", "rn"])
 
 
-@pytest.mark.parametrize("segment", ["month", 5000])
+@pytest.mark.parametrize("segment", [None, 16])
 def test_two_phase_carry_equals_global_windows(series, segment):
     past = Window.partitionBy("key").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy("key").orderBy("date").rowsBetween(0, Window.unboundedFollowing)
@@ -49,12 +49,12 @@ def test_two_phase_carry_equals_global_windows(series, segment):
 def test_every_key_split(series, monkeypatch):
     monkeypatch.setattr(O, "HOT_ROWS", 0)
     rules = {"value": "steps"}
-    same(fill(series, "date", rules, "key", "month"), fill(series, "date", rules, "key", O.WHOLE), ["key", "date", "value"])
+    same(fill(series, "date", rules, "key", 16), fill(series, "date", rules, "key", O.WHOLE), ["key", "date", "value"])
 
 
 @pytest.mark.parametrize("rule", ["ffill", "bfill", "both", "dates", "dates_inner", "steps"])
 def test_every_rule_agrees_with_the_whole_window(series, rule):
-    a = fill(series, "date", {"value": rule}, "key", segment="month")
+    a = fill(series, "date", {"value": rule}, "key", segment=16)
     b = fill(series, "date", {"value": rule}, "key", segment=O.WHOLE)
     same(a, b, ["key", "date", "value"])
 
@@ -70,7 +70,7 @@ def test_fills_are_idempotent_and_keep_values(series):
 def test_unkeyed_series(series):
     hot = series.filter("key = 'hot'").drop("key")
     plain = hot.withColumn("value", F.last("value", True).over(Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)))
-    same(ffill(hot, "date", "value"), plain, ["date", "value"])
+    same(ffill(hot, "date", "value", segment=12), plain, ["date", "value"])
 
 
 @pytest.mark.parametrize("block", [16, 64])
@@ -78,14 +78,14 @@ def test_rolling_frames_cross_blocks(series, monkeypatch, block):
     monkeypatch.setattr(O, "BLOCK_ROWS", block)
     w = Window.partitionBy("key").orderBy("date").rowsBetween(-29, 0)
     plain = series.withColumn("value_mean", F.when(F.count("value").over(w) >= 10, F.avg("value").over(w)))
-    same(rolling_mean(series, "date", "value", 30, "key", min_periods=10), plain, ["key", "date", "value_mean"])
+    same(rolling_mean(series, "date", "value", 30, "key", min_periods=10, segment=9), plain, ["key", "date", "value_mean"])
 
 
 def test_leads_and_lags_cross_blocks(series, monkeypatch):
     monkeypatch.setattr(O, "BLOCK_ROWS", 8)
     w = Window.partitionBy("key").orderBy("date")
     plain = series.withColumns({"a": F.lag("value", 5).over(w), "b": F.lead("date", 3).over(w)})
-    ours = O.over_rows(series, "date", lambda v: {"a": F.lag("value", 5).over(v), "b": F.lead("date", 3).over(v)}, "key", 5, 3)
+    ours = O.over_rows(series, "date", lambda v: {"a": F.lag("value", 5).over(v), "b": F.lead("date", 3).over(v)}, "key", 5, 3, segment=9)
     same(ours, plain, ["key", "date", "a", "b"])
 
 
@@ -111,11 +111,29 @@ def test_date_interpolation_edges(spark):
     assert [r[1] for r in rows(interpolate_dates(df, "date", "value", edges="null"))] == [None, 1.0, 1.8, 3.0, None]
 
 
-def test_segment_needs_a_width_for_doubles(spark):
-    df = spark.createDataFrame([(1.5,), (0.5,)], "x DOUBLE")
-    with pytest.raises(ValueError):
-        O.row_index(df, "x")
-    assert rows(O.row_index(df, "x", segment=1), "x", "rn") == [(0.5, 0), (1.5, 1)]
+def test_segments_of_doubles_and_text(spark):
+    df = spark.createDataFrame([(1.5, "c"), (0.5, "a"), (None, "b"), (float("nan"), "d")], "x DOUBLE, t STRING")
+    assert [r[1:] for r in sorted(map(tuple, O.row_index(df, "x", segment=3).select("rn", "t").collect()))] == [("b",), ("a",), ("c",), ("d",)]
+    assert rows(O.row_index(df, "t", segment=3), "t", "rn") == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_a_dense_day_is_cut_by_rows(spark, monkeypatch, keyed):
+    """Rows of one date, most of them without a value, part by number; fills and numbers still follow one total order."""
+    monkeypatch.setattr(O, "HOT_ROWS", 100)
+    data = [("a", dt.date(2020, 1, 1), 5.0 if i == 7 else None, i) for i in range(4000)]
+    df = spark.createDataFrame(data, "key STRING, date DATE, value DOUBLE, id INT")
+    keys = ["key"] if keyed else []
+    for tied in (None, ["value"]):
+        told, order = O._tied(df, ["date"], tied)
+        sizes = [r["count"] for r in O._split(told, order, keys, 8).groupBy(O._SEG).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 1500
+    total = Window.partitionBy("key").orderBy("date", F.xxhash64("key", "value", "id"))
+    plain = df.withColumn("rn", F.row_number().over(total).cast("bigint") - 1)
+    same(O.row_index(df, "date", keys, segment=8), plain, ["id", "rn"])
+    by_value = Window.partitionBy("key").orderBy("date", F.xxhash64("value")).rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn("value", F.last("value", True).over(by_value))
+    same(ffill(df, "date", "value", keys, 8), plain, ["value"])
 
 
 def test_calendar_keeps_every_key(series):
@@ -152,9 +170,9 @@ def test_lag_zero_is_not_needed(series):
     assert "value__lag_2" in with_lags(series, "date", "value", [1, 2], "key").columns
 
 
-@pytest.mark.parametrize("hot", [0, 5, 10**9])
+@pytest.mark.parametrize("hot,parts", [(0, 6), (5, None), (10**9, 6)])
 @pytest.mark.parametrize("keyed", [True, False])
-def test_null_and_tied_order_values(spark, monkeypatch, hot, keyed):
+def test_null_and_tied_order_values(spark, monkeypatch, hot, keyed, parts):
     """NULL dates come first, ties are settled alike on both paths, and all answers follow one total order."""
     from pyspark.sql import functions as F
 
@@ -171,15 +189,15 @@ def test_null_and_tied_order_values(spark, monkeypatch, hot, keyed):
     monkeypatch.setattr(ordered, "BLOCK_ROWS", 7)
 
     want = df.withColumn("rn", F.row_number().over(total) - 1)
-    assert rows_of(ordered.row_index(df, "date", keys), "id", "rn") == rows_of(want, "id", "rn")
-    split = rolling.time_split(df, "date", 2, keys)
-    parts = split if isinstance(split, tuple) else (split,)
-    assert all(set(df.columns) <= set(p.columns) for p in parts)
+    assert rows_of(ordered.row_index(df, "date", keys, segment=parts), "id", "rn") == rows_of(want, "id", "rn")
+    split = rolling.time_split(df, "date", 2, keys, parts)
+    pieces = split if isinstance(split, tuple) else (split,)
+    assert all(set(df.columns) <= set(p.columns) for p in pieces)
     moved = df.withColumn("d", F.col("value") - F.lag("value").over(total))
-    assert rows_of(rolling.diff(df, "date", "value", keys, "d"), "id", "d") == rows_of(moved, "id", "d")
+    assert rows_of(rolling.diff(df, "date", "value", keys, "d", parts), "id", "d") == rows_of(moved, "id", "d")
     by_value = part.orderBy("date", F.xxhash64("value")).rowsBetween(Window.unboundedPreceding, 0)
     filled = df.withColumn("value", F.last("value", True).over(by_value))
-    assert rows_of(fills.ffill(df, "date", "value", keys), "id", "value") == rows_of(filled, "id", "value")
+    assert rows_of(fills.ffill(df, "date", "value", keys, parts), "id", "value") == rows_of(filled, "id", "value")
 
 
 def test_order_by_text_needs_no_segment(spark):

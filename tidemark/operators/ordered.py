@@ -2,21 +2,23 @@
 
 A window over ``partitionBy(key)`` sends every row of a key to one task, and an un-keyed window sends
 the whole table there. So the rows per key are counted first. Where no key has more than ``HOT_ROWS``,
-the plain window is the right plan and is used. The keys beyond it, and every un-keyed table, are split
-into *segments* of their order column (a calendar year, or a fixed width); segments are worked on in
-parallel, and only one summary row per segment passes between them:
+the plain window is the right plan and is used. The keys beyond it, and every un-keyed table, are cut
+into *segments* by a range shuffle over all order columns: their bounds follow the number of rows, so a
+dense day is cut like any other, and their number follows the shuffle partitions, so little passes
+between them, one summary row per segment:
 
 * ``row_index``   exact row numbers: count per segment, running total of the counts, number inside.
 * ``neighbours``  last and next non-NULL value: local inside a segment, carried over the summaries.
 * ``over_rows``   any frame of a fixed number of rows: numbered rows are cut into blocks, and each
   block also gets copies of the few rows just outside it.
 
-NULL order values come first and are a segment of their own. Rows that tie on the order columns stand in
-the order of a hash of their other columns, so both paths give the same answer; equal rows are
-interchangeable. A segment holds no more rows than it has dates where a key has one row per date,
-whatever the share of the key.
-``segment`` sets the width; ``segment=WHOLE`` skips the count, for series whose length the calendar
-bounds. The input is read twice or three times: stage it first if it is costly to compute.
+NULL order values come first. Rows that tie on the order columns stand in the order of a hash of their
+other columns, so both paths give the same answer; equal rows are interchangeable.
+
+The cut rows are written to the shared folder: a range shuffle samples its bounds, so a second run of the
+same plan might cut elsewhere. The input is read twice (sample, cut) before that, and the count per key
+reads it once more: stage it first if it is costly to compute. ``segment`` gives the number of segments;
+``segment=WHOLE`` keeps the plain window, for series whose length the calendar bounds.
 """
 
 from __future__ import annotations
@@ -24,15 +26,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
-from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from tidemark.session import stage
 
 WHOLE = "whole"
 
 _SEG, _RN, _OWN, _BLOCK, _HOT, _TIE = "__segment", "__rn", "__own", "__block", "__hot", "__tie"
-#: Segment of rows without an order value: before any other.
-NO_VALUE = -(1 << 62)
 BLOCK_ROWS = 8192
 HOT_ROWS = 1_000_000
 
@@ -44,24 +43,6 @@ def names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def segment_of(df: DataFrame, order: Sequence[str], segment=None) -> Column:
-    """Coarse part of the first order column. Default: a year of dates, a day of timestamps, one unit
-    of the leading integer of a composite order, 8192 units of a single integer."""
-    c, kind = F.col(order[0]), df.schema[order[0]].dataType
-    stamp = isinstance(kind, (TimestampType, TimestampNTZType))
-    if segment in ("year", "month"):
-        return F.year(c) if segment == "year" else F.trunc(c, "MM")
-    if isinstance(kind, DateType):
-        return F.floor(F.unix_date(c) / segment) if segment else F.year(c)
-    if stamp:
-        return F.floor(F.unix_seconds(c.cast("timestamp")) / (segment or 86_400))
-    if isinstance(kind, NumericType):
-        if segment is None and not isinstance(kind, IntegralType):
-            raise ValueError(f"give a segment width for the order column {order[0]}")
-        return F.floor(c / (segment or (1 if len(order) > 1 else BLOCK_ROWS)))
-    raise ValueError(f"cannot segment by {order[0]}: {kind.simpleString()}")
-
-
 def _join_small(df: DataFrame, small: DataFrame, keys, also=()) -> DataFrame:
     """Left join to a frame with one row per key. It is staged, so the planner knows its size and
     broadcasts it below the session's threshold, before the rows are shuffled. NULL keys match."""
@@ -70,29 +51,43 @@ def _join_small(df: DataFrame, small: DataFrame, keys, also=()) -> DataFrame:
     return df.join(right, match, "left").drop(*[f"__r_{k}" for k in [*keys, *also]])
 
 
+def _join_summary(body: DataFrame, summary: DataFrame, keys) -> DataFrame:
+    """Left join to one row per segment. Without keys there are no more of them than shuffle partitions."""
+    if keys:
+        return _join_small(body, summary, keys, [_SEG])
+    return body.join(F.broadcast(summary), _SEG, "left")
+
+
 def _split(df: DataFrame, order, keys, segment) -> DataFrame | None:
     """The frame with the segment of each row of a hot key, NULL on other rows; None when no key is hot."""
     if segment == WHOLE:
         return None
 
-    def part() -> Column:
-        found = segment_of(df, [o for o in order if o != _TIE], segment)
-        days = isinstance(df.schema[order[0]].dataType, (DateType, TimestampType, TimestampNTZType)) and segment == "month"
-        return F.coalesce((F.unix_date(found) if days else found).cast("bigint"), F.lit(NO_VALUE))
+    def cut(rows: DataFrame) -> DataFrame:
+        # The last bound lets rows that differ elsewhere part, where ties are settled by a few columns only.
+        by = [*keys, *order, F.xxhash64(*_hashable(rows))]
+        ranged = rows.repartitionByRange(segment, *by) if segment else rows.repartitionByRange(*by)
+        return stage(ranged.withColumn(_SEG, F.spark_partition_id()), "segments")
 
     if not keys:
-        return df.withColumn(_SEG, part())
+        return cut(df)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS)
     # At most one row per HOT_ROWS rows of the table.
     hot = stage(sizes.select(*keys, F.lit(True).alias(_HOT)), "hot_keys")
     if hot.isEmpty():
         return None
-    return _join_small(df, hot, keys).withColumn(_SEG, F.when(F.col(_HOT), part())).drop(_HOT)
+    marked = _join_small(df, hot, keys)
+    cold = marked.filter(F.col(_HOT).isNull()).withColumn(_SEG, F.lit(None).cast("int"))
+    return cut(marked.filter(_HOT)).unionByName(cold).drop(_HOT)
+
+
+def _hashable(df: DataFrame, without=()) -> list[str]:
+    return [f.name for f in df.schema if f.name not in without and "map<" not in f.dataType.simpleString()]
 
 
 def _tied(df: DataFrame, order: list[str], cols=None) -> tuple[DataFrame, list[str]]:
     """The frame and its order with a last column that settles ties: a hash of ``cols``, by default of all columns."""
-    told = [f.name for f in df.schema if f.name not in order and (cols is None or f.name in cols) and "map<" not in f.dataType.simpleString()]
+    told = [c for c in _hashable(df, order) if cols is None or c in cols]
     return df.withColumn(_TIE, F.xxhash64(*told) if told else F.lit(0).cast("bigint")), [*order, _TIE]
 
 
@@ -110,7 +105,7 @@ def _numbered(body: DataFrame, order, keys, name: str) -> DataFrame:
     )
     inside = F.row_number().over(Window.partitionBy(*keys, _SEG).orderBy(*order))
     return (
-        _join_small(body, offsets, keys, [_SEG])
+        _join_summary(body, offsets, keys)
         .withColumn(name, (F.coalesce("__before", F.lit(0)) + inside - 1).cast("bigint"))
         .drop("__before")
     )
@@ -182,7 +177,7 @@ def neighbours(df: DataFrame, order, cols, keys=(), segment=None, steps: bool =
         *[F.last(f"__last_{c}", True).over(earlier).alias(f"__before_{c}") for c in cols],
         *[F.last(f"__first_{c}", True).over(later).alias(f"__after_{c}") for c in cols],
     )
-    joined = _join_small(body, carried, keys, [_SEG])
+    joined = _join_summary(body, carried, keys)
     if steps:
         joined = joined.withColumn(STEP, F.col(STEP) + F.coalesce("__offset", F.lit(0)))
     found = local(joined, [*keys, _SEG])

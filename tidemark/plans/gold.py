@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidemark.operators.fills import fill
-from tidemark.operators.ordered import names
+from tidemark.operators.ordered import WHOLE, names
 from tidemark.operators.reshape import weekly_combine, weekly_mean
 from tidemark.operators.select import valid_weeks
-from tidemark.session import stage
 
 # How each sparse weekly column is filled.
 WEEKLY_FILLS = {
@@ -26,11 +25,12 @@ def weekly_features(
     daily: DataFrame, monthly: DataFrame, sector: DataFrame, credit: DataFrame, e=(), rules=WEEKLY_FILLS, first_year: int = 1999
 ) -> DataFrame:
     """Weekly means of four landing tables on the weeks of the daily one, sparse columns filled, partial
-    weeks left out. The week filter comes after the fills, which need the weeks it drops."""
+    weeks left out. The week filter comes after the fills, which need the weeks it drops. The calendar bounds
+    the weeks of a key, so its window stays whole."""
     keys = names(e)
     means = [
         weekly_mean(df, "date", [c for c in df.columns if c not in {"date", "load_timestamp", *keys}], keys)
         for df in (daily, monthly, sector, credit)
     ]
-    combined = stage(weekly_combine(means[0], means[1:], [*keys, "year", "week"]), "weekly")
-    return valid_weeks(fill(combined, ["year", "week"], rules, keys), first_year)
+    combined = weekly_combine(means[0], means[1:], [*keys, "year", "week"])
+    return valid_weeks(fill(combined, ["year", "week"], rules, keys, WHOLE), first_year)

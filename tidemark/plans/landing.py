@@ -1,4 +1,7 @@
-"""Raw long series and prices -> landing tables."""
+"""Raw long series and prices -> landing tables.
+
+A table here has one row per key and date, so the calendar bounds a series and its window stays whole.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.fills import fill, interpolate_dates, on_calendar
-from tidemark.operators.ordered import names
+from tidemark.operators.ordered import WHOLE, names
 from tidemark.operators.reshape import mean_by_date, pivot_many, pivot_max
 from tidemark.operators.rolling import first_per_key
 from tidemark.session import stage
@@ -25,9 +28,8 @@ def monthly_macro(raw: DataFrame, mode: str = "reference", start: str = FIRST_DA
     keys = names(e)
     rows = raw.filter((F.col("date") >= F.lit(start).cast("date")) & F.col("series").isin(list(series)))
     wide = pivot_max(rows.filter(F.col("value").isNotNull()), [*keys, "date"], "series", series, "value", digits=2)
-    wide = stage(wide, "macro_wide")
     rules = {gdp: "dates_inner"} if mode == "reference" else {c: "dates" for c in series.values()}
-    return fill(wide, "date", rules, keys).withColumns({c: F.round(c, 2) for c in rules})
+    return fill(wide, "date", rules, keys, WHOLE).withColumns({c: F.round(c, 2) for c in rules})
 
 
 def first_per_date(raw: DataFrame, e=()) -> DataFrame:
@@ -43,8 +45,7 @@ def daily_long(raw: DataFrame, start=FIRST_DAY, end=None, e=(), series=DAILY_SER
     known = raw.filter(F.col("series").isin(list(series)))
     # One row per series and date is small next to the raw rows, and is read twice from here on.
     one = stage(first_per_date(known, e).select(*keys, "date", "value"), "first_per_date")
-    dense = stage(on_calendar(one, start, end, keys), "calendar")
-    return interpolate_dates(dense, "date", "value", keys)
+    return interpolate_dates(on_calendar(one, start, end, keys), "date", "value", keys, segment=WHOLE)
 
 
 def daily_macro(raw: DataFrame, start=FIRST_DAY, end=None, e=(), series=DAILY_SERIES) -> DataFrame:

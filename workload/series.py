@@ -209,7 +209,7 @@ def numbered(spark, sf):
     "SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders",
 )
 def numbered_table(spark, sf):
-    return row_index(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", segment=1000)
+    return row_index(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
 
 
 @query(
