@@ -1,11 +1,15 @@
-"""Composite risk index: components, mix, level, alerts, summary."""
+"""Composite risk index: components, mix, level, alerts, summary.
+
+Its tables have one row per date (and key), so the calendar bounds a series and its window stays whole;
+``segment=None`` cuts hot keys and un-keyed tables instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import row_mean, row_std
-from tidemark.operators.ordered import attach, names, over_rows
+from tidemark.operators.ordered import WHOLE, attach, names, over_rows
 from tidemark.operators.profile import zscore
 from tidemark.operators.reshape import pivot_mean
 from tidemark.operators.rolling import last_n, rolling_z
@@ -38,12 +42,12 @@ def _weighted(df: DataFrame, weights: dict[str, float]) -> Column:
     return out
 
 
-def macro_risk(df: DataFrame, e=(), date="date", weights=MACRO_WEIGHTS, segment=None) -> DataFrame:
+def macro_risk(df: DataFrame, e=(), date="date", weights=MACRO_WEIGHTS, segment=WHOLE) -> DataFrame:
     z = rolling_z(df, date, [c for c in weights if c in df.columns], Z_ROWS, e, segment=segment)
     return z.withColumn("macro_risk", _weighted(z, weights))
 
 
-def market_risk(df: DataFrame, e=(), date="date", prices=ETFS, broad="SPY", financial="XLF", segment=None) -> DataFrame:
+def market_risk(df: DataFrame, e=(), date="date", prices=ETFS, broad="SPY", financial="XLF", segment=WHOLE) -> DataFrame:
     """Half the spread of the prices of a day, less the broad market's score, plus the financials'."""
     z = rolling_z(df, date, [broad, financial], Z_ROWS, e, segment=segment)
     return z.withColumn("market_volatility", row_std(prices)).withColumn(
@@ -53,7 +57,7 @@ def market_risk(df: DataFrame, e=(), date="date", prices=ETFS, broad="SPY", fina
 
 
 def news_risk(
-    df: DataFrame, e=(), date="date", score="avg_sentiment_score", topics=TOPICS, weights=NEWS_WEIGHTS, segment=None
+    df: DataFrame, e=(), date="date", score="avg_sentiment_score", topics=TOPICS, weights=NEWS_WEIGHTS, segment=WHOLE
 ) -> DataFrame:
     """Weighted z-scores of the daily mean score per topic; a topic without news on a day counts 0."""
     wide = pivot_mean(df, [*names(e), date], "topic", {t: t for t in topics}, score)
@@ -87,7 +91,7 @@ def composite(macro: DataFrame, market: DataFrame, news: DataFrame, e=(), date="
     return min_max(mixed, "cmri", e).withColumn("risk_level", risk_level("cmri_normalized"))
 
 
-def risk_alerts(df: DataFrame, order="date", e=(), index="cmri_normalized", rise=0.1, latest_only=False, segment=None) -> DataFrame:
+def risk_alerts(df: DataFrame, order="date", e=(), index="cmri_normalized", rise=0.1, latest_only=False, segment=WHOLE) -> DataFrame:
     """One row per alert: high level, rise above ``rise``, changed level. A key's first row has none."""
 
     def previous(w):

@@ -9,8 +9,7 @@ from tidemark.plans.risk import (
     simple_index, traffic_light,
 )
 from tidemark.operators.reshape import pivot_max
-from tidemark.session import stage
-from workload.frames import SEGMENTS, case, cte, daily, daily_staged, mapped, prices, r6, wide_staged
+from workload.frames import PRIORITIES, SEGMENTS, case, cte, daily, daily_staged, mapped, prices, r6, wide_staged
 from workload.register import query
 
 # Columns of the wide table that stand in for the macro columns, and series that stand in for topics.
@@ -49,27 +48,27 @@ _INDEX = (
 _FRAMES = cte("wide", "prices", "daily")
 
 
-def _macro(spark, sf):
-    return macro_risk(wide_staged(spark, sf).withColumnsRenamed(AS_MACRO))
+def _macro(d):
+    return macro_risk(pivot_max(d, "date", "series", PRIORITIES, "value").withColumnsRenamed(AS_MACRO))
 
 
 def _market(spark, sf):
-    w = stage(pivot_max(prices(spark, sf), "date", "ticker", SEGMENTS, "close_price"), "prices_wide")
+    w = pivot_max(prices(spark, sf), "date", "ticker", SEGMENTS, "close_price")
     return market_risk(w, prices=_SEG, broad="automobile", financial="building")
 
 
-def _news(spark, sf):
-    scores = daily_staged(spark, sf).select("date", mapped("series", AS_TOPIC).alias("topic"), F.col("value").alias("avg_sentiment_score"))
-    return news_risk(scores)
+def _news(d):
+    return news_risk(d.select("date", mapped("series", AS_TOPIC).alias("topic"), F.col("value").alias("avg_sentiment_score")))
 
 
 def _index(spark, sf):
-    return stage(composite(_macro(spark, sf), _market(spark, sf), _news(spark, sf)), "index")
+    d = daily_staged(spark, sf)
+    return composite(_macro(d), _market(spark, sf), _news(d))
 
 
 @query("r01_macro_risk", _FRAMES + _MACRO + "SELECT date, ROUND(macro_risk, 6) AS macro_risk FROM macro")
 def macro(spark, sf):
-    return r6(_macro(spark, sf).select("date", "macro_risk"), "macro_risk")
+    return r6(_macro(daily(spark, sf)).select("date", "macro_risk"), "macro_risk")
 
 
 @query("r02_market_risk", _FRAMES + _MARKET + "SELECT date, ROUND(market_risk, 5) AS market_risk FROM market")
@@ -79,7 +78,7 @@ def market(spark, sf):
 
 @query("r03_news_risk", _FRAMES + _NEWS + "SELECT date, ROUND(news_risk, 6) AS news_risk FROM news")
 def news(spark, sf):
-    return r6(_news(spark, sf).select("date", "news_risk"), "news_risk")
+    return r6(_news(daily(spark, sf)).select("date", "news_risk"), "news_risk")
 
 
 @query(
