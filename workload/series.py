@@ -18,7 +18,7 @@ from tidemark.plans.landing import credit_outcomes, daily_macro, monthly_macro,
 from tidemark.schemas import DAILY_SERIES, MONTHLY_SERIES
 from tidemark.session import stage
 from workload.frames import (
-    PRIORITIES, SEGMENTS, cte, daily, daily_staged, dense, dense_staged, prices, prices_staged, r6, raw_staged, sql_pivot, sql_round2, sql_week,
+    PRIORITIES, SEGMENTS, cte, daily, daily_staged, dense, dense_staged, prices, prices_staged, r6, raw, raw_staged, sql_pivot, sql_round2, sql_week,
     table, weekly, wide, wide_staged,
 )
 from workload.register import query
@@ -316,7 +316,7 @@ _MONTHLY = (
 
 @query("landing_monthly_macro", cte("raw") + _MONTHLY + "SELECT * FROM macro_m")
 def macro_monthly(spark, sf):
-    return monthly_macro(raw_staged(spark, sf))
+    return monthly_macro(raw(spark, sf))
 
 
 @query(
@@ -326,7 +326,7 @@ def macro_monthly(spark, sf):
     + "SELECT date, " + ", ".join(f"{sql_round2(f'COALESCE({c}, {_line(c)}, {c}_pv, {c}_nv)')} AS {c}" for c in MONTHLY_SERIES.values()) + " FROM mf",
 )
 def macro_monthly_full(spark, sf):
-    return monthly_macro(raw_staged(spark, sf), mode="full")
+    return monthly_macro(raw(spark, sf), mode="full")
 
 
 _DAILY = (
@@ -341,7 +341,7 @@ _DAILY = (
 
 @query("landing_daily_macro", cte("raw") + _DAILY + "SELECT * FROM macro_d")
 def macro_daily(spark, sf):
-    return daily_macro(raw_staged(spark, sf))
+    return daily_macro(raw(spark, sf))
 
 
 @query(
@@ -349,7 +349,7 @@ def macro_daily(spark, sf):
     cte("raw") + _DAILY + "SELECT date FROM dc",
 )
 def calendar(spark, sf):
-    return daily_macro(raw_staged(spark, sf)).select("date")
+    return daily_macro(raw(spark, sf)).select("date")
 
 
 _SECTOR = "SELECT date, " + ", ".join(
