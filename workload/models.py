@@ -167,13 +167,19 @@ def arx_pooled(spark, sf):
 @query(
     "m07_search_arx",
     cte("daily")
-    + """, l AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p FROM daily),
+    + """, l AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p, LAG(value, 2) OVER (PARTITION BY series ORDER BY date) AS q FROM daily),
     n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) <= 100 AS late FROM l WHERE p IS NOT NULL),
-    f AS (SELECT regr_intercept(value, p) AS a, regr_slope(value, p) AS b FROM n WHERE NOT late)
-    SELECT CAST(1 AS BIGINT) AS lags, ROUND(AVG(abs(value - a - b * p)), 3) AS mae FROM n, f WHERE late""",
+    f AS (SELECT regr_intercept(value, p) AS a, regr_slope(value, p) AS b FROM n WHERE NOT late),
+    one AS (SELECT 1 AS lags, AVG(abs(value - a - b * p)) AS mae FROM n, f WHERE late),
+    n2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY series ORDER BY date DESC) <= 100 AS late2 FROM l WHERE q IS NOT NULL),
+    m AS (SELECT var_pop(p) AS vp, var_pop(q) AS vq, covar_pop(p, q) AS pq, covar_pop(p, value) AS py, covar_pop(q, value) AS qy,
+        AVG(p) AS mp, AVG(q) AS mq, AVG(value) AS my FROM n2 WHERE NOT late2),
+    g AS (SELECT (py * vq - qy * pq) / (vp * vq - pq * pq) AS b, (qy * vp - py * pq) / (vp * vq - pq * pq) AS c, mp, mq, my FROM m),
+    two AS (SELECT 2 AS lags, AVG(abs(value - my - b * (p - mp) - c * (q - mq))) AS mae FROM n2, g WHERE late2)
+    SELECT CAST(lags AS BIGINT) AS lags, ROUND(mae, 3) AS mae FROM (SELECT * FROM one UNION ALL SELECT * FROM two) ORDER BY mae, lags LIMIT 1""",
 )
 def arx_search(spark, sf):
-    _, lags, mae = M.search_arx(daily_staged(spark, sf), "date", "value", ps=[1], holdout=100, e="series")
+    _, lags, mae = M.search_arx(daily_staged(spark, sf), "date", "value", ps=[1, 2], holdout=100, e="series")
     return spark.createDataFrame([(lags, round(mae, 3))], "lags BIGINT, mae DOUBLE")
 
 
