@@ -2,6 +2,7 @@
 columns whose names clash."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -483,6 +484,45 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs(rows[:9]), bench.limit(0)).count() == 0
 
 
+def test_masks_fit_every_placement():
+    for wide in range(1, 30):
+        differ = wide - decontamination.needed(wide, decontamination.EQUAL)
+        masks = decontamination.masks_of(wide, decontamination.EQUAL)
+        if wide <= decontamination.OVERLAP:
+            assert (wide, differ) in decontamination.FAMILIES or not differ
+        for changed in itertools.combinations(range(wide), differ):
+            assert any(
+                all(take == "0" or at + j not in changed for j, take in enumerate(mask)) for mask in masks for at in range(wide - len(mask) + 1)
+            ), (wide, changed)
+
+
+def test_decontamination_finds_what_the_check_accepts(spark, docs):
+    rng = random.Random(11)
+    tokens = {n: [f"t{n}x{j}" for j in range(n)] for n in (*range(1, 14), 20)}
+    rows = []
+    for n, item in tokens.items():
+        wide = min(n, decontamination.OVERLAP)
+        differ = wide - decontamination.needed(wide, decontamination.EQUAL)
+        for many in {differ, differ + 1}:
+            for changed in itertools.combinations(range(wide), many):
+                if many <= differ or rng.random() < 0.1:
+                    passage = ["other" if j in changed else w for j, w in enumerate(item[:wide])]
+                    rows.append((len(rows), " ".join([*text(rng, rng.randrange(3)).split(), *passage, *text(rng, rng.randrange(3)).split()])))
+    # Short items that stand more than once, and across two texts.
+    rows += [(len(rows), "t1x0 w1 t1x0 t2x0 t2x1 w2 t2x0 t2x1"), (len(rows) + 1, "t3x0 t3x1"), (len(rows) + 2, "t3x2")]
+    bench = spark.createDataFrame([(n, " ".join(item)) for n, item in tokens.items()], "item_id long, text string")
+    want = {}
+    for i, words in rows:
+        held = np.array(words.split())
+        for n, item in tokens.items():
+            found = [decontamination.aligned(held, np.array(item), shift, decontamination.OVERLAP, decontamination.EQUAL) for shift in range(-n, len(held))]
+            if any(found):
+                want[i, n] = max((x for x in found if x), key=lambda x: (x[0], -x[1], x[2]))
+    got = decontamination.contaminated(docs(rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["matched_tokens"], r["first_token"], r["end_token"]) for r in got} == want
+    assert {n for _, n in want} == set(tokens)
+
+
 # 10
 
 

@@ -13,11 +13,22 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WordHasher, batches_of, is_no_word, key_filter, mixed, passes, text_bytes, word_spans
 from tidemark.session import stage
 
-#: A 1 takes the token at that position, a 0 lets any token pass. All take eight tokens.
-MASKS = ("11111111", "111010110101", "110011101011", "101101011011")
 #: Tokens of an aligned overlap, and how many of them must be equal. Shorter items must overlap as a whole.
 OVERLAP = 13
 EQUAL = 0.8
+#: Masks by (tokens of an overlap, tokens of it that may differ). A 1 takes the token at that position, a 0 lets any
+#: token pass. Wherever the differing tokens lie, one of the masks fits between them at some place of the overlap.
+FAMILIES = {
+    (5, 1): ("1111", "11101", "11011", "10111"),
+    (6, 1): ("1111", "110011"),
+    (7, 1): ("101111", "1111001", "1010111"),
+    (8, 1): ("111111", "11110011", "11001111"),
+    (9, 1): ("11011101", "1110111"),
+    (10, 2): ("1110111", "11011011", "111100011", "110001111", "10111101"),
+    (11, 2): ("1111011", "101001111", "1101100011", "110100111"),
+    (12, 2): ("11101111", "1110010111", "10010111011", "10111100101"),
+    (13, 2): ("111101111", "1110111011", "11010011111", "111110000111", "110011101011"),
+}
 
 
 def tokens_of(column: pa.Array, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
@@ -28,12 +39,27 @@ def tokens_of(column: pa.Array, hasher: WordHasher) -> tuple[np.ndarray, np.ndar
     return hasher(data, starts, ends), np.searchsorted(starts, offsets)
 
 
+def needed(wide: int, equal: float) -> int:
+    """Tokens that must be equal in an overlap of ``wide``."""
+    return int(np.ceil(equal * wide))
+
+
+def masks_of(wide: int, equal: float) -> tuple[str, ...]:
+    """Masks of which one fits every overlap of ``wide`` tokens that the check accepts. Overlaps that must be equal as a
+    whole have a mask of their own, written with ``=``. Without a family, it is the run that some gap between the
+    differing tokens must have."""
+    differ = wide - needed(wide, equal)
+    if not differ:
+        return ("=" * wide,)
+    return FAMILIES.get((wide, differ)) or ("1" * max(1, -(-(wide - differ) // (differ + 1))),)
+
+
 def seed_keys(tokens: np.ndarray, mask: str) -> np.ndarray:
     """A key for each place where the mask fits, over the whole array."""
     size = max(0, len(tokens) - len(mask) + 1)
-    key = np.full(size, np.uint64(int(mask, 2)))
+    key = np.full(size, np.uint64(2 * int(mask.replace("=", "1"), 2) + ("=" in mask)))
     for j, take in enumerate(mask):
-        if take == "1":
+        if take != "0":
             key = key * np.uint64(0x9E3779B97F4A7C15) + tokens[j:j + size]
     return mixed(key)
 
@@ -59,8 +85,10 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
     return picked.mapInArrow(run, "id long, tokens array<long>").groupBy("tokens").agg(F.min("id").alias("item_id"), F.count("*").alias("copies"))
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
-    """(key, item_id, place) of every place of every mask in the items."""
+def item_seeds(items: DataFrame, masks: dict[int, tuple[str, ...]]) -> DataFrame:
+    """(key, item_id, place) of every place in the items of the masks for their length; longer items have those of the
+    longest."""
+    longest = max(masks, default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,10 +96,13 @@ def item_seeds(items: DataFrame) -> DataFrame:
             offsets = np.asarray(held.offsets.to_numpy(), np.int64) - held.offsets[0].as_py()
             tokens = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             ids = batch.column("item_id").to_numpy(zero_copy_only=False)
-            for mask in MASKS:
+            size = np.minimum(np.diff(offsets), longest)
+            for mask in sorted({m for family in masks.values() for m in family}):
                 keys = seed_keys(tokens, mask)
                 at = np.flatnonzero(inside(offsets, len(mask), len(keys)))
                 own = np.searchsorted(offsets, at, "right") - 1
+                fit = np.isin(size[own], [n for n, family in masks.items() if mask in family])
+                at, own = at[fit], own[fit]
                 yield pa.record_batch({"key": pa.array(keys[at].view(np.int64)), "item_id": pa.array(ids[own], pa.int64()),
                                        "place": pa.array((at - offsets[own]).astype(np.int32))})
 
@@ -81,11 +112,12 @@ def item_seeds(items: DataFrame) -> DataFrame:
 RUN = "id long, first int, tokens array<long>, seeds array<struct<place:int,key:long>>"
 
 
-def candidate_runs(docs: DataFrame, filter_: np.ndarray, id_col: str, text_col: str, overlap: int) -> DataFrame:
-    """Stretches of documents around seeds that the filter knows: the tokens with a margin, and the seeds in them."""
+def candidate_runs(docs: DataFrame, filter_: np.ndarray, id_col: str, text_col: str, overlap: int, masks: list[str]) -> DataFrame:
+    """Stretches of documents around seeds that the filter knows: the tokens with a margin, and the seeds in them. Of
+    items that must be equal as a whole, the first place in a document is the best one, so the others are left out."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(filter_)
-    widest = max(map(len, MASKS))
+    widest = max([overlap, *map(len, masks)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, known = WordHasher(), shared.value
@@ -93,14 +125,19 @@ def candidate_runs(docs: DataFrame, filter_: np.ndarray, id_col: str, text_col:
             for part in batches_of(batch, "text"):
                 tokens, offsets = tokens_of(part.column("text"), hasher)
                 at, key = [], []
-                for mask in MASKS:
+                for mask in masks:
                     keys = seed_keys(tokens, mask)
                     hit = np.flatnonzero(passes(known, keys))
                     text = np.searchsorted(offsets, hit, "right")
-                    hit = hit[hit + len(mask) <= offsets[np.minimum(text, len(offsets) - 1)]]
+                    fit = hit + len(mask) <= offsets[np.minimum(text, len(offsets) - 1)]
+                    hit, text = hit[fit], text[fit]
+                    if "=" in mask and len(hit):
+                        order = np.lexsort((hit, keys[hit], text))
+                        new = np.append(True, (np.diff(text[order]) != 0) | (np.diff(keys[hit][order].view(np.int64)) != 0))
+                        hit = hit[order[new]]
                     at.append(hit)
                     key.append(keys[hit])
-                at, key = np.concatenate(at), np.concatenate(key)
+                at, key = np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros(0, np.uint64), *key])
                 if not len(at):
                     continue
                 order = np.argsort(at, kind="stable")
@@ -134,7 +171,7 @@ def aligned(run: np.ndarray, item: np.ndarray, shift: int, overlap: int, equal:
         return None
     same = run[a:b] == item[a - shift:b - shift]
     sums = np.concatenate([[0], np.cumsum(same)])
-    good = np.flatnonzero(sums[wide:] - sums[:-wide] >= np.ceil(equal * wide))
+    good = np.flatnonzero(sums[wide:] - sums[:-wide] >= needed(wide, equal))
     if not len(good):
         return None
     covered = np.zeros(len(same), bool)
@@ -152,19 +189,23 @@ def contaminated(
 
     A passage counts if ``overlap`` consecutive tokens of the document (or a whole shorter item) lie against tokens of
     the item with at least the share ``equal`` of them the same, so single substitutions do not hide it. Places to
-    look at come from spaced seeds: every mask at every token of both sides, joined by hash. A bitmap of fixed size,
+    look at come from spaced seeds: every mask at every token of both sides, joined by hash. The masks go by the
+    length of the overlap and miss none that the check accepts; only lengths that occur among the items are looked
+    for, so a benchmark of long items costs the documents five masks. A bitmap of fixed size,
     whatever the benchmark's, lets the documents drop places without a partner before the join; past a hundred million
     benchmark seeds it fills up and the join does the whole work. The join sees small rows only; tokens of a stretch
     are read once for the check.
 
-    Items of less than eight tokens are too short for a seed and match nothing. Items with equal tokens are reported
-    once, under the smallest id, with their number. NULL or empty texts match nothing; NULL item ids take no part; a
+    Items of any length take part; those of up to four tokens must be in the document as they are. Items with equal
+    tokens are reported once, under the smallest id, with their number. NULL or empty texts match nothing; NULL item ids take no part; a
     NULL document id is reported as NULL; rows that repeat an id are reported together, the best match of each item.
     Other columns are ignored. An empty table on either side gives no rows.
     """
     items = stage(benchmark_items(benchmark, item_col, item_text_col), "bench-items")
-    seeds = stage(item_seeds(items), "bench-seeds")
-    runs = candidate_runs(docs, key_filter(seeds, "key"), id_col, text_col, overlap)
+    sizes = [r["n"] for r in items.select(F.least(F.size("tokens"), F.lit(overlap)).alias("n")).distinct().collect()]
+    masks = {n: masks_of(n, equal) for n in sizes if n > 0}
+    seeds = stage(item_seeds(items, masks), "bench-seeds")
+    runs = candidate_runs(docs, key_filter(seeds, "key"), id_col, text_col, overlap, sorted({m for family in masks.values() for m in family}))
     runs = stage(runs.withColumn("run", F.monotonically_increasing_id()), "bench-runs")
     hits = runs.select("run", F.explode("seeds").alias("s")).select("run", "s.place", "s.key")
     pairs = hits.withColumnRenamed("place", "at").join(seeds, "key").select("run", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
