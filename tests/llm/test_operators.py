@@ -268,6 +268,37 @@ def test_language(spark, docs):
     assert language.predict(docs([]), model).count() == 0
 
 
+def test_language_sums_do_not_vanish():
+    pieces = language.Pieces(["a", "b", "ab", "▁ab"])
+    p = np.array([0.4, 0.3, 0.2, 0.1])
+    model = language.Model(["x"], pieces, np.append(p, 0.0)[:, None])
+    unknown = np.log(language.UNKNOWN)
+    ab = np.log(0.1 + language.UNKNOWN * (0.2 + 0.4 * 0.3))
+    words = ["─" * 40, "ຂ" * 200, "ab" + "─" * 60, "ab" + "─" * 60 + "ab"]
+    want = [41 * unknown, 201 * unknown, ab + 60 * unknown, ab + 60 * unknown + np.log(0.2 + 0.4 * 0.3)]
+    assert np.allclose(model.log_probabilities(words)[:, 0], want, rtol=1e-12)
+    one, two = (language.expectation([w], np.array([3.0]), pieces, p) for w in ("ab", "ab" + "─" * 60))
+    assert np.isfinite(two).all() and np.allclose(one, two, rtol=1e-9)
+    # Far apart from both ends, the sums are those of the middle alone.
+    middle = language.expectation(["─" * 50 + "ab" + "─" * 50], np.array([1.0]), pieces, p)
+    assert np.allclose(middle, np.array([0.12, 0.12, 0.2, 0.0]) / 0.32, rtol=1e-9)
+
+
+def test_language_unknown_characters(spark, docs):
+    kinds = {"en": "the house with water ", "de": "das haus mit wasser "}
+    strange = ["─" * 40, "—…😀" * 20, "ຂ" * 40, "አ" * 50]
+    rows = [(i, kinds[k] * (1 + i % 5) + strange[i // 2 % 4], k) for i, k in enumerate(list(kinds) * 40)]
+    model = language.train(docs(rows))
+    assert np.isfinite(model.table).all() and (model.table[:-1] > 0).all()
+    tests = [(100 + 2 * i, f"{kinds[k]}{s}\n{kinds[k]}", k) for i, (k, s) in enumerate(itertools.product(kinds, strange))]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs(tests), model).collect()}
+    assert all(got[i][0] == k and 0.9 < got[i][1] <= 1 for i, _, k in tests)
+    alone = [*enumerate(strange)] + [(10 + i, f"a{s}") for i, s in enumerate(strange)]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs(alone), model).collect()}
+    assert got[0] == got[1] == ("und", 0.0)
+    assert all(got[i][0] in kinds and 0 < got[i][1] <= 1 for i in got if i > 1)
+
+
 # 5
 
 

@@ -23,6 +23,8 @@ ROUNDS = 4
 LONGEST = 40
 SMOOTH = 0.05
 UNKNOWN = 1e-9
+#: Probabilities under 2**-SHIFT are kept as multiples of it, so products over many characters do not vanish.
+SHIFT = 200
 PRIME = np.uint64(0x100000001B3)
 
 
@@ -103,20 +105,49 @@ def edges(codes: np.ndarray, pieces: Pieces) -> dict[tuple[int, int], np.ndarray
     return out
 
 
-def forward(codes: np.ndarray, spans: dict[tuple[int, int], np.ndarray], table: np.ndarray) -> list[np.ndarray]:
-    """Probability of each prefix, summed over its segmentations, by word and language. ``table`` has a row of
-    probabilities for each piece and one of zeros; a character that is no piece counts ``UNKNOWN``."""
-    alpha = [np.ones((len(codes), table.shape[1]))]
+def raised(p: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities p * 2**-shift with p not too small. Unless something is, the same arrays."""
+    low = p < 2.0 ** -SHIFT
+    return (np.ldexp(p, SHIFT * low), shift + SHIFT * low) if low.any() else (p, shift)
+
+
+def under(p: np.ndarray, shift: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """Probabilities p * 2**-shift as multiples of 2**-now."""
+    return p if shift is now else np.ldexp(p, now - shift)
+
+
+def weight(found: np.ndarray, table: np.ndarray, length: int) -> np.ndarray:
+    """Probabilities of a span's pieces; a character that is no piece counts ``UNKNOWN``."""
+    return np.maximum(table[found], UNKNOWN) if length == 1 else table[found]
+
+
+def forward(codes: np.ndarray, spans: dict[tuple[int, int], np.ndarray], table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Probability of each prefix, summed over its segmentations, by word and language, as (p, shift) for p * 2**-shift.
+    ``table`` has a row of probabilities for each piece and one of zeros."""
+    shape = len(codes), table.shape[1]
+    alpha = [(np.ones(shape), np.zeros(shape, np.int32))]
     for j in range(1, codes.shape[1] + 1):
-        total = np.zeros_like(alpha[0])
+        total, now = np.zeros(shape), alpha[-1][1]
         for i in range(j):
             if (i, j) in spans:
-                p = table[spans[i, j]]
-                total += alpha[i] * (np.maximum(p, UNKNOWN) if j - i == 1 else p)
-        alpha.append(total)
+                total += under(*alpha[i], now) * weight(spans[i, j], table, j - i)
+        alpha.append(raised(total, now))
     return alpha
 
 
+def backward(codes: np.ndarray, spans: dict[tuple[int, int], np.ndarray], table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same of each suffix."""
+    shape, n = (len(codes), table.shape[1]), codes.shape[1]
+    beta = {n: (np.ones(shape), np.zeros(shape, np.int32))}
+    for i in range(n - 1, -1, -1):
+        total, now = np.zeros(shape), beta[i + 1][1]
+        for j in range(i + 1, n + 1):
+            if (i, j) in spans:
+                total += under(*beta[j], now) * weight(spans[i, j], table, j - i)
+        beta[i] = raised(total, now)
+    return [beta[i] for i in range(n + 1)]
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -126,7 +157,8 @@ class Model:
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.languages)))
         for own, codes in by_length(words):
-            out[own] = np.log(forward(codes, edges(codes, self.pieces), self.table)[-1])
+            p, shift = forward(codes, edges(codes, self.pieces), self.table)[-1]
+            out[own] = np.log(p) - shift * np.log(2)
         return out
 
 
@@ -135,16 +167,12 @@ def expectation(words: list[str], counts: np.ndarray, pieces: Pieces, p: np.ndar
     uses, table = np.zeros(pieces.size + 1), np.append(p, 0.0)[:, None]
     for own, codes in by_length(words):
         spans = edges(codes, pieces)
-        alpha = forward(codes, spans, table)
-        n = codes.shape[1]
-        beta = [np.zeros(len(own)) for _ in range(n)] + [np.ones(len(own))]
-        total = alpha[n][:, 0]
-        for (i, j), found in sorted(spans.items(), key=lambda x: -x[0][1]):
-            q = table[found, 0]
-            q = np.maximum(q, UNKNOWN) if j - i == 1 else q
-            # All spans that end behind j are done, so beta[j] is whole.
-            beta[i] += q * beta[j]
-            uses += np.bincount(found, alpha[i][:, 0] * q * beta[j] / total * counts[own], pieces.size + 1)
+        alpha, beta = forward(codes, spans, table), backward(codes, spans, table)
+        total, whole = alpha[-1]
+        for (i, j), found in spans.items():
+            (before, a), (behind, b) = alpha[i], beta[j]
+            share = np.ldexp(before * weight(found, table, j - i) * behind / total, whole - a - b)
+            uses += np.bincount(found, share[:, 0] * counts[own], pieces.size + 1)
     return uses[:-1]
 
 
@@ -164,7 +192,8 @@ def fit(counts: dict[str, tuple[list[str], np.ndarray]], pieces: Pieces, rounds:
 
 def distinct_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct lower-cased words of a column, and for each word in order its number and its document. Words are
-    runs of letters; every byte of a non-ASCII character counts as one. Long words are cut."""
+    runs of letters; every byte of a non-ASCII character counts as one, but runs without any letter (rulers, dashes,
+    emoji) are no words. Long words are cut."""
     data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
     other = np.ones(256, bool)
     other[97:123] = other[128:256] = False
@@ -173,6 +202,10 @@ def distinct_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]
     _, at, number = np.unique(WordHasher()(data, starts, ends), return_index=True, return_inverse=True)
     whole = data.tobytes()
     words = [whole[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+    lettered = np.fromiter((w.isascii() or any(map(str.isalpha, w)) for w in words), bool, len(words))
+    if not lettered.all():
+        words = [w for w, keep in zip(words, lettered) if keep]
+        doc, number = doc[lettered[number]], (np.cumsum(lettered) - 1)[number[lettered[number]]]
     parts = np.fromiter((-(-len(w) // LONGEST) for w in words), np.int64, len(words))
     if (parts > 1).any():
         first = np.cumsum(parts) - parts
