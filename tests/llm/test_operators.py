@@ -428,6 +428,28 @@ def test_license_pruning_is_lossless(docs):
     assert got == {i for i, t in rows if matches(t)} and 30 < len(got) < 300
 
 
+def test_licenses_standard_notices_and_whole_texts(docs):
+    notice = ("This {0} is free software{1} you can redistribute it and/or modify\nit under the terms of the GNU {2} as published by\nthe Free Software "
+              "Foundation{3} either version {4} of the License, or\n(at your option) any later version.")
+    gnu = {"GPL-2.0": ("program", ";", "General Public License", ";", "2"), "GPL-3.0": ("program", ":", "General Public License", ",", "3"),
+           "LGPL-2.1": ("library", ";", "Lesser General Public License", ";", "2.1"), "LGPL-3.0": ("library", ":", "Lesser General Public License", ",", "3"),
+           "AGPL-3.0": ("program", ":", "Affero General Public License", ",", "3")}
+    given = [(name, f"Copyright (C) someone\n\n{notice.format(*words)}\n\nint main;") for name, words in gnu.items()]
+    given += [(name, t) for name, t in licenses.TEMPLATES if len(licenses.bigrams_of(t)) > 60]
+    rows = [(i, t) for i, (_, t) in enumerate(given)]
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(docs(rows)).collect()}
+    assert {i for i, _ in got} == set(range(len(rows)))
+    assert all((i, name) in got for i, (name, _) in enumerate(given))
+    assert all(x == name for i, x in got for name in [given[i][0]] if i < len(gnu))
+    whole = dict(licenses.WHOLE_TEXTS)
+    assert {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "Apache-2.0", "MPL-2.0"} <= set(whole)
+    bodies = [(i, re.sub(r"\s+", " ", t)[:-900].replace("copy", "kopy") + " the end", name) for i, (name, t) in enumerate(whole.items())]
+    best = {}
+    for r in licenses.scan(docs([(i, t) for i, t, _ in bodies])).collect():
+        best[r["doc_id"]] = max(best.get(r["doc_id"], (0, "")), (r["dice"] if r["template"] >= len(licenses.TEMPLATES) else 0, r["license"]))
+    assert {i: x for i, (_, x) in best.items()} == {i: name for i, _, name in bodies} and all(d < 1 for d, _ in best.values())
+
+
 # 8
 
 
