@@ -600,6 +600,18 @@ def test_secrets(docs):
         assert ("[SECRET]" in r["text"]) == (r["doc_id"] % 5 < 2)
 
 
+def test_secret_dictionary_covers_all_documents(spark, docs):
+    rare = "zeitgeber"
+    # As many frequent words as the former dictionary held, and one that stands in few of very many documents.
+    common = ["".join(p) for p in itertools.islice(itertools.product("abcdefgh", repeat=4), 300)]
+    rows = [(i, " ".join(common)) for i in range(1500)] + [(2000 + i, f"{rare} xyzzy" if i < 1 else rare) for i in range(5)]
+    words = {r["word"] for r in secrets.dictionary_of(docs(rows)).collect()}
+    assert words == {*common, rare}
+    values = spark.createDataFrame([("Zeitgeber9zeitgeber9",), ("xyzzy-0123456789",), ("aaaaab00000000000",), ("9xzeitgeberzeitx0",)], "value string")
+    got = {r["value"]: r["covered"] for r in secrets.coverage(values, secrets.dictionary_of(docs(rows))).collect()}
+    assert got == {"Zeitgeber9zeitgeber9": 18, "aaaaab00000000000": 6, "9xzeitgeberzeitx0": 9}
+
+
 def test_secrets_odd(docs):
     assert secrets.scan(odd(docs)).count() == 0 and secrets.scan(docs([])).count() == 0
     two = docs([(1, 'token = "aaaabbbbcccc111122223333" x token = "aaaabbbbcccc111122223333"'), (1, 'password: "q1w2e3r4t5y6u7i8o9p0"'), (None, 'token="aaaabbbbcccc111122223333"')])

@@ -21,8 +21,10 @@ HARMLESS = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|uuid|guid|version|http|
 DRILL = r"(?i)(test|example|sample|fixture|mock|vendor|third.?party|lock|docs?/)"
 #: Findings learnt from at most, by class.
 MOST = 2000
-DICTIONARY_DOCS = 1000
-DICTIONARY_WORDS = 200
+#: Plain words of so many letters count as known if they stand so often in the table, and make up such a share of its words.
+LETTERS = (3, 24)
+LEAST_COUNT = 5
+LEAST_SHARE = 1e-6
 
 FEATURES = [
     "length", "digits", "upper", "other", "distinct", "class_changes", "vowel_changes", "longest_run", "coverage", "harmless_path",
@@ -43,7 +45,19 @@ def findings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                        F.expr("substring(word, length(substring_index(word, value, 1)) + length(value) + 1)").alias("trail"))
 
 
-def features(found: DataFrame, dictionary: list[str]) -> DataFrame:
+def coverage(found: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(value, covered): letters of each different candidate that lie in a word of the dictionary (word), upper case or
+    lower. The n-grams of the candidates' runs of letters meet the words in an equality join."""
+    low, high = LETTERS
+    runs = found.select("value").distinct().select("value", F.posexplode(F.regexp_extract_all(F.lower("value"), F.lit(f"[a-z]{{{low},}}"), F.lit(0))).alias("run", "letters"))
+    starts = runs.select("*", F.explode(F.sequence(F.lit(1), F.length("letters") - low + 1)).alias("first"))
+    spans = starts.select("value", "run", "first", "letters", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.length("letters") - F.col("first") + 1))).alias("n"))
+    grams = spans.select("value", "run", "first", "n", F.expr("substring(letters, first, n)").alias("word"))
+    places = grams.join(dictionary.select("word"), "word").select("value", "run", F.explode(F.expr("sequence(first, first + n - 1)")).alias("place"))
+    return places.distinct().groupBy("value").agg(F.count("*").alias("covered"))
+
+
+def features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The findings with one column per feature: length, what the characters and the steps between them are like, how
     much of the candidate known words cover, what the path and the words beside it say."""
     value, n = F.col("value"), F.length("value")
@@ -52,22 +66,18 @@ def features(found: DataFrame, dictionary: list[str]) -> DataFrame:
     classes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
     vowels = r"(?<=[aeiouAEIOU])(?=[b-df-hj-np-tv-zB-DF-HJ-NP-TV-Z])|(?<=[b-df-hj-np-tv-zB-DF-HJ-NP-TV-Z])(?=[aeiouAEIOU])"
     runs = F.transform(F.regexp_extract_all(value, F.lit("[A-Za-z]+"), F.lit(0)), F.length)
-    covered = F.lit(0.0)
-    if dictionary:
-        pattern = "(" + "|".join(sorted(dictionary, key=lambda w: (-len(w), w))) + ")"
-        covered = 1.0 - F.length(F.regexp_replace(F.lower(value), pattern, "")) / n
     beside = F.concat_ws(" ", "before", "lead")
     flag = lambda c, pattern: F.rlike(c, F.lit(pattern)).cast("double")
     columns = {
         "length": n.cast("double"), "digits": share("[0-9]"), "upper": share("[A-Z]"), "other": share("[^A-Za-z0-9]"),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / n, "class_changes": F.regexp_count(value, F.lit(classes)) / steps,
         "vowel_changes": F.regexp_count(value, F.lit(vowels)) / steps, "longest_run": F.coalesce(F.array_max(runs), F.lit(0)) / n,
-        "coverage": covered, "harmless_path": flag(F.col("path"), DRILL), "credential_word": flag(beside, CREDENTIAL),
+        "coverage": F.coalesce(F.col("covered"), F.lit(0)) / n, "harmless_path": flag(F.col("path"), DRILL), "credential_word": flag(beside, CREDENTIAL),
         "harmless_word": flag(F.concat_ws(" ", beside, F.col("after")), HARMLESS), "assigned": flag(beside, "[=:]"),
         "quoted": flag(F.col("lead"), "[\"'`]$"), "dotted": share(r"\."), "at_sign": flag(F.concat("lead", "trail"), "@"),
     }
     assert list(columns) == FEATURES
-    return found.select("*", F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in columns.values()]).alias("features"))
+    return found.join(coverage(found, dictionary), "value", "left").select(*found.columns, F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in columns.values()]).alias("features"))
 
 
 def rule_labels() -> Column:
@@ -84,19 +94,19 @@ def rule_labels() -> Column:
 @dataclass
 class Model:
     forest: RandomForestClassificationModel | None
-    dictionary: list[str]
+    dictionary: DataFrame
 
 
-def dictionary_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = DICTIONARY_DOCS, words: int = DICTIONARY_WORDS) -> list[str]:
-    """The most frequent plain words of three letters or more in a bounded sample: the ``rows`` documents whose ids
-    have the smallest hash."""
-    ids = docs.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(rows).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    each = texts.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter(F.length("word") >= 3)
-    return [r["word"] for r in each.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(words).collect()]
+def dictionary_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word): the plain words of all documents that are frequent enough, staged counts behind them."""
+    low, high = LETTERS
+    each = docs.select(F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+")).alias("word")).filter(F.length("word").between(low, high))
+    counts = stage(each.groupBy("word").agg(F.count("*").alias("n")), "secret-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.filter(F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * total)).select("word")
 
 
-def train(labelled: DataFrame, dictionary: list[str], *, most: int = MOST, trees: int = 20, depth: int = 5, seed: int = 7) -> Model:
+def train(labelled: DataFrame, dictionary: DataFrame, *, most: int = MOST, trees: int = 20, depth: int = 5, seed: int = 7) -> Model:
     """Fit the forest on labelled findings (the columns of ``findings`` and ``label`` 0 / 1). Of each class at most
     ``most`` rows are learnt from, those with the smallest hash, in one sorted partition, so reruns give the same
     forest. Without rows of both classes there is no forest, and ``scan`` goes by ``rule_labels``."""
@@ -116,7 +126,7 @@ def train_from(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """A model from the documents' own findings under ``rule_labels``, and the staged findings."""
     found = stage(findings(docs, id_col=id_col, text_col=text_col, path_col=path_col), "secret-findings")
     labelled = found.withColumn("label", rule_labels()).filter("label IS NOT NULL")
-    return train(labelled, dictionary_of(docs, id_col, text_col)), found
+    return train(labelled, dictionary_of(docs, text_col)), found
 
 
 def judge(found: DataFrame, model: Model) -> DataFrame:
@@ -134,7 +144,7 @@ def scan(
 
     A candidate is a run of 16 or more characters of keys with a digit; the forest sees its length, characters, their
     transitions, dictionary coverage, the path and the words beside it, and removes numbers, addresses, names and
-    checksums. Without a ``model`` one is trained on the table's own findings under ``rule_labels``.
+    checksums. The dictionary are the words of all documents that stand often enough. Without a ``model`` one is trained on the table's own findings under ``rule_labels``.
 
     NULL and empty texts hold nothing; a NULL path is empty; a NULL id is reported as NULL; rows that repeat an id are
     reported together, with all occurrences and the largest probability. Other columns are ignored. Empty input gives
@@ -143,7 +153,7 @@ def scan(
     if model is None:
         model, found = train_from(docs, id_col=id_col, text_col=text_col, path_col=path_col)
     else:
-        found = findings(docs, id_col=id_col, text_col=text_col, path_col=path_col)
+        found = stage(findings(docs, id_col=id_col, text_col=text_col, path_col=path_col), "secret-findings")
     kept = judge(found, model).filter(F.col("probability") >= threshold)
     return kept.groupBy("id", "value").agg(F.count("*").alias("occurrences"), F.max("probability").alias("probability")).withColumnRenamed("id", id_col)
 
