@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language, licenses, mixing, secrets, simhash, substrings, topk, toxicity, warc
+from tidemark.llm import conversations, decontamination, language, licenses, mixing, resampling, secrets, simhash, substrings, topk, toxicity, warc
 from tidemark.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets by digest: the values themselves stay out of the result."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.sha2("value", 256).alias("secret_sha256"), F.length("value").alias("length"), "occurrences", "probability")
+
+
+@query("op11_resampling", resampling.sql())
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=5, seed=42)
+    return ranked.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_conversations", conversations.sql())
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs damaged conversations; those that lost all rows have nothing to repair."""
+    given = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(given))
+    key = conversations.key_of(F.col("conv_id")).alias("key")
+    digests = conversations.digests(repaired.rows).select(key, "sha256")
+    found = repaired.conversations.select(key, "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+    whole = given.select("conv_id").distinct().withColumn("key", key).join(found, "key", "left").join(digests, "key", "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.lit("").cast("binary")
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(nothing, 256)).alias("repaired_sha256"))
