@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, decontamination, language, licenses, mixing, resampling, secrets, simhash, substrings, topk, toxicity, warc
+from tidemark.llm import conversations, decontamination, language, licenses, mixing, resampling, secrets, simhash, substrings, suffix_arrays, topk, toxicity, warc
 from tidemark.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,9 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     nothing = F.lit("").cast("binary")
     return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(nothing, 256)).alias("repaired_sha256"))
+
+
+@query("op13_suffix_arrays", suffix_arrays.SQL)
+def op13_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"), window=100)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
