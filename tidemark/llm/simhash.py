@@ -39,17 +39,19 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the 64-bit fingerprint of every whole text, as a signed long. NULL texts have no words."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """(id, fp): the 64-bit fingerprint of every whole text, as a signed long; with ``mark``, a string of each row, also
+    that. NULL texts have no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch, "text"):
                 marks = np.array([fingerprint((t.as_py() or "").encode(), shingle) for t in part.column("text")], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(marks.view(np.int64))], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(marks.view(np.int64))], [*part.schema.names[:-1], "fp"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "id long, fp long")
+    told = [] if mark is None else [mark.alias("mark")]
+    picked = docs.select(F.col(id_col).cast("long").alias("id"), *told, F.col(text_col).alias("text"))
+    return picked.mapInArrow(run, f"id long, {'mark string, ' if told else ''}fp long")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -121,3 +123,25 @@ def near_duplicates(
     stars = components(named)
     groups = distinct.join(stars, distinct["first"] == stars["node"], "left").select("fp", F.coalesce("component", "first").alias("component"))
     return marks.join(stage(groups, "simhash-groups"), "fp").select(F.col("id").alias(id_col), "fp", "component")
+
+
+def deduplicated(
+    docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The documents, all columns, one row of each group of near duplicates: that with the smallest id, NULL ids last, and
+    among rows of that id the one with the smallest text hash. Equal rows are kept once.
+
+    Groups are those of ``near_duplicates``, but over fingerprints alone, so rows that repeat an id with another text stay
+    apart, and rows without an id are deduplicated like any other. NULL, empty and blank texts are one group. Texts of any
+    length count whole. Empty input gives no rows.
+    """
+    mark = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    marks = stage(fingerprints(docs, shingle, id_col, text_col, mark), "simhash-marks")
+    pairs = stage(links(marks.select("fp").distinct(), distance), "simhash-links")
+    stars = components(pairs)
+    held = marks.join(stars, marks["fp"] == stars["node"], "left").withColumn("own group", F.coalesce("component", "fp"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
+    firsts = held.groupBy("own group").agg(first.alias("first")).select(F.col("first.id").alias("first id"), F.col("first.mark").alias("first mark"))
+    firsts = stage(firsts, "simhash-firsts")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("first id")) & (F.col("own mark") == F.col("first mark"))
+    return docs.withColumn("own mark", mark).join(firsts, same, "left_semi").dropDuplicates([id_col, "own mark"]).drop("own mark")
