@@ -11,6 +11,8 @@ from tidemark.session import stage
 
 #: A document is rejected if no language is this likely.
 LEAST_POSTERIOR = 0.5
+#: A column that stands for a document inside a stage.
+KEY = "pipeline key"
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,25 +26,30 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_POSTERIOR)).select("row.*")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each id and text: rows that share an id, or have none, can be told apart."""
+    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest id, once if rows repeat it.
-    Documents without an id cannot be told apart and all stay."""
-    groups = simhash.near_duplicates(docs, shingle=4, distance=4)
-    firsts = stage(groups.filter(F.col("doc_id") == F.col("component")).select("doc_id").distinct(), "pipeline-firsts")
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    """Keeps one document of each group of near duplicates: the one with the smallest id, documents without an id last.
+    A row that repeats an id with another text is a document of its own."""
+    return simhash.deduplicated(docs, shingle=4, distance=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark. Documents without an id are matched as one, so they stay."""
-    hits = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(stage(hits.select("doc_id").distinct(), "pipeline-leaks"), "doc_id", "left_anti")
+    """Drops documents that hold a passage of the benchmark, whether they have an id or share one or not."""
+    marked = keyed(docs)
+    hits = decontamination.contaminated(marked.select(F.col(KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = stage(hits.select(F.col("doc_id").alias(KEY)).distinct(), "pipeline-leaks")
+    return marked.join(leaks, KEY, "left_anti").select(*docs.columns)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts by a mark; ``n_chars`` follows. All documents stay."""
-    found = stage(secrets.scan(docs), "pipeline-secrets")
-    cleaned = secrets.redact(docs, found)
+    marked = keyed(docs)
+    found = stage(secrets.scan(marked, id_col=KEY), "pipeline-secrets")
+    cleaned = secrets.redact(marked, found, id_col=KEY)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cleaned = cleaned.withColumn("n_chars", F.when(F.contains("text", F.lit("[SECRET]")), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
