@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import calendar, week_end
-from tidemark.operators.ordered import STEP, names, neighbours
+from tidemark.operators.ordered import STEP, names, neighbours, place
 
 
 def _between(c: str, place: str, distance) -> Column:
@@ -103,11 +103,12 @@ def resample_week(df: DataFrame, date: str, cols, e=(), filled: bool = True) ->
     return fill(out, date, {c: "both" for c in cols}, keys) if filled else out
 
 
-def resample_month_last(df: DataFrame, date: str, cols, e=()) -> DataFrame:
-    """Last non-NULL value of each month, dated at the month's end."""
-    keys = names(e)
+def resample_month_last(df: DataFrame, date: str, cols, e=(), ties=()) -> DataFrame:
+    """Last non-NULL value of each month, dated at the month's end. Of several on one date the last by ``ties``, then in the total
+    order of ``ordered``."""
+    keys, latest = names(e), place(df, date, ties)
     return (
         df.groupBy(*keys, F.last_day(date).alias("__month"))
-        .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(c) for c in names(cols)])
+        .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), latest)).alias(c) for c in names(cols)])
         .withColumnRenamed("__month", date)
     )

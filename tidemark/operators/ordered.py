@@ -91,6 +91,14 @@ def _tied(df: DataFrame, order: list[str], cols=None) -> tuple[DataFrame, list[s
     return df.withColumn(_TIE, F.xxhash64(*told) if told else F.lit(0).cast("bigint")), [*order, _TIE]
 
 
+def place(df: DataFrame, order, ties=()) -> Column:
+    """The place of a row in the one total order of this module, to be compared in ``max_by`` and ``min_by``: the order columns,
+    then ``ties``, then the hash of the others. NULL, and so passed over, where the first order column is NULL."""
+    order = [*names(order), *names(ties)]
+    told = _hashable(df, order)
+    return F.when(F.col(order[0]).isNotNull(), F.struct(*order, (F.xxhash64(*told) if told else F.lit(0).cast("bigint")).alias("tie")))
+
+
 def _between_segments(keys, descending: bool = False) -> WindowSpec:
     """Window over segment summaries, one light row per hot key and segment."""
     seg = F.col(_SEG)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import safe_corr
 from tidemark.operators.fills import ffill
-from tidemark.operators.ordered import attach, names, over_rows
+from tidemark.operators.ordered import attach, names, over_rows, place
 from tidemark.operators.reshape import common_dates, to_long
 from tidemark.operators.rolling import pct_change, with_lags
 
@@ -70,9 +70,10 @@ def ccf(df: DataFrame, order, x: str, y: str, max_lag: int = 24, e=(), segment=N
     return sums.select(*keys, F.inline(F.array(*rows)))
 
 
-def total_return(df: DataFrame, e="ticker", date: str = "date", price: str = "close_price") -> DataFrame:
-    """(last / first - 1) * 100 per key."""
-    present = F.when(F.col(price).isNotNull(), F.col(date))
+def total_return(df: DataFrame, e="ticker", date: str = "date", price: str = "close_price", ties=()) -> DataFrame:
+    """(last / first - 1) * 100 per key. Of several prices on the first or last date the one decides that comes first or last by
+    ``ties``, then in the total order of ``ordered``."""
+    present = F.when(F.col(price).isNotNull(), place(df, date, ties))
     growth = F.try_divide(F.max_by(price, present), F.min_by(price, present))
     return df.groupBy(*names(e)).agg(((growth - 1) * 100).alias("total_return"))
 

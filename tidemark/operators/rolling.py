@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import safe_corr
-from tidemark.operators.ordered import attach, names, over_rows, row_index
+from tidemark.operators.ordered import attach, names, over_rows, place, row_index
 
 
 def _frame(w, n: int):
@@ -115,18 +115,17 @@ def latest_per_key(df, key, order: str, ties=()) -> DataFrame:
     return first_per_key(df, key, [F.col(order).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in names(ties)]])
 
 
-def latest_values(df, order: str, cols, e=(), missing: float = 0.0) -> DataFrame:
-    """Each column at its key's latest date; ``missing`` where that value is NULL or the table is empty."""
-    return df.groupBy(*names(e)).agg(
-        *[F.coalesce(F.max_by(c, order), F.lit(missing)).alias(c) for c in names(cols)]
-    )
+def latest_values(df, order: str, cols, e=(), missing: float = 0.0, ties=()) -> DataFrame:
+    """Each column at its key's latest date; ``missing`` where that value is NULL or the table is empty. All columns come from
+    one row: of several on that date the last by ``ties``, then in the total order of ``ordered``."""
+    latest = place(df, order, ties)
+    return df.groupBy(*names(e)).agg(*[F.coalesce(F.max_by(c, latest), F.lit(missing)).alias(c) for c in names(cols)])
 
 
-def latest_nonnull_per_key(df, key, order: str, cols) -> DataFrame:
-    """Latest non-NULL value of each column on its own."""
-    return df.groupBy(*names(key)).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in names(cols)]
-    )
+def latest_nonnull_per_key(df, key, order: str, cols, ties=()) -> DataFrame:
+    """Latest non-NULL value of each column on its own; ties as in ``latest_values``."""
+    latest = place(df, order, ties)
+    return df.groupBy(*names(key)).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), latest)).alias(c) for c in names(cols)])
 
 
 def flag_spans(df, order: str, flag: str, e=(), segment=None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import week_label
 from tidemark.functions.numbers import safe_corr
-from tidemark.operators.ordered import attach, names, over_rows
+from tidemark.operators.ordered import attach, names, over_rows, place
 from tidemark.operators.profile import zscore
 from tidemark.operators.rolling import last_n, time_split, with_lags
 from tidemark.operators.select import fill_features
@@ -199,14 +199,13 @@ def search_arx(df, order, y: str, xs=(), ps=LAG_SPACE, holdout: int = 100, e=(),
 
 
 def fit_ar1(df: DataFrame, order, y: str, e=(), segment=None) -> DataFrame:
-    """Closed-form AR(1) per key: intercept, slope, last value."""
-    moved = over_rows(df, order, lambda w: {"__lag": F.lag(y).over(w)}, e, before=1, segment=segment)
-    at = names(order)
-    place = F.struct(*at) if len(at) > 1 else F.col(at[0])
+    """Closed-form AR(1) per key: intercept, slope, last value. Rows that tie stand in one total order for lag and last value."""
+    slim = df.select(*names(e), *names(order), y)
+    moved = over_rows(slim, order, lambda w: {"__lag": F.lag(y).over(w), "__place": place(slim, order)}, e, before=1, segment=segment)
     return moved.groupBy(*names(e)).agg(
         F.regr_intercept(y, "__lag").alias("intercept"),
         F.regr_slope(y, "__lag").alias("slope"),
-        F.max_by(y, F.when(F.col(y).isNotNull(), place)).alias("last_value"),
+        F.max_by(y, F.when(F.col(y).isNotNull(), F.col("__place"))).alias("last_value"),
     )
 
 

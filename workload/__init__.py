@@ -12,6 +12,8 @@ import workload.news  # noqa: E402,F401
 import workload.risk  # noqa: E402,F401
 import workload.models  # noqa: E402,F401
 import workload.registry  # noqa: E402,F401
+import workload.serving  # noqa: E402,F401
+import workload.forecasts  # noqa: E402,F401
 import workload.streams  # noqa: E402,F401
 
 __all__ = ["QUERIES", "SQL"]
