@@ -7,17 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, key_filter, mixed, passes, text_bytes
+from tidemark.llm.common import FILTER_BITS, batches_of, key_filter, mixed, passes, text_bytes
 from tidemark.session import stage
 
 WINDOW = 100
 #: Bytes of the runs whose hash anchors a window: the smallest hash among a window's runs.
 ANCHOR = 32
-#: Bytes of text in one suffix array, about.
-SHARD_BYTES = 1 << 20
+#: Bytes of text in one suffix array, about. An anchor whose different segments have over a quarter of that goes window by window.
+SHARD_BYTES = 1 << 18
 #: Bytes whose anchors are found at once; places inside fit in the low bits that ``POSITION`` masks.
 BLOCK = 1 << 19
 POSITION = np.uint64((1 << 20) - 1)
@@ -215,7 +215,8 @@ class Cutter:
             at, doc, place = at[whole], doc[whole], (best[whole] & POSITION).astype(np.int64)
             if len(at):
                 first = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(doc) != 0) | (np.diff(at) != 1)))
-                yield doc[first], at[first] + lo, np.diff(np.append(first, len(at))), key[place[first]]
+                # Smallest hashes are small: mixed again, they spread over the filters.
+                yield doc[first], at[first] + lo, np.diff(np.append(first, len(at))), mixed(~key[place[first]])
 
     def hashes(self, part: np.ndarray, grams: int) -> np.ndarray:
         key = np.full(grams, np.uint64(self.window))
@@ -243,6 +244,20 @@ def key_counts(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, n long")
 
 
+def held(part: pa.RecordBatch, cut: Cutter, known: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """By segment whose key the filter ``known`` has: row, first byte in the text, windows, key, digest, and where it lies in the
+    bytes of all texts, which come first."""
+    data, offsets = text_bytes(part.column("text"))
+    flat = memoryview(data)
+    for doc, first, windows, key in cut(data, offsets):
+        kept = passes(known, key)
+        doc, first, windows, key = doc[kept], first[kept], windows[kept], key[kept]
+        ends = first + windows + cut.window - 1
+        digest = np.fromiter((xxhash.xxh64_intdigest(flat[a:b], 5) for a, b in zip(first.tolist(), ends.tolist())), np.uint64, len(key))
+        if len(key):
+            yield flat, doc, first - offsets[doc], windows, key, digest, first, ends
+
+
 def segments_of(docs: DataFrame, known: np.ndarray, window: int, anchor: int) -> DataFrame:
     """(key, digest, id, mark, first, windows) of the segments whose key the filter ``known`` has."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
@@ -251,52 +266,67 @@ def segments_of(docs: DataFrame, known: np.ndarray, window: int, anchor: int) ->
         cut, known = Cutter(window, anchor), shared.value
         for batch in batches:
             for part in batches_of(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
-                flat = memoryview(data)
-                for doc, first, windows, key in cut(data, offsets):
-                    kept = passes(known, key)
-                    doc, first, windows, key = doc[kept], first[kept], windows[kept], key[kept]
-                    if not len(key):
-                        continue
-                    digest = np.fromiter((xxhash.xxh64_intdigest(flat[a:b], 5) for a, b in zip(first.tolist(), (first + windows + window - 1).tolist())), np.uint64, len(key))
+                for _, doc, first, windows, key, digest, _, _ in held(part, cut, known):
                     rows = pa.array(doc)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), part.column("id").take(rows), part.column("mark").take(rows),
-                        pa.array(first - offsets[doc]), pa.array(windows.astype(np.int32))],
-                        ["key", "digest", "id", "mark", "first", "windows"])
+                        pa.array(first), pa.array(windows.astype(np.int32))], ["key", "digest", "id", "mark", "first", "windows"])
 
     return docs.select("id", "mark", "text").mapInArrow(run, "key long, digest long, id long, mark long, first long, windows int")
 
 
-def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, DataFrame]:
-    """The first holder of each different segment, and as spans (id, mark, from, to) what all later holders lose: every window
-    of a segment that stands earlier does too."""
-    place = F.struct("id", "mark", "first", "windows")
-    firsts = stage(segments.groupBy("key", "digest").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")), name)
-    again = firsts.filter("n > 1").select("key", "digest", "place")
-    later = segments.join(again, ["key", "digest"]).filter(place != F.col("place"))
-    spans = later.select("id", "mark", F.col("first").alias("from"), (F.col("first") + F.col("windows") + window - 1).alias("to"))
-    return firsts.select("key", "digest", "place.*"), spans
+def texts_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, wanted: np.ndarray, shards: int, window: int, anchor: int) -> DataFrame:
+    """(shard, id, mark, first, body) of the segments whose key ``known`` and whose place ``wanted`` has; shard -1 for those with a key
+    that ``hot`` has. What else gets through a filter stands where it stands and changes nothing."""
+    shared = docs.sparkSession.sparkContext.broadcast((known, hot, wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, (known, hot, wanted) = Cutter(window, anchor), shared.value
+        for batch in batches:
+            for part in batches_of(batch, "text"):
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                for flat, doc, first, _, key, digest, a, b in held(part, cut, known):
+                    there = passes(wanted, digest ^ (ids[doc].astype(np.uint64) << np.uint64(64 - FILTER_BITS)))  # as ``place`` has it
+                    body = [bytes(flat[x:y]) for x, y in zip(a[there].tolist(), b[there].tolist())]
+                    shard = np.where(passes(hot, key[there]), -1, (key[there] % np.uint64(shards)).astype(np.int64))
+                    rows = pa.array(doc[there])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(shard), part.column("id").take(rows), part.column("mark").take(rows), pa.array(first[there]), pa.array(body, pa.binary())],
+                        ["shard", "id", "mark", "first", "body"])
 
+    return docs.select("id", "mark", "text").mapInArrow(run, "shard long, id long, mark long, first long, body binary")
 
-def texts_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(shard, id, mark, first, body) of wanted segments (shard, id, mark, first, windows), cut from the texts."""
-    listed = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("shard", "first", "windows")).alias("cuts"))
-    given = docs.join(listed, ["id", "mark"]).select("id", "mark", "text", "cuts")
+
+def place() -> Column:
+    """A number for a segment and its document, to be looked up in a filter."""
+    return F.col("digest").bitwiseXOR(F.shiftleft("id", 64 - FILTER_BITS))
+
+
+def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """The first holder of each different segment (key, digest, id, mark, first, windows), and as spans (id, mark, from, to) what all later
+    holders lose: every window of a segment that stands earlier does too.
+
+    A filter of the first holders tells most later ones as they are read, and their touching spans are joined there; only
+    what it cannot tell is compared with the first holders themselves.
+    """
+    first = F.min(F.struct("id", "mark", "first", "windows")).alias("place")
+    firsts = stage(segments.groupBy("key", "digest").agg(first).select("key", "digest", "place.*"), f"{name}-firsts")
+    shared = segments.sparkSession.sparkContext.broadcast(key_filter(firsts.select(place().alias("place")), "place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_ = shared.value
         for batch in batches:
-            for id_, mark, text, cuts in zip(*batch.columns):
-                data, cuts = text.as_py().encode(), cuts.values
-                shard, first, windows = (cuts.field(c).to_numpy() for c in ("shard", "first", "windows"))
-                for lo in range(0, len(first), 10_000):
-                    own = slice(lo, lo + 10_000)
-                    body = [data[a:a + w + window - 1] for a, w in zip(first[own].tolist(), windows[own].tolist())]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(shard[own]), pa.array([id_.as_py()] * len(body), pa.int64()), pa.array([mark.as_py()] * len(body), pa.int64()),
-                        pa.array(first[own]), pa.array(body, pa.binary())], ["shard", "id", "mark", "first", "body"])
+            id_, mark, lo, hi, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "mark", "from", "to", "place"))
+            open_ = passes(filter_, at.view(np.uint64))
+            new = open_ | np.append(True, open_[:-1] | (np.diff(id_) != 0) | (np.diff(mark) != 0) | (lo[1:] > hi[:-1]) | (lo[1:] < lo[:-1]))[:len(lo)]
+            heads = np.flatnonzero(new)
+            ends = hi[np.append(heads[1:], len(lo)) - 1] if len(lo) else hi
+            yield pa.record_batch({"id": pa.array(id_[heads]), "mark": pa.array(mark[heads]), "from": pa.array(lo[heads]), "to": pa.array(ends), "open": pa.array(open_[heads])})
 
-    return given.mapInArrow(run, "shard long, id long, mark long, first long, body binary")
+    slim = segments.select("id", "mark", F.col("first").alias("from"), (F.col("first") + F.col("windows") + window - 1).alias("to"), place().alias("place"))
+    spans = stage(slim.mapInArrow(run, "id long, mark long, `from` long, `to` long, open boolean"), f"{name}-spans")
+    told = spans.filter("open").drop("open").join(firsts.select("id", "mark", F.col("first").alias("from")), ["id", "mark", "from"], "left_anti")
+    return firsts, spans.filter("NOT open").drop("open").unionByName(told)
 
 
 def repeated(bodies: list[bytes], rank: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -369,14 +399,14 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shar
     docs = docs.filter("id IS NOT NULL AND text IS NOT NULL")
     keys = key_counts(docs, window, anchor).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     segments = stage(segments_of(docs, key_filter(keys, "key"), window, anchor), "suffix-segments")
-    firsts, spans = parted(segments, "suffix-firsts", window)
+    firsts, spans = parted(segments, "suffix", window)
     size = F.sum(F.col("windows").cast("long") + window)
     groups = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).filter("n > 1")
-    groups = stage(groups.withColumn("hot", F.col("bytes") > shard_bytes), "suffix-groups")
+    groups = stage(groups.withColumn("hot", F.col("bytes") > shard_bytes // 4), "suffix-groups")
     total = groups.agg(F.sum(F.when(~F.col("hot"), F.col("bytes")))).first()[0] or 0
-    shard = F.when(F.col("hot"), -1).otherwise(F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // shard_bytes)))))
-    wanted = firsts.join(groups.select("key", "hot"), "key").select(shard.alias("shard"), "id", "mark", "first", "windows")
-    texts = stage(texts_of(docs, wanted, window), "suffix-texts")
+    wanted = firsts.join(groups.select("key"), "key", "left_semi").select(place().alias("place"))
+    filters = key_filter(groups, "key"), key_filter(groups.filter("hot"), "key"), key_filter(wanted, "place")
+    texts = stage(texts_of(docs, *filters, max(1, -(-total // shard_bytes)), window, anchor), "suffix-texts")
     sorted_ = spans_of_shards(texts.filter("shard >= 0"), window)
     singles = stage(windows_of(texts.filter("shard < 0"), window), "suffix-windows")
     return spans.unionByName(sorted_).unionByName(parted(singles, "suffix-singles", window)[1])
@@ -392,7 +422,11 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
     document, and each gets its result. Texts shorter than a window stay whole. Very long texts are cut in blocks. Other columns
     are ignored. An empty table gives no rows.
     """
-    marked = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
+    own = F.col(id_col).cast("long")
+    repeated_ids = docs.groupBy(own.alias("id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND id IS NOT NULL")
+    # Only where ids repeat are the texts' hashes carried along to tell rows apart.
+    mark = F.lit(0).cast("long") if repeated_ids.isEmpty() else F.xxhash64(text_col)
+    marked = docs.select(own.alias("id"), mark.alias("mark"), F.col(text_col).cast("string").alias("text"))
     listed = repeats(marked, window=window, **options).groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"))
     listed = stage(listed, "suffix-removed")
 
