@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import safe_corr
@@ -24,14 +28,56 @@ def _pairs(df: DataFrame, pairs, e=()) -> DataFrame:
     return wide.select(*keys, F.inline(F.array(*rows)))
 
 
+#: More pairs than this, without keys, are read off one matrix of sums instead of an aggregate for each.
+MANY_PAIRS = 50
+
+
+def pair_sums(df: DataFrame, cols) -> np.ndarray:
+    """Sums over all rows, as a matrix of 3 x 3 blocks of columns: of the products of presence (0 / 1), value and squared value of each
+    column with those of each other, NULL counting 0. Values are centred and scaled first, which no correlation feels.
+
+    One pass for mean and deviation, one for the matrix: executors add up packed matrices of rows, and the driver gets
+    one of (3 columns)^2 numbers, however many rows there are.
+    """
+    cols = names(cols)
+    stats = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
+    scaled = [(F.col(c).cast("double") - float(stats[f"m_{i}"] or 0.0)) / float(stats[f"s_{i}"] or 1.0) for i, c in enumerate(cols)]
+    values = [F.coalesce(z, F.lit(0.0)) for z in scaled]
+    parts = [*[F.col(c).isNotNull().cast("double") for c in cols], *values, *[v * v for v in values]]
+    rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("row")))
+    if df.isEmpty():
+        return np.zeros((3 * len(cols), 3 * len(cols)))
+    return RowMatrix(rows).computeGramianMatrix().toArray()
+
+
+def _from_sums(sums: np.ndarray, i: int, j: int) -> float | None:
+    """Pearson r of columns i and j over the rows that have both. NULL where one of them does not vary there."""
+    k = len(sums) // 3
+    n, sxy = sums[i, j], sums[k + i, k + j]
+    sx, sy, sxx, syy = sums[k + i, j], sums[i, k + j], sums[2 * k + i, j], sums[i, 2 * k + j]
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    if n < 2 or vx <= 1e-12 * n * n or vy <= 1e-12 * n * n:
+        return None
+    return float(min(1.0, max(-1.0, (n * sxy - sx * sy) / (vx * vy) ** 0.5)))
+
+
+def _related(df: DataFrame, pairs, e=()) -> DataFrame:
+    if names(e) or len(pairs) <= MANY_PAIRS:
+        return _pairs(df, pairs, e)
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    sums, at = pair_sums(df, cols), {c: i for i, c in enumerate(cols)}
+    return df.sparkSession.createDataFrame([(a, b, _from_sums(sums, at[a], at[b])) for a, b in pairs], "a STRING, b STRING, r DOUBLE")
+
+
 def corr_matrix(df: DataFrame, cols, e=()) -> DataFrame:
-    """Upper triangle of the correlation matrix, pairwise complete."""
-    return _pairs(df, list(combinations(names(cols), 2)), e)
+    """Upper triangle of the correlation matrix, pairwise complete. Many columns are read from one matrix of sums (see ``pair_sums``),
+    which runs while the plan is built."""
+    return _related(df, list(combinations(names(cols), 2)), e)
 
 
 def cross_corr(df: DataFrame, left, right, e=()) -> DataFrame:
-    """Every left column against every right column."""
-    return _pairs(df, [(a, b) for a in names(left) for b in names(right)], e)
+    """Every left column against every right column, as ``corr_matrix``."""
+    return _related(df, [(a, b) for a in names(left) for b in names(right)], e)
 
 
 def lag_corr(df: DataFrame, order, xs, y: str, lags=(0, 3, 6, 9, 12), e=(), segment=None) -> DataFrame:

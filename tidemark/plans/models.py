@@ -76,25 +76,35 @@ def fit_elastic(train, features, y, alpha: float = 1.0, l1_ratio: float = 0.5) -
     return _fit(train, features, y, estimator)
 
 
-def fit_forest(train, features, y, n_estimators=100, max_depth=None, min_samples_split=2) -> PipelineModel:
-    """A forest. ``min_samples_split`` is taken for the sake of the search space and has no effect: MLlib can only
-    bound the rows per leaf, which would forbid splits that this parameter allows."""
+def fit_forest(
+    train, features, y, n_estimators=100, max_depth=None, min_samples_split=2, bootstrap=True, feature_subset="auto", max_bins=32,
+) -> PipelineModel:
+    """A forest. MLlib bounds the rows of a child, not of a node that is split: ``min_samples_split`` asks for half as many in
+    each child, so no smaller node is split, and of the larger ones those that would leave a tiny child are not either."""
     estimator = RandomForestRegressor(
-        labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth, seed=SEED,
+        labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth, seed=SEED, bootstrap=bootstrap,
+        featureSubsetStrategy=feature_subset, minInstancesPerNode=max(1, min_samples_split // 2), maxBins=max_bins,
     )
     return _fit(train, features, y, estimator)
 
 
 def fit_gbt(
-    train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0, colsample_bytree=1.0, num_leaves=None
+    train, features, y, n_estimators=100, learning_rate=0.1, max_depth=3, subsample=1.0, colsample_bytree=1.0, num_leaves=None,
+    max_bins=32, valid: DataFrame | None = None, stop_gain: float = 0.01,
 ) -> PipelineModel:
-    """Boosted trees, for all three boosting names of the search space. A tree of ``num_leaves`` leaves is grown to the depth that holds as many."""
+    """Boosted trees, for all three boosting names of the search space. A tree of ``num_leaves`` leaves is grown to the depth that holds as many.
+    With ``valid`` rows, boosting stops where a round no longer lowers their error by the share ``stop_gain``."""
     estimator = GBTRegressor(
-        labelCol=y, maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=subsample, seed=SEED,
+        labelCol=y, maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=subsample, seed=SEED, maxBins=max_bins,
         maxDepth=max_depth if num_leaves is None else (num_leaves - 1).bit_length(),
         featureSubsetStrategy="all" if colsample_bytree >= 1.0 else str(colsample_bytree),
     )
-    return _fit(train, features, y, estimator)
+    if valid is None:
+        return _fit(train, features, y, estimator)
+    estimator.setValidationIndicatorCol("__valid").setParams(validationTol=stop_gain)
+    cols = [*names(features), y]
+    both = [fill_features(df.select(*cols), cols).withColumn("__valid", F.lit(held)) for df, held in ((train, False), (valid, True))]
+    return _pipeline(features, estimator).fit(both[0].unionByName(both[1]))
 
 
 FITS: dict[str, Callable] = {

@@ -65,13 +65,18 @@ def landing_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def land_news(target: DataFrame, raw: DataFrame) -> DataFrame:
+def merge_landed(target: DataFrame, landed: DataFrame) -> DataFrame:
+    """MERGE of rows that are in landing form already."""
     return upsert(
-        target, dedupe(landing_rows(raw), ["url", "published_at"], "ingest_datetime", "article_id"),
+        target, dedupe(landed, ["url", "published_at"], "ingest_datetime", "article_id"),
         ["url", "published_at"], CONTENT, ["ingest_datetime", "ingest_date"], ["url"],
     )
 
 
+def land_news(target: DataFrame, raw: DataFrame) -> DataFrame:
+    return merge_landed(target, landing_rows(raw))
+
+
 def relevance_by_day(news: DataFrame, topics=TOPICS) -> DataFrame:
     """Mean score per day and listed topic, and the count of all articles of the day.
 

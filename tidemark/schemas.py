@@ -70,6 +70,7 @@ _DDL = {
         + _doubles(f"relevance_{topic}" for topic in TOPICS)
         + ", num_articles_total BIGINT, ingest_timestamp TIMESTAMP, notes STRING"
     ),
+    "landing.relevance_state": "date DATE, topic STRING, score_sum DOUBLE, score_count BIGINT, articles BIGINT",
     "gold.weekly": (
         "week INT, year INT, delinq DOUBLE, "
         + _doubles([*DAILY_SERIES.values(), *MONTHLY_SERIES.values(), *SECTOR_COLUMNS])

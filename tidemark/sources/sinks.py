@@ -37,11 +37,12 @@ def write_overwrite(df: DataFrame, path: str) -> int:
     return version
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The last committed snapshot."""
+def read_current(spark: SparkSession, path: str, table_schema: StructType | None = None) -> DataFrame:
+    """The last committed snapshot, with the declared schema if one is given."""
     commits = spark.read.schema("version BIGINT").parquet(f"{path}/commits")
     version = commits.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/snapshot={version}")
+    reader = spark.read if table_schema is None else spark.read.schema(table_schema)
+    return reader.parquet(f"{path}/snapshot={version}")
 
 
 def write_days(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
@@ -62,10 +63,11 @@ def read_days(spark: SparkSession, path: str, table_schema: StructType, days: li
     return kept.select(*table_schema.names)
 
 
-def upsert_days(source: DataFrame, path: str, table_schema: StructType, by: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Merge rows into a table of ``write_days``, reading and replacing only the days that the rows fall on.
+def upsert_days(source: DataFrame, path: str, table_schema: StructType, by: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list:
+    """Merge rows into a table of ``write_days``, reading and replacing only the days that the rows fall on. Returns these.
 
-    ``by`` must be one of the keys that ``merge`` compares, so that a row and its match lie on one day. The days of a
+    ``by`` must be one of the keys that ``merge`` compares and must come out of it as it went in, so that a row and its match lie
+    on one day (normalise a batch first, not in ``merge``). The days of a
     batch are collected: they are as few as the folders the file index lists anyway. The merged days are written to
     the shared folder first and then take the place of the old ones, folder by folder. A job that dies before that
     changes nothing; one that dies while folders are replaced may leave some days old or missing, and plain files offer
@@ -76,6 +78,7 @@ def upsert_days(source: DataFrame, path: str, table_schema: StructType, by: str,
     if days:
         held = read_days(source.sparkSession, path, table_schema, days)
         write_days(stage(merge(held, new), "merged"), path, by, "overwrite")
+    return days
 
 
 def write_append(df: DataFrame, path: str) -> None:

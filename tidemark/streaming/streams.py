@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.text import topic_norm
 from tidemark.plans.news import upsert_raw_news
+from tidemark.plans.relevance import load as load_mart
 from tidemark.sources.sinks import read_current, upsert_days, write_overwrite
 
 
@@ -38,10 +39,10 @@ def stream_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 def stream_upsert(
     df: DataFrame, table: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame] = upsert_raw_news,
-    by: str | None = None,
+    by: str | None = "published_at",
 ) -> StreamingQuery:
     """Merge each micro-batch into a table: into the days of ``by`` that its rows fall on, for a table kept in folders
-    by day, else into a snapshot table, which is written anew as a whole. The merge is idempotent, so a batch that is
+    by day, or with ``by=None`` into a snapshot table, which is written anew as a whole. The merge is idempotent, so a batch that is
     run again after a failure leaves the same table."""
 
     def apply(batch: DataFrame, _: int) -> None:
@@ -53,6 +54,16 @@ def stream_upsert(
     return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_mart(df: DataFrame, root: str, checkpoint: str, stamp=None) -> StreamingQuery:
+    """Each micro-batch of raw news as a load of the relevance mart under ``root``: only the days it falls on are read and
+    replaced. A batch that is run again leaves the same tables."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        load_mart(batch, root, stamp)
+
+    return df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_relevance(df: DataFrame, watermark: str = "1 day", window: str = "1 day", slide: str | None = None, ts: str = "ts") -> DataFrame:
     """Mean score and count per topic and time window: tumbling, or sliding when ``slide`` is given."""
     timed = with_event_time(df, ts).withColumn("topic", topic_norm("topic"))

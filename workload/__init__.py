@@ -14,6 +14,8 @@ import workload.models  # noqa: E402,F401
 import workload.registry  # noqa: E402,F401
 import workload.serving  # noqa: E402,F401
 import workload.forecasts  # noqa: E402,F401
+import workload.searches  # noqa: E402,F401
 import workload.streams  # noqa: E402,F401
+import workload.marts  # noqa: E402,F401
 
 __all__ = ["QUERIES", "SQL"]
