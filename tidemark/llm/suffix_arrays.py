@@ -286,7 +286,8 @@ def texts_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, wanted: np.nda
             for part in batches_of(batch, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 for flat, doc, first, _, key, digest, a, b in held(part, cut, known):
-                    there = passes(wanted, digest ^ (ids[doc].astype(np.uint64) << np.uint64(64 - FILTER_BITS)))  # as ``place`` has it
+                    at = ids[doc].astype(np.uint64) ^ (first.astype(np.uint64) << np.uint64(7))  # as ``place`` has it
+                    there = passes(wanted, digest ^ (at << np.uint64(64 - FILTER_BITS)))
                     body = [bytes(flat[x:y]) for x, y in zip(a[there].tolist(), b[there].tolist())]
                     shard = np.where(passes(hot, key[there]), -1, (key[there] % np.uint64(shards)).astype(np.int64))
                     rows = pa.array(doc[there])
@@ -298,8 +299,8 @@ def texts_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, wanted: np.nda
 
 
 def place() -> Column:
-    """A number for a segment and its document, to be looked up in a filter."""
-    return F.col("digest").bitwiseXOR(F.shiftleft("id", 64 - FILTER_BITS))
+    """A number for a segment and where it stands, to be looked up in a filter."""
+    return F.col("digest").bitwiseXOR(F.shiftleft(F.col("id").bitwiseXOR(F.shiftleft("first", 7)), 64 - FILTER_BITS))
 
 
 def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, DataFrame]:
