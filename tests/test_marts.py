@@ -13,7 +13,7 @@ from tidemark.operators.fills import resample_month_last
 from tidemark.operators.relate import MANY_PAIRS, corr_matrix, cross_corr, total_return
 from tidemark.operators.select import news_valid
 from tidemark.operators.rolling import latest_nonnull_per_key, latest_values
-from tidemark.plans import models as M, relevance as R
+from tidemark.plans import gold as G, models as M, relevance as R
 from tidemark.plans.news import land_news, landing_rows, relevance_by_day
 from tidemark.schemas import TOPICS, schema
 from tidemark.sources.sinks import read_days
@@ -122,3 +122,44 @@ def test_tied_dates_have_one_answer(spark):
     assert rows(total_return(df, ties=["close_price"])) == [("k", pytest.approx(200.0))]
     assert rows(latest_values(df, "date", ["close_price", "note"], "ticker", ties=["close_price"]).select("close_price")) == [(3.0,)]
     assert rows(resample_month_last(df, "date", ["close_price"], "ticker", ties=["close_price"]).dropna(subset=["date"])) == [("k", d2, 3.0)]
+
+
+def landing(spark, seed=1, years=4):
+    """Four landing tables with gaps of all lengths; one column ends early, one has no value at all."""
+    rng = random.Random(seed)
+    start = dt.date(1999, 12, 20)
+    days = [start + dt.timedelta(i) for i in range(365 * years)]
+    daily_ = [(d, rng.random()) for d in days if rng.random() < 0.6]
+    monthly = [(d, rng.random(), rng.random() if d < dt.date(2001, 2, 1) else None, None) for d in days if d.day == 1]
+    sector = [(d, rng.random() if rng.random() < 0.5 else None) for d in days]
+    credit = [(d, rng.random()) for d in days if d.month % 3 == 1 and d.day == 1 and rng.random() < 0.8]
+    make = spark.createDataFrame
+    return [make(daily_, "date date, rate double"), make(monthly, "date date, cpiurban double, fedfundrate double, realgdp double"), make(sector, "date date, tech_price double"), make(credit, "date date, delinq double")]
+
+
+RULES = {"fedfundrate": "ffill", "cpiurban": "steps", "realgdp": "steps", "delinq": "steps"}
+
+
+def test_gold_loads_equal_a_rebuild(spark, tmp_path):
+    tables = landing(spark)
+    columns = [c for t in tables for c in t.columns if c != "date"]
+    root, before = str(tmp_path / "gold"), None
+    cuts = [dt.date(2000, 6, 14), dt.date(2000, 6, 21), dt.date(2001, 1, 1), dt.date(2002, 11, 5), dt.date(2004, 1, 1)]
+    for cut in cuts:
+        upto = [t.filter(F.col("date") < F.lit(cut)) for t in tables]
+        first = G.load_weeks(*upto, root, before, RULES)
+        assert rows(G.read_gold(spark, root, columns, RULES), "year", "week", *columns) == rows(G.weekly_features(*upto, rules=RULES), "year", "week", *columns)
+        before = cut
+    # The last load closes the gap of the quarterly column and leaves the years before it alone.
+    assert first >= (2002, 1)
+    files = G.read_weeks(spark, root, columns, RULES).filter("year = 2001").select(F.input_file_name()).distinct().collect()
+    # A late row: everything from its week on, and what lies in gaps it closes.
+    late = [tables[0], tables[1], tables[2], tables[3].unionByName(spark.createDataFrame([(dt.date(2003, 2, 20), 99.0)], "date date, delinq double"))]
+    assert G.load_weeks(*late, root, dt.date(2003, 2, 20), RULES) >= (2002, 1)
+    assert rows(G.read_gold(spark, root, columns, RULES), "year", "week", *columns) == rows(G.weekly_features(*late, rules=RULES), "year", "week", *columns)
+    assert G.read_weeks(spark, root, columns, RULES).filter("year = 2001").select(F.input_file_name()).distinct().collect() == files
+
+
+def test_gold_load_reads_from_the_touched_week(spark):
+    assert G.week_start(dt.date(2001, 1, 3)) == dt.date(2001, 1, 1) and G.week_start(dt.date(2001, 1, 10)) == dt.date(2001, 1, 7)
+    assert G.week_start(dt.date(2001, 1, 7)) == dt.date(2001, 1, 7)

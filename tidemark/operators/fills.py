@@ -15,7 +15,8 @@ def _between(c: str, place: str, distance) -> Column:
     return prev["v"] + (nxt["v"] - prev["v"]) * share
 
 
-def _rule(c: str, rule: str, place: str) -> Column:
+def fill_rule(c: str, rule: str, place: str) -> Column:
+    """The filled column of a frame of ``neighbours``."""
     value, prev, nxt = F.col(c), F.col(f"__prev_{c}")["v"], F.col(f"__next_{c}")["v"]
     days = lambda end, start: F.datediff(end, start)
     if rule == "ffill":
@@ -41,7 +42,7 @@ def fill(df: DataFrame, order, rules: dict[str, str], keys=(), segment=None) ->
     (linear in row positions, trailing gap carried, leading gap NULL)."""
     order, cols = names(order), list(rules)
     found = neighbours(df, order, cols, keys, segment, steps="steps" in rules.values())
-    return found.select(*[_rule(c, rules[c], order[0]).alias(c) if c in rules else F.col(c) for c in df.columns])
+    return found.select(*[fill_rule(c, rules[c], order[0]).alias(c) if c in rules else F.col(c) for c in df.columns])
 
 
 def ffill(df, order, cols, e=(), segment=None) -> DataFrame:

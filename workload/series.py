@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import row_std
@@ -12,13 +14,13 @@ from tidemark.operators.reshape import pivot_max, weekly_mean
 from tidemark.operators.rolling import (
     diff, latest_nonnull_per_key, latest_values, market_features, pct_change, rolling_corr, rolling_mean, rolling_std, rolling_z, shocks,
 )
-from tidemark.plans.gold import weekly_features
+from tidemark.plans.gold import load_weeks, read_gold, weekly_features
 from tidemark.plans.models import train_and_serve
 from tidemark.plans.landing import credit_outcomes, daily_macro, monthly_macro, sector_daily
 from tidemark.schemas import DAILY_SERIES, MONTHLY_SERIES
 from tidemark.session import stage
 from workload.frames import (
-    PRIORITIES, SEGMENTS, cte, daily, daily_staged, dense, dense_staged, prices, prices_staged, r6, raw, raw_staged, sql_pivot, sql_round2, sql_week,
+    PRIORITIES, SEGMENTS, cte, daily, daily_staged, dense, dense_staged, prices, prices_staged, r6, raw, raw_staged, scratch, sql_pivot, sql_round2, sql_week,
     table, weekly, wide, wide_staged,
 )
 from workload.register import query
@@ -405,6 +407,20 @@ def gold_rounded(spark, sf):
     return r6(g, *[c for c in g.columns if c not in ("year", "week")])
 
 
+@query("gold_weekly_loads", cte("raw", "prices") + _GOLD + "SELECT * FROM gold")
+def gold_loads(spark, sf):
+    """The gold table after three loads by time, the second of which is run twice: that of one build."""
+    r = raw_staged(spark, sf)
+    landing = [stage(f, "landing") for f in (daily_macro(r), monthly_macro(r), sector_daily(prices(spark, sf), SEGMENTS), credit_outcomes(r))]
+    columns = [c for f in landing for c in f.columns if c not in ("date", "load_timestamp")]
+    root = scratch(spark, "gold")
+    cuts = [dt.date(1998, 3, 11), dt.date(2000, 7, 2), dt.date(9999, 1, 1)]
+    for first, last in ((None, cuts[0]), (cuts[0], cuts[1]), (cuts[0], cuts[1]), (cuts[1], cuts[2])):
+        load_weeks(*[f.filter(F.col("date") < F.lit(last)) for f in landing], root, first)
+    out = read_gold(spark, root, columns)
+    return r6(out, *[c for c in out.columns if c not in ("year", "week")])
+
+
 @query(
     "gold_train_serve",
     cte("raw", "prices") + _GOLD
