@@ -19,7 +19,7 @@ ANCHOR = 32
 #: Bytes of text in one suffix array, about. An anchor whose different segments have over a quarter of that goes window by window.
 SHARD_BYTES = 1 << 18
 #: Bytes whose anchors are found at once; places inside fit in the low bits that ``POSITION`` masks.
-BLOCK = 1 << 19
+BLOCK = 1 << 16
 POSITION = np.uint64((1 << 20) - 1)
 #: No byte of UTF-8: parts the strings of a shard.
 PARTING = 0xFF
@@ -209,12 +209,14 @@ class Cutter:
                 step = min(span, wide - span)
                 best = np.minimum(best[:-step], best[step:])
                 span += step
-            at = np.arange(len(best))
-            doc = np.searchsorted(offsets, at + lo, "right") - 1
-            whole = at + lo + self.window < offsets[doc + 1]  # the byte after a text parts it from the next
-            at, doc, place = at[whole], doc[whole], (best[whole] & POSITION).astype(np.int64)
+            texts = np.arange(np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, lo + len(best), "left"))
+            inside = np.clip(np.append(offsets[texts], lo + len(best)) - lo, 0, len(best))
+            doc = np.repeat(texts, np.diff(inside))
+            # Windows that end in their own text; the byte after a text parts it from the next.
+            at = np.flatnonzero(np.arange(lo + self.window, lo + self.window + len(best)) < np.repeat(offsets[texts + 1], np.diff(inside)))
+            doc, place = doc[at], (best[at] & POSITION).astype(np.int64)
             if len(at):
-                first = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(doc) != 0) | (np.diff(at) != 1)))
+                first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)))
                 # Smallest hashes are small: mixed again, they spread over the filters.
                 yield doc[first], at[first] + lo, np.diff(np.append(first, len(at))), mixed(~key[place[first]])
 
