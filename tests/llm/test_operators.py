@@ -380,6 +380,10 @@ def test_top_k(spark):
         got = topk.top_k(table, F.col("vec_id") % 50 == 0, k=5, shard_rows=shard_rows)
         assert sorted(map(tuple, got.collect())) == brute_top(rows, 50, 5)
     assert topk.top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    huge = [(0, [1e300, 1.0]), (1, [1e300, 2.0]), (2, [-1e308, 1e308]), (3, [1.0, 1.0]), (50, [1e300, 1e300])]
+    got = topk.top_k(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), F.col("vec_id") == 50, k=5)
+    most = 2**63 - 1  # floors and scores stop there, and what ties goes by id
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == [(1, 0, most), (2, 1, most), (3, 3, most), (4, 2, -most)]
     large = [(0, [1e6, -3e5]), (1, [2e6, 1.0]), (50, [-1e6, 5e5])]
     got = topk.top_k(spark.createDataFrame(large, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=2)
     assert sorted(map(tuple, got.collect())) == brute_top(large, 50, 2)

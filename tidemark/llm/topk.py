@@ -17,6 +17,7 @@ BLOCK_ROWS = 1024
 LEAF_ROWS = 32
 #: Leaves that a query scores before its k-th score is updated.
 STRIDE = 4
+LEAST = -(2**63)
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -104,12 +105,12 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points
 
 
 def plain(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int):
-    """For components too large for exact doubles: every score in whole numbers of any size."""
+    """For components too large for exact doubles: every score in whole numbers of any size, then held to 64 bits."""
     best = np.full((len(queries), k), None, object)
     who = np.full((len(queries), k), np.iinfo(np.int64).max)
     for i, q in enumerate(queries):
-        scores = points.dot(q) if len(points) else []
-        found = sorted(((-int(s), int(v)) for s, v in zip(scores, ids) if v != query_ids[i] and s >= floor[i]))[:k]
+        scores = [min(max(int(s), LEAST), -LEAST - 1) for s in points.dot(q)] if len(points) else []
+        found = sorted(((-s, int(v)) for s, v in zip(scores, ids) if v != query_ids[i] and s >= floor[i]))[:k]
         for j, (s, v) in enumerate(found):
             best[i, j], who[i, j] = -s, v
     return best, who
@@ -142,7 +143,6 @@ def found_in(left: pa.Table, right: pa.Table, k: int) -> Iterator[pa.RecordBatch
 
 
 ANSWER = "query_id long, vec_id long, score long"
-LEAST = -(2**63)
 
 
 def top_k(
@@ -158,9 +158,9 @@ def top_k(
     bound reaches the score. A shard's task holds its vectors and the queries in blocks.
 
     Vectors that are NULL, hold NULL or non-finite components, or have no id take no part; repeated ids count once (the
-    smallest vector); vectors meet only vectors of their own length; empty vectors score 0. Scores must fit in 64
-    bits. Components too large for exact doubles are scored in whole numbers, without the tree. Other columns are
-    ignored. Empty input gives no rows.
+    smallest vector); vectors meet only vectors of their own length; empty vectors score 0. Floors stop at the ends of 64
+    bits, and so do scores: beyond, vectors tie and the smaller id comes first. Components too large for exact doubles are
+    scored in whole numbers, without the tree. Other columns are ignored. Empty input gives no rows.
     """
     held = stage(quantised(vectors, id_col, vector_col, scale).withColumn("width", F.size("vector")), "topk-vectors")
     shards = max(1, -(-held.count() // shard_rows))
