@@ -6,11 +6,14 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import close
 from tidemark.functions.linear import co_moments, fitted, least_squares
-from tidemark.plans import forecast as A, models as M, search as S, serving as V
+from tidemark.operators.relate import adf_stat
+from tidemark.plans import clusters as K, forecast as A, models as M, search as S, serving as V
 from tidemark.schemas import schema
 
 NOW = dt.datetime(2025, 1, 1)
@@ -187,3 +190,49 @@ def test_halving_finds_the_full_searchs_winner(spark):
     assert stopped.model.stages[-1].getNumTrees < 40
     with pytest.raises(RuntimeError):
         S.halving_search(train, valid, ["a", "b"], "delinq", "elastic_net", {"alpha": [-1.0]}, n=3)
+
+
+def test_adf_matches_least_squares(spark):
+    rng = np.random.default_rng(11)
+    series = {"walk": np.cumsum(rng.normal(size=120)), "back": None, "two": None}
+    y = [0.0, 0.0]
+    for _ in range(118):
+        y.append(0.4 * y[-1] + 0.3 * (y[-1] - y[-2]) + rng.normal())
+    series["back"] = np.array(y)
+    series["two"] = np.array([1.0, 2.0])
+    df = spark.createDataFrame([(k, t, float(v)) for k, s in series.items() for t, v in enumerate(s)], "k string, t int, v double")
+    got = {r["k"]: r for r in adf_stat(df, "t", "v", 3, "k").collect()}
+    assert got["two"]["adf_t"] is None
+
+    def fit(s, p, first):
+        d = np.diff(s)
+        z = np.array([[1, s[t], *[d[t - j] for j in range(1, p + 1)]] for t in range(first, len(d))])
+        target = d[first:]
+        beta = np.linalg.lstsq(z, target, rcond=None)[0]
+        rss = ((target - z @ beta) ** 2).sum()
+        error = np.sqrt(np.linalg.inv(z.T @ z)[1, 1] * rss / (len(target) - p - 2))
+        return len(target), beta[1], beta[1] / error, len(target) * np.log(rss / len(target)) + 2 * (p + 2)
+
+    for key in ("walk", "back"):
+        best = min(range(4), key=lambda p: fit(series[key], p, 3)[3])
+        n, slope, t, _ = fit(series[key], best, best)
+        assert (got[key]["lags"], got[key]["n_obs"]) == (best, n) and close(got[key]["slope"], slope, 1e-8) and close(got[key]["adf_t"], t, 1e-8)
+    one = adf_stat(df.filter("k = 'walk'").drop("k"), "t", "v", 3).collect()
+    assert len(one) == 1 and close(one[0]["adf_t"], got["walk"]["adf_t"])
+
+
+def test_regimes_are_as_tight_as_single_fits(spark):
+    rng = np.random.default_rng(2)
+    points = np.concatenate([rng.normal(c, 0.4, size=(80, 2)) for c in ((0, 0), (5, 5), (0, 6))])
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points] + [(None, 1.0)], "a double, b double")
+    found = K.regimes(df, ["a", "b"], 3, starts=10).collect()
+    assert len(found) == 240 and len({r["cluster"] for r in found}) == 3
+    z = (points - points.mean(0)) / points.std(0)
+    own = {(r["a"], r["b"]): r["cluster"] for r in found}
+    label = np.array([own[tuple(map(float, p))] for p in points])
+    cost = sum(((z[label == j] - z[label == j].mean(0)) ** 2).sum() for j in range(3))
+    scaled = spark.createDataFrame([(Vectors.dense(p),) for p in z], ["features"])
+    assert cost <= min(KMeans(k=3, seed=s).fit(scaled).summary.trainingCost for s in range(5)) * (1 + 1e-9)
+    assert K.regimes(df.limit(0), ["a", "b"]).count() == 0
+    same = K.regimes(spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double"), ["a", "b"], 3, starts=2)
+    assert same.count() == 5 and same.select("cluster").distinct().count() == 1

@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 from helpers import day, rows
 from tidemark.schemas import schema, tables
 from tidemark.sources import readers as R, sinks as S, stats as Z
+from tidemark.sources.stats import folder_size
 from tidemark.operators.select import drop_bad_dates
 
 POINT = "series STRING, date DATE, value DOUBLE"
@@ -25,6 +26,26 @@ def test_csv_and_latest_file(spark, tmp_path):
     assert rows(newest, "series", "value") == [("DGS10", 5.0), ("DGS2", 2.0)]
 
 
+def test_newest_files_by_join(spark, tmp_path):
+    for name, value in (("DGS2_1.csv", 1.0), ("DGS10_1.csv", 5.0), ("DGS2_2.csv", 2.0)):
+        (tmp_path / name).write_text(f"series,date,value\n{name[:-6]},2024-01-01,{value}\n")
+        time.sleep(0.05)
+    pattern = r"/([A-Z0-9]+)_\d+\.csv"
+    joined = R.read_latest_file(spark, str(tmp_path), POINT, key_pattern=pattern, most_paths=1)
+    assert rows(joined, "series", "value") == [("DGS10", 5.0), ("DGS2", 2.0)]
+    assert R.read_latest_file(spark, str(tmp_path), POINT, key_pattern=pattern, most_paths=0).count() == 2
+
+
+def test_inventory_is_the_file_system(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(5000).withColumn("k", F.col("id") % 3).write.partitionBy("k").parquet(str(path))
+    files = [f for f in path.rglob("*.parquet")]
+    listed = {"/".join(r["path"].rsplit("/", 2)[1:]): r["size"] for r in R.inventory(spark, str(path)).collect()}
+    assert {f"{f.parent.name}/{f.name}": f.stat().st_size for f in files} == {n: s for n, s in listed.items() if n.endswith(".parquet")}
+    got = folder_size(spark, str(path)).first()
+    assert got["files"] == len(listed) and got["size_mb"] == round(sum(listed.values()) / 2**20, 2)
+
+
 def test_observations(spark):
     df = spark.createDataFrame(
         [("A", [("2024-01-01", "1.5"), ("2024-01-02", "."), ("2024-01-03", "")]), ("B", [])], schema("raw.observations")

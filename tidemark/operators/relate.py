@@ -10,11 +10,13 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.linear import co_moments, fitted, least_squares
 from tidemark.functions.numbers import safe_corr
 from tidemark.operators.fills import ffill
 from tidemark.operators.ordered import attach, names, over_rows, place
 from tidemark.operators.reshape import common_dates, to_long
-from tidemark.operators.rolling import pct_change, with_lags
+from tidemark.operators.rolling import first_per_key, pct_change, with_lags
+from tidemark.session import stage
 
 TRADING_DAYS = 252
 
@@ -172,6 +174,41 @@ def df_stat(df: DataFrame, order, col: str, e=(), segment=None) -> DataFrame:
     return sums.select(*names(e), F.col("n").alias("n_obs"), slope.alias("slope"), F.try_divide(slope, error).alias("df_t"))
 
 
+def adf_stat(df: DataFrame, order, col: str, max_lag: int = 4, e=(), criterion: str = "aic", segment=None) -> DataFrame:
+    """Augmented Dickey-Fuller t statistic per key: the change on the level before and on up to ``max_lag`` changes before, with constant.
+
+    All numbers of lags are compared by ``criterion`` (aic or bic) on the rows that have all lags, and the best is fitted again on
+    the rows it can use: lags, n_obs, slope, adf_t. Fits are solved per key from co-moments in one aggregate for each number of lags and
+    each sample; the lagged frame is staged, so the series is ordered once. A key too short, or without change, has NULL.
+    """
+    keys = names(e)
+    step = lambda w: {"__lag": F.lag(col).over(w), "__dy": F.col(col) - F.lag(col).over(w)}
+    back = lambda w: {f"__dy_{k}": F.lag("__dy", k).over(w) for k in range(1, max_lag + 1)}
+    moved = over_rows(df.select(*keys, *names(order), F.col(col).cast("double").alias(col)), order, [step, back], e, before=max_lag + 1, segment=segment)
+    lags = [f"__dy_{k}" for k in range(1, max_lag + 1)]
+    slim = stage(moved.select(*keys, "__dy", "__lag", *lags), "adf")
+    whole = F.array_size(F.array_compact(F.array("__dy", "__lag", *lags))) == 2 + max_lag
+    tried = None
+    for p in range(max_lag + 1):
+        xs, k = ["__lag", *lags[:p]], p + 1
+
+        def fits(known):
+            masked = lambda c: F.when(known, F.col(c))
+            sums = slim.groupBy(*keys).agg(*[c.alias(n) for n, c in co_moments([masked(x) for x in xs], masked("__dy")).items()])
+            return sums.withColumns(least_squares(k)).select(*keys, F.col("__n").alias("n"), *[c.alias(n) for n, c in fitted(k).items()])
+
+        weight = F.lit(2.0) if criterion == "aic" else F.ln("n")
+        score = F.col("n") * F.ln(F.when(F.col("rss") > 0, F.col("rss")) / F.col("n")) + weight * (k + 1)
+        own = F.array_size(F.array_compact(F.array("__dy", *xs))) == 1 + k
+        told = fits(own).select(*keys, F.lit(p).alias("lags"), F.col("n").alias("n_obs"), F.get("coefs", F.lit(0)).alias("slope"), F.get("errors", F.lit(0)).alias("__error"))
+        judged = attach(told, fits(whole).select(*keys, score.alias("__score")), keys)
+        tried = judged if tried is None else tried.unionByName(judged)
+    tried = tried.withColumn("adf_t", F.try_divide("slope", "__error"))
+    order_ = [F.col("__score").asc_nulls_last(), F.col("lags").asc()]
+    best = first_per_key(tried, keys, order_) if keys else tried.orderBy(*order_).limit(1)
+    return best.drop("__score", "__error")
+
+
 def coint_stat(df: DataFrame, order, y: str, x: str, e=(), segment=None) -> DataFrame:
     """Dickey-Fuller statistic of the residuals of y regressed on x."""
     line = df.groupBy(*names(e)).agg(F.regr_slope(y, x).alias("__b"), F.regr_intercept(y, x).alias("__a"))

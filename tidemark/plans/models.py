@@ -9,7 +9,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -21,6 +20,7 @@ from tidemark.operators.ordered import attach, names, over_rows, place
 from tidemark.operators.profile import zscore
 from tidemark.operators.rolling import last_n, time_split, with_lags
 from tidemark.operators.select import fill_features
+from tidemark.plans.clusters import regimes as regimes
 from tidemark.session import stage
 
 # Hyper-parameters a search draws from.
@@ -267,16 +267,6 @@ def pca(df: DataFrame, cols, k: int = 3) -> tuple[DataFrame, list[float]]:
     return out.drop("__x", "__pc", *[f"{c}__z" for c in cols]), [float(v) for v in model.explainedVariance]
 
 
-def regimes(df: DataFrame, cols, k: int = 3, starts: int = 10, seed: int = SEED) -> DataFrame:
-    """K-means cluster of each row on its standardised columns; of several starts the tightest is kept."""
-    cols = names(cols)
-    scaled = zscore(df.dropna(subset=cols), cols, suffix="__z")
-    assembled = VectorAssembler(inputCols=[f"{c}__z" for c in cols], outputCol="__x").transform(scaled)
-    models = [KMeans(k=k, seed=seed + i, featuresCol="__x", predictionCol="cluster").fit(assembled) for i in range(starts)]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(assembled).drop("__x", *[f"{c}__z" for c in cols])
-
-
 def cluster_profile(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
     return df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in names(cols)], F.count(F.lit(1)).alias("n_rows"))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.numbers import greatest_strict
+from tidemark.sources.readers import inventory
 
 
 def stack_frames(frames: list[DataFrame]) -> DataFrame:
@@ -40,6 +41,11 @@ def table_size(df: DataFrame) -> DataFrame:
     return files.agg(F.round(F.coalesce(F.sum("file_size"), F.lit(0)) / (1024 * 1024), 2).alias("size_mb"))
 
 
+def folder_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of files and size in MB, two decimals, of a table's folder or file: names and sizes are listed, no row is read."""
+    return inventory(spark, folder).agg(F.count(F.lit(1)).alias("files"), F.round(F.coalesce(F.sum("size"), F.lit(0)) / (1024 * 1024), 2).alias("size_mb"))
+
+
 def freshness(frames: dict[str, tuple[DataFrame, str]], as_of, cap: bool = True) -> DataFrame:
     """Latest date and age in days; with ``cap`` an age above 14 days shows as 7."""
     rows = stack_frames(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.profile import zscore
 from tidemark.operators.reshape import to_long
 from tidemark.operators.rolling import with_lags
-from tidemark.plans import models as M, scenario as C
+from tidemark.plans import clusters as K, models as M, scenario as C
 from tidemark.session import stage
 from workload.frames import PRIORITIES, cte, daily, daily_staged, dense_staged, r6, table, weekly, wide
 from workload.register import query
@@ -261,6 +261,36 @@ def nearest(spark, sf):
     )
 
 
+_Z = [f"z{i}" for i in range(len(X))]
+_BEGIN = [[-1.0] * len(X), [0.0] * len(X), [1.0] * len(X)]
+
+
+def _lloyd_sql(steps: int) -> str:
+    """Steps of k-means in SQL, from the same first centres."""
+    scaled = ", ".join(f"({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER () AS {z}" for c, z in zip(X, _Z))
+    first = " UNION ALL ".join(f"SELECT {j} AS cluster, " + ", ".join(f"{v}::DOUBLE AS {z}" for v, z in zip(c, _Z)) for j, c in enumerate(_BEGIN))
+    out = f"WITH p AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS id, {scaled} FROM lineitem), c0 AS ({first})"
+    far = " + ".join(f"(p.{z} - c.{z}) * (p.{z} - c.{z})" for z in _Z)
+    means = ", ".join(f"AVG({z}) AS {z}" for z in _Z)
+    for i in range(steps):
+        out += f", n{i} AS (SELECT id, arg_min(cluster, ({far}, cluster)) AS cluster FROM p, c{i} c GROUP BY id)" + f", c{i + 1} AS MATERIALIZED (SELECT cluster, {means}, COUNT(*) AS n FROM p JOIN n{i} USING (id) GROUP BY cluster)"
+    return out + f" SELECT n, {', '.join(f'ROUND({z}, 6) AS {z}' for z in _Z)} FROM c{steps}"
+
+
+@query("m11_three_steps", _lloyd_sql(3))
+def three_steps(spark, sf):
+    """Three steps of k-means from given centres: the centres and the rows nearest to those one step before."""
+    scaled, zs = K.standardised(_line(spark, sf), X)
+    points = stage(scaled.select(F.array(*zs).alias("x")), "points")
+    at = {0: _BEGIN, 1: [list(c) for c in reversed(_BEGIN)]}
+    for _ in range(2):
+        at = {s: c for s, (c, _) in K.lloyd_step(points, at).items()}
+    counts = K.nearest(points, at[0]).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    centres = K.lloyd_step(points, at)[0][0]
+    rows = spark.createDataFrame([(j, *[float(v) for v in c]) for j, c in enumerate(centres)], "cluster INT, " + ", ".join(f"{z} DOUBLE" for z in _Z))
+    return r6(rows.join(counts, "cluster"), *_Z).select("n", *_Z)
+
+
 @query(
     "m12_cluster_profile",
     "SELECT l_returnflag AS cluster, ROUND(AVG(l_quantity), 6) AS l_quantity, ROUND(AVG(l_discount), 6) AS l_discount, ROUND(AVG(l_tax), 6) AS l_tax, COUNT(*) AS n_rows FROM lineitem GROUP BY 1",

@@ -124,7 +124,7 @@ def mart(spark, sf):
 
 def _profile(spark, sf, part):
     a = articles(spark, sf)
-    return profile_news(a.drop("event_id"), text="snippet")[part]
+    return profile_news(a.drop("event_id"), text="snippet", parts=[part])[part]
 
 
 _ART = ["url", "published_at", "ingest_datetime", "ingest_date", "topic", "title", "score", "source_domain", "snippet"]

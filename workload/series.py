@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import row_std
 from tidemark.operators.fills import bfill, ffill, interpolate_dates, interpolate_steps, resample_month_last, resample_week
 from tidemark.operators.ordered import WHOLE, row_index
-from tidemark.operators.relate import ccf, coint_stat, df_stat, lag_corr
+from tidemark.operators.relate import adf_stat, ccf, coint_stat, df_stat, lag_corr
 from tidemark.operators.reshape import pivot_max, weekly_mean
 from tidemark.operators.rolling import (
     diff, latest_nonnull_per_key, latest_values, market_features, pct_change, rolling_corr, rolling_mean, rolling_std, rolling_z, shocks,
@@ -278,6 +278,24 @@ def unit_root(spark, sf):
     return r6(r6(df_stat(daily_staged(spark, sf), "date", "value", "series"), "slope", digits=8), "df_t")
 
 
+_ADF = """, l0 AS (SELECT *, LAG(value) OVER (PARTITION BY series ORDER BY date) AS p FROM daily), l1 AS (SELECT *, value - p AS dy FROM l0),
+    l AS (SELECT *, LAG(dy) OVER (PARTITION BY series ORDER BY date) AS d1 FROM l1),
+    m AS (SELECT series, 0 AS lags, regr_count(dy, p) AS n, regr_slope(dy, p) AS slope, regr_syy(dy, p) - regr_slope(dy, p) * regr_sxy(dy, p) AS rss, regr_sxx(dy, p) AS sxx FROM l GROUP BY 1),
+    z AS (SELECT series, regr_count(dy, p) AS n, regr_syy(dy, p) - regr_slope(dy, p) * regr_sxy(dy, p) AS rss FROM l WHERE d1 IS NOT NULL GROUP BY 1),
+    c AS (SELECT series, COUNT(*) AS n, var_pop(p) AS pp, var_pop(d1) AS dd, covar_pop(p, d1) AS pd, covar_pop(p, dy) AS py, covar_pop(d1, dy) AS dyy, var_pop(dy) AS yy FROM l WHERE d1 IS NOT NULL GROUP BY 1),
+    k AS (SELECT *, pp * dd - pd * pd AS det FROM c),
+    o AS (SELECT series, n, (py * dd - dyy * pd) / det AS slope, n * (yy - (py * dd - dyy * pd) / det * py - (dyy * pp - py * pd) / det * dyy) AS rss, det / dd * n AS sxx FROM k),
+    a AS (SELECT m.series, 0 AS lags, m.n, m.slope, m.rss, m.sxx, 2 AS k, z.n * ln(z.rss / z.n) + 2.0 * 2 AS score FROM m JOIN z USING (series)
+        UNION ALL SELECT series, 1, n, slope, rss, sxx, 3, n * ln(rss / n) + 2.0 * 3 FROM o)
+    SELECT series, CAST(lags AS INTEGER) AS lags, CAST(n AS BIGINT) AS n_obs, ROUND(slope, 8) AS slope, ROUND(slope / sqrt(rss / (n - k) / sxx), 6) AS adf_t FROM a QUALIFY ROW_NUMBER() OVER (PARTITION BY series ORDER BY score, lags) = 1"""
+
+
+@query("t04_adf_lags", cte("daily") + _ADF)
+def unit_root_lags(spark, sf):
+    """Unit-root statistic with the number of lagged changes that the information criterion picks, none or one."""
+    return r6(r6(adf_stat(daily_staged(spark, sf), "date", "value", 1, "series"), "slope", digits=8), "adf_t")
+
+
 @query(
     "t05_cointegration",
     cte("wide")

@@ -10,7 +10,7 @@ from tidemark.sources.sinks import (
     align_to_schema, ensure_table, insert_rows, read_current, write_append, write_batch, write_clustered, write_overwrite,
 )
 from tidemark.sources.stats import (
-    bounds, completeness_score, dataset_snapshot, freshness, latest_key_date, quick_stats, table_size, table_stats, total_records,
+    bounds, completeness_score, dataset_snapshot, folder_size, freshness, latest_key_date, quick_stats, table_size, table_stats, total_records,
 )
 from workload.frames import articles, cte, daily, dense, orders, r6, scratch, table
 from workload.register import query
@@ -127,6 +127,12 @@ def size(spark, sf):
     return table_size(table(spark, sf, "lineitem"))
 
 
+@query("s11_folder_size")
+def listed_size(spark, sf):
+    """From the listing of files alone."""
+    return folder_size(spark, f"{sf}/lineitem.parquet")
+
+
 @query(
     "s13_freshness",
     f"""WITH t AS (SELECT 'orders' AS table_name, MAX(o_orderdate)::DATE AS latest FROM orders
