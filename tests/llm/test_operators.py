@@ -616,6 +616,19 @@ def test_secret_dictionary_covers_all_documents(spark, docs):
     assert got == {"Zeitgeber9zeitgeber9": 18, "aaaaab00000000000": 6, "9xzeitgeberzeitx0": 9}
 
 
+def test_assigned_values_of_any_length_and_characters(docs):
+    kept = ["password: required for all", "Password = secret", "the token is here", "auth: https://somewhere.org/a", "pwd=$HOME_PASSWORD", "secret: 42", "token = none"]
+    held = {'password = "Tr0ub4dor&3"': "Tr0ub4dor&3", "api_key = ABCDEFGHIJKLMNOPQRSTUVWX": "ABCDEFGHIJKLMNOPQRSTUVWX", "pwd: s3cr3t!Pass": "s3cr3t!Pass",
+            'secret="p@ssw0rd#2024!longer$value"': "p@ssw0rd#2024!longer$value", "API-KEY => x9#k": "x9#k", "auth_token:'a1b2c3d4e5f6a7b8c9d0'": "a1b2c3d4e5f6a7b8c9d0"}
+    table = docs([(i, f"some words {t} and more words") for i, t in enumerate([*kept, *held])])
+    found = secrets.scan(table)
+    assert {(r["doc_id"], r["value"]) for r in found.collect()} == {(len(kept) + i, v) for i, v in enumerate(held.values())}
+    for r in secrets.redact(table, found).collect():
+        assert ("[SECRET]" in r["text"]) == (r["doc_id"] >= len(kept)) and not any(v in r["text"] for v in held.values())
+    mixed = docs(secret_rows(random.Random(3), 300) + [(1000 + i, f"x {t} y") for i, t in enumerate([*kept, *held])])
+    assert {r["doc_id"] for r in secrets.scan(mixed).collect() if r["doc_id"] >= 1000} == {1000 + len(kept) + i for i in range(len(held))}
+
+
 def test_secrets_odd(docs):
     assert secrets.scan(odd(docs)).count() == 0 and secrets.scan(docs([])).count() == 0
     two = docs([(1, 'token = "aaaabbbbcccc111122223333" x token = "aaaabbbbcccc111122223333"'), (1, 'password: "q1w2e3r4t5y6u7i8o9p0"'), (None, 'token="aaaabbbbcccc111122223333"')])

@@ -17,6 +17,14 @@ CHARS = r"A-Za-z0-9_+/.\-"
 CANDIDATE = rf"(?<![{CHARS}])(?=[{CHARS}]*[0-9])[{CHARS}]{{{LEAST},}}={{0,2}}"
 SPACES = r"[\x20\x09-\x0D]+"
 CREDENTIAL = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|credential|bearer|client.?id)"
+#: Also a candidate, whatever its length and characters: the value that a credential's name is given. Group 1 is the name and what
+#: stands before the value, group 2 the value.
+ASSIGNED = (
+    r"(?i)((?:token|secret|passw(?:or)?d|passphrase|pwd|api.?key|access.?key|private.?key|auth|credential)[A-Za-z0-9_\-]{0,20}[\"'`]?"
+    r"[\x20\t]{0,3}(?::=|=>|=|:)[\x20\t]{0,3}[\"'`]?)([^\x20\x09-\x0D\"'`,;<>(){}\[\]]{4,})"
+)
+#: A value that is an ordinary word, a short number, a variable or a link, and none of a machine's.
+WORD_LIKE = r"^([A-Z]?[a-z]+|[A-Z]{1,15})[.!?:]*$|^[0-9]{1,5}[.!?:]*$|^\$[A-Za-z_]+$|^https?://"
 HARMLESS = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|uuid|guid|version|http|www|mail|example|sample|dummy|phone|tel|card|isbn|doi)"
 DRILL = r"(?i)(test|example|sample|fixture|mock|vendor|third.?party|lock|docs?/)"
 #: Findings learnt from at most, by class.
@@ -33,16 +41,23 @@ FEATURES = [
 
 
 def findings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(id, path, value, lead, before, after): every candidate with the part of its word in front of it, the two words
-    before and the word after. Only texts that hold a candidate are cut into words."""
+    """(id, path, value, lead, before, after, trail): every candidate with the part of its word in front of it, the two words
+    before and the word after. Only texts that hold a candidate are cut into words. Values given to a credential's name that
+    are no such run of characters come with that name in ``lead``."""
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), F.col(text_col).alias("text"))
     words = picked.filter(F.rlike("text", F.lit(CANDIDATE))).select("id", "path", F.split("text", SPACES).alias("w"))
     at = lambda i: F.coalesce(F.get("w", i), F.lit(""))
     near = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.concat_ws(" ", at(i - 2), at(i - 1)).alias("before"), at(i + 1).alias("after")))
     each = words.select("id", "path", F.explode(F.filter(near, lambda s: F.length(s["word"]) >= LEAST)).alias("s")).filter(F.rlike("s.word", F.lit(CANDIDATE)))
     each = each.select("id", "path", "s.*", F.explode(F.regexp_extract_all("s.word", F.lit(CANDIDATE), F.lit(0))).alias("value"))
-    return each.select("id", "path", "value", F.expr("substring_index(word, value, 1)").alias("lead"), "before", "after",
+    runs = each.select("id", "path", "value", F.expr("substring_index(word, value, 1)").alias("lead"), "before", "after",
                        F.expr("substring(word, length(substring_index(word, value, 1)) + length(value) + 1)").alias("trail"))
+    given = picked.filter(F.rlike("text", F.lit(ASSIGNED))).select("id", "path", F.arrays_zip(
+        F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(1)).alias("lead"), F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(2)).alias("value")).alias("found"))
+    given = given.select("id", "path", F.explode("found").alias("s")).select("id", "path", "s.value", "s.lead")
+    nothing = F.lit("")
+    others = given.filter(~F.rlike("value", F.lit(rf"^{CANDIDATE}$")))
+    return runs.unionByName(others.select("id", "path", "value", "lead", nothing.alias("before"), nothing.alias("after"), nothing.alias("trail")))
 
 
 def coverage(found: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -81,14 +96,14 @@ def features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def rule_labels() -> Column:
-    """Labels for findings nobody has judged: 1 where a credential's name is assigned a value without words, 0 where
-    the value is a number, an address or a dotted name, or stands beside a word for checksums and the like; else NULL."""
+    """Labels for findings nobody has judged: 1 where a credential's name is assigned a value, 0 where the value is an ordinary
+    word, a number, an address or a dotted name, or stands beside a word for checksums and the like; else NULL."""
     beside = F.concat_ws(" ", "before", "lead")
     number = F.rlike("value", F.lit(r"^[0-9+/.\-_=]+$"))
     address = F.rlike("value", F.lit(r"^[\w\-]+(\.[\w\-]+)+$")) | F.contains(F.concat("lead", "trail"), F.lit("@"))
     harmless = F.rlike(beside, F.lit(HARMLESS)) & ~F.rlike(beside, F.lit(CREDENTIAL))
     named = F.rlike(beside, F.lit(CREDENTIAL)) & F.rlike(beside, F.lit("[=:]"))
-    return F.when(number | address | harmless, 0).when(named, 1)
+    return F.when(number | address | harmless | F.rlike("value", F.lit(WORD_LIKE)), 0).when(named, 1)
 
 
 @dataclass
@@ -142,7 +157,8 @@ def scan(
 ) -> DataFrame:
     """(id, value, occurrences, probability): the candidates of each document that the forest keeps.
 
-    A candidate is a run of 16 or more characters of keys with a digit; the forest sees its length, characters, their
+    A candidate is a run of 16 or more characters of keys with a digit, or four or more characters of any kind that a credential's name is
+    given (``password = ...``); the forest sees its length, characters, their
     transitions, dictionary coverage, the path and the words beside it, and removes numbers, addresses, names and
     checksums. The dictionary are the words of all documents that stand often enough. Without a ``model`` one is trained on the table's own findings under ``rule_labels``.
 
@@ -161,7 +177,7 @@ def scan(
 def redact(docs: DataFrame, secrets: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
     """The documents with every secret of theirs replaced, all columns kept. Only texts that hold a candidate are
     joined to the secrets; the others pass without a shuffle. A NULL id has no secrets."""
-    held = F.coalesce(F.rlike(F.col(text_col), F.lit(CANDIDATE)), F.lit(False))
+    held = F.coalesce(F.rlike(F.col(text_col), F.lit(CANDIDATE)) | F.rlike(F.col(text_col), F.lit(ASSIGNED)), F.lit(False))
     # The longest first, so that a secret inside another does not break it.
     listed = secrets.groupBy(F.col(id_col).alias("own id")).agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("own secrets"))
     joined = docs.filter(held).join(listed, F.col(id_col) == F.col("own id"), "left")
