@@ -26,6 +26,17 @@ def test_csv_and_latest_file(spark, tmp_path):
     assert rows(newest, "series", "value") == [("DGS10", 5.0), ("DGS2", 2.0)]
 
 
+def test_old_snapshots_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions = [S.write_overwrite(spark.range(i).toDF("x"), path) for i in range(1, 5)]
+    spark.range(9).toDF("x").write.parquet(f"{path}/snapshot={versions[2] + 1}")  # died before its commit
+    spark.range(9).toDF("x").write.parquet(f"{path}/snapshot={versions[3] + 1}")  # still being written
+    assert S.expire_snapshots(spark, path, 2) == [versions[0], versions[1], versions[2] + 1]
+    assert sorted(int(f.name.split("=")[1]) for f in (tmp_path / "t").glob("snapshot=*")) == [versions[2], versions[3], versions[3] + 1]
+    assert S.read_current(spark, path, StructType.fromDDL("x BIGINT")).count() == 4
+    assert S.expire_snapshots(spark, path, 5) == []
+
+
 def test_newest_files_by_join(spark, tmp_path):
     for name, value in (("DGS2_1.csv", 1.0), ("DGS10_1.csv", 5.0), ("DGS2_2.csv", 2.0)):
         (tmp_path / name).write_text(f"series,date,value\n{name[:-6]},2024-01-01,{value}\n")

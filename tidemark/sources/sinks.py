@@ -45,6 +45,26 @@ def read_current(spark: SparkSession, path: str, table_schema: StructType | None
     return reader.parquet(f"{path}/snapshot={version}")
 
 
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Removes all but the last ``keep`` committed snapshots, and folders older than the last commit that were never committed. Returns
+    the versions removed. Readers of an older snapshot lose it, so keep as many as a job may still be reading; a newer folder
+    without a commit belongs to a job that is writing and stays."""
+    if keep < 1:
+        raise ValueError("at least the last snapshot is kept")
+    commits = spark.read.schema("version BIGINT").parquet(f"{path}/commits")
+    kept = {r[0] for r in commits.select("version").distinct().orderBy(F.desc("version")).limit(keep).collect()}
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = []
+    for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "snapshot=*")):
+        version = int(status.getPath().getName().split("=")[1])
+        if version not in kept and version < max(kept):
+            files.delete(status.getPath(), True)
+            removed.append(version)
+    return sorted(removed)
+
+
 def write_days(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
     """Write a table in folders by the day of ``by``, a date or timestamp; NULL has a folder of its own. Days are ranged
     together with all columns of a fixed order, so one heavy day is written by many tasks."""
