@@ -37,6 +37,11 @@ def write_overwrite(df: DataFrame, path: str) -> int:
     return version
 
 
+def is_snapshot_table(spark: SparkSession, path: str) -> bool:
+    commits = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    return commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(commits)
+
+
 def read_current(spark: SparkSession, path: str, table_schema: StructType | None = None) -> DataFrame:
     """The last committed snapshot, with the declared schema if one is given."""
     commits = spark.read.schema("version BIGINT").parquet(f"{path}/commits")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.text import topic_norm
 from tidemark.plans.news import upsert_raw_news
 from tidemark.plans.relevance import load as load_mart
-from tidemark.sources.sinks import read_current, upsert_days, write_overwrite
+from tidemark.sources.sinks import is_snapshot_table, read_current, upsert_days, write_overwrite
 
 
 def stream_source(spark: SparkSession, folder: str, table_schema: StructType | str, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -42,11 +42,11 @@ def stream_upsert(
     by: str | None = "published_at",
 ) -> StreamingQuery:
     """Merge each micro-batch into a table: into the days of ``by`` that its rows fall on, for a table kept in folders
-    by day, or with ``by=None`` into a snapshot table, which is written anew as a whole. The merge is idempotent, so a batch that is
+    by day, which is the default. A table that is kept in snapshots, or any with ``by=None``, is written anew as a whole. The merge is idempotent, so a batch that is
     run again after a failure leaves the same table."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        if by is not None:
+        if by is not None and not is_snapshot_table(batch.sparkSession, table):
             upsert_days(batch, table, df.schema, by, merge)
         else:
             write_overwrite(merge(read_current(batch.sparkSession, table), batch), table)
