@@ -87,33 +87,33 @@ def _induced(s: np.ndarray, small: np.ndarray, marked: np.ndarray, alphabet: int
     return out
 
 
-def _induced_by_one(s: list, small: list, marked: list, alphabet: int) -> list:
-    """The same entry by entry, for the large alphabets of names."""
-    n, count = len(s), [0] * alphabet
-    for c in s:
-        count[c] += 1
-    head, tail, total = [0] * alphabet, [0] * alphabet, 0
-    for c in range(alphabet):
-        head[c] = total
-        total += count[c]
-        tail[c] = total
-    out, ends = [-1] * n, tail[:]
-    for i in reversed(marked):
-        ends[s[i]] -= 1
-        out[ends[s[i]]] = i
+def _induced_by_one(s: np.ndarray, small: np.ndarray, marked: np.ndarray, alphabet: int) -> np.ndarray:
+    """The same entry by entry, for the large alphabets of names. Place n stands for an entry not known yet."""
+    n = len(s)
+    end = np.cumsum(np.bincount(s, minlength=alphabet))
+    held = np.bincount(s[marked], minlength=alphabet)
+    out = np.full(n, n, np.int64)
+    out[np.repeat(end - held - (np.cumsum(held) - held), held) + np.arange(len(marked))] = marked[np.argsort(s[marked], kind="stable")]
+    # By place: the character of the place before it, if that is larger (smaller) than its next one.
+    before, smaller = np.append(s[-1:], s), np.append(True, small)
+    larger = np.where(smaller, -1, before).tolist()
+    smaller = np.where(smaller, before, -1).tolist()
+    smaller[0] = smaller[n] = larger[n] = -1
+    head, tail, out = (end - np.bincount(s, minlength=alphabet)).tolist(), end.tolist(), out.tolist()
     for i in out:  # reads what it has put in before
-        if i > 0 and not small[i - 1]:
-            c = s[i - 1]
-            out[head[c]] = i - 1
-            head[c] += 1
-    for k in range(n - 1, -1, -1):
-        i = out[k]
-        if i > 0 and small[i - 1]:
-            c = s[i - 1]
-            tail[c] -= 1
-            out[tail[c]] = i - 1
+        c = larger[i]
+        if c >= 0:
+            at = head[c]
+            out[at] = i - 1
+            head[c] = at + 1
+    for i in reversed(out):
+        c = smaller[i]
+        if c >= 0:
+            at = tail[c] - 1
+            out[at] = i - 1
+            tail[c] = at
     out[0] = n - 1
-    return out
+    return np.array(out, np.int64)
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -128,11 +128,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         return np.arange(n)
     alphabet, small = int(s.max()) + 1, _types(s)
     marked = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if alphabet <= SMALL_ALPHABET:
-        induce = lambda order: _induced(s, small, order, alphabet)
-    else:
-        values, types = s.tolist(), small.tolist()
-        induce = lambda order: np.array(_induced_by_one(values, types, order.tolist(), alphabet), np.int64)
+    induced = _induced if alphabet <= SMALL_ALPHABET else _induced_by_one
+    induce = lambda order: induced(s, small, order, alphabet)
     place = np.full(n, -1, np.int64)
     place[marked] = np.arange(len(marked))
     rough = induce(marked)
