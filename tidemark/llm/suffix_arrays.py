@@ -32,11 +32,11 @@ SMALL_ALPHABET = 512
 
 def _types(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one (S); the last one is."""
-    step = np.sign(np.diff(s))
-    told = np.flatnonzero(step)
-    after = np.searchsorted(told, np.arange(len(step)))
+    step = np.diff(s)
+    differs = step != 0
     # Runs of one character take the type of what follows; s ends with its only smallest character.
-    return np.append(step[told[after]] > 0, True)
+    after = np.cumsum(differs) - differs
+    return np.append((step[differs] > 0)[after], True)
 
 
 def _induced(s: np.ndarray, small: np.ndarray, marked: np.ndarray, alphabet: int) -> np.ndarray:
@@ -164,13 +164,15 @@ def permuted_prefixes(data: np.ndarray, order: np.ndarray, most: int, sample: in
         out, alive = np.zeros(len(at), np.int64), np.flatnonzero(before[at] >= 0)
         for k in range(0, limit, 8):
             a, b = at[alive] + k, before[at[alive]] + k
-            inside = np.minimum(n - a, n - b)
+            inside = n - np.maximum(a, b)
             differing = words[np.minimum(a, n)] ^ words[np.minimum(b, n)]
-            low = differing & (~differing + np.uint64(1))
-            same = np.where(differing == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) >> 3)
-            same = np.clip(np.minimum(same, inside), 0, 8)
-            out[alive] += same
-            alive = alive[same == 8]
+            same = differing == 0
+            other = differing[~same]
+            # The lowest bit that differs tells the first byte that does.
+            low = np.log2((other & (~other + np.uint64(1))).astype(np.float64)).astype(np.int64) >> 3
+            out[alive[~same]] += np.clip(np.minimum(low, inside[~same]), 0, 8)
+            out[alive[same]] += np.clip(inside[same], 0, 8)
+            alive = alive[same & (inside > 8)]
             if not len(alive):
                 break
         return np.minimum(out, limit)
@@ -201,10 +203,10 @@ class Cutter:
             grams = len(part) - self.anchor + 1
             key = self.hashes(part, grams)
             best = (key & ~POSITION) | np.arange(grams, dtype=np.uint64)
-            span = 1
+            span, spare = 1, key.copy()
             while span < wide:  # the smallest of ``span`` runs, then of twice as many
                 step = min(span, wide - span)
-                best = np.minimum(best[:-step], best[step:])
+                best, spare = np.minimum(best[:-step], best[step:], out=spare[:len(best) - step]), best
                 span += step
             texts = np.arange(np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, lo + len(best), "left"))
             inside = np.clip(np.append(offsets[texts], lo + len(best)) - lo, 0, len(best))
@@ -225,8 +227,11 @@ class Cutter:
             words = np.ndarray((len(part) - 7,), "<u8", part.tobytes(), strides=(1,))
             columns = [words[j:j + grams] for j in sorted({*range(0, self.anchor - 7, 8), self.anchor - 8})]
         for column in columns:
-            key = key * np.uint64(0x9E3779B97F4A7C15) + column
-        return mixed(key)
+            key *= np.uint64(0x9E3779B97F4A7C15)
+            key += column
+        key ^= key >> np.uint64(32)
+        key *= np.uint64(0xBF58476D1CE4E5B9)
+        return key
 
 
 def key_counts(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -335,7 +340,7 @@ def repeated(bodies: list[bytes], rank: np.ndarray, first: np.ndarray, window: i
     size = np.array([len(b) + 1 for b in bodies], np.int64)
     start = np.cumsum(size) - size
     data = np.frombuffer(bytes([PARTING]).join(bodies) + bytes([PARTING]), np.uint8)
-    order = suffix_array(np.append(data.astype(np.int64) + 1, 0))
+    order = suffix_array(np.append(data.astype(np.int16) + np.int16(1), np.int16(0)))
     shares = permuted_prefixes(np.append(data, np.uint8(0)), order, window)
     body = np.repeat(np.arange(len(bodies)), size)
     inside = np.arange(len(data)) - start[body]
