@@ -71,8 +71,8 @@ def test_against_all_windows(spark, docs):
         rows.append((i, text))
     rows += [(3, rows[9][1]), (None, passage), (500, rows[0][1]), (500, rows[0][1]), (501, ""), (502, None), (503, "aaaa" * 50), (504, "a" * 90), (505, "ab" * 40), (506, "\x00" * 40)]
     rng.shuffle(rows)
-    compare(spark, docs, rows, 20, anchor=8, shard_bytes=2000)
-    compare(spark, docs, rows, 20, anchor=5, shard_bytes=150)  # nearly all anchors are hot and go window by window
+    compare(spark, docs, rows, 20, anchor=8, shard_bytes=2000, hot_bytes=500)
+    compare(spark, docs, rows, 20, anchor=5, shard_bytes=150, hot_bytes=40)  # nearly all anchors are hot and go window by window
     compare(spark, docs, rows, 9, anchor=32)
 
 
@@ -95,4 +95,4 @@ def test_a_shard_does_not_grow_with_a_passage(spark, docs):
     rng = random.Random(1)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(130))
     rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(60)) + passage[rng.randrange(20):] + "".join(rng.choice("qrstuvw ") for _ in range(60))) for i in range(400)]
-    compare(spark, docs, rows, 100, shard_bytes=4000)
+    compare(spark, docs, rows, 100, shard_bytes=4000, hot_bytes=1000)

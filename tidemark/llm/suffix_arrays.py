@@ -16,8 +16,10 @@ from tidemark.session import stage
 WINDOW = 100
 #: Bytes of the runs whose hash anchors a window: the smallest hash among a window's runs.
 ANCHOR = 32
-#: Bytes of text in one suffix array, about. An anchor whose different segments have over a quarter of that goes window by window.
+#: Bytes of text in one suffix array, about.
 SHARD_BYTES = 1 << 18
+#: An anchor whose different segments have more bytes than this, too many for one task to sort, goes window by window.
+HOT_BYTES = 1 << 22
 #: Bytes whose anchors are found at once; places inside fit in the low bits that ``POSITION`` masks.
 BLOCK = 1 << 16
 POSITION = np.uint64((1 << 20) - 1)
@@ -388,7 +390,7 @@ def windows_of(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, "key long, digest long, id long, mark long, first long, windows int")
 
 
-def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Spans (id, mark, from, to) of bytes of documents (id, mark, text) that lie in a window of ``window`` bytes which also starts
     earlier. Documents go by id, then by mark. Spans of one document may overlap.
 
@@ -398,7 +400,7 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shar
     2. Equal segments are reduced to the first holder, map side first. Later holders lose all their windows.
     3. Where an anchor has several different segments, these go to a shard by their key, about ``shard_bytes`` in each. The
        shard's suffix array and permuted common prefixes bring equal windows together; all but the earliest go.
-    4. An anchor with more different segments than a shard holds (a passage in many surroundings) is cut into single
+    4. An anchor with over ``hot_bytes`` of different segments (a passage in very many surroundings) is cut into single
        windows instead, which are reduced as in step 2: no shard grows with it.
     """
     docs = docs.filter("id IS NOT NULL AND text IS NOT NULL")
@@ -407,7 +409,7 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shar
     firsts, spans = parted(segments, "suffix", window)
     size = F.sum(F.col("windows").cast("long") + window)
     groups = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).filter("n > 1")
-    groups = stage(groups.withColumn("hot", F.col("bytes") > shard_bytes // 4), "suffix-groups")
+    groups = stage(groups.withColumn("hot", F.col("bytes") > hot_bytes), "suffix-groups")
     total = groups.agg(F.sum(F.when(~F.col("hot"), F.col("bytes")))).first()[0] or 0
     wanted = firsts.join(groups.select("key"), "key", "left_semi").select(place().alias("place"))
     filters = key_filter(groups, "key"), key_filter(groups.filter("hot"), "key"), key_filter(wanted, "place")
