@@ -125,6 +125,14 @@ def test_metrics_from_json(spark):
     assert J.metric_map(odd, "metrics").first().metrics_all == {"C": 1000.0, "H": 12.5}
 
 
+def test_metric_payloads_are_read_once_a_row(spark):
+    df = spark.createDataFrame([(1, '{"smape": 2, "MAE": 1.5}')], "id INT, metrics STRING").withColumn("MASE", F.lit(9.0))
+    for out in (J.metric_map(df, "metrics").select("metrics_all"), J.metric_columns(df, "metrics").select("SMAPE")):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    many = spark.createDataFrame([("{" + ", ".join(f'"k{i % 700}": {i}' for i in range(900)) + "}",)], "metrics STRING")
+    assert J.metric_map(many, "metrics").first().metrics_all["K0"] == 700.0
+
+
 def test_json_key_count(spark):
     df = spark.createDataFrame([(1, None, "x")], "a INT, b INT, c STRING")
     assert df.select(J.json_key_count(df)).first()[0] == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import col, parse_any_ts
@@ -33,6 +35,11 @@ def json_map(c) -> Column:
     return F.from_json(col(c), "MAP<STRING,STRING>")
 
 
+def _once(c, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once per row, however often and in whichever inner function f names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _first_time(members: Column) -> Column:
     raw = F.array(*[members[key] for key in PUBLISH_KEYS])
     parsed = F.transform(raw, parse_any_ts)
@@ -67,10 +74,8 @@ def _canonical_entries(members: Column, names: dict[str, str]) -> Column:
         ),
         F.array().cast("array<struct<key:string,value:string>>"),
     )
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.filter(
-        entries, lambda e, i: ~F.array_contains(F.slice(keys, i + F.lit(2), F.size(keys)), e["key"])
-    )
+    later = lambda all_, i: F.transform(F.slice(all_, i + F.lit(2), F.size(all_)), lambda e: e["key"])
+    return _once(entries, lambda all_: F.filter(all_, lambda e, i: ~F.array_contains(later(all_, i), e["key"])))
 
 
 def metric_columns(df: DataFrame, c: str, names: dict[str, str] = METRICS) -> DataFrame:
@@ -84,24 +89,24 @@ def metric_columns(df: DataFrame, c: str, names: dict[str, str] = METRICS) -> Da
 
 def metric_map(df: DataFrame, c: str, name: str = "metrics_all", names: dict[str, str] = METRICS) -> DataFrame:
     """Every numeric metric of a row: JSON numbers first, then metric columns that no JSON number stands for."""
-    read = df.withColumn(
-        "__json",
-        F.filter(
-            F.transform(
-                _canonical_entries(_number_members(c), names),
-                lambda e: F.struct(e["key"].alias("key"), finite_or_null(e["value"]).alias("value")),
-            ),
-            lambda e: e["value"].isNotNull() & (e["key"] != "TEST_COUNT"),
+    numbers = F.filter(
+        F.transform(
+            _canonical_entries(_number_members(c), names),
+            lambda e: F.struct(e["key"].alias("key"), finite_or_null(e["value"]).alias("value")),
         ),
+        lambda e: e["value"].isNotNull() & (e["key"] != "TEST_COUNT"),
     )
     known = [v for v in names.values() if v in df.columns]
-    out = F.col("__json")
     if known:
-        held = F.transform("__json", lambda e: e["key"])
         columns = F.array(*[F.struct(F.lit(v).alias("key"), finite_or_null(v).alias("value")) for v in known])
-        extra = F.filter(columns, lambda e: e["value"].isNotNull() & ~F.array_contains(held, e["key"]))
-        out = F.concat(out, extra)
-    return read.withColumn(name, F.map_from_entries(out)).drop("__json")
+
+        def with_columns(told: Column) -> Column:
+            held = F.transform(told, lambda e: e["key"])
+            extra = lambda keys: F.filter(columns, lambda e: e["value"].isNotNull() & ~F.array_contains(keys, e["key"]))
+            return F.concat(told, _once(held, extra))
+
+        numbers = _once(numbers, with_columns)
+    return df.withColumn(name, F.map_from_entries(numbers))
 
 
 def algorithm(c) -> Column:
