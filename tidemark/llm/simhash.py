@@ -107,8 +107,8 @@ def near_duplicates(
 
     Texts are lower-cased (A-Z) and cut at ASCII white space; shingles are ``shingle`` words, repeats included; a
     shorter text is one shingle; NULL, empty and blank texts have fingerprint 0 and are linked like any other. Copies
-    share a fingerprint and enter the join as one row, so a group of copies, however large, makes no pairs. The table
-    of links has the fingerprints' smallest ids as nodes. A NULL id gets the component of its fingerprint and is never
+    share a fingerprint and enter the join as one row, so a group of copies, however large, makes no pairs. Groups are found
+    over the fingerprints and named by the smallest id of theirs. A NULL id gets the component of its fingerprint and is never
     a representative (NULL if its fingerprint has no other). Repeated rows are returned as often as given. Other
     columns are ignored. Empty input gives no rows.
 
@@ -118,10 +118,9 @@ def near_duplicates(
     marks = stage(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     distinct = stage(marks.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     pairs = stage(links(distinct.filter("first IS NOT NULL").select("fp"), distance), "simhash-links")
-    one, two = (distinct.select(F.col("fp").alias(c), F.col("first").alias(n)) for c, n in (("a", "x"), ("b", "y")))
-    named = pairs.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    stars = components(named)
-    groups = distinct.join(stars, distinct["first"] == stars["node"], "left").select("fp", F.coalesce("component", "first").alias("component"))
+    stars = components(pairs)
+    held = distinct.join(stars, distinct["fp"] == stars["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("own group"))
+    groups = held.join(held.groupBy("own group").agg(F.min("first").alias("component")), "own group").select("fp", "component")
     return marks.join(stage(groups, "simhash-groups"), "fp").select(F.col("id").alias(id_col), "fp", "component")
 
 
