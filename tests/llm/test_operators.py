@@ -58,6 +58,18 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_spend_no_round_on_blocks_and_stars(spark, monkeypatch):
+    from tidemark.llm import components as module
+
+    staged, stage = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: (staged.append(name), stage(df, name))[1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(500)], "a long, b long").coalesce(1)
+    assert {tuple(r) for r in components(chain).collect()} == {(i, 0) for i in range(501)}
+    assert staged == ["links", "least"]
+    a, b = module.forest(np.array([5, 3, 9, 9]), np.array([3, 1, 8, 8]))
+    assert sorted(zip(a.tolist(), b.tolist())) == [(3, 1), (5, 1), (9, 8)]
+
+
 # 1
 
 
