@@ -43,14 +43,16 @@ def nearest(points: DataFrame, centres: Centres, name: str = "cluster") -> DataF
 
 
 def lloyd_step(points: DataFrame, starts: dict[int, Centres]) -> dict[int, tuple[Centres, float]]:
-    """One step of every start over ``points`` (x, an array): the means of the rows nearest to each centre, and the cost of the
-    centres given. A row is read once for all starts, and its share of the sums is added up before the shuffle: one row per
+    """One step of every start over ``points`` (x, an array; n, how many rows it stands for, or else one): the means of the rows
+    nearest to each centre, and the cost of the centres given. A row is read once for all starts, and its share of the sums is added up before the shuffle: one row per
     start and centre comes out of each task. A centre that no row is nearest to stays."""
     names_, given = list(starts), list(starts.values())
     k, width = len(given[0]), len(given[0][0])
-    each = points.select("x", F.explode(F.sequence(F.lit(0), F.lit(len(given) - 1))).alias("start"))
-    each = _with_centres(each, given).select("x", "start", F.expr(_nearest(k, width, "start")).alias("near")).select("x", "start", "near.*")
-    sums = each.groupBy("start", "cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").alias("cost"), *[F.sum(F.col("x")[i]).alias(f"s_{i}") for i in range(width)])
+    many = F.col("n") if "n" in points.columns else F.lit(1)
+    each = points.select("x", many.alias("many"), F.explode(F.sequence(F.lit(0), F.lit(len(given) - 1))).alias("start"))
+    each = _with_centres(each, given).select("x", "many", "start", F.expr(_nearest(k, width, "start")).alias("near")).select("x", "many", "start", "near.*")
+    total = lambda c: F.sum(c * F.col("many"))
+    sums = each.groupBy("start", "cluster").agg(F.sum("many").alias("n"), total(F.col("cost")).alias("cost"), *[total(F.col("x")[i]).alias(f"s_{i}") for i in range(width)])
     moved, cost = [[list(c) for c in centres] for centres in given], [0.0] * len(given)
     for r in sums.collect():  # starts x centres rows
         moved[r["start"]][r["cluster"]] = [r[f"s_{i}"] / r["n"] for i in range(width)]
@@ -96,15 +98,16 @@ def standardised(df: DataFrame, cols) -> tuple[DataFrame, list[str]]:
 
 def regimes(df: DataFrame, cols, k: int = 3, starts: int = 10, seed: int = 42, begin: Sequence[Centres] | None = None, steps: int = STEPS) -> DataFrame:
     """K-means cluster of each row on its standardised columns; of several starts the tightest is kept. Clusters are numbered by
-    their first centre coordinate. All starts go over one staged frame of standardised points together, and settle within
-    some scans; ``begin`` gives their first centres."""
+    their first centre coordinate. All starts go over one staged frame of the distinct standardised points together, each weighing as
+    many rows as lie on it, and settle within some scans; ``begin`` gives their first centres."""
     scaled, zs = standardised(df, cols)
     scaled = stage(scaled, "regimes")
     points = scaled.select(F.array(*zs).alias("x"))
     first = dict(enumerate(begin)) if begin is not None else first_centres(points, k, starts, seed)
     if not first:
         return scaled.withColumn("cluster", F.lit(0)).drop(*zs)
-    found = lloyd(points, first, steps)
+    counted = scaled.groupBy(*zs).agg(F.count(F.lit(1)).alias("n")).select(F.array(*zs).alias("x"), "n")
+    found = lloyd(stage(counted, "regimes-points"), first, steps)
     best, _ = min(found.values(), key=lambda f: f[1])
     whole = scaled.select(F.struct(*[c for c in scaled.columns if c not in zs]).alias("__row"), F.array(*zs).alias("x"))
     return nearest(whole, sorted(best)).select("__row.*", "cluster")
