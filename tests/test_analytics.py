@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from helpers import close, day, rows
@@ -340,6 +341,35 @@ def test_metrics_match_numpy(spark):
     assert single.pearson_r is None and single.mase is None
 
 
+def test_boosting_learns_from_equal_rows_as_one(spark):
+    rng = np.random.default_rng(5)
+    rows_ = [(float(i % 4), float(i % 3), float((i % 4) * (i % 3) + rng.normal())) for i in range(600)] + [(None, 1.0, 2.0), (1.0, None, None)]
+    df = spark.createDataFrame(rows_, "a DOUBLE, b DOUBLE, y DOUBLE")
+    filled = df.fillna(0.0)
+    assert M._cells(filled, ["a", "b"], "y").count() == 12
+    plain = M._fit(df, ["a", "b"], "y", GBTRegressor(labelCol="y", maxIter=4, stepSize=0.1, seed=M.SEED, maxDepth=2))
+    told = lambda model: {(r.a, r.b): r.prediction for r in M.score(model, filled, ["a", "b"]).collect()}
+    one, other = told(M.fit_gbt(df, ["a", "b"], "y", 4, max_depth=2)), told(plain)
+    assert one.keys() == other.keys() and all(close(one[k], other[k]) for k in one)
+
+
+def test_regimes_step_over_distinct_points(spark, monkeypatch):
+    from tidemark.plans import clusters as K
+
+    df = spark.createDataFrame([(float(i % 5), float(i % 2)) for i in range(300)] + [(50.0, 9.0)] * 20, "a DOUBLE, b DOUBLE")
+    seen, lloyd = [], K.lloyd
+    monkeypatch.setattr(K, "lloyd", lambda points, *rest: (seen.append(points), lloyd(points, *rest))[1])
+    found = {(r.a, r.b): r.cluster for r in K.regimes(df, ["a", "b"], 2, 3).collect()}
+    assert {k for k, c in found.items() if c == found[50.0, 9.0]} == {(50.0, 9.0)}
+    assert seen[0].count() == 11 and seen[0].agg(F.sum("n")).first()[0] == 320
+    single = df.select(F.array("a", "b").alias("x"))
+    counted = single.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    centres = {0: [[0.0, 0.0], [40.0, 5.0]], 1: [[1.0, 1.0], [3.0, 0.0]]}
+    one, other = K.lloyd_step(single, centres), K.lloyd_step(counted, centres)
+    for s in centres:
+        assert np.allclose(one[s][0], other[s][0]) and close(one[s][1], other[s][1])
+
+
 def test_fits(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 2))

@@ -39,6 +39,8 @@ SEARCH_SPACE = {
 }
 LAG_SPACE = [1, 2, 3]
 SEED = 42
+#: Weight of a row that stands for several.
+ROWS = "__rows"
 
 
 def baseline(df: DataFrame, order, y: str, e=(), n: int = 3) -> DataFrame:
@@ -51,9 +53,16 @@ def _pipeline(features, estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=names(features), outputCol="features"), estimator])
 
 
-def _fit(train: DataFrame, features, y: str, estimator) -> PipelineModel:
+def _fit(train: DataFrame, features, y: str, estimator, cells: bool = False) -> PipelineModel:
     clean = fill_features(train.select(*names(features), y), [*names(features), y])
-    return _pipeline(features, estimator).fit(clean)
+    return _pipeline(features, estimator.setWeightCol(ROWS) if cells else estimator).fit(_cells(clean, features, y) if cells else clean)
+
+
+def _cells(clean: DataFrame, features, y: str) -> DataFrame:
+    """Rows of equal features as one, with their mean target and their number as its weight. No split tells such rows
+    apart, and their spread adds the same to the squared error of every tree, so the best splits and the means of the leaves are those
+    of the single rows; a pass over the rows per level and round becomes one sum. For features that do not repeat it is no gain."""
+    return clean.groupBy(*names(features)).agg(F.avg(y).alias(y), F.count(F.lit(1)).cast("double").alias(ROWS))
 
 
 def fit_linear(train, features, y) -> PipelineModel:
@@ -80,12 +89,13 @@ def fit_forest(
     train, features, y, n_estimators=100, max_depth=None, min_samples_split=2, bootstrap=True, feature_subset="auto", max_bins=32,
 ) -> PipelineModel:
     """A forest. MLlib bounds the rows of a child, not of a node that is split: ``min_samples_split`` asks for half as many in
-    each child, so no smaller node is split, and of the larger ones those that would leave a tiny child are not either."""
+    each child, so no smaller node is split, and of the larger ones those that would leave a tiny child are not either.
+    Without draws of rows and without such a bound, rows of equal features are learnt from as one."""
     estimator = RandomForestRegressor(
         labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth, seed=SEED, bootstrap=bootstrap,
         featureSubsetStrategy=feature_subset, minInstancesPerNode=max(1, min_samples_split // 2), maxBins=max_bins,
     )
-    return _fit(train, features, y, estimator)
+    return _fit(train, features, y, estimator, cells=not bootstrap and min_samples_split < 4)
 
 
 def fit_gbt(
@@ -93,14 +103,15 @@ def fit_gbt(
     max_bins=32, valid: DataFrame | None = None, stop_gain: float = 0.01,
 ) -> PipelineModel:
     """Boosted trees, for all three boosting names of the search space. A tree of ``num_leaves`` leaves is grown to the depth that holds as many.
-    With ``valid`` rows, boosting stops where a round no longer lowers their error by the share ``stop_gain``."""
+    With ``valid`` rows, boosting stops where a round no longer lowers their error by the share ``stop_gain``. Where all rows are taken in every
+    round, those of equal features are learnt from as one."""
     estimator = GBTRegressor(
         labelCol=y, maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=subsample, seed=SEED, maxBins=max_bins,
         maxDepth=max_depth if num_leaves is None else (num_leaves - 1).bit_length(),
         featureSubsetStrategy="all" if colsample_bytree >= 1.0 else str(colsample_bytree),
     )
     if valid is None:
-        return _fit(train, features, y, estimator)
+        return _fit(train, features, y, estimator, cells=subsample >= 1.0)
     estimator.setValidationIndicatorCol("__valid").setParams(validationTol=stop_gain)
     cols = [*names(features), y]
     both = [fill_features(df.select(*cols), cols).withColumn("__valid", F.lit(held)) for df, held in ((train, False), (valid, True))]
