@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, language, licenses, mixing, secrets, simhash, substrings, topk, toxicity, warc
-from tidemark.llm.common import bucket_of, key_filter, passes
+from tidemark.llm.common import bits_of, bucket_of, filter_bits, key_filter, passes
 from tidemark.llm.components import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -39,6 +39,13 @@ def test_bucket_and_filter(spark):
     assert passes(bitmap, np.random.default_rng(2).integers(0, 2**63, 1000).astype(np.uint64)).sum() < 10
 
 
+def test_filters_grow_with_their_keys(spark):
+    assert [filter_bits(n) for n in (0, 1, 1 << 22, (1 << 22) + 1, 24_000_000, 1 << 40)] == [26, 26, 26, 27, 29, 29]
+    keys = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 500)
+    wide = key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), "key", 28)
+    assert bits_of(wide) == 28 and passes(wide, keys.view(np.uint64)).all()
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)] + [(2000, 2000 + i) for i in range(1, 300)]

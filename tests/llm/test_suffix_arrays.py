@@ -96,3 +96,19 @@ def test_a_shard_does_not_grow_with_a_passage(spark, docs):
     passage = "".join(rng.choice("abcdefgh ") for _ in range(130))
     rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(60)) + passage[rng.randrange(20):] + "".join(rng.choice("qrstuvw ") for _ in range(60))) for i in range(400)]
     compare(spark, docs, rows, 100, shard_bytes=4000, hot_bytes=1000)
+
+
+def test_filters_follow_the_keys(spark, docs, monkeypatch):
+    """With more keys than the smallest filter is for, lone segments are still left out: they would be written and sorted."""
+    from tidemark.llm import common
+
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abcdefgh ") for _ in range(300))
+    shared = [text() for _ in range(40)]
+    rows = [(i, text() + shared[i % 40] + text()) for i in range(80)]
+    written, stage = {}, sa.stage
+    monkeypatch.setattr(sa, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(common, "FILTER_BITS", 8)
+    compare(spark, docs, rows, 50, anchor=16)
+    lone = written["suffix-segments"].join(written["suffix-keys"], "key", "left_anti").count()
+    assert lone < written["suffix-segments"].count() / 4

@@ -110,12 +110,21 @@ def batches_of(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Itera
             yield batch.slice(a, b - a)
 
 
-#: Bits of a key filter. Its size does not depend on the data; a full one lets everything pass.
+#: Bits of a key filter, as a power of two: the fewest (8 MB) and the most (64 MB).
 FILTER_BITS = 26
+MOST_FILTER_BITS = 29
+#: Bits per key that a filter should have.
+SPARSE = 16
+
+
+def filter_bits(n_keys: int) -> int:
+    """The size of a filter that about one of ``SPARSE`` other keys passes, within the bounds above. Past some 30 million
+    keys it fills up; a full one lets everything pass."""
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, (n_keys * SPARSE - 1).bit_length()))
 
 
 def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of 2**bits bits with a bit set for each 64-bit key: 8 MB by default, whatever the number of keys.
+    """A bitmap of 2**bits bits with a bit set for each 64-bit key.
     Executors set the bits; the driver gets words of the finished bitmap (2**(bits-6) at most)."""
     slot = F.shiftrightunsigned(F.col(column), 64 - bits)
     words = (
@@ -128,6 +137,10 @@ def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndar
     return out.view(np.uint64)
 
 
-def passes(filter_: np.ndarray, keys: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
-    slot = keys >> np.uint64(64 - bits)
+def bits_of(filter_: np.ndarray) -> int:
+    return (len(filter_) * 64).bit_length() - 1
+
+
+def passes(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys >> np.uint64(64 - bits_of(filter_))
     return (filter_[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHasher, batches_of, is_no_word, key_filter, mixed, passes, text_bytes, word_spans
+from tidemark.llm.common import WordHasher, batches_of, filter_bits, is_no_word, key_filter, mixed, passes, text_bytes, word_spans
 from tidemark.session import stage
 
 #: Tokens of an aligned overlap, and how many of them must be equal. Shorter items must overlap as a whole.
@@ -191,8 +191,8 @@ def contaminated(
     the item with at least the share ``equal`` of them the same, so single substitutions do not hide it. Places to
     look at come from spaced seeds: every mask at every token of both sides, joined by hash. The masks go by the
     length of the overlap and miss none that the check accepts; only lengths that occur among the items are looked
-    for, so a benchmark of long items costs the documents five masks. A bitmap of fixed size,
-    whatever the benchmark's, lets the documents drop places without a partner before the join; past a hundred million
+    for, so a benchmark of long items costs the documents five masks. A bitmap of up to
+    64 MB lets the documents drop places without a partner before the join; past some hundred million
     benchmark seeds it fills up and the join does the whole work. The join sees small rows only; tokens of a stretch
     are read once for the check.
 
@@ -205,7 +205,7 @@ def contaminated(
     sizes = [r["n"] for r in items.select(F.least(F.size("tokens"), F.lit(overlap)).alias("n")).distinct().collect()]
     masks = {n: masks_of(n, equal) for n in sizes if n > 0}
     seeds = stage(item_seeds(items, masks), "bench-seeds")
-    runs = candidate_runs(docs, key_filter(seeds, "key"), id_col, text_col, overlap, sorted({m for family in masks.values() for m in family}))
+    runs = candidate_runs(docs, key_filter(seeds, "key", filter_bits(seeds.count())), id_col, text_col, overlap, sorted({m for family in masks.values() for m in family}))
     runs = stage(runs.withColumn("run", F.monotonically_increasing_id()), "bench-runs")
     hits = runs.select("run", F.explode("seeds").alias("s")).select("run", "s.place", "s.key")
     pairs = hits.withColumnRenamed("place", "at").join(seeds, "key").select("run", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import FILTER_BITS, batches_of, key_filter, mixed, passes, text_bytes
+from tidemark.llm.common import batches_of, bits_of, filter_bits, key_filter, mixed, passes, text_bytes
 from tidemark.session import stage
 
 WINDOW = 100
@@ -293,7 +293,7 @@ def texts_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, wanted: np.nda
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 for flat, doc, first, _, key, digest, a, b in held(part, cut, known):
                     at = ids[doc].astype(np.uint64) ^ (first.astype(np.uint64) << np.uint64(7))  # as ``place`` has it
-                    there = passes(wanted, digest ^ (at << np.uint64(64 - FILTER_BITS)))
+                    there = passes(wanted, digest ^ (at << np.uint64(64 - bits_of(wanted))))
                     body = [bytes(flat[x:y]) for x, y in zip(a[there].tolist(), b[there].tolist())]
                     shard = np.where(passes(hot, key[there]), -1, (key[there] % np.uint64(shards)).astype(np.int64))
                     rows = pa.array(doc[there])
@@ -304,9 +304,9 @@ def texts_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, wanted: np.nda
     return docs.select("id", "mark", "text").mapInArrow(run, "shard long, id long, mark long, first long, body binary")
 
 
-def place() -> Column:
-    """A number for a segment and where it stands, to be looked up in a filter."""
-    return F.col("digest").bitwiseXOR(F.shiftleft(F.col("id").bitwiseXOR(F.shiftleft("first", 7)), 64 - FILTER_BITS))
+def place(bits: int) -> Column:
+    """A number for a segment and where it stands, to be looked up in a filter of ``bits``."""
+    return F.col("digest").bitwiseXOR(F.shiftleft(F.col("id").bitwiseXOR(F.shiftleft("first", 7)), 64 - bits))
 
 
 def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, DataFrame]:
@@ -318,7 +318,8 @@ def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, Data
     """
     first = F.min(F.struct("id", "mark", "first", "windows")).alias("place")
     firsts = stage(segments.groupBy("key", "digest").agg(first).select("key", "digest", "place.*"), f"{name}-firsts")
-    shared = segments.sparkSession.sparkContext.broadcast(key_filter(firsts.select(place().alias("place")), "place"))
+    bits = filter_bits(firsts.count())
+    shared = segments.sparkSession.sparkContext.broadcast(key_filter(firsts.select(place(bits).alias("place")), "place", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = shared.value
@@ -330,7 +331,7 @@ def parted(segments: DataFrame, name: str, window: int) -> tuple[DataFrame, Data
             ends = hi[np.append(heads[1:], len(lo)) - 1] if len(lo) else hi
             yield pa.record_batch({"id": pa.array(id_[heads]), "mark": pa.array(mark[heads]), "from": pa.array(lo[heads]), "to": pa.array(ends), "open": pa.array(open_[heads])})
 
-    slim = segments.select("id", "mark", F.col("first").alias("from"), (F.col("first") + F.col("windows") + window - 1).alias("to"), place().alias("place"))
+    slim = segments.select("id", "mark", F.col("first").alias("from"), (F.col("first") + F.col("windows") + window - 1).alias("to"), place(bits).alias("place"))
     spans = stage(slim.mapInArrow(run, "id long, mark long, `from` long, `to` long, open boolean"), f"{name}-spans")
     told = spans.filter("open").drop("open").join(firsts.select("id", "mark", F.col("first").alias("from")), ["id", "mark", "from"], "left_anti")
     return firsts, spans.filter("NOT open").drop("open").unionByName(told)
@@ -395,8 +396,8 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shar
     earlier. Documents go by id, then by mark. Spans of one document may overlap.
 
     1. Every window has an anchor, the run of ``anchor`` bytes in it with the smallest hash; runs of windows with one
-       anchor are segments. Anchors that stand once are left out by a bitmap of fixed size (a full one lets them pass: they
-       cost time then, and change nothing).
+       anchor are segments. Anchors that stand once are left out by a bitmap that grows with the others up to 64 MB (a full one
+       lets them pass: they cost time then, and change nothing).
     2. Equal segments are reduced to the first holder, map side first. Later holders lose all their windows.
     3. Where an anchor has several different segments, these go to a shard by their key, about ``shard_bytes`` in each. The
        shard's suffix array and permuted common prefixes bring equal windows together; all but the earliest go.
@@ -405,15 +406,17 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shar
     """
     docs = docs.filter("id IS NOT NULL AND text IS NOT NULL")
     keys = key_counts(docs, window, anchor).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    segments = stage(segments_of(docs, key_filter(keys, "key"), window, anchor), "suffix-segments")
+    keys = stage(keys, "suffix-keys")
+    segments = stage(segments_of(docs, key_filter(keys, "key", filter_bits(keys.count())), window, anchor), "suffix-segments")
     firsts, spans = parted(segments, "suffix", window)
     size = F.sum(F.col("windows").cast("long") + window)
     groups = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).filter("n > 1")
     groups = stage(groups.withColumn("hot", F.col("bytes") > hot_bytes), "suffix-groups")
-    total = groups.agg(F.sum(F.when(~F.col("hot"), F.col("bytes")))).first()[0] or 0
-    wanted = firsts.join(groups.select("key"), "key", "left_semi").select(place().alias("place"))
-    filters = key_filter(groups, "key"), key_filter(groups.filter("hot"), "key"), key_filter(wanted, "place")
-    texts = stage(texts_of(docs, *filters, max(1, -(-total // shard_bytes)), window, anchor), "suffix-texts")
+    total, n_keys, n_places = groups.agg(F.sum(F.when(~F.col("hot"), F.col("bytes"))), F.count(F.lit(1)), F.sum("n")).first()
+    bits = filter_bits(n_places or 0)
+    wanted = firsts.join(groups.select("key"), "key", "left_semi").select(place(bits).alias("place"))
+    filters = key_filter(groups, "key", filter_bits(n_keys)), key_filter(groups.filter("hot"), "key"), key_filter(wanted, "place", bits)
+    texts = stage(texts_of(docs, *filters, max(1, -(-(total or 0) // shard_bytes)), window, anchor), "suffix-texts")
     sorted_ = spans_of_shards(texts.filter("shard >= 0"), window)
     singles = stage(windows_of(texts.filter("shard < 0"), window), "suffix-windows")
     return spans.unionByName(sorted_).unionByName(parted(singles, "suffix-singles", window)[1])
