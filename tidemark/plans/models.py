@@ -55,13 +55,21 @@ def _pipeline(features, estimator) -> Pipeline:
 
 def _fit(train: DataFrame, features, y: str, estimator, cells: bool = False) -> PipelineModel:
     clean = fill_features(train.select(*names(features), y), [*names(features), y])
+    cells = cells and _repeat(clean, features)
     return _pipeline(features, estimator.setWeightCol(ROWS) if cells else estimator).fit(_cells(clean, features, y) if cells else clean)
 
 
+def _repeat(clean: DataFrame, features) -> bool:
+    """Whether at most half as many different features as rows remain, about. Otherwise the rows are left as they are and in
+    their order, so that sums, and with them the choice among equally good splits, do not change for no gain."""
+    n, different = clean.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*names(features)))).first()
+    return 2 * different <= n
+
+
 def _cells(clean: DataFrame, features, y: str) -> DataFrame:
     """Rows of equal features as one, with their mean target and their number as its weight. No split tells such rows
     apart, and their spread adds the same to the squared error of every tree, so the best splits and the means of the leaves are those
-    of the single rows; a pass over the rows per level and round becomes one sum. For features that do not repeat it is no gain."""
+    of the single rows; a pass over the rows per level and round becomes one sum."""
     return clean.groupBy(*names(features)).agg(F.avg(y).alias(y), F.count(F.lit(1)).cast("double").alias(ROWS))
 
 
