@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
@@ -353,6 +354,29 @@ def test_boosting_learns_from_equal_rows_as_one(spark):
     assert one.keys() == other.keys() and all(close(one[k], other[k]) for k in one)
 
 
+def test_forest_of_many_rows_draws_them_into_sums(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(float(i % 4), float(i % 3), 10.0 * (i % 4) + (i % 3) + rng.normal()) for i in range(2400)], "a DOUBLE, b DOUBLE, y DOUBLE")
+    told = lambda model: {(r.a, r.b): r.prediction for r in M.score(model, df, ["a", "b"]).collect()}
+    plain = told(M.fit_forest(df, ["a", "b"], "y", 12, max_depth=4, feature_subset="all"))
+    bags = {(r.t, r.n) for r in M._bags(df, ["a", "b"], "y", 12).groupBy(F.col("__tree").alias("t")).agg(F.sum(M.ROWS).alias("n")).collect()}
+    # Each tree has draws of its own, as many as there are rows but for chance.
+    assert len(bags) == 12 and all(2100 < n < 2700 for _, n in bags) and len({n for _, n in bags}) > 6
+    monkeypatch.setattr(M, "BAG_ROWS", 100)
+    model = M.fit_forest(df, ["a", "b"], "y", 12, max_depth=4, feature_subset="all")
+    found = told(model)
+    assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 0.2 for k in plain)
+    assert model.stages[-1].getNumTrees == 12 and len({t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees}) > 1
+    model.save(str(tmp_path / "forest"))
+    assert told(PipelineModel.load(str(tmp_path / "forest"))) == found
+
+
+def test_poisson_draws(spark):
+    drawn = spark.range(200_000).withColumn("u", F.rand(3)).select(M._poisson(F.col("u")).alias("k"))
+    mean, spread, zero = drawn.agg(F.avg("k"), F.var_pop("k"), F.avg((F.col("k") == 0).cast("double"))).first()
+    assert abs(mean - 1) < 0.02 and abs(spread - 1) < 0.03 and abs(zero - 0.3679) < 0.01
+
+
 def test_regimes_step_over_distinct_points(spark, monkeypatch):
     from tidemark.plans import clusters as K
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
@@ -11,8 +12,8 @@ from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import week_label
 from tidemark.functions.numbers import safe_corr
@@ -41,6 +42,11 @@ LAG_SPACE = [1, 2, 3]
 SEED = 42
 #: Weight of a row that stands for several.
 ROWS = "__rows"
+#: Forests over at least so many rows draw their rows into sums by different features, if these have so many rows each.
+BAG_ROWS = 1_000_000
+BAG_REPEATS = 50
+#: Rows that one task of a tree's fit may have.
+TREE_ROWS = 100_000
 
 
 def baseline(df: DataFrame, order, y: str, e=(), n: int = 3) -> DataFrame:
@@ -55,15 +61,61 @@ def _pipeline(features, estimator) -> Pipeline:
 
 def _fit(train: DataFrame, features, y: str, estimator, cells: bool = False) -> PipelineModel:
     clean = fill_features(train.select(*names(features), y), [*names(features), y])
-    cells = cells and _repeat(clean, features)
+    if cells:
+        n, different = _different(clean, features)
+        # Otherwise the rows are left as they are and in their order, so that the choice among equally good splits does not change for no gain.
+        cells = 2 * different <= n
     return _pipeline(features, estimator.setWeightCol(ROWS) if cells else estimator).fit(_cells(clean, features, y) if cells else clean)
 
 
-def _repeat(clean: DataFrame, features) -> bool:
-    """Whether at most half as many different features as rows remain, about. Otherwise the rows are left as they are and in
-    their order, so that sums, and with them the choice among equally good splits, do not change for no gain."""
-    n, different = clean.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*names(features)))).first()
-    return 2 * different <= n
+def _different(clean: DataFrame, features) -> tuple[int, int]:
+    """The number of rows and, about, of different features."""
+    return tuple(clean.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*names(features)))).first())
+
+
+def _poisson(uniform: Column) -> Column:
+    """A draw of the Poisson distribution with mean 1 from a uniform number."""
+    bounds, chance, total = [], math.exp(-1), 0.0
+    for k in range(1, 14):
+        total += chance
+        bounds.append(total)
+        chance /= k
+    out = F.lit(len(bounds))
+    for k, bound in reversed(list(enumerate(bounds))):
+        out = F.when(uniform < bound, k).otherwise(out)
+    return out
+
+
+def _bags(clean: DataFrame, features, y: str, trees: int) -> DataFrame:
+    """The bootstrap rows of each tree as one row per different features: how often its rows were drawn, and their mean target. Every row is drawn
+    by itself and by each tree anew, as MLlib does, but is read once; its draws are added up before the shuffle."""
+    drawn = clean.select(*names(features), y, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__tree")).withColumn("__u", F.rand(SEED))
+    drawn = drawn.withColumn(ROWS, _poisson(F.col("__u"))).filter(F.col(ROWS) > 0)
+    weighted = F.sum(F.col(ROWS) * F.col(y)) / F.sum(ROWS)
+    return drawn.groupBy("__tree", *names(features)).agg(weighted.alias(y), F.sum(ROWS).cast("double").alias(ROWS)).repartition("__tree").sortWithinPartitions("__tree")
+
+
+def _fit_bagged(clean: DataFrame, features, y: str, estimator: RandomForestRegressor, different: int, parallelism: int = 8) -> PipelineModel:
+    """The forest's trees, each fitted by itself to its bag, in one model."""
+    trees, subset = estimator.getNumTrees(), estimator.getFeatureSubsetStrategy()
+    bags = stage(VectorAssembler(inputCols=names(features), outputCol="features").transform(_bags(clean, features, y, trees)), "bags")
+    # For a single tree "auto" would mean all features.
+    single = estimator.copy().setNumTrees(1).setBootstrap(False).setWeightCol(ROWS).setFeatureSubsetStrategy("onethird" if subset == "auto" else subset)
+
+    def fit(tree: int):
+        bag = bags.filter(F.col("__tree") == tree).coalesce(max(1, different // TREE_ROWS))
+        return single.copy().setSeed(SEED + tree).fit(bag)
+
+    with ThreadPool(min(parallelism, trees)) as pool:
+        fitted = pool.map(inheritable_thread_target(clean.sparkSession)(fit), range(trees))
+    context = clean.sparkSession.sparkContext
+    regression = context._jvm.org.apache.spark.ml.regression
+    held = context._gateway.new_array(regression.DecisionTreeRegressionModel, trees)
+    for i, model in enumerate(fitted):
+        held[i] = model._java_obj.trees()[0]
+    forest = RandomForestRegressionModel(regression.RandomForestRegressionModel(estimator.uid, held, len(names(features))))
+    # The mean over the trees is their sum by the parameter ``numTrees``.
+    return PipelineModel([VectorAssembler(inputCols=names(features), outputCol="features"), estimator._copyValues(forest)])
 
 
 def _cells(clean: DataFrame, features, y: str) -> DataFrame:
@@ -98,11 +150,18 @@ def fit_forest(
 ) -> PipelineModel:
     """A forest. MLlib bounds the rows of a child, not of a node that is split: ``min_samples_split`` asks for half as many in
     each child, so no smaller node is split, and of the larger ones those that would leave a tiny child are not either.
-    Without draws of rows and without such a bound, rows of equal features are learnt from as one."""
+    Without draws of rows and without such a bound, rows of equal features are learnt from as one. With draws, over many rows of few different
+    features, each tree learns from the sums of its draws by features."""
     estimator = RandomForestRegressor(
         labelCol=y, numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth, seed=SEED, bootstrap=bootstrap,
         featureSubsetStrategy=feature_subset, minInstancesPerNode=max(1, min_samples_split // 2), maxBins=max_bins,
     )
+    if bootstrap and n_estimators > 1 and min_samples_split < 4:
+        cols = [*names(features), y]
+        clean = fill_features(train.select(*cols), cols)
+        n, different = _different(clean, features)
+        if n >= BAG_ROWS and different * BAG_REPEATS <= n:
+            return _fit_bagged(clean, features, y, estimator, different)
     return _fit(train, features, y, estimator, cells=not bootstrap and min_samples_split < 4)
 
 
