@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -173,6 +174,62 @@ def test_substrings_odd(docs):
     assert got.count() == 7 and substrings.remove_repeats(docs([])).count() == 0
 
 
+class Scanned:
+    """Stands for a frame and keeps what is run over its batches."""
+
+    def __init__(self):
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return type("Shared", (), {"value": value})
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_substrings_scans_take_little_memory():
+    rng = random.Random(4)
+    texts = [text(rng, 300) for _ in range(200)] * 30
+    batch = pa.record_batch({"id": pa.array(range(len(texts))), "mark": pa.array(range(len(texts))), "text": pa.array(texts)})
+    assert batch.nbytes > 8e6
+    full, none = np.full(1 << 20, ~np.uint64(0)), np.zeros(1 << 20, np.uint64)
+    for scan in (
+        substrings.keys_of(Scanned(), 13, 4), substrings.segments_of(Scanned(), full, none, 13, 4),
+        substrings.segments_of(Scanned(), full, none, 13, 4, full), substrings.segments_of(Scanned(), full, full, 13, 4),
+    ):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in scan(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows > 0 and peak < 110e6
+
+
+def test_substrings_run_hashes():
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    tokens[30:50] = tokens[5:25]
+    hashes = substrings.RunHasher(tokens, substrings.MULTIPLIER)
+    runs = [(i, n) for n in range(1, 20) for i in range(60 - n)]
+    at, words = np.array(runs).T
+    names = {}
+    for (i, n), h in zip(runs, hashes(at, words).tolist()):
+        names.setdefault(h, set()).add(tuple(tokens[i:i + n].tolist()))
+    assert all(len(x) == 1 for x in names.values()) and len(names) == len({tuple(tokens[i:i + n].tolist()) for i, n in runs})
+
+
+def test_substrings_long_words(docs):
+    # Words whose sums of bytes by powers agree modulo 2**64: only a hash of the whole word tells them apart.
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([one, *rest])), (2, " ".join([other, *rest])), (3, " \t ".join([one, *rest]))]
+    got = substrings.remove_repeats(docs(rows)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 0, 2: 0, 3: 13}
+
+
 def test_automaton_gives_smallest_document():
     rng = random.Random(2)
     sequences = [([rng.choice("abc") for _ in range(rng.randrange(3, 30))], rng.randrange(20)) for _ in range(30)]

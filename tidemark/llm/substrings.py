@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHasher, batches_of, bits_of, filter_bits, is_space, key_filter, mixed, passes, text_bytes, word_spans
+from tidemark.llm.common import MULTIPLIER, WordHasher, batches_of, bits_of, filter_bits, is_space, key_filter, mixed, passes, text_bytes, word_spans
 from tidemark.session import stage
 
 WINDOW = 13
@@ -20,6 +20,13 @@ ANCHOR = 4
 SHARD_WORDS = 100_000
 #: Anchors in more documents than this are split by window.
 HOT_DOCS = 20_000
+#: Bytes of text that a scan works on at once, and rows that it gives at once.
+SLICE = 1 << 21
+ROWS = 50_000
+#: Longer words are hashed one by one.
+LONG_WORD = 1024
+#: Of the hash that names a hot anchor's window; its digest has another.
+WINDOW_MULTIPLIER = 0xD6E8FEB86659FD93
 
 
 class Cutter:
@@ -30,31 +37,45 @@ class Cutter:
         self.window, self.anchor, self.hasher, self.separators = window, min(anchor, window), WordHasher(), is_space()
 
     def __call__(self, column: pa.Array):
-        """Bytes, word spans, first word of each document; and by segment: document, first word, windows, key."""
+        """Bytes, word spans, word hashes, first word of each document; and by segment: document, first word, windows, key."""
         data, offsets = text_bytes(column)
         starts, ends = word_spans(data, self.separators)
         tokens = self.hasher(data, starts, ends)
+        for i in np.flatnonzero(ends - starts > LONG_WORD):
+            tokens[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]], 7)
         heads = np.searchsorted(starts, offsets)
         grams = max(0, len(tokens) - self.anchor + 1)
-        key = np.full(grams, np.uint64(self.window))
-        for j in range(self.anchor):
-            key = key * np.uint64(0x9E3779B97F4A7C15) + tokens[j:j + grams]
-        key = mixed(key)
         wide = self.window - self.anchor + 1
         if grams < wide:
             empty = np.zeros(0, np.int64)
-            return data, starts, ends, heads, empty, empty, empty, np.zeros(0, np.uint64)
-        at = np.arange(grams - wide + 1)
-        doc = np.searchsorted(heads, at, "right") - 1
-        at, doc = at[whole := at + self.window <= heads[doc + 1]], doc[whole]
-        best, place = key[at], at.copy()
-        for j in range(1, wide):  # the leftmost smallest
-            other = key[at + j]
-            less = other < best
-            best, place = np.where(less, other, best), np.where(less, at + j, place)
+            return data, starts, ends, tokens, heads, empty, empty, empty, np.zeros(0, np.uint64)
+        key = np.full(grams, np.uint64(self.window))
+        for j in range(self.anchor):
+            key = key * np.uint64(MULTIPLIER) + tokens[j:j + grams]
+        best, place, span = mixed(key), np.arange(grams), 1
+        while span < wide:  # the leftmost smallest of ever longer runs
+            step = min(span, wide - span)
+            less = best[step:] < best[:-step]
+            best, place = np.where(less, best[step:], best[:-step]), np.where(less, place[step:], place[:-step])
+            span += step
+        doc = np.repeat(np.arange(len(heads) - 1), np.diff(heads))[:len(best)]
+        at = np.flatnonzero(np.arange(self.window, len(best) + self.window) <= heads[doc + 1])
+        doc, best, place = doc[at], best[at], place[at]
         new = np.append(True, (np.diff(place) != 0) | (np.diff(doc) != 0)) if len(at) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        return data, starts, ends, heads, doc[first], at[first], np.diff(np.append(first, len(at))), best[first]
+        return data, starts, ends, tokens, heads, doc[first], at[first], np.diff(np.append(first, len(at))), best[first]
+
+
+class RunHasher:
+    """64-bit hashes of runs of words, by prefix sums over the words' hashes."""
+
+    def __init__(self, tokens: np.ndarray, multiplier: int) -> None:
+        self.inverse = np.cumprod(np.append(np.uint64(1), np.full(len(tokens), pow(multiplier, -1, 1 << 64), np.uint64)))
+        self.sums = np.zeros(len(tokens) + 1, np.uint64)
+        np.cumsum(tokens * np.cumprod(np.full(len(tokens), multiplier, np.uint64)), out=self.sums[1:])
+
+    def __call__(self, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[first + words] - self.sums[first]) * self.inverse[first] + words.astype(np.uint64))
 
 
 def keys_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -63,7 +84,7 @@ def keys_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Cutter(window, anchor)
         for batch in batches:
-            for part in batches_of(batch, "text"):
+            for part in batches_of(batch, "text", SLICE):
                 *_, doc, _, _, key = cut(part.column("text"))
                 if len(key):
                     ids = part.column("id").to_numpy(zero_copy_only=False)[doc]
@@ -89,52 +110,44 @@ def segments_of(docs: DataFrame, known: np.ndarray, hot: np.ndarray, window: int
         cut = Cutter(window, anchor)
         known, hot, wanted = shared.value
         for batch in batches:
-            for part in batches_of(batch, "text"):
-                data, starts, ends, heads, doc, first, windows, key = cut(part.column("text"))
-                if not len(key):
-                    continue
+            for part in batches_of(batch, "text", SLICE):
+                data, starts, ends, tokens, heads, doc, first, windows, key = cut(part.column("text"))
                 kept = passes(known, key)
+                if not kept.any():
+                    continue
                 doc, first, windows, key = doc[kept], first[kept], windows[kept], key[kept]
                 alone = passes(hot, key)
                 parts = np.where(alone, windows, 1)
-                nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-                doc, first, key, alone = np.repeat(doc, parts), np.repeat(first, parts) + nth, np.repeat(key, parts), np.repeat(alone, parts)
-                windows = np.where(alone, 1, np.repeat(windows, parts))
-                plain = data.copy()
-                plain[cut.separators[data]] = 32
-                ids, words = part.column("id").to_numpy(zero_copy_only=False), None
-                for at in range(0, len(key), 50_000):
-                    own = slice(at, at + 50_000)
-                    a, b = starts[first[own]], ends[first[own] + windows[own] + window - 2]
-                    size = b - a
-                    flat = plain[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-                    edges = np.append(0, np.cumsum(size))
-                    whole = flat.tobytes()
-                    digest = np.fromiter((xxhash.xxh64_intdigest(whole[x:y], 3) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())), np.uint64, len(size))
-                    named = key[own].copy()
-                    single = np.flatnonzero(alone[own])
-                    if len(single):
-                        at_word = first[own][single][:, None] + np.arange(window)
-                        hashed = cut.hasher(data, starts, ends) if words is None else words
-                        words, combined = hashed, np.full(len(single), np.uint64(window))
-                        for j in range(window):
-                            combined = combined * np.uint64(0x9E3779B97F4A7C15) + hashed[at_word[:, j]]
-                        named[single] = mixed(combined)
+                ids, bytes_ = part.column("id").to_numpy(zero_copy_only=False), None if wanted is None else data.tobytes()
+                digest_of, key_of = RunHasher(tokens, MULTIPLIER), RunHasher(tokens, WINDOW_MULTIPLIER) if alone.any() else None
+                whole = np.cumsum(parts)
+                for low in range(0, int(whole[-1]), ROWS):
+                    # The rows ``low`` and on, of segments in one piece or of a hot one's windows.
+                    row = np.arange(low, min(low + ROWS, int(whole[-1])))
+                    of = np.searchsorted(whole, row, "right")
+                    single, at = alone[of], first[of] + row - (whole[of] - parts[of])
+                    words = np.where(single, 1, windows[of]) + window - 1
+                    digest, named, rows = digest_of(at, words), key[of], doc[of]
+                    if key_of is not None:
+                        named = np.where(single, key_of(at, words), named)
                     if wanted is None:
-                        rows = pa.array(doc[own])
+                        take = pa.array(rows)
                         yield pa.RecordBatch.from_arrays([
-                            part.column("id").take(rows), part.column("mark").take(rows), pa.array((first[own] - heads[doc[own]]).astype(np.int32)),
-                            pa.array(named.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(alone[own]),
+                            part.column("id").take(take), part.column("mark").take(take), pa.array((at - heads[rows]).astype(np.int32)),
+                            pa.array(named.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(single),
                         ], ["id", "mark", "first", "key", "digest", "hot"])
                     else:
                         # As ``place`` has it.
-                        there = np.flatnonzero(passes(wanted, digest ^ (ids[doc[own]].astype(np.uint64) << np.uint64(64 - bits_of(wanted)))))
-                        text = pa.StringArray.from_buffers(len(size), pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(flat))
-                        take = pa.array(there)
-                        yield pa.RecordBatch.from_arrays([pa.array(named[there].view(np.int64)), pa.array(digest[there].view(np.int64)), text.take(take)], ["key", "digest", "segment"])
+                        there = np.flatnonzero(passes(wanted, digest ^ (ids[rows].astype(np.uint64) << np.uint64(64 - bits_of(wanted)))))
+                        at, words, named, digest = at[there], words[there], named[there].view(np.int64), digest[there].view(np.int64)
+                        a, b = starts[at], ends[at + words - 1]
+                        slot = np.cumsum(b - a) // SLICE
+                        for one in np.split(np.arange(len(there)), np.flatnonzero(np.diff(slot)) + 1):
+                            text = [bytes_[x:y] for x, y in zip(a[one].tolist(), b[one].tolist())]
+                            yield pa.RecordBatch.from_arrays([pa.array(named[one]), pa.array(digest[one]), pa.array(text, pa.binary())], ["key", "digest", "segment"])
 
     slim = "id long, mark long, first int, key long, digest long, hot boolean"
-    return docs.mapInArrow(run, slim if wanted is None else "key long, digest long, segment string")
+    return docs.mapInArrow(run, slim if wanted is None else "key long, digest long, segment binary")
 
 
 class Automaton:
@@ -221,7 +234,7 @@ def judged(references: DataFrame, contents: DataFrame, window: int, shards: int)
         held: dict = dict.fromkeys(names)
         for key, digest, segment in zip(*(right.column(c).to_pylist() for c in ("key", "digest", "segment"))):
             if held.get((key, digest), b"") is None:
-                held[key, digest] = segment.encode().split()
+                held[key, digest] = segment.split()
         automaton = Automaton()
         for name, low in zip(names, left.column("low").to_pylist()):
             automaton.add(held[name], low)
