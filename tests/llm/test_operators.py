@@ -78,6 +78,19 @@ def test_components_spend_no_round_on_blocks_and_stars(spark, monkeypatch):
     assert sorted(zip(a.tolist(), b.tolist())) == [(3, 1), (5, 1), (9, 8)]
 
 
+def test_components_make_stars_of_every_round(spark, monkeypatch):
+    """A path in shuffled pieces: once a round's links lie in one block, they are stars, and no more rounds are written."""
+    from tidemark.llm import components as module
+
+    names = []
+    monkeypatch.setattr(module, "stage", lambda df, name, stage=module.stage: names.append(name) or stage(df, name))
+    edges = [(i, i + 1) for i in range(1500)]
+    random.Random(3).shuffle(edges)
+    pieces = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    assert {tuple(r) for r in components(pieces).collect()} == {(i, 0) for i in range(1501)}
+    assert len(names) <= 6
+
+
 # 1
 
 
@@ -301,6 +314,23 @@ def test_simhash_links(spark, distance):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_simhash_writes_no_pairs(spark, docs, monkeypatch):
+    """Links become stars in the tasks that find them: nothing is written between."""
+    from tidemark.llm import components as module
+
+    names = []
+    for where in (module, simhash):
+        monkeypatch.setattr(where, "stage", lambda df, name, stage=where.stage: names.append(name) or stage(df, name))
+    rng = random.Random(4)
+    base = [text(rng, 60) for _ in range(20)]
+    given = docs([(i, base[i % 20] + " changed" * (i // 20 % 2)) for i in range(80)])
+    groups = simhash.near_duplicates(given).select("component").distinct().count()
+    assert names == ["simhash-fp", "simhash-distinct", "links", "least", "simhash-groups"]
+    names.clear()
+    assert simhash.deduplicated(given).count() == groups
+    assert names == ["simhash-marks", "links", "least", "simhash-firsts"]
+
+
 def test_simhash_odd(docs):
     got = {(r["doc_id"], r["component"]) for r in simhash.near_duplicates(odd(docs)).collect()}
     assert {(1, 1), (2, 1), (3, 1), (None, None), (4, 4)} <= got

@@ -55,10 +55,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternating stars: each node sends its larger neighbours to the smallest node it knows, then its smaller ones.
     Both steps keep connectivity, and the table ends as one star per component after a logarithmic number of rounds.
     Minima are pre-aggregated before the shuffle and joined back, so a node with a third of all links is no hot group.
-    Every round is written to the shared folder, which cuts the lineage. Blocks of links are made stars before the first
-    round, and what each node knows is written before the joins: it tells whether all are stars, so no round is spent
-    on finding that nothing changes, and a small table is broadcast instead of shuffling the links. Rounds are what the
-    driver's memory and time go into, as every shuffle is planned, compiled and accounted for there.
+    Every round is written to the shared folder, which cuts the lineage. Blocks of links are made stars in the task that
+    finds them, before they are written, so ``links`` may come straight from a join; this reads it once. What each node
+    knows is written before the joins: it tells whether all are stars, so no round is spent on finding that nothing
+    changes, and a small table is broadcast instead of shuffling the links. Rounds are what the driver's memory and time
+    go into, as every shuffle is planned, compiled and accounted for there, and each writes two tables of files.
     """
     ordered = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = stage(contracted(ordered), "links")
@@ -75,5 +76,5 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
         )).alias("link")).select("link.*").filter("a <> b").distinct()
-        links = stage(small, "links")
+        links = stage(contracted(small), "links")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

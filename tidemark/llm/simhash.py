@@ -117,8 +117,7 @@ def near_duplicates(
     """
     marks = stage(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     distinct = stage(marks.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    pairs = stage(links(distinct.filter("first IS NOT NULL").select("fp"), distance), "simhash-links")
-    stars = components(pairs)
+    stars = components(links(distinct.filter("first IS NOT NULL").select("fp"), distance))
     held = distinct.join(stars, distinct["fp"] == stars["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("own group"))
     groups = held.join(held.groupBy("own group").agg(F.min("first").alias("component")), "own group").select("fp", "component")
     return marks.join(stage(groups, "simhash-groups"), "fp").select(F.col("id").alias(id_col), "fp", "component")
@@ -136,8 +135,7 @@ def deduplicated(
     """
     mark = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     marks = stage(fingerprints(docs, shingle, id_col, text_col, mark), "simhash-marks")
-    pairs = stage(links(marks.select("fp").distinct(), distance), "simhash-links")
-    stars = components(pairs)
+    stars = components(links(marks.select("fp").distinct(), distance))
     held = marks.join(stars, marks["fp"] == stars["node"], "left").withColumn("own group", F.coalesce("component", "fp"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
     firsts = held.groupBy("own group").agg(first.alias("first")).select(F.col("first.id").alias("first id"), F.col("first.mark").alias("first mark"))
