@@ -314,6 +314,19 @@ def test_simhash_links(spark, distance):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_simhash_signatures_are_not_broadcast(spark, tmp_path):
+    """However small the fingerprints' file is: Spark does not count the rows that an explode makes."""
+    rng = random.Random(6)
+    prints = {rng.getrandbits(64) for _ in range(40)}
+    prints |= {f ^ 1 << rng.randrange(64) for f in prints}
+    spark.createDataFrame([(simhash.signed(f),) for f in prints], "fp long").write.parquet(f"{tmp_path}/marks")
+    pairs = simhash.links(spark.read.parquet(f"{tmp_path}/marks"))
+    planned = pairs._jdf.queryExecution().executedPlan().toString()
+    assert len(pairs.collect()) >= 40
+    for plan in (planned, pairs._jdf.queryExecution().executedPlan().toString()):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_writes_no_pairs(spark, docs, monkeypatch):
     """Links become stars in the tasks that find them: nothing is written between."""
     from tidemark.llm import components as module

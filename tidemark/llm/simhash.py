@@ -83,7 +83,8 @@ def links(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     An equality join on the signatures finds the candidates and the distance is checked in the join itself. A pair
     that shares several signatures counts in one: that of its first close segment, and there in the bit that differs,
-    or in the segment's first bit if none does.
+    or in the segment's first bit if none does. Spark sizes the signatures as if each fingerprint had one, a 64th of what
+    they are, and would broadcast them from the driver; the hint keeps them in a shuffle at all sizes.
     """
     listed = marks.select("fp", F.explode(variants(F.col("fp"), distance)).alias("v")).select("fp", "v.bit", "v.rest")
     left, right = listed.select(F.col("fp").alias("a"), "bit", "rest"), listed.select(F.col("fp").alias("b"), "bit", "rest")
@@ -96,7 +97,7 @@ def links(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
         here = F.col("left.bit").between(first, first + bits - 1)
         own = own | (here & earlier & ((count == 1) | (F.col("left.bit") == first)))
         earlier = earlier & (count > 1)
-    return left.alias("left").join(right.alias("right"), (F.col("left.bit") == F.col("right.bit")) & (F.col("left.rest") == F.col("right.rest"))
+    return left.hint("merge").alias("left").join(right.alias("right"), (F.col("left.bit") == F.col("right.bit")) & (F.col("left.rest") == F.col("right.rest"))
         & (F.col("a") < F.col("b")) & (F.bit_count(differs) <= distance) & own).select("a", "b")
 
 
