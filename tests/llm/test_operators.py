@@ -735,6 +735,19 @@ def test_secret_dictionary_covers_all_documents(spark, docs):
     assert got == {"Zeitgeber9zeitgeber9": 18, "aaaaab00000000000": 6, "9xzeitgeberzeitx0": 9}
 
 
+def test_parts_of_candidates_are_not_broadcast(spark, tmp_path):
+    """A candidate has up to 22 parts for each letter, which Spark does not count: the dictionary's file is larger than theirs."""
+    rng = random.Random(5)
+    known = ["".join(rng.choices("abcdefghijklm", k=12)) for _ in range(4000)]
+    spark.createDataFrame([(w,) for w in known], "word string").coalesce(1).write.parquet(f"{tmp_path}/words")
+    spark.createDataFrame([(f"{known[i]}{known[i + 1]}-{i}",) for i in range(20)], "value string").coalesce(1).write.parquet(f"{tmp_path}/found")
+    covered = secrets.coverage(spark.read.parquet(f"{tmp_path}/found"), spark.read.parquet(f"{tmp_path}/words"))
+    planned = covered._jdf.queryExecution().executedPlan().toString()
+    assert {r["covered"] for r in covered.collect()} == {24} and covered.count() == 20
+    for plan in (planned, covered._jdf.queryExecution().executedPlan().toString()):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_assigned_values_of_any_length_and_characters(docs):
     kept = ["password: required for all", "Password = secret", "the token is here", "auth: https://somewhere.org/a", "pwd=$HOME_PASSWORD", "secret: 42", "token = none"]
     held = {'password = "Tr0ub4dor&3"': "Tr0ub4dor&3", "api_key = ABCDEFGHIJKLMNOPQRSTUVWX": "ABCDEFGHIJKLMNOPQRSTUVWX", "pwd: s3cr3t!Pass": "s3cr3t!Pass",

@@ -62,13 +62,14 @@ def findings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def coverage(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(value, covered): letters of each different candidate that lie in a word of the dictionary (word), upper case or
-    lower. The n-grams of the candidates' runs of letters meet the words in an equality join."""
+    lower. The n-grams of the candidates' runs of letters meet the words in an equality join. Spark does not count the rows
+    of the explodes, up to 22 for each letter, and would broadcast them; the hint keeps them in a shuffle at all sizes."""
     low, high = LETTERS
     runs = found.select("value").distinct().select("value", F.posexplode(F.regexp_extract_all(F.lower("value"), F.lit(f"[a-z]{{{low},}}"), F.lit(0))).alias("run", "letters"))
     starts = runs.select("*", F.explode(F.sequence(F.lit(1), F.length("letters") - low + 1)).alias("first"))
     spans = starts.select("value", "run", "first", "letters", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.length("letters") - F.col("first") + 1))).alias("n"))
     grams = spans.select("value", "run", "first", "n", F.expr("substring(letters, first, n)").alias("word"))
-    places = grams.join(dictionary.select("word"), "word").select("value", "run", F.explode(F.expr("sequence(first, first + n - 1)")).alias("place"))
+    places = grams.hint("merge").join(dictionary.select("word"), "word").select("value", "run", F.explode(F.expr("sequence(first, first + n - 1)")).alias("place"))
     return places.distinct().groupBy("value").agg(F.count("*").alias("covered"))
 
 
